@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from storytide.checks import fixtures as fx
 from storytide.operators.trajectory import attach_vectors
 from storytide.plans.corpus import Lexicons, trajectories_of
+from storytide.sources.books import spread_small_scan
 from storytide.sources.tables import load_trajectories, save_trajectories
 from storytide.workspace import fresh_path
 
 _stored: dict[tuple[str, str], str] = {}
+_lexicons: dict[str, Lexicons] = {}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -22,24 +24,25 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def catalogue(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as a catalogue with text."""
-    docs = table(spark, sf, "documents")
-    return docs.select(
-        F.col("doc_id").cast("string").alias("book_id"),
-        F.concat(F.lit("Document "), F.col("doc_id")).alias("title"),
-        F.col("source").alias("author"),
-        F.col("lang").alias("language"),
-        _in_turn(fx.BOOKSHELVES, "doc_id").alias("bookshelves"),
-        _in_turn(fx.SUBJECTS, "doc_id").alias("subjects"),
+    return table(spark, sf, "documents").selectExpr(
+        "string(doc_id) AS book_id",
+        "concat('Document ', doc_id) AS title",
+        "source AS author",
+        "lang AS language",
+        f"{_in_turn(fx.BOOKSHELVES)} AS bookshelves",
+        f"{_in_turn(fx.SUBJECTS)} AS subjects",
         "text",
     )
 
 
-def _in_turn(values: tuple, key: str) -> Column:
-    return F.get(F.array(*[F.lit(v).cast("string") for v in values]), (F.col(key) % len(values)).cast("int"))
+def _in_turn(values: tuple) -> str:
+    listed = ", ".join("string(null)" if v is None else f'"{v}"' for v in values)
+    return f"array({listed})[int(doc_id % {len(values)})]"
 
 
-def books(spark: SparkSession, sf: str) -> DataFrame:
-    return catalogue(spark, sf).select("book_id", "title", "author", "text")
+def books(spark: SparkSession, sf: str, spread: bool = True) -> DataFrame:
+    scan = catalogue(spark, sf).select("book_id", "title", "author", "text")
+    return spread_small_scan(scan) if spread else scan
 
 
 def metadata(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,9 +50,12 @@ def metadata(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lexicons(spark: SparkSession) -> Lexicons:
-    emotions = spark.sql(f"SELECT * FROM VALUES {fx.emotion_values()} AS t(word, emotion, value)")
-    vad = spark.sql(f"SELECT * FROM VALUES {fx.vad_values()} AS t(term, valence, arousal, dominance)")
-    return Lexicons(emotions, vad)
+    app = spark.sparkContext.applicationId
+    if app not in _lexicons:
+        emotions = spark.sql(f"SELECT * FROM VALUES {fx.emotion_values()} AS t(word, emotion, value)")
+        vad = spark.sql(f"SELECT * FROM VALUES {fx.vad_values()} AS t(term, valence, arousal, dominance)")
+        _lexicons[app] = Lexicons(emotions, vad)
+    return _lexicons[app]
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -58,9 +64,11 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
         F.col("vec_id").cast("string").alias("book_id"),
         F.col("embedding").cast("array<double>").alias("book_embedding"),
     )
-    size = F.transform("book_embedding", F.abs)
-    total = F.aggregate(size, F.lit(0.0), lambda a, x: a + x)
-    return given.select("*", F.transform(size, lambda x: x / total).alias("book_topics"))
+    # The sum is bound once as the lambda's argument, not recomputed per element.
+    sizes = "transform(book_embedding, x -> abs(x))"
+    total = f"aggregate({sizes}, 0D, (a, x) -> a + x)"
+    shares = f"transform(array({total}), t -> transform({sizes}, x -> x / t))[0] AS book_topics"
+    return given.selectExpr("*", shares)
 
 
 def computed_trajectories(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,15 +93,15 @@ def trajectories(spark: SparkSession, sf: str) -> DataFrame:
 def rounded(rows: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles cut to a precision that does not depend on the order of summation."""
 
-    def column(field) -> Column:
-        kind = field.dataType.simpleString()
+    def column(field) -> str:
+        name, kind = field.name, field.dataType.simpleString()
         if kind == "double":
-            return F.round(field.name, digits).alias(field.name)
+            return f"round({name}, {digits}) AS {name}"
         if kind == "array<double>":
-            return F.transform(field.name, lambda x: F.round(x, digits)).alias(field.name)
-        return F.col(field.name)
+            return f"transform({name}, x -> round(x, {digits})) AS {name}"
+        return name
 
-    return rows.select([column(f) for f in rows.schema])
+    return rows.selectExpr(*[column(f) for f in rows.schema])
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -122,7 +122,7 @@ def lookup_book(spark, sf):
 @query
 def books_join_metadata(spark, sf):
     english = d.metadata(spark, sf).where(F.col("language") == "en")
-    joined = joins.join_metadata(d.books(spark, sf).select("book_id", "text"), english)
+    joined = joins.join_metadata(d.books(spark, sf, spread=False).select("book_id", "text"), english)
     return joined.select("book_id", "title", "author", F.length("text").alias("n_chars"))
 
 
@@ -132,29 +132,29 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def semi_join_targets(spark, sf):
-    chosen = joins.restrict_to(d.books(spark, sf), _labelled(spark, sf))
+    chosen = joins.restrict_to(d.books(spark, sf, spread=False), _labelled(spark, sf))
     return chosen.select("book_id", "title", F.length("text").alias("n_chars"))
 
 
 @query
 def resume_anti_join(spark, sf):
-    pending = joins.pending_books(d.books(spark, sf), _labelled(spark, sf))
+    pending = joins.pending_books(d.books(spark, sf, spread=False), _labelled(spark, sf))
     return pending.select("book_id", "title", F.length("text").alias("n_chars"))
 
 
 @query
 def training_sample(spark, sf):
-    return joins.training_sample(d.books(spark, sf), SAMPLE_SIZE)
+    return joins.training_sample(d.books(spark, sf, spread=False), SAMPLE_SIZE)
 
 
 @query
 def assign_batches(spark, sf):
-    return joins.assign_batches(d.books(spark, sf).select("book_id"), 10)
+    return joins.assign_batches(d.books(spark, sf, spread=False).select("book_id"), 10)
 
 
 def _book_files(spark: SparkSession, sf: str) -> str:
     path = fresh_path(spark, "books")
-    d.books(spark, sf).select("book_id", "text").repartition("book_id").write.partitionBy("book_id").text(path)
+    d.books(spark, sf, spread=False).select("book_id", "text").repartition("book_id").write.partitionBy("book_id").text(path)
     return path
 
 
@@ -204,13 +204,13 @@ def strip_markers(spark, sf):
     wrapped = F.concat(
         F.lit("head *** START OF "), "title", F.lit("\nONE ***"), "text", F.lit("*** END OF\n"), "title", F.lit(" *** tail")
     )
-    stripped = d.books(spark, sf).select("book_id", tx.strip_markers(wrapped).alias("body"))
+    stripped = d.books(spark, sf, spread=False).select("book_id", tx.strip_markers(wrapped).alias("body"))
     return stripped.select("book_id", F.length("body").alias("n_chars"), _md5_of("body").alias("body_md5"))
 
 
 @query
 def chunk_text(spark, sf):
-    pieces = chunking.chunk_text(d.books(spark, sf))
+    pieces = chunking.chunk_text(d.books(spark, sf, spread=False))
     return pieces.select(
         "book_id", "chunk_index", F.length("chunk_text").alias("n_chars"), _md5_of("chunk_text").alias("chunk_md5")
     )
@@ -225,7 +225,7 @@ def tokenize_words(spark, sf):
 
 @query
 def adaptive_chunks(spark, sf):
-    books = d.books(spark, sf)
+    books = d.books(spark, sf, spread=False)
     pieces = chunking.chunk_text(books, tx.adaptive_chunks(F.col("text")))
     counted = pieces.groupBy("book_id").agg(
         F.count(F.lit(1)).alias("chunks"), F.sum(F.length("chunk_text")).alias("n_chars")
@@ -235,7 +235,7 @@ def adaptive_chunks(spark, sf):
 
 @query
 def genre_tags_query(spark, sf):
-    tags = genre_tags(F.col("bookshelves"), F.col("subjects"))
+    tags = genre_tags()
     return d.metadata(spark, sf).select("book_id", F.array_join(F.array_sort(tags), "|").alias("tags"))
 
 
@@ -263,7 +263,7 @@ def score_vad(spark, sf):
 def score_chunks(spark, sf):
     lexicons = d.lexicons(spark)
     chunks = chunking.create_chunks(d.books(spark, sf))
-    return scoring.score_chunks(chunks, lexicons.emotions, lexicons.vad)
+    return scoring.score_chunks(chunks, lexicons.emotions, lexicons.vad, lexicons.small)
 
 
 @_rounded
@@ -276,7 +276,7 @@ def conversation_arcs(spark, sf):
         F.col("turn").cast("int").alias("chunk_index"),
         F.col("text").alias("chunk_text"),
     )
-    return scoring.score_text(turns, lexicons.emotions, lexicons.vad)
+    return scoring.score_text(turns, lexicons.emotions, lexicons.vad, small=lexicons.small)
 
 
 # ---- trajectories ---------------------------------------------------------------

@@ -19,31 +19,28 @@ SUBJECT_TAGS = (
 )
 
 
-def _parts(text: Column) -> Column:
-    pieces = F.split(F.lower(F.coalesce(text, F.lit(""))), ";")
-    return F.transform(pieces, lambda p: F.regexp_replace(p, r"^\s+|\s+$", ""))
+def _parts(text: str) -> str:
+    pieces = f"split(lower(coalesce({text}, '')), ';')"
+    return f"transform({pieces}, p -> regexp_replace(p, r'^\\s+|\\s+$', ''))"
 
 
-def _subject_tag(subject: Column) -> Column:
+def _subject_tag(subject: str) -> str:
     # A kind of fiction names itself; bare "fiction" says nothing.
-    tag = F.when(F.contains(subject, F.lit("fiction")) & (subject != "fiction"), subject)
-    for keywords, name in SUBJECT_TAGS:
-        hit = F.contains(subject, F.lit(keywords[0]))
-        for other in keywords[1:]:
-            hit = hit | F.contains(subject, F.lit(other))
-        tag = tag.when(hit, F.lit(name))
-    return tag
+    arms = [f"WHEN contains({subject}, 'fiction') AND {subject} <> 'fiction' THEN {subject}"]
+    for keywords, tag in SUBJECT_TAGS:
+        found = " OR ".join(f"contains({subject}, '{k}')" for k in keywords)
+        arms.append(f'WHEN {found} THEN "{tag}"')
+    return f"CASE {' '.join(arms)} END"
 
 
-def genre_tags(bookshelves: Column, subjects: Column) -> Column:
+def genre_tags(bookshelves: str = "bookshelves", subjects: str = "subjects") -> Column:
     """Distinct tags of a book as an array; empty when nothing is known."""
-    shelves = F.filter(_parts(bookshelves), lambda s: (s != "") & (s != GENERIC_SHELF))
-    topics = F.filter(F.transform(_parts(subjects), _subject_tag), lambda t: t.isNotNull())
-    return F.array_union(shelves, topics)
+    shelves = f"filter({_parts(bookshelves)}, s -> s <> '' AND s <> '{GENERIC_SHELF}')"
+    topics = f"filter(transform({_parts(subjects)}, s -> {_subject_tag('s')}), t -> t IS NOT NULL)"
+    return F.expr(f"array_union({shelves}, {topics})")
 
 
-def jaccard(left: Column, right: Column) -> Column:
+def jaccard(left: str, right: str) -> Column:
     """Shared over combined tags; 0 when either side has none."""
-    shared = F.size(F.array_intersect(left, right))
-    combined = F.size(F.array_union(left, right))
-    return F.when(shared > 0, shared / combined).otherwise(F.lit(0.0))
+    shared, combined = f"size(array_intersect({left}, {right}))", f"size(array_union({left}, {right}))"
+    return F.expr(f"CASE WHEN {shared} > 0 THEN {shared} / {combined} ELSE 0D END")

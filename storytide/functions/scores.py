@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from storytide.functions.vectors import cosine, norm
 from storytide.schema import AVERAGES, EMOTIONS, EVEN_SHARE, NEUTRAL_DIMENSION
 
-Side = Callable[[str], Column]
-
 # Sums over a shuffle differ in their last bits from run to run, and copies of a book tie
 # exactly: scores are compared at this precision, ties are broken by id.
 RANK_DIGITS = 9
@@ -42,65 +38,61 @@ MATCH_REST = "partial"
 DISPLAY_ORDER = ("joy", "trust", "anticipation", "surprise", "sadness", "fear", "anger", "disgust")
 
 
-def _closeness(squares: list[Column]) -> Column:
-    total = squares[0]
-    for square in squares[1:]:
-        total = total + square
-    return F.lit(1.0) / (F.lit(1.0) + F.sqrt(total))
+def _closeness(gaps: list[str]) -> str:
+    squares = " + ".join(f"({gap}) * ({gap})" for gap in gaps)
+    return f"1D / (1D + sqrt({squares}))"
 
 
-def weighted_feature_similarity(book: Side, query: Side) -> Column:
-    """Closeness of emotional profiles, weighted by how telling each feature is."""
+def scaled(value: str, low: str, high: str) -> str:
+    """Min-max scaling; the middle where the range is empty."""
+    return f"CASE WHEN {high} > {low} THEN ({value} - {low}) / ({high} - {low}) ELSE 0.5D END"
 
-    def value(side: Side, name: str) -> Column:
-        neutral = EVEN_SHARE if name.startswith("ratio_") else NEUTRAL_DIMENSION
-        return F.coalesce(side(name), F.lit(neutral))
 
-    gaps = [(value(book, f) - value(query, f)) * F.lit(w) for f, w in FEATURE_WEIGHTS.items()]
-    return _closeness([gap * gap for gap in gaps])
+# Each signal takes two prefixes: ``book`` and ``query`` name the two sides, such as ""
+# for the columns of the row itself and "query." for the fields of a struct.
 
 
-def scaled(value: Column, low: Column, high: Column) -> Column:
-    """Min-max scaling; the middle where the range is empty."""
-    return F.when(high > low, (value - low) / (high - low)).otherwise(F.lit(0.5))
+def weighted_feature_similarity(book: str = "", query: str = "query.") -> str:
+    """Closeness of emotional profiles, weighted by how telling each feature is."""
+
+    def value(side: str, name: str) -> str:
+        neutral = EVEN_SHARE if name.startswith("ratio_") else NEUTRAL_DIMENSION
+        return f"coalesce({side}{name}, {neutral}D)"
 
+    return _closeness([f"({value(book, f)} - {value(query, f)}) * {w}D" for f, w in FEATURE_WEIGHTS.items()])
 
-def minmax_feature_similarity(book: Side, query: Side, low: Side, high: Side) -> Column:
+
+def minmax_feature_similarity(book: str = "", query: str = "query.", bounds: str = "bounds.") -> str:
     """Unweighted closeness of the eleven averages after min-max scaling."""
 
-    def value(side: Side, name: str) -> Column:
-        return scaled(F.coalesce(side(name), F.lit(0.0)), low(name), high(name))
+    def value(side: str, name: str) -> str:
+        return scaled(f"coalesce({side}{name}, 0D)", f"{bounds}low_{name}", f"{bounds}high_{name}")
 
-    gaps = [value(book, f) - value(query, f) for f in AVERAGES]
-    return _closeness([gap * gap for gap in gaps])
+    return _closeness([f"{value(book, f)} - {value(query, f)}" for f in AVERAGES])
 
 
-def arc_similarity(book: Side, query: Side) -> Column:
+def arc_similarity(book: str = "", query: str = "query.") -> str:
     """Cosine of the flattened arcs, the shorter one continued with zeros."""
-    return cosine(book("arc"), query("arc"), book("arc_norm"), query("arc_norm"))
+    return cosine(f"{book}arc", f"{query}arc", f"{book}arc_norm", f"{query}arc_norm")
 
 
-def embedding_similarity(book: Side, query: Side) -> Column:
+def embedding_similarity(book: str = "", query: str = "query.") -> str:
     """Cosine moved to 0..1; 0 unless both vectors exist, match in length and are non-zero."""
-    left, right = book("book_embedding"), query("book_embedding")
-    norms = book("embedding_norm") * query("embedding_norm")
-    usable = (F.size(left) == F.size(right)) & (norms > 0)
-    plain = cosine(left, right, book("embedding_norm"), query("embedding_norm"))
-    return F.when(usable, (plain + 1.0) / 2.0).otherwise(F.lit(0.0))
+    left, right = f"{book}book_embedding", f"{query}book_embedding"
+    norms = (f"{book}embedding_norm", f"{query}embedding_norm")
+    usable = f"size({left}) = size({right}) AND {norms[0]} * {norms[1]} > 0"
+    return f"CASE WHEN {usable} THEN ({cosine(left, right, *norms)} + 1D) / 2D ELSE 0D END"
 
 
-def topic_similarity(book: Side, query: Side) -> Column:
+def topic_similarity(book: str = "", query: str = "query.") -> str:
     """Cosine over the positions both mixtures have."""
-    left, right = book("book_topics"), query("book_topics")
-    same = F.size(left) == F.size(right)
-    shared = F.least(F.size(left), F.size(right))
-    # slice() rejects a null length, so the truncated branch is reached only with two vectors.
-    cut_left, cut_right = F.slice(left, 1, shared), F.slice(right, 1, shared)
-    return (
-        F.when(left.isNull() | right.isNull(), F.lit(0.0))
-        .when(same, cosine(left, right, book("topics_norm"), query("topics_norm")))
-        .otherwise(cosine(cut_left, cut_right, norm(cut_left), norm(cut_right)))
-    )
+    left, right = f"{book}book_topics", f"{query}book_topics"
+    shared = f"least(size({left}), size({right}))"
+    cut = (f"slice({left}, 1, {shared})", f"slice({right}, 1, {shared})")
+    return f"""CASE WHEN {left} IS NULL OR {right} IS NULL THEN 0D
+      WHEN size({left}) = size({right})
+        THEN {cosine(left, right, f"{book}topics_norm", f"{query}topics_norm")}
+      ELSE {cosine(*cut, norm(cut[0]), norm(cut[1]))} END"""
 
 
 def settled(value: Column) -> Column:
@@ -136,10 +128,10 @@ def match_bucket(score: Column) -> Column:
 
 def dominant_emotions(top: int = 3, among: tuple[str, ...] = EMOTIONS) -> Column:
     """Names of the strongest positive average emotions, strongest first."""
-    ranked = [
-        F.struct((-F.col(f"avg_{e}")).alias("weakness"), F.lit(i).alias("place"), F.lit(e).alias("name"))
+    ranked = ", ".join(
+        f"struct(-avg_{e} AS weakness, {i} AS place, '{e}' AS name)"
         for i, e in enumerate(DISPLAY_ORDER)
         if e in among
-    ]
-    leading = F.slice(F.array_sort(F.array(*ranked)), 1, top)
-    return F.transform(F.filter(leading, lambda r: r["weakness"] < 0), lambda r: r["name"])
+    )
+    leading = f"slice(array_sort(array({ranked})), 1, {top})"
+    return F.expr(f"transform(filter({leading}, r -> r.weakness < 0), r -> r.name)")

@@ -1,28 +1,28 @@
-"""Vector arithmetic on ``array<double>`` columns, all inside the JVM."""
+"""Vector arithmetic on ``array<double>`` columns, as SQL expressions.
 
-from __future__ import annotations
+The functions take and return SQL text, so that a long formula is handed to Spark in
+one piece and evaluated inside the JVM.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 
-def dot(left: Column, right: Column) -> Column:
+def dot(left: str, right: str) -> str:
     """Inner product; positions missing on either side count as zero."""
-    products = F.zip_with(left, right, lambda x, y: x * y)
-    return F.aggregate(products, F.lit(0.0), lambda acc, p: acc + F.coalesce(p, F.lit(0.0)))
+    products = f"zip_with({left}, {right}, (x, y) -> x * y)"
+    return f"aggregate({products}, 0D, (total, p) -> total + coalesce(p, 0D))"
 
 
-def norm(vector: Column) -> Column:
-    return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x * x))
+def norm(vector: str) -> str:
+    return f"sqrt(aggregate({vector}, 0D, (total, x) -> total + x * x))"
 
 
-def cosine(left: Column, right: Column, left_norm: Column, right_norm: Column) -> Column:
+def cosine(left: str, right: str, left_norm: str, right_norm: str) -> str:
     """Cosine with the norms given; 0 for null or zero vectors."""
-    return F.when(left_norm * right_norm > 0, dot(left, right) / (left_norm * right_norm)).otherwise(
-        F.lit(0.0)
-    )
+    norms = f"({left_norm} * {right_norm})"
+    return f"CASE WHEN {norms} > 0 THEN {dot(left, right)} / {norms} ELSE 0D END"
 
 
-def flat_arc(arc: Column, with_position: bool = True) -> Column:
+def flat_arc(arc: str, with_position: bool = True) -> str:
     """An arc as one vector; the leading chunk position of each point is optional."""
-    return F.flatten(arc) if with_position else F.flatten(F.transform(arc, lambda p: F.slice(p, 2, 8)))
+    return f"flatten({arc})" if with_position else f"flatten(transform({arc}, p -> slice(p, 2, 8)))"

@@ -49,7 +49,7 @@ def normalise(chunk_texts: DataFrame) -> DataFrame:
 def tokenize(chunk_texts: DataFrame, stop_words: Sequence[str] = ENGLISH) -> DataFrame:
     """Chunk texts to chunk rows with a word array."""
     return normalise(chunk_texts).select(
-        *CHUNK_KEY, tx.words(F.col("plain"), stop_words).alias("words")
+        *CHUNK_KEY, tx.words("plain", stop_words).alias("words")
     )
 
 
@@ -60,12 +60,3 @@ def create_chunks(
 ) -> DataFrame:
     """Books with a text column to chunks of words."""
     return tokenize(chunk_text(books, num_chunks), stop_words)
-
-
-def spread_over_tasks(books: DataFrame, partitions: int | None) -> DataFrame:
-    """Redistribute books before tokenizing when the input has too few splits.
-
-    One small Parquet file is one task whatever the cluster size. A large corpus has
-    enough splits already and must not be shuffled, hence the explicit opt-in.
-    """
-    return books.repartition(partitions, "book_id") if partitions else books

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storytide.functions.stopwords import ENGLISH
@@ -24,73 +24,58 @@ MARKER = "#"
 # Spread of each word in the shuffled fallback for lexicons too large to broadcast.
 SALTS = 32
 
+_VALUES = "struct<valence:double,arousal:double,dominance:double>"
 
-def distinct_terms(vad: DataFrame) -> DataFrame:
-    """One row per term. Of repeated terms the smallest values are kept."""
-    values = F.struct(*DIMENSIONS)
-    return vad.groupBy("term").agg(F.min(values).alias("v")).select("term", "v.*")
 
-
-def word_scores(
-    emotions: DataFrame, vad: DataFrame, only: Column | None = None
-) -> DataFrame:
+def word_scores(emotions: DataFrame, vad: DataFrame, only: str | None = None) -> DataFrame:
     """Both lexicons as one row per word: eight 0/1 flags, three values, and the marker.
 
-    ``only`` restricts the words, so that a condition on words is checked once per
-    lexicon entry and not once per token of the corpus.
+    A word listed twice for an emotion counts once; of a repeated term the smallest
+    values are kept.
+
+    ``only`` (an SQL condition on ``word``) restricts the words, so that it is checked
+    once per lexicon entry and not once per token of the corpus.
     """
-    spark = emotions.sparkSession
-    no_values = F.lit(None).cast("struct<valence:double,arousal:double,dominance:double>")
-    known = emotions.where((F.col("value") == 1) & F.col("emotion").isin(*EMOTIONS))
-    rows = known.select("word", "emotion", no_values.alias("v")).unionByName(
-        vad.select(
-            F.col("term").alias("word"),
-            F.lit(None).cast("string").alias("emotion"),
-            F.struct(*DIMENSIONS).alias("v"),
-        )
+    listed = ", ".join(repr(e) for e in EMOTIONS)
+    known = emotions.where(f"value = 1 AND emotion IN ({listed})").selectExpr(
+        "word", "emotion", f"cast(null AS {_VALUES}) AS v"
     )
-    if only is not None:
-        rows = rows.where(only)
-    flags = [
-        F.max(F.when(F.col("emotion") == e, 1).otherwise(0)).alias(e) for e in EMOTIONS
-    ]
+    placed = vad.selectExpr("term AS word", "string(null) AS emotion", f"struct({', '.join(DIMENSIONS)}) AS v")
+    rows = known.unionByName(placed).where(f"word <> '{MARKER}'")
+    flags = [F.expr(f"max(int(coalesce(emotion = '{e}', false))) AS {e}") for e in EMOTIONS]
     table = (
-        rows.where(F.col("word") != MARKER)
+        rows.where(only or "true")
         .groupBy("word")
-        .agg(*flags, F.min("v").alias("v"))
+        .agg(*flags, F.expr("min(v) AS v"))
         .select("word", *EMOTIONS, "v.*", F.lit(0).alias("marks"))
     )
-    marker = spark.range(1).select(
-        F.lit(MARKER).alias("word"),
-        *[F.lit(0).alias(e) for e in EMOTIONS],
-        *[F.lit(None).cast("double").alias(d) for d in DIMENSIONS],
-        F.lit(1).alias("marks"),
+    marker = emotions.sparkSession.range(1).selectExpr(
+        f"'{MARKER}' AS word",
+        *[f"0 AS {e}" for e in EMOTIONS],
+        *[f"double(null) AS {d}" for d in DIMENSIONS],
+        "1 AS marks",
     )
     return table.unionByName(marker)
 
 
 def _aggregate(hits: DataFrame) -> DataFrame:
-    """Hits (with a multiplicity) to one row per chunk.
+    """Hits (each with the number of ``times`` it occurs) to one row per chunk.
 
     A chunk is identified by its key. If the same book was ingested more than once its
     copies fall together here; counts are then per copy, so a duplicate never inflates
     a book and no group grows with the number of copies.
     """
-    copies = F.sum("marks")
-    counted = F.when(F.col("valence").isNotNull(), F.col("times")).otherwise(F.lit(0))
 
-    def per_copy(total: Column) -> Column:
-        return F.round(total / copies).cast("int")
+    def per_copy(total: str) -> str:
+        return f"int(round({total} / sum(marks)))"
 
-    def mean(name: str) -> Column:
-        found = F.sum(F.when(F.col(name).isNotNull(), F.col("times")))
-        return F.coalesce(F.sum(F.col(name) * F.col("times")) / found, F.lit(0.0))
+    def mean(name: str) -> str:
+        return f"coalesce(sum({name} * times) / sum(if({name} IS NULL, null, times)), 0D)"
 
-    return hits.groupBy(*CHUNK_KEY).agg(
-        *[per_copy(F.sum(F.col(e) * F.col("times"))).alias(e) for e in EMOTIONS],
-        *[mean(d).alias(f"avg_{d}") for d in DIMENSIONS],
-        per_copy(F.sum(counted)).alias("vad_word_count"),
-    )
+    measures = [f"{per_copy(f'sum({e} * times)')} AS {e}" for e in EMOTIONS]
+    measures += [f"{mean(d)} AS avg_{d}" for d in DIMENSIONS]
+    measures.append(f"{per_copy('sum(if(valence IS NULL, 0, times))')} AS vad_word_count")
+    return hits.groupBy(*CHUNK_KEY).agg(*[F.expr(m) for m in measures])
 
 
 def _score(tokens: DataFrame, lexicon: DataFrame, small: bool) -> DataFrame:
@@ -101,49 +86,41 @@ def _score(tokens: DataFrame, lexicon: DataFrame, small: bool) -> DataFrame:
     # Too large to send everywhere: count repeated words first, then join on word and
     # salt so that a frequent word is spread over SALTS tasks. Marker rows carry a key of
     # their own, unmatched by design, so they do not gather in one task.
-    salt = F.pmod(F.xxhash64(*CHUNK_KEY), F.lit(SALTS)).cast("int")
-    is_marker = F.col("token") == MARKER
-    own_key = F.concat(F.lit(MARKER), F.xxhash64(*CHUNK_KEY).cast("string"))
-    counted = (
-        tokens.groupBy(*CHUNK_KEY, "token")
-        .agg(F.count(F.lit(1)).alias("times"))
-        .withColumn("salt", salt)
-        .withColumn("word", F.when(is_marker, own_key).otherwise(F.col("token")))
+    chunk = f"xxhash64({', '.join(CHUNK_KEY)})"
+    counted = tokens.groupBy(*CHUNK_KEY, "token").agg(F.count(F.lit(1)).alias("times"))
+    keyed = counted.selectExpr(
+        *CHUNK_KEY,
+        "times",
+        f"if(token = '{MARKER}', times, 0) AS marks",
+        f"if(token = '{MARKER}', concat('{MARKER}', {chunk}), token) AS word",
+        f"pmod({chunk}, {SALTS}) AS salt",
     )
     salted = (
-        lexicon.where(F.col("word") != MARKER)
+        lexicon.where(f"word <> '{MARKER}'")
         .drop("marks")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        .withColumn("found", F.lit(True))
+        .selectExpr("*", f"explode(sequence(0, {SALTS - 1})) AS salt", "true AS found")
+        .withColumn("salt", F.col("salt").cast("bigint"))
     )
-    hits = (
-        counted.join(salted, ["word", "salt"], "left")
-        .where(is_marker | F.col("found"))
-        .withColumn("marks", F.when(is_marker, F.col("times")).otherwise(F.lit(0)))
-        .na.fill(0, list(EMOTIONS))
-    )
-    return _aggregate(hits)
+    hits = keyed.join(salted, ["word", "salt"], "left").where("marks > 0 OR found")
+    return _aggregate(hits.na.fill(0, list(EMOTIONS)))
 
 
-def lexicons_are_small(emotions: DataFrame, vad: DataFrame, max_rows: int) -> bool:
-    rows = emotions.select(F.lit(1)).union(vad.select(F.lit(1)))
-    return within(rows, max_rows)
+def fit_a_broadcast(emotions: DataFrame, vad: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether both lexicons together may be sent to every executor; counts their rows."""
+    return within(emotions.select(F.lit(1)).union(vad.select(F.lit(1))), max_rows)
 
 
 def score_chunks(
-    chunks: DataFrame,
-    emotions: DataFrame,
-    vad: DataFrame,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    chunks: DataFrame, emotions: DataFrame, vad: DataFrame, small: bool | None = None
 ) -> DataFrame:
     """Emotion counts and mean valence/arousal/dominance of each chunk of words.
 
-    Chunks without a hit, or without words, are kept with zeros.
+    Chunks without a hit, or without words, are kept with zeros. ``small`` is the result
+    of :func:`fit_a_broadcast`, if it is known already.
     """
-    with_marker = F.concat(F.array(F.lit(MARKER)), F.coalesce("words", F.array().cast("array<string>")))
-    tokens = chunks.select(*CHUNK_KEY, F.explode(with_marker).alias("token"))
-    small = lexicons_are_small(emotions, vad, max_broadcast_rows)
-    return _score(tokens, word_scores(emotions, vad), small)
+    marked = f"explode(concat(array('{MARKER}'), coalesce(words, array()))) AS token"
+    small = fit_a_broadcast(emotions, vad) if small is None else small
+    return _score(chunks.selectExpr(*CHUNK_KEY, marked), word_scores(emotions, vad), small)
 
 
 def score_text(
@@ -151,18 +128,17 @@ def score_text(
     emotions: DataFrame,
     vad: DataFrame,
     stop_words: Sequence[str] = ENGLISH,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """``score_chunks(tokenize(...))`` without building the word arrays.
 
     Stop words and short words are taken out of the lexicon instead of out of each text,
     which gives the same counts.
     """
-    marked = F.concat(F.lit(MARKER + " "), F.col("plain"))
-    tokens = normalise(chunk_texts).select(*CHUNK_KEY, F.explode(F.split(marked, " ")).alias("token"))
-    lexicon = word_scores(emotions, vad, only=is_word(F.col("word"), stop_words))
-    small = lexicons_are_small(emotions, vad, max_broadcast_rows)
-    return _score(tokens, lexicon, small)
+    marked = f"explode(split(concat('{MARKER} ', plain), ' ')) AS token"
+    tokens = normalise(chunk_texts).selectExpr(*CHUNK_KEY, marked)
+    small = fit_a_broadcast(emotions, vad) if small is None else small
+    return _score(tokens, word_scores(emotions, vad, only=is_word("word", stop_words)), small)
 
 
 def score_emotions(chunk_scores: DataFrame) -> DataFrame:

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,22 +18,26 @@ from storytide.schema import (
     conform,
 )
 
+NORMS = tuple(f"{e}_norm" for e in EMOTIONS)
 
-def shares(columns: list[str] | tuple[str, ...]) -> list[Column]:
-    """Each column over the sum of all; an even share where the sum is zero."""
-    total = reduce(add, [F.col(c) for c in columns])
-    return [F.when(total > 0, F.col(c) / total).otherwise(F.lit(EVEN_SHARE)) for c in columns]
+
+def shares(columns: Sequence[str], names: Sequence[str]) -> list[str]:
+    """SQL for each column over the sum of all; an even share where the sum is zero."""
+    total = " + ".join(columns)
+    return [
+        f"CASE WHEN {total} > 0 THEN {c} / ({total}) ELSE {EVEN_SHARE}D END AS {n}"
+        for c, n in zip(columns, names)
+    ]
 
 
 def normalise_chunks(chunk_scores: DataFrame) -> DataFrame:
     """Add ``<emotion>_norm``: the chunk's emotions as shares that sum to one."""
-    norms = [s.alias(f"{e}_norm") for e, s in zip(EMOTIONS, shares(EMOTIONS))]
-    return chunk_scores.select("*", *norms)
+    return chunk_scores.selectExpr("*", *shares(EMOTIONS, NORMS))
 
 
 def trajectory_points(chunk_scores: DataFrame) -> DataFrame:
     """The arcs in long form: one row per book and chunk position, nothing collected."""
-    return normalise_chunks(chunk_scores).select(*CHUNK_KEY, *[f"{e}_norm" for e in EMOTIONS])
+    return normalise_chunks(chunk_scores).select(*CHUNK_KEY, *NORMS)
 
 
 def explode_arcs(trajectories: DataFrame) -> DataFrame:
@@ -42,10 +45,8 @@ def explode_arcs(trajectories: DataFrame) -> DataFrame:
     points = trajectories.where(F.col("emotion_trajectory").isNotNull()).select(
         "book_id", F.explode("emotion_trajectory").alias("p")
     )
-    return points.select(
-        "book_id",
-        F.col("p")[0].cast("int").alias("chunk_index"),
-        *[F.col("p")[i + 1].alias(f"{e}_norm") for i, e in enumerate(EMOTIONS)],
+    return points.selectExpr(
+        "book_id", "int(p[0]) AS chunk_index", *[f"p[{i}] AS {n}" for i, n in enumerate(NORMS, 1)]
     )
 
 
@@ -56,16 +57,16 @@ def analyze_trajectory(chunk_scores: DataFrame, with_arc: bool = True) -> DataFr
     book is cut into. For input with unlimited positions (dialogues) leave it out and
     use :func:`trajectory_points`.
     """
-    measures = [F.avg(e).alias(a) for e, a in zip(EMOTIONS, AVG_EMOTIONS)]
-    measures += [F.avg(c).alias(c) for c in AVG_DIMENSIONS]
-    measures.append(F.count("chunk_index").alias("num_chunks"))
+    measures = [F.expr(f"avg({e}) AS {a}") for e, a in zip(EMOTIONS, AVG_EMOTIONS)]
+    measures += [F.expr(f"avg({c}) AS {c}") for c in AVG_DIMENSIONS]
+    measures.append(F.expr("count(chunk_index) AS num_chunks"))
     rows = chunk_scores
     if with_arc:
         rows = normalise_chunks(chunk_scores)
-        point = F.array("chunk_index", *[f"{e}_norm" for e in EMOTIONS]).cast("array<double>")
-        measures.append(F.sort_array(F.collect_list(point)).alias("emotion_trajectory"))
+        point = f"array(double(chunk_index), {', '.join(NORMS)})"
+        measures.append(F.expr(f"sort_array(collect_list({point})) AS emotion_trajectory"))
     books = rows.groupBy(*BOOK_KEY).agg(*measures).where(F.col("num_chunks") > 0)
-    return conform(books.select("*", *[s.alias(r) for r, s in zip(RATIOS, shares(AVG_EMOTIONS))]))
+    return conform(books.selectExpr("*", *shares(AVG_EMOTIONS, RATIOS)))
 
 
 def attach_vectors(
@@ -79,17 +80,10 @@ def attach_vectors(
     return conform(joined)
 
 
-def completeness_order() -> list[Column]:
+def completeness_order() -> Column:
     """Total order among rows of one book: the most complete row comes first."""
-    return [
-        F.col("book_embedding").isNull(),
-        F.col("book_topics").isNull(),
-        F.col("num_chunks").desc_nulls_last(),
-        F.col("title").asc_nulls_last(),
-        F.col("author").asc_nulls_last(),
-        *[F.col(r).desc_nulls_last() for r in RATIOS],
-        *[F.col(c).desc_nulls_last() for c in AVG_DIMENSIONS],
-    ]
+    fields = ["book_embedding IS NULL", "book_topics IS NULL", "coalesce(-num_chunks, 0)"]
+    return F.expr(f"struct({', '.join([*fields, 'title', 'author', *RATIOS, *AVG_DIMENSIONS])})")
 
 
 def dedupe_books(trajectories: DataFrame) -> DataFrame:
@@ -99,7 +93,7 @@ def dedupe_books(trajectories: DataFrame) -> DataFrame:
     with very many copies reaches its task as one row per upstream task.
     """
     books = conform(trajectories)
-    window = Window.partitionBy("book_id").orderBy(*completeness_order())
+    window = Window.partitionBy("book_id").orderBy(completeness_order())
     return books.withColumn("place", F.row_number().over(window)).where("place = 1").drop("place")
 
 

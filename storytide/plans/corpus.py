@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,7 @@ from storytide.functions import text as tx
 from storytide.functions.stopwords import ENGLISH
 from storytide.operators.chunking import chunk_text, create_chunks
 from storytide.operators.joins import restrict_to, training_sample
-from storytide.operators.scoring import score_chunks, score_text
+from storytide.operators.scoring import fit_a_broadcast, score_chunks, score_text
 from storytide.operators.trajectory import analyze_trajectory, attach_vectors
 from storytide.operators import vectors as vec
 from storytide.schema import BOOKS, conform
@@ -21,9 +22,16 @@ from storytide.schema import BOOKS, conform
 
 @dataclass
 class Lexicons:
+    """The word lists that texts are scored with."""
+
     emotions: DataFrame
     vad: DataFrame
-    stop_words: Sequence[str] = field(default=ENGLISH)
+    stop_words: Sequence[str] = ENGLISH
+
+    @cached_property
+    def small(self) -> bool:
+        """Whether they may be broadcast; counted once."""
+        return fit_a_broadcast(self.emotions, self.vad)
 
 
 def trajectories_of(
@@ -37,7 +45,7 @@ def chunk_scores_of(
     books: DataFrame, lexicons: Lexicons, num_chunks: int | Column = tx.DEFAULT_CHUNKS
 ) -> DataFrame:
     pieces = chunk_text(books, num_chunks)
-    return score_text(pieces, lexicons.emotions, lexicons.vad, lexicons.stop_words)
+    return score_text(pieces, lexicons.emotions, lexicons.vad, lexicons.stop_words, lexicons.small)
 
 
 def fit_models(
@@ -83,7 +91,7 @@ def enriched_trajectories(
     if not models:
         return trajectories_of(books, lexicons, num_chunks)
     chunks = create_chunks(books, num_chunks, lexicons.stop_words)
-    scored = analyze_trajectory(score_chunks(chunks, lexicons.emotions, lexicons.vad))
+    scored = analyze_trajectory(score_chunks(chunks, lexicons.emotions, lexicons.vad, lexicons.small))
     return attach_vectors(scored, *_book_vectors(chunks, models))
 
 

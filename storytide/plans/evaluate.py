@@ -14,17 +14,13 @@ from storytide.schema import DIMENSIONS, EMOTIONS
 def _distribution(trajectories: DataFrame, columns: dict[str, str], label: str) -> DataFrame:
     """Mean, sample deviation, minimum and maximum of several columns in one aggregate."""
 
-    def stats(column: str) -> Column:
-        return F.struct(
-            F.avg(column).alias("mean"),
-            F.coalesce(F.stddev_samp(column), F.lit(0.0)).alias("std"),
-            F.min(column).alias("min"),
-            F.max(column).alias("max"),
-        )
+    def stats(name: str, column: str) -> str:
+        return f"""struct('{name}' AS {label}, avg({column}) AS mean,
+          coalesce(stddev_samp({column}), 0D) AS std, min({column}) AS min, max({column}) AS max)"""
 
-    row = trajectories.agg(*[stats(column).alias(name) for name, column in columns.items()])
-    entries = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("s")) for n in columns])
-    return row.select(F.explode(entries).alias("e")).select(F.col("e.name").alias(label), "e.s.*")
+    entries = ", ".join(stats(name, column) for name, column in columns.items())
+    row = trajectories.agg(F.expr(f"array({entries})").alias("entries"))
+    return row.select(F.explode("entries").alias("e")).select("e.*")
 
 
 def emotion_distribution(trajectories: DataFrame) -> DataFrame:
@@ -62,33 +58,31 @@ def query_quality(recommendations: DataFrame) -> DataFrame:
     )
 
 
-def similarity_stats(recommendations: DataFrame) -> DataFrame:
-    """Statistics of all recommended scores; quantiles are elements, not interpolated.
-
-    The scores are few by construction: queries times hits per query.
-    """
-    pooled = recommendations.agg(
-        F.count("similarity").alias("n"),
-        F.avg("similarity").alias("mean"),
-        F.stddev_pop("similarity").alias("std"),
-        F.min("similarity").alias("min"),
-        F.max("similarity").alias("max"),
-        F.sort_array(F.collect_list("similarity")).alias("ordered"),
-    )
+# Statistics of pooled scores. Quantiles are elements of the ordered scores, not
+# interpolated; the scores are few by construction (queries times hits per query).
+_POOLED = (
+    "count(similarity) AS n",
+    "avg(similarity) AS mean",
+    "stddev_pop(similarity) AS std",
+    "min(similarity) AS min",
+    "max(similarity) AS max",
+    "sort_array(collect_list(similarity)) AS ordered",
+)
+_STATISTICS = (
+    "n",
+    "mean",
+    "get(ordered, int(n div 2)) AS median",
+    "std",
+    "min",
+    "max",
+    "get(ordered, int(n div 4)) AS p25",
+    "get(ordered, int(3 * n div 4)) AS p75",
+)
 
-    def at(position: str) -> Column:
-        return F.get("ordered", F.expr(f"int({position})"))
-
-    return pooled.select(
-        "n",
-        "mean",
-        at("n div 2").alias("median"),
-        "std",
-        "min",
-        "max",
-        at("n div 4").alias("p25"),
-        at("3 * n div 4").alias("p75"),
-    )
+
+def similarity_stats(recommendations: DataFrame) -> DataFrame:
+    """Statistics of all recommended scores."""
+    return recommendations.agg(*[F.expr(e) for e in _POOLED]).selectExpr(*_STATISTICS)
 
 
 def reciprocity(recommendations: DataFrame) -> DataFrame:
@@ -113,12 +107,15 @@ def evaluation_report(
 ) -> DataFrame:
     """Quality metrics of a set of query books as one row."""
     hits = recommend_batch(trajectories, ids, top_n, preset=preset, metadata=metadata)
-    scores = similarity_stats(hits).agg(F.first(F.struct("*"))).scalar()
-    mutual = reciprocity(hits).agg(F.first("reciprocity_rate")).scalar()
-    tested = hits.agg(F.countDistinct("query_id").alias("books_tested"))
-    return tested.select(
-        "books_tested",
-        (F.lit(len(set(ids))) - F.col("books_tested")).alias("books_skipped"),
-        mutual.alias("reciprocity_rate"),
-        scores.alias("scores"),
-    ).select("books_tested", "books_skipped", "reciprocity_rate", "scores.*")
+    # One pass over the few hits: query -> best hit, and who points back, from the same row.
+    best = "map_from_entries(collect_list(if(rank = 1, struct(query_id, book_id), null))) AS best"
+    pooled = hits.agg(*[F.expr(e) for e in _POOLED], F.expr(best))
+    pairs = pooled.selectExpr("*", "map_filter(best, (q, b) -> map_contains_key(best, b)) AS pairs")
+    return pairs.selectExpr(
+        "size(best) AS books_tested",
+        f"{len(set(ids))} - size(best) AS books_skipped",
+        """CASE WHEN size(pairs) > 0
+           THEN size(map_filter(pairs, (q, b) -> best[b] = q)) / size(pairs) ELSE 0D END
+           AS reciprocity_rate""",
+        *_STATISTICS,
+    )

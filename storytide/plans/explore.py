@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storytide.functions import scores as sc
 from storytide.operators.trajectory import shares
-from storytide.plans.recommend import rank_order, top_per
+from storytide.plans.recommend import low_and_high, rank_order, top_per
 from storytide.schema import AVERAGES, AVG_EMOTIONS, EMOTIONS, RATIOS
 
 # Wanted level of each emotion, in the order of VIBE_EMOTIONS.
@@ -66,42 +66,34 @@ def top_by_emotion(trajectories: DataFrame, emotion: str, top_n: int = 20) -> Da
 def superlatives(trajectories: DataFrame) -> DataFrame:
     """The extreme book of each label, in one pass over the corpus."""
 
-    def extreme(column: str, which: str) -> Column:
-        sign = -1 if which == "max" else 1
-        key = F.struct(sc.settled(F.col(column)) * sign, F.col("book_id"))
-        entry = F.struct("title", "author", F.col(column).alias("value"))
-        return F.min_by(entry, F.when(F.col(column).isNotNull(), key))
+    def extreme(label: str, column: str, which: str) -> str:
+        sign = "-" if which == "max" else ""
+        key = f"struct({sign}round({column}, {sc.RANK_DIGITS}) AS v, book_id)"
+        entry = f"struct('{label}' AS label, title, author, {column} AS value)"
+        return f"min_by({entry}, if({column} IS NULL, null, {key}))"
 
-    row = trajectories.agg(*[extreme(c, w).alias(label) for label, c, w in SUPERLATIVES])
-    entries = F.array(*[F.struct(F.lit(label).alias("label"), F.col(f"`{label}`").alias("e")) for label, _, _ in SUPERLATIVES])
-    found = row.select(F.explode(entries).alias("s")).where(F.col("s.e").isNotNull())
-    return found.select("s.label", "s.e.title", "s.e.author", "s.e.value")
+    entries = ", ".join(extreme(*s) for s in SUPERLATIVES)
+    found = trajectories.agg(F.expr(f"array({entries})").alias("found"))
+    return found.select(F.explode("found").alias("s")).where("s IS NOT NULL").select("s.*")
 
 
-def _match(levels: dict[str, float], ranges: Column, scale: str) -> Column | None:
-    """Closeness of a book to the wanted levels; None when nothing is wanted."""
+def _match(levels: dict[str, float], scale: str) -> str | None:
+    """SQL for the closeness to the wanted levels; None when nothing is wanted."""
     squares = []
     for emotion, level in levels.items():
-        name = emotion.lower()
-        if name not in EMOTIONS or level <= 0:
+        name = f"avg_{emotion.lower()}"
+        if name not in AVG_EMOTIONS or level <= 0:
             continue
-        low, high = ranges[f"low_{name}"], ranges[f"high_{name}"]
-        book = sc.scaled(F.coalesce(f"avg_{name}", F.lit(0.0)), low, high)
-        wanted = F.lit(float(level)) if scale == "unit" else sc.scaled(F.lit(float(level)), low, high)
-        squares.append((book - wanted) * (book - wanted))
-    if not squares:
-        return None
-    total = squares[0]
-    for square in squares[1:]:
-        total = total + square
-    return F.lit(1.0) / (F.lit(1.0) + F.sqrt(total))
+        low, high = f"bounds.low_{name}", f"bounds.high_{name}"
+        book = sc.scaled(f"coalesce({name}, 0D)", low, high)
+        wanted = f"{float(level)!r}D" if scale == "unit" else sc.scaled(f"{float(level)!r}D", low, high)
+        squares.append(f"pow(({book}) - ({wanted}), 2)")
+    return f"1D / (1D + sqrt({' + '.join(squares)}))" if squares else None
 
 
-def _with_ranges(trajectories: DataFrame) -> DataFrame:
-    lows = [F.min(f"avg_{e}").alias(f"low_{e}") for e in EMOTIONS]
-    highs = [F.max(f"avg_{e}").alias(f"high_{e}") for e in EMOTIONS]
-    ranges = trajectories.agg(F.struct(*lows, *highs)).scalar()
-    return trajectories.select("book_id", "title", "author", *AVERAGES, ranges.alias("ranges"))
+def _with_bounds(trajectories: DataFrame) -> DataFrame:
+    bounds = trajectories.agg(F.expr(f"struct({low_and_high(AVG_EMOTIONS)})")).scalar()
+    return trajectories.select("book_id", "title", "author", *AVERAGES, bounds.alias("bounds"))
 
 
 def match_preferences(
@@ -113,25 +105,20 @@ def match_preferences(
     ``'unit'`` compares it with the scaled value directly. Unknown emotions are ignored;
     without any positive level there is no match.
     """
-    ranged = _with_ranges(trajectories)
-    score = _match(levels, F.col("ranges"), scale)
-    columns = ("book_id", "title", "author", "match_score", *AVERAGES)
+    score = _match(levels, scale)
+    columns = ("book_id", "title", "author", f"{score or 'double(null)'} AS match_score", *AVERAGES)
+    matched = _with_bounds(trajectories).selectExpr(*columns)
     if score is None:
-        return ranged.withColumn("match_score", F.lit(None).cast("double")).select(*columns).limit(0)
-    matched = ranged.withColumn("match_score", score).select(*columns)
+        return matched.limit(0)
     return matched.orderBy(*rank_order("match_score")).limit(top_n)
 
 
 def vibe_match(trajectories: DataFrame, top_n: int = 20, scale: str = "parity") -> DataFrame:
     """:func:`match_preferences` for every vibe in one job."""
-    ranged = _with_ranges(trajectories)
-    scored = ranged.select(
-        "book_id",
-        "title",
-        "author",
-        *[_match(vibe_levels(v), F.col("ranges"), scale).alias(v) for v in VIBES],
+    scored = _with_bounds(trajectories).selectExpr(
+        "book_id", "title", "author", *[f"{_match(vibe_levels(v), scale)} AS `{v}`" for v in VIBES]
     )
-    long = scored.unpivot(["book_id", "title", "author"], list(VIBES), "vibe", "match_score")
+    long = scored.unpivot(["book_id", "title", "author"], [f"`{v}`" for v in VIBES], "vibe", "match_score")
     return top_per(long, ["vibe"], "match_score", top_n).select(
         "vibe", "rank", "book_id", "title", "author", "match_score"
     )
@@ -146,5 +133,5 @@ def emotional_profile(trajectories: DataFrame) -> DataFrame:
         sc.tone(F.col("avg_valence")).alias("tone"),
         sc.energy(F.col("avg_arousal")).alias("energy"),
         sc.dominant_emotions().alias("dominant"),
-        *[s.alias(r) for r, s in zip(RATIOS, shares(AVG_EMOTIONS))],
+        *[F.expr(s) for s in shares(AVG_EMOTIONS, RATIOS)],
     )

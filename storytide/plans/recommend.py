@@ -18,7 +18,7 @@ from storytide.functions import scores as sc
 from storytide.functions.genres import genre_tags, jaccard
 from storytide.functions.vectors import flat_arc, norm
 from storytide.operators.trajectory import completeness_order, dedupe_books
-from storytide.schema import AVERAGES, RATIOS, conform
+from storytide.schema import AVERAGES, RATIOS, TRAJECTORY, conform
 
 SIGNALS = ("feature", "trajectory", "embedding", "topic", "genre")
 
@@ -48,14 +48,13 @@ def normalised(weights: dict[str, float]) -> dict[str, float]:
 
 def _comparable(trajectories: DataFrame, arc: str) -> DataFrame:
     """Trajectory columns plus flattened arc and vector norms, computed once per book."""
-    vectors = conform(trajectories).withColumn(
-        "arc", flat_arc(F.col("emotion_trajectory"), with_position=arc == "parity")
-    )
-    return vectors.select(
+    flat = flat_arc("emotion_trajectory", with_position=arc == "parity")
+    vectors = conform(trajectories).selectExpr("*", f"{flat} AS arc")
+    return vectors.selectExpr(
         "*",
-        norm(F.col("arc")).alias("arc_norm"),
-        norm(F.col("book_embedding")).alias("embedding_norm"),
-        norm(F.col("book_topics")).alias("topics_norm"),
+        f"{norm('arc')} AS arc_norm",
+        f"{norm('book_embedding')} AS embedding_norm",
+        f"{norm('book_topics')} AS topics_norm",
     )
 
 
@@ -90,33 +89,30 @@ def pair_signals(
     chosen = dedupe_books(trajectories.where(F.col("book_id").isin([str(i) for i in ids])))
     queries = _comparable(chosen, arc).agg(F.collect_list(F.struct(*_QUERY_COLUMNS))).scalar()
 
-    def query(name: str) -> Column:
-        return F.col(f"query.{name}")
-
     signals = {
-        "feature": sc.weighted_feature_similarity,
-        "trajectory": sc.arc_similarity,
-        "embedding": sc.embedding_similarity,
-        "topic": sc.topic_similarity,
+        "feature": sc.weighted_feature_similarity(),
+        "trajectory": sc.arc_similarity(),
+        "embedding": sc.embedding_similarity(),
+        "topic": sc.topic_similarity(),
     }
-    pairs = corpus.withColumn("query", F.explode(queries)).where(F.col("query.book_id") != F.col("book_id"))
-    return pairs.select(
-        query("book_id").alias("query_id"),
-        *conform(trajectories).columns,
-        *[signals[s](F.col, query).alias(f"{s}_similarity") for s in wanted],
+    pairs = corpus.withColumn("query", F.explode(queries)).where("query.book_id <> book_id")
+    return pairs.selectExpr(
+        "query.book_id AS query_id",
+        *TRAJECTORY.names,
+        *[f"{signals[s]} AS {s}_similarity" for s in wanted],
     )
 
 
 def one_row_per_pair(pairs: DataFrame) -> DataFrame:
     """Of repeated corpus books keep the most complete row, as :func:`dedupe_books` does."""
-    window = Window.partitionBy("query_id", "book_id").orderBy(*completeness_order())
+    window = Window.partitionBy("query_id", "book_id").orderBy(completeness_order())
     return pairs.withColumn("place", F.row_number().over(window)).where("place = 1").drop("place")
 
 
 def metadata_tags(metadata: DataFrame) -> DataFrame:
     """``book_id, tags``: one row per book, however often the catalogue lists it."""
     listed = metadata.groupBy("book_id").agg(F.min(F.struct("bookshelves", "subjects")).alias("m"))
-    return listed.select("book_id", genre_tags(F.col("m.bookshelves"), F.col("m.subjects")).alias("tags"))
+    return listed.select("book_id", genre_tags("m.bookshelves", "m.subjects").alias("tags"))
 
 
 def genre_pairs(metadata: DataFrame, ids: Sequence[str]) -> DataFrame:
@@ -127,37 +123,33 @@ def genre_pairs(metadata: DataFrame, ids: Sequence[str]) -> DataFrame:
     tags = metadata_tags(metadata)
     tagged = metadata_tags(metadata.where(F.col("book_id").isin([str(i) for i in ids])))
     queries = tagged.where(F.size("tags") > 0).agg(F.collect_list(F.struct("book_id", "tags"))).scalar()
-    pairs = tags.withColumn("query", F.explode(queries)).where(F.col("query.book_id") != F.col("book_id"))
+    pairs = tags.withColumn("query", F.explode(queries)).where("query.book_id <> book_id")
     return pairs.select(
         F.col("query.book_id").alias("query_id"),
         "book_id",
-        jaccard(F.col("tags"), F.col("query.tags")).alias("genre_similarity"),
+        jaccard("tags", "query.tags").alias("genre_similarity"),
     )
 
 
-def blended(weights: dict[str, float], renormalize: bool = False) -> Column:
-    """Weighted sum of the signals.
+def blended(weights: dict[str, float], renormalize: bool = False) -> str:
+    """SQL for the weighted sum of the signals.
 
     A missing signal counts as zero. With ``renormalize`` its weight goes to the signals
     that the pair does have.
     """
     share = normalised(weights)
-    total = reduce(
-        lambda a, b: a + b, [F.lit(share[s]) * F.coalesce(f"{s}_similarity", F.lit(0.0)) for s in SIGNALS]
-    )
+    total = " + ".join(f"{share[s]!r}D * coalesce({s}_similarity, 0D)" for s in SIGNALS)
     if not renormalize:
         return total
     presence = {
-        "feature": F.lit(True),
-        "trajectory": F.col("emotion_trajectory").isNotNull(),
-        "embedding": F.col("book_embedding").isNotNull(),
-        "topic": F.col("book_topics").isNotNull(),
-        "genre": F.col("genre_similarity").isNotNull(),
+        "feature": "true",
+        "trajectory": "emotion_trajectory IS NOT NULL",
+        "embedding": "book_embedding IS NOT NULL",
+        "topic": "book_topics IS NOT NULL",
+        "genre": "genre_similarity IS NOT NULL",
     }
-    held = reduce(
-        lambda a, b: a + b, [F.when(presence[s], F.lit(share[s])).otherwise(F.lit(0.0)) for s in SIGNALS]
-    )
-    return F.when(held > 0, total / held).otherwise(F.lit(0.0))
+    held = " + ".join(f"if({presence[s]}, {share[s]!r}D, 0D)" for s in SIGNALS)
+    return f"CASE WHEN {held} > 0 THEN ({total}) / ({held}) ELSE 0D END"
 
 
 def candidates(
@@ -218,7 +210,7 @@ def recommend(
     genres = metadata if chosen.get("genre", 0.0) > 0 else None
     carry = _needed(with_arc, renormalize)
     pairs = candidates(trajectories, [book_id], genres, arc, unique, carry)
-    scored = pairs.withColumn("similarity", blended(chosen, renormalize))
+    scored = pairs.selectExpr("*", f"{blended(chosen, renormalize)} AS similarity")
     return _result(scored.orderBy(*rank_order("similarity")).limit(top_n), (), with_arc)
 
 
@@ -240,7 +232,7 @@ def recommend_batch(
     genres = metadata if chosen.get("genre", 0.0) > 0 else None
     carry = _needed(with_arc, renormalize)
     pairs = candidates(trajectories, ids, genres, arc, unique, carry)
-    scored = pairs.withColumn("similarity", blended(chosen, renormalize))
+    scored = pairs.selectExpr("*", f"{blended(chosen, renormalize)} AS similarity")
     return _result(top_per(scored, ["query_id"], "similarity", top_n), ("query_id", "rank"), with_arc)
 
 
@@ -264,8 +256,8 @@ def preset_comparison(
 ) -> DataFrame:
     """Top books under every weight preset; the signals are computed once."""
     pairs = candidates(trajectories, ids, metadata, arc, unique)
-    scored = pairs.select(
-        "query_id", "book_id", "title", *[blended(weight_preset(p)).alias(p) for p in PRESETS]
+    scored = pairs.selectExpr(
+        "query_id", "book_id", "title", *[f"{blended(weight_preset(p))} AS {p}" for p in PRESETS]
     )
     long = scored.unpivot(["query_id", "book_id", "title"], list(PRESETS), "preset", "similarity")
     return top_per(long, ["query_id", "preset"], "similarity", top_n).select(
@@ -273,6 +265,10 @@ def preset_comparison(
     )
 
 
+def low_and_high(columns: Sequence[str]) -> str:
+    return ", ".join(f"min({c}) AS low_{c}, max({c}) AS high_{c}" for c in columns)
+
+
 # ---- single signals -------------------------------------------------------------
 
 
@@ -306,18 +302,13 @@ def feature_similarity_minmax(trajectories: DataFrame, book_id: str) -> DataFram
     """Closeness of the eleven averages after min-max scaling over all other books."""
     books = conform(trajectories)
     others = books.where(F.col("book_id") != str(book_id))
-    lows = [F.min(c).alias(f"low_{c}") for c in AVERAGES]
-    highs = [F.max(c).alias(f"high_{c}") for c in AVERAGES]
-    ranges = others.agg(F.struct(*lows, *highs)).scalar()
+    bounds = others.agg(F.expr(f"struct({low_and_high(AVERAGES)})")).scalar()
     liked = dedupe_books(books.where(F.col("book_id") == str(book_id)))
     query = liked.agg(F.first(F.struct("book_id", *AVERAGES))).scalar()
-    compared = others.select("*", ranges.alias("range"), query.alias("query"))
-    score = sc.minmax_feature_similarity(
-        F.col,
-        lambda name: F.col(f"query.{name}"),
-        lambda name: F.col(f"range.low_{name}"),
-        lambda name: F.col(f"range.high_{name}"),
-    )
-    return compared.where(F.col("query").isNotNull()).select(
-        *("book_id", "title", "author"), score.alias("feature_similarity"), *AVERAGES, "emotion_trajectory"
+    compared = others.select("*", bounds.alias("bounds"), query.alias("query")).where("query IS NOT NULL")
+    return compared.selectExpr(
+        *("book_id", "title", "author"),
+        f"{sc.minmax_feature_similarity()} AS feature_similarity",
+        *AVERAGES,
+        "emotion_trajectory",
     )

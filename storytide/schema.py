@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # The eight basic emotions, in the order used by every vector and arc.
@@ -73,9 +72,9 @@ TRAJECTORY = _struct(
 def conform(df: DataFrame, schema: T.StructType = TRAJECTORY) -> DataFrame:
     """Give ``df`` exactly the columns of ``schema``; absent ones become typed nulls."""
     present = set(df.columns)
-
-    def column(field: T.StructField) -> Column:
-        source = F.col(field.name) if field.name in present else F.lit(None)
-        return source.cast(field.dataType).alias(field.name)
-
-    return df.select([column(f) for f in schema])
+    return df.selectExpr(
+        *[
+            f"cast({f.name if f.name in present else 'null'} as {f.dataType.simpleString()}) as {f.name}"
+            for f in schema
+        ]
+    )

@@ -39,6 +39,19 @@ def lookup_book(metadata: DataFrame, book_id: str) -> DataFrame:
     return metadata.where(F.trim("book_id") == wanted).select("book_id", "title", "author")
 
 
+def spread_small_scan(scan: DataFrame, key: str = "book_id") -> DataFrame:
+    """Distribute the texts of a small table over all cores.
+
+    A small Parquet file is one task whatever the size of the cluster. Where the scan has
+    fewer splits than there are cores, its rows are hashed by book once; the aggregates
+    per chunk and per book then need no shuffle of their own. A large table has splits
+    enough and its texts are never moved. ``scan`` must be a plain scan with projections
+    and filters, for which counting splits reads nothing.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(2 * cores, key)
+
+
 def load_books(
     spark: SparkSession,
     path: str,
