@@ -91,14 +91,17 @@ def trajectories(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rounded(rows: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles cut to a precision that does not depend on the order of summation."""
+    """Doubles cut to a precision that does not depend on the order of summation.
+
+    The offset moves values that lie exactly on a rounding boundary off it.
+    """
 
     def column(field) -> str:
         name, kind = field.name, field.dataType.simpleString()
         if kind == "double":
-            return f"round({name}, {digits}) AS {name}"
+            return f"round({name} + 1e-10D, {digits}) AS {name}"
         if kind == "array<double>":
-            return f"transform({name}, x -> round(x, {digits})) AS {name}"
+            return f"transform({name}, x -> round(x + 1e-10D, {digits})) AS {name}"
         return name
 
     return rows.selectExpr(*[column(f) for f in rows.schema])

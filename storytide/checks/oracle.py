@@ -12,8 +12,12 @@ AVG_E = [f"avg_{e}" for e in EMOTIONS]
 AVG_D = ["avg_valence", "avg_arousal", "avg_dominance"]
 
 
+# Results are compared after rounding to 6 digits, scores are ranked at 9. The small
+# offsets move values that lie exactly on a rounding boundary off it.
+
+
 def r(expression: str, name: str | None = None) -> str:
-    return f"round({expression}, 6) AS {name or expression}"
+    return f"round({expression} + 1e-10, 6) AS {name or expression}"
 
 
 def rs(names) -> str:
@@ -231,12 +235,12 @@ scored AS (
 HITS = f"""{TRAJ}, {joined_pairs(TEST_BOOKS)},
 hits AS MATERIALIZED (
   SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id
-      ORDER BY round(similarity, 9) DESC, book_id) AS INTEGER) AS rank FROM scored) ranked
+      ORDER BY round(similarity + 1e-12, 9) DESC, book_id) AS INTEGER) AS rank FROM scored) ranked
   WHERE rank <= 10)"""
 
 
 def top(score: str, n: int) -> str:
-    return f"ORDER BY round({score}, 9) DESC, book_id LIMIT {n}"
+    return f"ORDER BY round({score} + 1e-12, 9) DESC, book_id LIMIT {n}"
 
 
 CATALOGUE = "book_id, title, author, language, bookshelves, subjects"
@@ -259,7 +263,9 @@ def oracle() -> dict[str, str]:
     sql["vad_lexicon_load"] = f"""WITH {distinct_words}
       SELECT w AS term, {number.format(37)} AS valence, {number.format(53)} AS arousal, {number.format(71)} AS dominance
       FROM vocabulary WHERE length(w) % 4 <> 3 AND length(w) % 5 <> 0 AND w <> 'term'"""
-    sql["metadata_filter"] = f"WITH {BOOKS} SELECT {CATALOGUE} FROM books WHERE language = 'en'"
+    # A CSV reader takes an empty field for a missing one.
+    sql["metadata_filter"] = f"""WITH {BOOKS} SELECT {CATALOGUE.replace("bookshelves", "nullif(bookshelves, '') AS bookshelves")}
+      FROM books WHERE language = 'en'"""
     sql["lookup_book"] = f"WITH {BOOKS} SELECT book_id, title, author FROM books WHERE book_id = {LIKED}"
     sql["books_join_metadata"] = (
         f"WITH {BOOKS} SELECT book_id, title, author, length(text) AS n_chars FROM books WHERE language = 'en'"
@@ -279,7 +285,7 @@ def oracle() -> dict[str, str]:
       length(emotion_trajectory) AS points, coalesce(length(book_embedding), NULL) AS dimensions FROM traj"""
     sql["csv_roundtrip"] = f"""WITH {TRAJ}, {joined_pairs(LIKED)}
       SELECT book_id, title, author, {rs(AVERAGES)},
-        list_transform(emotion_trajectory[-1], lambda x: round(x, 6)) AS last_point FROM scored {top("similarity", 10)}"""
+        list_transform(emotion_trajectory[-1], lambda x: round(x + 1e-10, 6)) AS last_point FROM scored {top("similarity", 10)}"""
 
     # text
     sql["strip_markers"] = f"""WITH {BOOKS} SELECT book_id, length(body) AS n_chars, md5(body) AS body_md5
@@ -322,8 +328,8 @@ def oracle() -> dict[str, str]:
         return f"""array_to_string(list_transform(list_filter((list_sort([{ranked}]))[1:3], lambda s: s.k < 0),
           lambda s: s.n), '|')"""
 
-    tone = "CASE WHEN round(avg_valence, 9) > 0.05e0 THEN 'positive' WHEN round(avg_valence, 9) < -0.05e0 THEN 'negative' ELSE 'neutral' END"
-    energy = "CASE WHEN round(avg_arousal, 9) > 0.05e0 THEN 'high-energy' WHEN round(avg_arousal, 9) < -0.05e0 THEN 'calm' ELSE 'moderate' END"
+    tone = "CASE WHEN round(avg_valence + 1e-12, 9) > 0.05e0 THEN 'positive' WHEN round(avg_valence + 1e-12, 9) < -0.05e0 THEN 'negative' ELSE 'neutral' END"
+    energy = "CASE WHEN round(avg_arousal + 1e-12, 9) > 0.05e0 THEN 'high-energy' WHEN round(avg_arousal + 1e-12, 9) < -0.05e0 THEN 'calm' ELSE 'moderate' END"
     sql["emotional_profile"] = f"""WITH {TRAJ} SELECT book_id, title, author, {tone} AS tone, {energy} AS energy,
       {dominant(EMOTIONS)} AS dominant, {rs(RATIOS)} FROM traj"""
     sql["dominant_emotions"] = f"""WITH {TRAJ} SELECT book_id, {dominant(EMOTIONS)} AS dominant,
@@ -347,7 +353,7 @@ def oracle() -> dict[str, str]:
     sql["union_query_row"] = f"""WITH {TRAJ}, {ADHOC}
       SELECT book_id, title, num_chunks, {r("avg_joy")}, length(book_topics) AS topics FROM traj
       UNION ALL SELECT book_id, title, num_chunks, {r("avg_joy")}, NULL FROM q_plain"""
-    six = "list_transform({0}, lambda x: round(x, 6)) AS {0}"
+    six = "list_transform({0}, lambda x: round(x + 1e-10, 6)) AS {0}"
     sql["attach_vectors"] = f"""WITH {TRAJ} SELECT book_id, num_chunks, {six.format("book_embedding")},
       {six.format("book_topics")} FROM traj"""
 
@@ -366,11 +372,11 @@ def oracle() -> dict[str, str]:
     )
     sql["feature_similarity_minmax"] = f"""WITH {TRAJ}, bounds AS (SELECT {bounds} FROM traj WHERE book_id <> {LIKED})
       SELECT b.book_id, b.title, b.author, {r(f"1e0 / (1e0 + sqrt({squares}))", "feature_similarity")},
-        round(b.avg_dominance, 6) AS avg_dominance
+        round(b.avg_dominance + 1e-10, 6) AS avg_dominance
       FROM traj b, traj q, bounds WHERE q.book_id = {LIKED} AND b.book_id <> {LIKED}"""
     sql["similarity_bucket"] = f"""{one} {r("s_feature", "feature_similarity")},
-      CASE WHEN round(s_feature, 9) > 0.9e0 THEN 'very similar' WHEN round(s_feature, 9) > 0.8e0 THEN 'similar'
-           WHEN round(s_feature, 9) > 0.7e0 THEN 'related' ELSE 'loosely related' END AS bucket FROM pairs"""
+      CASE WHEN round(s_feature + 1e-12, 9) > 0.9e0 THEN 'very similar' WHEN round(s_feature + 1e-12, 9) > 0.8e0 THEN 'similar'
+           WHEN round(s_feature + 1e-12, 9) > 0.7e0 THEN 'related' ELSE 'loosely related' END AS bucket FROM pairs"""
 
     # recommendation
     sql["recommend"] = f"""WITH {TRAJ}, {joined_pairs(LIKED)}
@@ -397,13 +403,13 @@ def oracle() -> dict[str, str]:
     def presets(ids: str, n: int) -> str:
         return f"""WITH {TRAJ}, {joined_pairs(ids)}, long AS ({by_preset}),
           ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id, preset
-             ORDER BY round(sim, 9) DESC, book_id) AS INTEGER) AS rank FROM long),
+             ORDER BY round(sim + 1e-12, 9) DESC, book_id) AS INTEGER) AS rank FROM long),
           best AS (SELECT * FROM ranked WHERE rank <= {n})"""
 
     sql["preset_comparison"] = f"""{presets(LIKED, 5)}
       SELECT query_id, preset, rank, book_id, title, {r("sim", "similarity")} FROM best"""
     sql["weight_presets"] = f"""{presets(TEST_BOOKS, 1)} SELECT query_id, preset, book_id,
-      CASE WHEN round(sim, 9) > 0.9e0 THEN 'very similar' WHEN round(sim, 9) > 0.8e0 THEN 'similar' WHEN round(sim, 9) > 0.7e0 THEN 'related'
+      CASE WHEN round(sim + 1e-12, 9) > 0.9e0 THEN 'very similar' WHEN round(sim + 1e-12, 9) > 0.8e0 THEN 'similar' WHEN round(sim + 1e-12, 9) > 0.7e0 THEN 'related'
            ELSE 'loosely related' END AS bucket FROM best"""
 
     # exploration
@@ -414,7 +420,7 @@ def oracle() -> dict[str, str]:
     sql["top_by_emotion"] = f"WITH {TRAJ} SELECT book_id, title, author, {rs(shown)} FROM traj {top('traj.avg_joy', 20)}"
     extremes = " UNION ALL ".join(
         f"""SELECT '{label}' AS label, title, author, {r(column, "value")} FROM
-          (SELECT * FROM traj ORDER BY round({column}, 9) {order}, book_id LIMIT 1)"""
+          (SELECT * FROM traj ORDER BY round({column} + 1e-12, 9) {order}, book_id LIMIT 1)"""
         for label, column, order in (
             ("Happiest", "ratio_joy", "DESC"),
             ("Saddest", "ratio_sadness", "DESC"),
@@ -437,8 +443,8 @@ def oracle() -> dict[str, str]:
             parts.append(f"pow(({book}) - ({want}), 2)")
         return f"1e0 / (1e0 + sqrt({' + '.join(parts)}))"
 
-    bucket = """CASE WHEN round(match_score, 9) > 0.8e0 THEN 'excellent' WHEN round(match_score, 9) > 0.6e0 THEN 'good'
-      WHEN round(match_score, 9) > 0.4e0 THEN 'fair' ELSE 'partial' END AS bucket"""
+    bucket = """CASE WHEN round(match_score + 1e-12, 9) > 0.8e0 THEN 'excellent' WHEN round(match_score + 1e-12, 9) > 0.6e0 THEN 'good'
+      WHEN round(match_score + 1e-12, 9) > 0.4e0 THEN 'fair' ELSE 'partial' END AS bucket"""
     wanted = {"joy": 0.7, "sadness": 0.4}
     sql["preference_match"] = f"""WITH {TRAJ}, {ranges}, m AS (SELECT *, {match(wanted)} AS match_score FROM traj, ranges)
       SELECT book_id, title, author, {r("match_score")}, {rs(AVERAGES)} FROM m {top("m.match_score", 20)}"""
@@ -462,16 +468,16 @@ def oracle() -> dict[str, str]:
         for v, levels in vibes.items()
     )
     sql["vibe_match"] = f"""WITH {TRAJ}, {ranges}, long AS ({by_vibe}),
-      ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY vibe ORDER BY round(match_score, 9) DESC, book_id)
+      ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY vibe ORDER BY round(match_score + 1e-12, 9) DESC, book_id)
         AS INTEGER) AS rank FROM long)
-      SELECT vibe, rank, book_id, title, author, round(match_score, 6) AS match_score, {bucket}
+      SELECT vibe, rank, book_id, title, author, round(match_score + 1e-10, 6) AS match_score, {bucket}
       FROM ranked WHERE rank <= 20"""
 
     # evaluation
     def distribution(label: str, columns: dict[str, str]) -> str:
         return " UNION ALL ".join(
-            f"""SELECT '{n}' AS {label}, round(avg({c}), 6) AS mean, round(coalesce(stddev_samp({c}), 0e0), 6) AS std,
-            round(min({c}), 6) AS min, round(max({c}), 6) AS max FROM traj"""
+            f"""SELECT '{n}' AS {label}, round(avg({c}) + 1e-10, 6) AS mean, round(coalesce(stddev_samp({c}), 0e0) + 1e-10, 6) AS std,
+            round(min({c}) + 1e-10, 6) AS min, round(max({c}) + 1e-10, 6) AS max FROM traj"""
             for n, c in columns.items()
         )
 
@@ -479,18 +485,18 @@ def oracle() -> dict[str, str]:
     sql["vad_distribution"] = f"WITH {TRAJ} {distribution('dimension', {c[4:]: c for c in AVG_D})}"
     sql["overall_tone"] = f"""WITH {TRAJ} SELECT CASE WHEN avg(avg_valence) > 0 THEN 'positive' ELSE 'negative' END AS tone,
       CASE WHEN avg(avg_arousal) > 0 THEN 'high energy' ELSE 'calm' END AS energy,
-      round(avg(avg_valence), 6) AS valence, round(avg(avg_arousal), 6) AS arousal FROM traj"""
+      round(avg(avg_valence) + 1e-10, 6) AS valence, round(avg(avg_arousal) + 1e-10, 6) AS arousal FROM traj"""
     sql["query_quality"] = f"""WITH {HITS} SELECT query_id, max(book_id) FILTER (rank = 1) AS top_rec_id,
-      max(title) FILTER (rank = 1) AS top_recommendation, round(max(similarity) FILTER (rank = 1), 6) AS top_similarity,
-      round(avg(similarity) FILTER (rank <= 5), 6) AS avg_top5_similarity,
+      max(title) FILTER (rank = 1) AS top_recommendation, round(max(similarity) FILTER (rank = 1) + 1e-10, 6) AS top_similarity,
+      round(avg(similarity) FILTER (rank <= 5) + 1e-10, 6) AS avg_top5_similarity,
       string_agg(book_id, '|' ORDER BY rank) FILTER (rank <= 5) AS top_5 FROM hits GROUP BY query_id"""
-    stats = """SELECT count(*) AS n, round(avg(similarity), 6) AS mean,
-      round((list(similarity ORDER BY similarity))[count(*) // 2 + 1], 6) AS median,
-      round(stddev_pop(similarity), 6) AS std, round(min(similarity), 6) AS min, round(max(similarity), 6) AS max,
-      round((list(similarity ORDER BY similarity))[count(*) // 4 + 1], 6) AS p25,
-      round((list(similarity ORDER BY similarity))[3 * count(*) // 4 + 1], 6) AS p75 FROM hits"""
+    stats = """SELECT count(*) AS n, round(avg(similarity) + 1e-10, 6) AS mean,
+      round((list(similarity ORDER BY similarity))[count(*) // 2 + 1] + 1e-10, 6) AS median,
+      round(stddev_pop(similarity) + 1e-10, 6) AS std, round(min(similarity) + 1e-10, 6) AS min, round(max(similarity) + 1e-10, 6) AS max,
+      round((list(similarity ORDER BY similarity))[count(*) // 4 + 1] + 1e-10, 6) AS p25,
+      round((list(similarity ORDER BY similarity))[3 * count(*) // 4 + 1] + 1e-10, 6) AS p75 FROM hits"""
     sql["similarity_stats"] = f"WITH {HITS} {stats}"
-    mutual = """SELECT count(*) AS pairs, round(coalesce(avg(CASE WHEN y.book_id = x.query_id THEN 1e0 ELSE 0e0 END), 0e0), 6)
+    mutual = """SELECT count(*) AS pairs, round(coalesce(avg(CASE WHEN y.book_id = x.query_id THEN 1e0 ELSE 0e0 END), 0e0) + 1e-10, 6)
       AS reciprocity_rate FROM hits x JOIN hits y ON x.book_id = y.query_id WHERE x.rank = 1 AND y.rank = 1"""
     sql["reciprocity"] = f"WITH {HITS} {mutual}"
     sql["evaluation_report"] = f"""WITH {HITS}, stats AS ({stats}), mutual AS ({mutual}),
@@ -502,13 +508,13 @@ def oracle() -> dict[str, str]:
       UNION ALL SELECT 'stored_query', count(*) FROM traj WHERE book_id = {LIKED}"""
 
     # vectors and models
-    sql["vector_mean"] = """SELECT label, list(round(m, 6) ORDER BY i) AS mean_vector FROM (
+    sql["vector_mean"] = """SELECT label, list(round(m + 1e-10, 6) ORDER BY i) AS mean_vector FROM (
       SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS m FROM embeddings, range(1, 4097) t(i)
       WHERE i <= length(embedding) GROUP BY label, i) GROUP BY label"""
     sql["topic_rank"] = f"""WITH {TRAJ}, long AS (SELECT book_id, unnest(book_topics) AS weight,
         unnest(range(1, length(book_topics) + 1)) AS topic FROM traj WHERE book_topics IS NOT NULL),
       ranked AS (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY weight DESC, topic) AS rank FROM long)
-      SELECT book_id, CAST(rank AS INTEGER) AS rank, CAST(topic AS INTEGER) AS topic, round(weight, 6) AS weight
+      SELECT book_id, CAST(rank AS INTEGER) AS rank, CAST(topic AS INTEGER) AS topic, round(weight + 1e-10, 6) AS weight
       FROM ranked WHERE rank <= 5"""
     sample = f"""{words}, sample AS (SELECT book_id FROM books ORDER BY md5('42:' || book_id), book_id LIMIT 200),
       sampled AS (SELECT split.* FROM split SEMI JOIN sample USING (book_id))"""
@@ -521,6 +527,8 @@ def oracle() -> dict[str, str]:
     sql["word2vec_fit"] = f"WITH {sample}, {known} SELECT w AS word FROM known"
     sql["chunk_embeddings"] = f"""WITH {sample}, {known}, l AS (SELECT list(w) AS ws FROM known)
       SELECT book_id, chunk_index, 16 AS dimensions, NOT list_has_any(words, ws) AS is_zero FROM split, l"""
+    sql["chunk_topics"] = f"""WITH {sample}, {vocabulary}, l AS (SELECT list(w) AS ws FROM vocabulary)
+      SELECT book_id, chunk_index, 10 AS topics, CASE WHEN list_has_any(words, ws) THEN 1e0 ELSE 0e0 END AS total FROM split, l"""
     sql["lda_fit"] = "SELECT CAST(i AS INTEGER) AS topic, 20 AS terms FROM range(10) t(i)"
     sql["book_topics"] = f"WITH {BOOKS} SELECT book_id, 10 AS topics FROM books WHERE length(text) > 0"
     sql["model_reuse"] = f"""WITH {BOOKS} SELECT book_id, least(length(text), 20) AS num_chunks, 16 AS dimensions,

@@ -154,7 +154,11 @@ def assign_batches(spark, sf):
 
 def _book_files(spark: SparkSession, sf: str) -> str:
     path = fresh_path(spark, "books")
-    d.books(spark, sf, spread=False).select("book_id", "text").repartition("book_id").write.partitionBy("book_id").text(path)
+    # A fixed number of partitions: left to itself, Spark would merge these few bytes into
+    # one task that creates all files one after the other.
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    texts = d.books(spark, sf, spread=False).select("book_id", "text").repartition(tasks, "book_id")
+    texts.write.partitionBy("book_id").text(path)
     return path
 
 
@@ -342,7 +346,7 @@ def dominant_emotions(spark, sf):
 @query
 def tone_energy(spark, sf):
     return d.trajectories(spark, sf).select(
-        "book_id", sc.tone(F.col("avg_valence")).alias("tone"), sc.energy(F.col("avg_arousal")).alias("energy")
+        "book_id", sc.tone().alias("tone"), sc.energy().alias("energy")
     )
 
 
@@ -492,13 +496,13 @@ def preset_comparison(spark, sf):
 def weight_presets(spark, sf):
     """The best hit of each preset with the bucket its score falls into."""
     best = rec.preset_comparison(d.trajectories(spark, sf), TEST_BOOKS, d.metadata(spark, sf), top_n=1)
-    return best.select("query_id", "preset", "book_id", sc.similarity_bucket(F.col("similarity")).alias("bucket"))
+    return best.select("query_id", "preset", "book_id", sc.similarity_bucket("similarity").alias("bucket"))
 
 
 @_rounded
 def similarity_bucket(spark, sf):
     found = rec.feature_similarity(d.trajectories(spark, sf), LIKED)
-    bucket = sc.similarity_bucket(F.col("feature_similarity")).alias("bucket")
+    bucket = sc.similarity_bucket("feature_similarity").alias("bucket")
     return found.select("book_id", "feature_similarity", bucket)
 
 
@@ -534,13 +538,13 @@ def preference_match(spark, sf):
 @_rounded
 def preference_match_unit(spark, sf):
     found = explore.match_preferences(d.trajectories(spark, sf), WANTED, 20, scale="unit")
-    return found.select("book_id", "match_score", sc.match_bucket(F.col("match_score")).alias("bucket"))
+    return found.select("book_id", "match_score", sc.match_bucket("match_score").alias("bucket"))
 
 
 @_rounded
 def vibe_match(spark, sf):
     found = explore.vibe_match(d.trajectories(spark, sf))
-    return found.withColumn("bucket", sc.match_bucket(F.col("match_score")))
+    return found.withColumn("bucket", sc.match_bucket("match_score"))
 
 
 # ---- evaluation -----------------------------------------------------------------
@@ -668,7 +672,7 @@ def chunk_embeddings(spark, sf):
 
 def _topic_models(spark: SparkSession, sf: str):
     sample = _sample_chunks(spark, sf)
-    vocabulary = vec.fit_vocabulary(sample)
+    vocabulary = vec.fit_vocabulary(sample, vocab_size=1 << 18)
     return vocabulary, vec.train_lda(vec.topic_features(sample, vocabulary), max_iter=5)
 
 

@@ -9,8 +9,10 @@ from storytide.functions.vectors import cosine, norm
 from storytide.schema import AVERAGES, EMOTIONS, EVEN_SHARE, NEUTRAL_DIMENSION
 
 # Sums over a shuffle differ in their last bits from run to run, and copies of a book tie
-# exactly: scores are compared at this precision, ties are broken by id.
+# exactly: scores are compared at this precision, ties are broken by id. The offset
+# keeps values that lie exactly on a rounding boundary from falling on either side.
 RANK_DIGITS = 9
+RANK_OFFSET = 1e-12
 
 # How strongly each feature separates books.
 FEATURE_WEIGHTS = {
@@ -95,34 +97,37 @@ def topic_similarity(book: str = "", query: str = "query.") -> str:
       ELSE {cosine(*cut, norm(cut[0]), norm(cut[1]))} END"""
 
 
-def settled(value: Column) -> Column:
+def settled(value: str) -> str:
     """A value as it is compared and ranked: without the bits that vary from run to run."""
-    return F.round(value, RANK_DIGITS)
+    return f"round({value} + {RANK_OFFSET}D, {RANK_DIGITS})"
 
 
-def _side_of_zero(value: Column, above: str, below: str, between: str) -> Column:
+def _side_of_zero(value: str, above: str, below: str, between: str) -> Column:
     value = settled(value)
-    return F.when(value > TONE_MARGIN, above).when(value < -TONE_MARGIN, below).otherwise(between)
+    return F.expr(
+        f"CASE WHEN {value} > {TONE_MARGIN}D THEN '{above}' WHEN {value} < -{TONE_MARGIN}D THEN '{below}' "
+        f"ELSE '{between}' END"
+    )
 
 
-def tone(valence: Column) -> Column:
+def tone(valence: str = "avg_valence") -> Column:
     return _side_of_zero(valence, "positive", "negative", "neutral")
 
 
-def energy(arousal: Column) -> Column:
+def energy(arousal: str = "avg_arousal") -> Column:
     return _side_of_zero(arousal, "high-energy", "calm", "moderate")
 
 
-def _bucket(score: Column, steps: tuple[tuple[float, str], ...], rest: str) -> Column:
-    reached = [F.when(settled(score) > floor, F.lit(name)) for floor, name in steps]
-    return F.coalesce(*reached, F.lit(rest))
+def _bucket(score: str, steps: tuple[tuple[float, str], ...], rest: str) -> Column:
+    arms = " ".join(f"WHEN {settled(score)} > {floor}D THEN '{name}'" for floor, name in steps)
+    return F.expr(f"CASE {arms} ELSE '{rest}' END")
 
 
-def similarity_bucket(score: Column) -> Column:
+def similarity_bucket(score: str = "similarity") -> Column:
     return _bucket(score, SIMILARITY_BUCKETS, SIMILARITY_REST)
 
 
-def match_bucket(score: Column) -> Column:
+def match_bucket(score: str = "match_score") -> Column:
     return _bucket(score, MATCH_BUCKETS, MATCH_REST)
 
 

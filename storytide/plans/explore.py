@@ -68,7 +68,7 @@ def superlatives(trajectories: DataFrame) -> DataFrame:
 
     def extreme(label: str, column: str, which: str) -> str:
         sign = "-" if which == "max" else ""
-        key = f"struct({sign}round({column}, {sc.RANK_DIGITS}) AS v, book_id)"
+        key = f"struct({sign}{sc.settled(column)} AS v, book_id)"
         entry = f"struct('{label}' AS label, title, author, {column} AS value)"
         return f"min_by({entry}, if({column} IS NULL, null, {key}))"
 
@@ -130,8 +130,8 @@ def emotional_profile(trajectories: DataFrame) -> DataFrame:
         "book_id",
         "title",
         "author",
-        sc.tone(F.col("avg_valence")).alias("tone"),
-        sc.energy(F.col("avg_arousal")).alias("energy"),
+        sc.tone().alias("tone"),
+        sc.energy().alias("energy"),
         sc.dominant_emotions().alias("dominant"),
         *[F.expr(s) for s in shares(AVG_EMOTIONS, RATIOS)],
     )

@@ -137,8 +137,11 @@ def blended(weights: dict[str, float], renormalize: bool = False) -> str:
     A missing signal counts as zero. With ``renormalize`` its weight goes to the signals
     that the pair does have.
     """
-    share = normalised(weights)
-    total = " + ".join(f"{share[s]!r}D * coalesce({s}_similarity, 0D)" for s in SIGNALS)
+    # Only signals with a weight are named: the others are then never computed.
+    share = {s: w for s, w in normalised(weights).items() if w > 0}
+    if not share:
+        return "0D"
+    total = " + ".join(f"{w!r}D * coalesce({s}_similarity, 0D)" for s, w in share.items())
     if not renormalize:
         return total
     presence = {
@@ -148,7 +151,7 @@ def blended(weights: dict[str, float], renormalize: bool = False) -> str:
         "topic": "book_topics IS NOT NULL",
         "genre": "genre_similarity IS NOT NULL",
     }
-    held = " + ".join(f"if({presence[s]}, {share[s]!r}D, 0D)" for s in SIGNALS)
+    held = " + ".join(f"if({presence[s]}, {w!r}D, 0D)" for s, w in share.items())
     return f"CASE WHEN {held} > 0 THEN ({total}) / ({held}) ELSE 0D END"
 
 
@@ -179,7 +182,7 @@ def candidates(
 
 
 def rank_order(score: str) -> list[Column]:
-    return [sc.settled(F.col(score)).desc(), F.col("book_id").asc()]
+    return [F.expr(sc.settled(score)).desc(), F.col("book_id").asc()]
 
 
 def _needed(with_arc: bool, renormalize: bool) -> tuple[str, ...]:

@@ -37,7 +37,8 @@ def exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-# Values come back exactly as they were: with outer blanks, quotes and line breaks.
+# Values come back with their outer blanks, quotes and line breaks. An empty string comes
+# back as missing: a CSV reader cannot tell them apart.
 CSV_OPTIONS = {
     "header": True,
     "escape": '"',
