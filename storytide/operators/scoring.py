@@ -118,7 +118,8 @@ def score_chunks(
     Chunks without a hit, or without words, are kept with zeros. ``small`` is the result
     of :func:`fit_a_broadcast`, if it is known already.
     """
-    marked = f"explode(concat(array('{MARKER}'), coalesce(words, array()))) AS token"
+    given = f"coalesce(array_remove(words, '{MARKER}'), array())"
+    marked = f"explode(concat(array('{MARKER}'), {given})) AS token"
     small = fit_a_broadcast(emotions, vad) if small is None else small
     return _score(chunks.selectExpr(*CHUNK_KEY, marked), word_scores(emotions, vad), small)
 
