@@ -13,7 +13,7 @@ from storytide.functions import text as tx
 from storytide.functions.genres import genre_tags
 from storytide.operators import chunking, joins, scoring, trajectory
 from storytide.operators import vectors as vec
-from storytide.plans import corpus, evaluate, explore, recommend as rec
+from storytide.plans import adhoc, corpus, evaluate, explore, recommend as rec
 from storytide.schema import (
     AVERAGES,
     BOOKS,
@@ -375,7 +375,7 @@ def _adhoc_books(spark: SparkSession, sf: str) -> DataFrame:
 
 @_rounded
 def adhoc_text_input(spark, sf):
-    rows, _ = corpus.input_trajectory(_adhoc_books(spark, sf), d.lexicons(spark))
+    rows, _ = adhoc.input_trajectory(_adhoc_books(spark, sf), d.lexicons(spark))
     return rows.select("book_id", "title", "author", "num_chunks", *AVERAGES, *RATIOS)
 
 
@@ -383,13 +383,13 @@ def adhoc_text_input(spark, sf):
 def stored_or_fresh_input(spark, sf):
     """Stored trajectories of labelled books are preferred; the others are computed."""
     stored = joins.restrict_to(d.trajectories(spark, sf), _labelled(spark, sf))
-    rows, _ = corpus.input_trajectory(d.books(spark, sf), d.lexicons(spark), stored)
+    rows, _ = adhoc.input_trajectory(d.books(spark, sf), d.lexicons(spark), stored)
     return rows.select("book_id", "num_chunks", *AVERAGES)
 
 
 @_rounded
 def union_query_row(spark, sf):
-    fresh, _ = corpus.input_trajectory(_adhoc_books(spark, sf), d.lexicons(spark))
+    fresh, _ = adhoc.input_trajectory(_adhoc_books(spark, sf), d.lexicons(spark))
     both = trajectory.union_query_row(d.trajectories(spark, sf), fresh.drop("book_embedding", "book_topics"))
     return both.select("book_id", "title", "num_chunks", "avg_joy", F.size("book_topics").alias("topics"))
 
@@ -481,9 +481,8 @@ def recommend_missing_id(spark, sf):
 @_rounded
 def recommend_adhoc(spark, sf):
     item = _adhoc_books(spark, sf).where(F.col("book_id") == "text_file_0")
-    fresh, _ = corpus.input_trajectory(item, d.lexicons(spark))
-    everything = trajectory.union_query_row(d.trajectories(spark, sf), fresh)
-    found = rec.recommend(everything, "text_file_0", with_arc=False)
+    fresh, _ = adhoc.input_trajectory(item, d.lexicons(spark))
+    found = adhoc.recommend_for(d.trajectories(spark, sf), fresh, "text_file_0", with_arc=False)
     return found.select("book_id", "title", "author", "similarity")
 
 
@@ -641,17 +640,9 @@ def _sample_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def term_counts(spark, sf):
-    """Occurrences of each vocabulary term, over all chunks."""
-    chunks = _chunks(spark, sf)
+    """Occurrences of each vocabulary term over all chunks; the vocabulary is the sample's."""
     vocabulary = vec.fit_vocabulary(_sample_chunks(spark, sf), vocab_size=1 << 18)
-    features = vec.topic_features(chunks, vocabulary)
-    from pyspark.ml.functions import vector_to_array
-    from pyspark.ml.stat import Summarizer
-
-    totals = features.agg(vector_to_array(Summarizer.sum(F.col("features"))).alias("totals"))
-    terms = spark.createDataFrame([(i, w) for i, w in enumerate(vocabulary.vocabulary)], "i int, word string")
-    counted = totals.select(F.posexplode("totals").alias("i", "n"))
-    return counted.join(terms, "i").select("word", F.round("n").cast("bigint").alias("n"))
+    return vec.term_counts(_chunks(spark, sf), vocabulary)
 
 
 @query

@@ -9,6 +9,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storytide.workspace import MAX_BROADCAST_ROWS
+
 SEED = 42
 
 
@@ -67,6 +69,18 @@ def topic_features(chunks: DataFrame, vocabulary) -> DataFrame:
     return vocabulary.transform(chunks.select("book_id", "chunk_index", "words"))
 
 
+def term_counts(chunks: DataFrame, vocabulary) -> DataFrame:
+    """``word, n``: how often each term of the vocabulary occurs in all chunks together.
+
+    Words are counted per task before the shuffle. The vocabulary is at most as long as
+    the size it was fitted with, which also bounds the broadcast.
+    """
+    terms = chunks.sparkSession.createDataFrame([(w,) for w in vocabulary.vocabulary], "word string")
+    counted = chunks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("word").alias("n"))
+    known = F.broadcast(terms) if len(vocabulary.vocabulary) <= MAX_BROADCAST_ROWS else terms
+    return terms.join(counted.join(known, "word", "left_semi"), "word", "left").na.fill(0, ["n"])
+
+
 def train_lda(features: DataFrame, num_topics: int = 10, max_iter: int = 50, seed: int = SEED):
     return LDA(
         k=num_topics, maxIter=max_iter, seed=seed, featuresCol="features", topicDistributionCol="topics"

@@ -104,19 +104,3 @@ def _book_vectors(chunks: DataFrame, models: dict) -> tuple[DataFrame | None, Da
         features = vec.topic_features(chunks, models["count_vectorizer"])
         topics = vec.book_topics(vec.chunk_topics(features, models["lda"]))
     return embeddings, topics
-
-
-def input_trajectory(
-    books: DataFrame, lexicons: Lexicons, stored: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Trajectory and chunk scores of ad-hoc books, cut into an adaptive number of chunks.
-
-    A stored trajectory of the same book is preferred; chunk scores are always fresh.
-    """
-    scores = chunk_scores_of(books, lexicons, tx.adaptive_chunks(F.col("text")))
-    fresh = analyze_trajectory(scores)
-    if stored is None:
-        return fresh, scores
-    wanted = restrict_to(conform(stored), books)
-    missing = fresh.join(wanted.select("book_id"), "book_id", "left_anti")
-    return wanted.unionByName(missing), scores

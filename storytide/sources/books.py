@@ -69,6 +69,11 @@ def load_books(
     return files.select(F.regexp_extract("path", id_pattern, 1).alias("book_id"), text.alias("text"))
 
 
+def read_book(spark: SparkSession, books_path: str, book_id: str) -> DataFrame:
+    """``book_id, text`` of one book, line ends folded. A missing file is an error."""
+    return load_books(spark, f"{books_path.rstrip('/')}/{book_id}", fold_newlines=True)
+
+
 def load_and_chunk_books(
     spark: SparkSession,
     books_path: str,

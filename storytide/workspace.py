@@ -36,8 +36,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def within(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; never reads further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows.
+
+    A plain count: every task sends one number, whereas a limit would first gather up to
+    ``max_rows`` rows of every task in one place.
+    """
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

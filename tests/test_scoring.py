@@ -14,7 +14,8 @@ from storytide.operators.trajectory import (
     union_query_row,
 )
 from storytide.schema import CHUNK_SCORES, CHUNKS, EMOTIONS, RATIOS, TRAJECTORY, conform
-from storytide.plans.corpus import input_trajectory, trajectories_of
+from storytide.plans.adhoc import input_trajectory
+from storytide.plans.corpus import trajectories_of
 from helpers import book_row, trajectories
 
 WORDS = ["good", "bad", "storm", "wedding", "isn", "not", "ox", "calm", "the", "positive", "#", "isn't", "good's", "x"]
