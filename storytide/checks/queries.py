@@ -267,7 +267,7 @@ def score_vad(spark, sf):
 def score_chunks(spark, sf):
     lexicons = d.lexicons(spark)
     chunks = chunking.create_chunks(d.books(spark, sf))
-    return scoring.score_chunks(chunks, lexicons.emotions, lexicons.vad, lexicons.small)
+    return scoring.score_chunks(chunks, lexicons.of_words, lexicons.small)
 
 
 @_rounded
@@ -280,7 +280,7 @@ def conversation_arcs(spark, sf):
         F.col("turn").cast("int").alias("chunk_index"),
         F.col("text").alias("chunk_text"),
     )
-    return scoring.score_text(turns, lexicons.emotions, lexicons.vad, small=lexicons.small)
+    return scoring.score_text(turns, lexicons.of_text, lexicons.small)
 
 
 # ---- trajectories ---------------------------------------------------------------

@@ -18,25 +18,26 @@ def chunk_text(books: DataFrame, num_chunks: int | Column = tx.DEFAULT_CHUNKS) -
     A text shorter than ``num_chunks`` gives one piece per character, an empty or null
     one gives none. The count may be a column, so that it can differ from row to row.
     The explode only multiplies row numbers: inside the generated code the text is one
-    reference per book and each piece is cut from it, so the text is not copied.
+    reference per book and each piece is cut from it, so the text is not copied. Where
+    every character is one byte the cut is made in the bytes, without counting characters
+    from the start of the text for each piece.
     """
     count = num_chunks if isinstance(num_chunks, Column) else F.lit(num_chunks)
-    sized = (
-        books.where(F.length("text") > 0)
-        .select(*BOOK_KEY, "text", count.alias("pieces"), F.length("text").alias("chars"))
-        .withColumn("step", F.expr("greatest(1, int(chars div pieces))"))
+    sized = books.where(F.length("text") > 0).select(
+        *BOOK_KEY, "text", count.alias("pieces"), F.length("text").alias("chars")
     )
-    is_last = F.col("chunk_index") == F.col("pieces") - 1
-    start = F.col("chunk_index") * F.col("step")
-    return (
-        sized.withColumn("chunk_index", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-        .where(start < F.col("chars"))
-        .select(
-            *CHUNK_KEY,
-            F.col("text")
-            .substr(start + 1, F.when(is_last, F.col("chars")).otherwise(F.col("step")))
-            .alias("chunk_text"),
-        )
+    numbered = sized.selectExpr(
+        *BOOK_KEY,
+        "text",
+        "pieces",
+        "chars",
+        "greatest(1, int(chars div pieces)) AS step",
+        "if(octet_length(text) = chars, binary(text), null) AS bytes",
+    ).withColumn("chunk_index", F.expr("explode(sequence(0, pieces - 1))"))
+    place = "chunk_index * step + 1, if(chunk_index = pieces - 1, chars, step)"
+    return numbered.where("chunk_index * step < chars").selectExpr(
+        *CHUNK_KEY,
+        f"if(bytes IS NULL, substring(text, {place}), string(substring(bytes, {place}))) AS chunk_text",
     )
 
 

@@ -8,13 +8,9 @@ shrinks a chunk to one row before anything is shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storytide.functions.stopwords import ENGLISH
-from storytide.functions.text import is_word
 from storytide.operators.chunking import normalise
 from storytide.schema import CHUNK_KEY, DIMENSIONS, EMOTIONS
 from storytide.workspace import MAX_BROADCAST_ROWS, within
@@ -78,8 +74,8 @@ def _aggregate(hits: DataFrame) -> DataFrame:
     return hits.groupBy(*CHUNK_KEY).agg(*[F.expr(m) for m in measures])
 
 
-def _score(tokens: DataFrame, lexicon: DataFrame, small: bool) -> DataFrame:
-    if small:
+def _score(tokens: DataFrame, lexicon: DataFrame, small: bool | None) -> DataFrame:
+    if within(lexicon, MAX_BROADCAST_ROWS) if small is None else small:
         hits = tokens.join(F.broadcast(lexicon.withColumnRenamed("word", "token")), "token")
         return _aggregate(hits.withColumn("times", F.lit(1)))
 
@@ -105,41 +101,26 @@ def _score(tokens: DataFrame, lexicon: DataFrame, small: bool) -> DataFrame:
     return _aggregate(hits.na.fill(0, list(EMOTIONS)))
 
 
-def fit_a_broadcast(emotions: DataFrame, vad: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether both lexicons together may be sent to every executor; counts their rows."""
-    return within(emotions.select(F.lit(1)).union(vad.select(F.lit(1))), max_rows)
-
-
-def score_chunks(
-    chunks: DataFrame, emotions: DataFrame, vad: DataFrame, small: bool | None = None
-) -> DataFrame:
+def score_chunks(chunks: DataFrame, lexicon: DataFrame, small: bool | None = None) -> DataFrame:
     """Emotion counts and mean valence/arousal/dominance of each chunk of words.
 
-    Chunks without a hit, or without words, are kept with zeros. ``small`` is the result
-    of :func:`fit_a_broadcast`, if it is known already.
+    ``lexicon`` is a table of :func:`word_scores`. Chunks without a hit, or without words,
+    are kept with zeros. ``small`` tells whether the lexicon may be broadcast, if that has
+    been counted already.
     """
     given = f"coalesce(array_remove(words, '{MARKER}'), array())"
     marked = f"explode(concat(array('{MARKER}'), {given})) AS token"
-    small = fit_a_broadcast(emotions, vad) if small is None else small
-    return _score(chunks.selectExpr(*CHUNK_KEY, marked), word_scores(emotions, vad), small)
+    return _score(chunks.selectExpr(*CHUNK_KEY, marked), lexicon, small)
 
 
-def score_text(
-    chunk_texts: DataFrame,
-    emotions: DataFrame,
-    vad: DataFrame,
-    stop_words: Sequence[str] = ENGLISH,
-    small: bool | None = None,
-) -> DataFrame:
+def score_text(chunk_texts: DataFrame, lexicon: DataFrame, small: bool | None = None) -> DataFrame:
     """``score_chunks(tokenize(...))`` without building the word arrays.
 
-    Stop words and short words are taken out of the lexicon instead of out of each text,
-    which gives the same counts.
+    ``lexicon`` must be without stop words and short words (``only=is_word("word")``),
+    which gives the same counts as taking them out of each text.
     """
     marked = f"explode(split(concat('{MARKER} ', plain), ' ')) AS token"
-    tokens = normalise(chunk_texts).selectExpr(*CHUNK_KEY, marked)
-    small = fit_a_broadcast(emotions, vad) if small is None else small
-    return _score(tokens, word_scores(emotions, vad, only=is_word("word", stop_words)), small)
+    return _score(normalise(chunk_texts).selectExpr(*CHUNK_KEY, marked), lexicon, small)
 
 
 def score_emotions(chunk_scores: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -14,24 +13,49 @@ from storytide.functions import text as tx
 from storytide.functions.stopwords import ENGLISH
 from storytide.operators.chunking import chunk_text, create_chunks
 from storytide.operators.joins import restrict_to, training_sample
-from storytide.operators.scoring import fit_a_broadcast, score_chunks, score_text
+from storytide.operators.scoring import score_chunks, score_text, word_scores
 from storytide.operators.trajectory import analyze_trajectory, attach_vectors
 from storytide.operators import vectors as vec
+from storytide.functions.text import is_word
 from storytide.schema import BOOKS, conform
+from storytide.workspace import MAX_BROADCAST_ROWS, within
 
 
-@dataclass
 class Lexicons:
-    """The word lists that texts are scored with."""
+    """The word lists that texts are scored with.
 
-    emotions: DataFrame
-    vad: DataFrame
-    stop_words: Sequence[str] = ENGLISH
+    Both lists together become one table of words, made and counted once and kept in
+    memory for all scoring that follows. Kept rows also stop the optimizer from copying
+    the conditions on lexicon words to every token of the corpus, which costs more than
+    the lookup that they would save.
+    """
+
+    def __init__(self, emotions: DataFrame, vad: DataFrame, stop_words: Sequence[str] = ENGLISH):
+        self.emotions = emotions
+        self.vad = vad
+        self.stop_words = stop_words
+
+    @cached_property
+    def of_words(self) -> DataFrame:
+        """For chunks of words: every lexicon entry."""
+        return word_scores(self.emotions, self.vad).persist()
+
+    @cached_property
+    def of_text(self) -> DataFrame:
+        """For plain text: without the words that tokenizing would drop."""
+        return word_scores(self.emotions, self.vad, only=is_word("word", self.stop_words)).persist()
 
     @cached_property
     def small(self) -> bool:
-        """Whether they may be broadcast; counted once."""
-        return fit_a_broadcast(self.emotions, self.vad)
+        """Whether the tables may be broadcast."""
+        return within(self.of_words, MAX_BROADCAST_ROWS)
+
+    def release(self) -> None:
+        """Drop the kept tables from memory."""
+        for name in ("of_words", "of_text", "small"):
+            table = self.__dict__.pop(name, None)
+            if isinstance(table, DataFrame):
+                table.unpersist()
 
 
 def trajectories_of(
@@ -45,7 +69,7 @@ def chunk_scores_of(
     books: DataFrame, lexicons: Lexicons, num_chunks: int | Column = tx.DEFAULT_CHUNKS
 ) -> DataFrame:
     pieces = chunk_text(books, num_chunks)
-    return score_text(pieces, lexicons.emotions, lexicons.vad, lexicons.stop_words, lexicons.small)
+    return score_text(pieces, lexicons.of_text, lexicons.small)
 
 
 def fit_models(
@@ -91,7 +115,7 @@ def enriched_trajectories(
     if not models:
         return trajectories_of(books, lexicons, num_chunks)
     chunks = create_chunks(books, num_chunks, lexicons.stop_words)
-    scored = analyze_trajectory(score_chunks(chunks, lexicons.emotions, lexicons.vad, lexicons.small))
+    scored = analyze_trajectory(score_chunks(chunks, lexicons.of_words, lexicons.small))
     return attach_vectors(scored, *_book_vectors(chunks, models))
 
 

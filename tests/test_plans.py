@@ -46,7 +46,7 @@ def check(plan):
 
 def test_scoring_broadcasts_the_lexicon_and_shuffles_scores_only(spark, texts):
     lex = lexicons(spark)
-    plan = plan_of(score_text(chunk_text(texts), lex.emotions, lex.vad))
+    plan = plan_of(score_text(chunk_text(texts), lex.of_text, lex.small))
     check(plan)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(book_id" in line]

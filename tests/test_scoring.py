@@ -4,7 +4,7 @@ import pytest
 
 from helpers import books, lexicons, score_of, words_of
 from storytide.operators.chunking import chunk_text, create_chunks
-from storytide.operators.scoring import fit_a_broadcast, score_chunks, score_text
+from storytide.operators.scoring import score_chunks, score_text
 from storytide.operators.trajectory import (
     analyze_trajectory,
     dedupe_books,
@@ -14,6 +14,7 @@ from storytide.operators.trajectory import (
     union_query_row,
 )
 from storytide.schema import CHUNK_SCORES, CHUNKS, EMOTIONS, RATIOS, TRAJECTORY, conform
+from storytide.plans import corpus as corpus_plan
 from storytide.plans.adhoc import input_trajectory
 from storytide.plans.corpus import trajectories_of
 from helpers import book_row, trajectories
@@ -42,24 +43,28 @@ def test_scores_match_a_second_statement(spark, small):
     frame = books(spark, corpus())
     pieces = chunk_text(frame, 5)
     want = {(r.book_id, r.chunk_index): score_of(words_of(r.chunk_text)) for r in pieces.collect()}
-    scored = score_text(pieces, lex.emotions, lex.vad, small=small)
+    scored = score_text(pieces, lex.of_text, small)
     assert [f.name for f in scored.schema] == CHUNK_SCORES.names
     assert [f.dataType for f in scored.schema] == [f.dataType for f in CHUNK_SCORES]
     close(as_map(scored), want)
-    close(as_map(score_chunks(create_chunks(frame, 5), lex.emotions, lex.vad, small)), want)
+    close(as_map(score_chunks(create_chunks(frame, 5), lex.of_words, small)), want)
 
 
-def test_size_check(spark):
+def test_lexicons_are_counted_and_released(spark, monkeypatch):
     lex = lexicons(spark)
-    assert fit_a_broadcast(lex.emotions, lex.vad, 1000)
-    assert not fit_a_broadcast(lex.emotions, lex.vad, 5)
+    assert lex.small and lex.of_words.is_cached
+    table = lex.of_words
+    lex.release()
+    assert not table.is_cached
+    monkeypatch.setattr(corpus_plan, "MAX_BROADCAST_ROWS", 3)
+    assert not lex.small
 
 
 @pytest.mark.parametrize("small", [True, False])
 def test_chunks_without_words_are_kept(spark, small):
     lex = lexicons(spark)
     rows = [("1", "t", None, 0, []), ("1", "t", None, 1, None), ("1", "t", None, 2, ["ox", "ox", "#"])]
-    got = as_map(score_chunks(spark.createDataFrame(rows, CHUNKS), lex.emotions, lex.vad, small))
+    got = as_map(score_chunks(spark.createDataFrame(rows, CHUNKS), lex.of_words, small))
     assert got[("1", 0)] == got[("1", 1)] == (0,) * 8 + (0.0,) * 3 + (0,)
     # Given words are scored as they are, short ones included.
     assert got[("1", 2)][0] == 2
@@ -69,9 +74,9 @@ def test_chunks_without_words_are_kept(spark, small):
 def test_copies_of_a_book_do_not_inflate_it(spark, small):
     lex = lexicons(spark)
     rows = corpus(6, seed=5)
-    once = score_text(chunk_text(books(spark, rows), 4), lex.emotions, lex.vad, small=small)
+    once = score_text(chunk_text(books(spark, rows), 4), lex.of_text, small)
     # One book makes up most of the rows.
-    many = score_text(chunk_text(books(spark, rows + [rows[0]] * 50), 4), lex.emotions, lex.vad, small=small)
+    many = score_text(chunk_text(books(spark, rows + [rows[0]] * 50), 4), lex.of_text, small)
     close(as_map(many), as_map(once))
 
 
@@ -115,7 +120,7 @@ def test_partitioning_does_not_change_scores(spark):
 
 def test_long_and_collected_arcs_agree(spark):
     lex = lexicons(spark)
-    scores = score_text(chunk_text(books(spark, corpus(8)), 4), lex.emotions, lex.vad)
+    scores = score_text(chunk_text(books(spark, corpus(8)), 4), lex.of_text)
     names = ["book_id", "chunk_index", *[f"{e}_norm" for e in EMOTIONS]]
     one = sorted(map(tuple, trajectory_points(scores).select(names).collect()))
     two = sorted(map(tuple, explode_arcs(analyze_trajectory(scores)).select(names).collect()))
