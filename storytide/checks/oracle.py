@@ -282,10 +282,11 @@ def oracle() -> dict[str, str]:
       {word_ctes_listed("chunks")}
       SELECT book_id, title, author, chunk_index, {MD5_WORDS} FROM split"""
     sql["trajectory_roundtrip"] = f"""WITH {TRAJ} SELECT book_id, num_chunks, {rs(AVERAGES)},
-      length(emotion_trajectory) AS points, coalesce(length(book_embedding), NULL) AS dimensions FROM traj"""
+      length(emotion_trajectory) AS points, coalesce(length(book_embedding), 0) AS dimensions FROM traj"""
     sql["csv_roundtrip"] = f"""WITH {TRAJ}, {joined_pairs(LIKED)}
       SELECT book_id, title, author, {rs(AVERAGES)},
-        list_transform(emotion_trajectory[-1], lambda x: round(x + 1e-10, 6)) AS last_point FROM scored {top("similarity", 10)}"""
+        {r("list_sum(flatten(emotion_trajectory))", "arc_sum")}, {r("emotion_trajectory[-1][9]", "last_trust")}
+        FROM scored {top("similarity", 10)}"""
 
     # text
     sql["strip_markers"] = f"""WITH {BOOKS} SELECT book_id, length(body) AS n_chars, md5(body) AS body_md5
@@ -338,7 +339,7 @@ def oracle() -> dict[str, str]:
     sql["tone_energy"] = f"WITH {TRAJ} SELECT book_id, {tone} AS tone, {energy} AS energy FROM traj"
     sql["dedupe_books"] = f"""WITH {TRAJ} SELECT book_id,
       CASE WHEN book_embedding IS NULL THEN 'Copy of ' || title ELSE title END AS title, num_chunks, {r("avg_joy")},
-      length(book_embedding) AS dimensions FROM traj"""
+      coalesce(length(book_embedding), 0) AS dimensions FROM traj"""
     sql["adhoc_text_input"] = f"""WITH {LEXICONS}, {ADHOC}
       SELECT book_id, title, author, num_chunks, {rs(AVERAGES)}, {rs(RATIOS)} FROM q_plain"""
     fresh = ",".join(
@@ -351,11 +352,13 @@ def oracle() -> dict[str, str]:
       SELECT book_id, num_chunks, {rs(AVERAGES)} FROM traj WHERE book_id IN ({LABELLED})
       UNION ALL SELECT book_id, num_chunks, {rs(AVERAGES)} FROM q_plain WHERE book_id NOT IN ({LABELLED})"""
     sql["union_query_row"] = f"""WITH {TRAJ}, {ADHOC}
-      SELECT book_id, title, num_chunks, {r("avg_joy")}, length(book_topics) AS topics FROM traj
-      UNION ALL SELECT book_id, title, num_chunks, {r("avg_joy")}, NULL FROM q_plain"""
-    six = "list_transform({0}, lambda x: round(x + 1e-10, 6)) AS {0}"
-    sql["attach_vectors"] = f"""WITH {TRAJ} SELECT book_id, num_chunks, {six.format("book_embedding")},
-      {six.format("book_topics")} FROM traj"""
+      SELECT book_id, title, num_chunks, {r("avg_joy")}, coalesce(length(book_topics), 0) AS topics FROM traj
+      UNION ALL SELECT book_id, title, num_chunks, {r("avg_joy")}, 0 FROM q_plain"""
+    sql["attach_vectors"] = f"""WITH {TRAJ}
+      SELECT book_id, num_chunks, unnest(range(length(book_embedding))) AS i,
+        round(unnest(book_embedding) + 1e-10, 6) AS embedding, round(unnest(book_topics) + 1e-10, 6) AS topic
+      FROM traj WHERE book_embedding IS NOT NULL
+      UNION ALL SELECT book_id, num_chunks, -1, NULL, NULL FROM traj WHERE book_embedding IS NULL"""
 
     # similarity
     one = f"WITH {TRAJ}, {pair_cte(LIKED)} SELECT book_id, "
@@ -508,9 +511,9 @@ def oracle() -> dict[str, str]:
       UNION ALL SELECT 'stored_query', count(*) FROM traj WHERE book_id = {LIKED}"""
 
     # vectors and models
-    sql["vector_mean"] = """SELECT label, list(round(m + 1e-10, 6) ORDER BY i) AS mean_vector FROM (
-      SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS m FROM embeddings, range(1, 4097) t(i)
-      WHERE i <= length(embedding) GROUP BY label, i) GROUP BY label"""
+    sql["vector_mean"] = """SELECT label, i - 1 AS i, round(avg(v) + 1e-10, 6) AS mean FROM (
+      SELECT label, unnest(range(1, length(embedding) + 1)) AS i, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings)
+      GROUP BY label, i"""
     sql["topic_rank"] = f"""WITH {TRAJ}, long AS (SELECT book_id, unnest(book_topics) AS weight,
         unnest(range(1, length(book_topics) + 1)) AS topic FROM traj WHERE book_topics IS NOT NULL),
       ranked AS (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY weight DESC, topic) AS rank FROM long)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storytide.checks import data as d
@@ -53,10 +53,14 @@ def _rounded(function: Query) -> Query:
     return query(run)
 
 
-def _md5_of(column: str) -> F.Column:
+def _md5_of(column: str) -> Column:
     return F.md5(F.col(column).cast("binary"))
 
 
+def _length(array: str, name: str) -> Column:
+    return F.expr(f"coalesce(size({array}), 0) AS {name}")
+
+
 # ---- sources and sinks ----------------------------------------------------------
 
 
@@ -184,7 +188,7 @@ def trajectory_roundtrip(spark, sf):
         "num_chunks",
         *AVERAGES,
         F.size("emotion_trajectory").alias("points"),
-        F.size("book_embedding").alias("dimensions"),
+        _length("book_embedding", "dimensions"),
     )
 
 
@@ -196,8 +200,9 @@ def csv_roundtrip(spark, sf):
     path = fresh_path(spark, "export")
     tables.export_csv(rows, path)
     back = tables.import_csv(spark, path, TRAJECTORY)
-    last = F.element_at("emotion_trajectory", -1)
-    return back.select("book_id", "title", "author", *AVERAGES, last.alias("last_point"))
+    flat = "aggregate(flatten(emotion_trajectory), 0D, (a, x) -> a + x) AS arc_sum"
+    last = "element_at(emotion_trajectory, -1)[8] AS last_trust"
+    return back.selectExpr("book_id", "title", "author", *AVERAGES, flat, last)
 
 
 # ---- text -----------------------------------------------------------------------
@@ -357,7 +362,7 @@ def dedupe_books(spark, sf):
         "book_id", F.concat(F.lit("Copy of "), "title").alias("title"), "author", "num_chunks", *AVERAGES, *RATIOS
     )
     once = trajectory.dedupe_books(trajectory.union_query_row(stored, copies))
-    return once.select("book_id", "title", "num_chunks", "avg_joy", F.size("book_embedding").alias("dimensions"))
+    return once.select("book_id", "title", "num_chunks", "avg_joy", _length("book_embedding", "dimensions"))
 
 
 def _adhoc_books(spark: SparkSession, sf: str) -> DataFrame:
@@ -391,13 +396,18 @@ def stored_or_fresh_input(spark, sf):
 def union_query_row(spark, sf):
     fresh, _ = adhoc.input_trajectory(_adhoc_books(spark, sf), d.lexicons(spark))
     both = trajectory.union_query_row(d.trajectories(spark, sf), fresh.drop("book_embedding", "book_topics"))
-    return both.select("book_id", "title", "num_chunks", "avg_joy", F.size("book_topics").alias("topics"))
+    return both.select("book_id", "title", "num_chunks", "avg_joy", _length("book_topics", "topics"))
 
 
 @_rounded
 def attach_vectors(spark, sf):
     rows = d.trajectories(spark, sf)
-    return rows.select("book_id", "num_chunks", "book_embedding", "book_topics")
+    # One row per vector position; books without vectors keep one row without a value.
+    both = F.arrays_zip("book_embedding", "book_topics")
+    long = rows.select("book_id", "num_chunks", F.posexplode_outer(both).alias("i", "v"))
+    return long.selectExpr(
+        "book_id", "num_chunks", "coalesce(i, -1) AS i", "v.book_embedding AS embedding", "v.book_topics AS topic"
+    )
 
 
 # ---- similarity signals ---------------------------------------------------------
@@ -617,7 +627,8 @@ def evaluation_report(spark, sf):
 
 @_rounded
 def vector_mean(spark, sf):
-    return vec.vector_mean(d.table(spark, sf, "embeddings"), "label", "embedding", "mean_vector")
+    means = vec.vector_mean(d.table(spark, sf, "embeddings"), "label", "embedding", "mean_vector")
+    return means.select("label", F.posexplode("mean_vector").alias("i", "mean"))
 
 
 @_rounded
