@@ -244,7 +244,7 @@ def top(score: str, n: int) -> str:
 
 
 CATALOGUE = "book_id, title, author, language, bookshelves, subjects"
-MD5_WORDS = "length(words) AS n_words, md5(array_to_string(words, ' ')) AS words_md5"
+MD5_WORDS = "CAST(length(words) AS INTEGER) AS n_words, md5(array_to_string(words, ' ')) AS words_md5"
 NORMS = [f"{e}_norm" for e in EMOTIONS]
 LABELLED = "SELECT CAST(doc_id AS VARCHAR) FROM labels"
 
@@ -268,9 +268,9 @@ def oracle() -> dict[str, str]:
       FROM books WHERE language = 'en'"""
     sql["lookup_book"] = f"WITH {BOOKS} SELECT book_id, title, author FROM books WHERE book_id = {LIKED}"
     sql["books_join_metadata"] = (
-        f"WITH {BOOKS} SELECT book_id, title, author, length(text) AS n_chars FROM books WHERE language = 'en'"
+        f"WITH {BOOKS} SELECT book_id, title, author, CAST(length(text) AS INTEGER) AS n_chars FROM books WHERE language = 'en'"
     )
-    kept = f"WITH {BOOKS} SELECT book_id, title, length(text) AS n_chars FROM books WHERE book_id"
+    kept = f"WITH {BOOKS} SELECT book_id, title, CAST(length(text) AS INTEGER) AS n_chars FROM books WHERE book_id"
     sql["semi_join_targets"] = f"{kept} IN ({LABELLED})"
     sql["resume_anti_join"] = f"{kept} NOT IN ({LABELLED})"
     sql["training_sample"] = f"""WITH {BOOKS} SELECT book_id FROM books
@@ -282,19 +282,19 @@ def oracle() -> dict[str, str]:
       {word_ctes_listed("chunks")}
       SELECT book_id, title, author, chunk_index, {MD5_WORDS} FROM split"""
     sql["trajectory_roundtrip"] = f"""WITH {TRAJ} SELECT book_id, num_chunks, {rs(AVERAGES)},
-      length(emotion_trajectory) AS points, coalesce(length(book_embedding), 0) AS dimensions FROM traj"""
+      CAST(length(emotion_trajectory) AS INTEGER) AS points, CAST(coalesce(length(book_embedding), 0) AS INTEGER) AS dimensions FROM traj"""
     sql["csv_roundtrip"] = f"""WITH {TRAJ}, {joined_pairs(LIKED)}
       SELECT book_id, title, author, {rs(AVERAGES)},
         {r("list_sum(flatten(emotion_trajectory))", "arc_sum")}, {r("emotion_trajectory[-1][9]", "last_trust")}
         FROM scored {top("similarity", 10)}"""
 
     # text
-    sql["strip_markers"] = f"""WITH {BOOKS} SELECT book_id, length(body) AS n_chars, md5(body) AS body_md5
+    sql["strip_markers"] = f"""WITH {BOOKS} SELECT book_id, CAST(length(body) AS INTEGER) AS n_chars, md5(body) AS body_md5
       FROM (SELECT book_id, regexp_replace(regexp_replace(
         'head *** START OF ' || title || chr(10) || 'ONE ***' || text || '*** END OF' || chr(10) || title || ' *** tail',
         '\\*\\*\\* START.*?\\*\\*\\*', '', 'gs'), '\\*\\*\\* END.*?\\*\\*\\*', '', 'gs') AS body FROM books)"""
     sql["chunk_text"] = f"""WITH {BOOKS}, {chunk_ctes("books")}
-      SELECT book_id, chunk_index, length(chunk_text) AS n_chars, md5(chunk_text) AS chunk_md5 FROM chunks"""
+      SELECT book_id, chunk_index, CAST(length(chunk_text) AS INTEGER) AS n_chars, md5(chunk_text) AS chunk_md5 FROM chunks"""
     sql["tokenize_words"] = f"WITH {words} SELECT book_id, chunk_index, {MD5_WORDS} FROM split"
     sql["adaptive_chunks"] = f"""WITH {BOOKS} SELECT book_id, least({ADAPTIVE}, length(text)) AS chunks,
       length(text) AS n_chars FROM books WHERE length(text) > 0"""
@@ -314,7 +314,7 @@ def oracle() -> dict[str, str]:
     # trajectories
     sql["chunk_normalize"] = f"WITH {TRAJ} SELECT book_id, chunk_index, {emotions}, {rs(NORMS)} FROM normal"
     sql["analyze_trajectory"] = f"""WITH {TRAJ} SELECT book_id, title, author, {rs(AVERAGES)}, num_chunks, {rs(RATIOS)},
-      length(emotion_trajectory) AS points, {r("list_sum(flatten(emotion_trajectory))", "arc_sum")} FROM traj"""
+      CAST(length(emotion_trajectory) AS INTEGER) AS points, {r("list_sum(flatten(emotion_trajectory))", "arc_sum")} FROM traj"""
     points = f"WITH {TRAJ} SELECT book_id, chunk_index, {rs(NORMS)} FROM normal"
     sql["trajectory_points"] = points
     sql["trajectory_points_long"] = points
@@ -339,7 +339,7 @@ def oracle() -> dict[str, str]:
     sql["tone_energy"] = f"WITH {TRAJ} SELECT book_id, {tone} AS tone, {energy} AS energy FROM traj"
     sql["dedupe_books"] = f"""WITH {TRAJ} SELECT book_id,
       CASE WHEN book_embedding IS NULL THEN 'Copy of ' || title ELSE title END AS title, num_chunks, {r("avg_joy")},
-      coalesce(length(book_embedding), 0) AS dimensions FROM traj"""
+      CAST(coalesce(length(book_embedding), 0) AS INTEGER) AS dimensions FROM traj"""
     sql["adhoc_text_input"] = f"""WITH {LEXICONS}, {ADHOC}
       SELECT book_id, title, author, num_chunks, {rs(AVERAGES)}, {rs(RATIOS)} FROM q_plain"""
     fresh = ",".join(
@@ -352,10 +352,10 @@ def oracle() -> dict[str, str]:
       SELECT book_id, num_chunks, {rs(AVERAGES)} FROM traj WHERE book_id IN ({LABELLED})
       UNION ALL SELECT book_id, num_chunks, {rs(AVERAGES)} FROM q_plain WHERE book_id NOT IN ({LABELLED})"""
     sql["union_query_row"] = f"""WITH {TRAJ}, {ADHOC}
-      SELECT book_id, title, num_chunks, {r("avg_joy")}, coalesce(length(book_topics), 0) AS topics FROM traj
+      SELECT book_id, title, num_chunks, {r("avg_joy")}, CAST(coalesce(length(book_topics), 0) AS INTEGER) AS topics FROM traj
       UNION ALL SELECT book_id, title, num_chunks, {r("avg_joy")}, 0 FROM q_plain"""
     sql["attach_vectors"] = f"""WITH {TRAJ}
-      SELECT book_id, num_chunks, unnest(range(length(book_embedding))) AS i,
+      SELECT book_id, num_chunks, CAST(unnest(range(length(book_embedding))) AS INTEGER) AS i,
         round(unnest(book_embedding) + 1e-10, 6) AS embedding, round(unnest(book_topics) + 1e-10, 6) AS topic
       FROM traj WHERE book_embedding IS NOT NULL
       UNION ALL SELECT book_id, num_chunks, -1, NULL, NULL FROM traj WHERE book_embedding IS NULL"""
@@ -504,14 +504,14 @@ def oracle() -> dict[str, str]:
     sql["reciprocity"] = f"WITH {HITS} {mutual}"
     sql["evaluation_report"] = f"""WITH {HITS}, stats AS ({stats}), mutual AS ({mutual}),
       tested AS (SELECT count(DISTINCT query_id) AS t FROM hits)
-      SELECT t AS books_tested, 15 - t AS books_skipped, reciprocity_rate, stats.* FROM tested, mutual, stats"""
+      SELECT CAST(t AS INTEGER) AS books_tested, CAST(15 - t AS INTEGER) AS books_skipped, reciprocity_rate, stats.* FROM tested, mutual, stats"""
     sql["corpus_counts"] = f"""WITH {TRAJ} SELECT 'books' AS what, count(*) AS n FROM traj
       UNION ALL SELECT 'chunks', count(*) FROM scores UNION ALL SELECT 'emotion_pairs', count(*) FROM emo
       UNION ALL SELECT 'vad_terms', count(*) FROM vad UNION ALL SELECT 'catalogue', count(*) FROM books
       UNION ALL SELECT 'stored_query', count(*) FROM traj WHERE book_id = {LIKED}"""
 
     # vectors and models
-    sql["vector_mean"] = """SELECT label, i - 1 AS i, round(avg(v) + 1e-10, 6) AS mean FROM (
+    sql["vector_mean"] = """SELECT label, CAST(i - 1 AS INTEGER) AS i, round(avg(v) + 1e-10, 6) AS mean FROM (
       SELECT label, unnest(range(1, length(embedding) + 1)) AS i, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings)
       GROUP BY label, i"""
     sql["topic_rank"] = f"""WITH {TRAJ}, long AS (SELECT book_id, unnest(book_topics) AS weight,
