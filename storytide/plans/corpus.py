@@ -38,17 +38,22 @@ class Lexicons:
     @cached_property
     def of_words(self) -> DataFrame:
         """For chunks of words: every lexicon entry."""
-        return word_scores(self.emotions, self.vad).persist()
+        return self._kept(word_scores(self.emotions, self.vad))
 
     @cached_property
     def of_text(self) -> DataFrame:
         """For plain text: without the words that tokenizing would drop."""
-        return word_scores(self.emotions, self.vad, only=is_word("word", self.stop_words)).persist()
+        return self._kept(word_scores(self.emotions, self.vad, only=is_word("word", self.stop_words)))
 
     @cached_property
     def small(self) -> bool:
-        """Whether the tables may be broadcast."""
-        return within(self.of_words, MAX_BROADCAST_ROWS)
+        """Whether the tables may be broadcast; they have no more rows than the lists."""
+        rows = self.emotions.select(F.lit(1)).union(self.vad.select(F.lit(1)))
+        return within(rows, MAX_BROADCAST_ROWS)
+
+    def _kept(self, table: DataFrame) -> DataFrame:
+        # Kept tables keep their partitions: a small one needs no more than one.
+        return (table.coalesce(1) if self.small else table).persist()
 
     def release(self) -> None:
         """Drop the kept tables from memory."""
