@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storytide.llm import language_id, packing, token_files
+from storytide.llm import (
+    decontaminate,
+    language_id,
+    packing,
+    quality_classifier,
+    quality_rules,
+    token_files,
+)
 from storytide.llm.runtime import fold, table
 from storytide.workspace import fresh_path
 
@@ -17,6 +24,21 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(rows, dictionaries).drop("text")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.report(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(fold() != 0)
+    trees = quality_classifier.train(quality_classifier.training_rows(docs, labels))
+    return quality_classifier.score(docs.select("doc_id", "text", (fold() == 0).alias("held_out")), trees).drop("text")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(table(spark, sf_dir, "documents"))
 
@@ -29,6 +51,9 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op1_language_id": op1_language_id,
+    "op2_decontamination": op2_decontamination,
+    "op4_quality_rules": op4_quality_rules,
+    "op6_quality_classifier": op6_quality_classifier,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_files": op10_token_files,
 }
