@@ -39,6 +39,7 @@ FLOOR = (0.15, 0.04, 0.25, 0.2, 0.06)  # least standard deviations of the statis
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+GROUP = ["level", "lang", "source"]  # level 1 joins all sources of a language
 _N = len(FLOOR)
 _DIMS = range(_N)
 
@@ -95,25 +96,21 @@ def _repeated_words(words: Column) -> Column:
 def with_counts(docs: DataFrame) -> DataFrame:
     """``docs`` with the struct ``_q``: the five counts and the share of upper-case letters."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    length = lambda drop: F.length(F.translate(text, drop, ""))
+    only = lambda kept: F.length(F.regexp_replace(text, f"[^{kept}]+", "")).cast("long")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^ \t\n\x0B\f\r]"))
-    base = docs.withColumns(
-        {
-            "_words": F.array_remove(F.split(text, r"[ \t\n\x0B\f\r]+"), ""),
-            "_lines": lines,
-            "_chars": F.length(text),
-        }
-    )
+    bare = F.btrim(text, F.lit(SPACES))
+    words = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[ \t\n\x0B\f\r]+"))
+    base = docs.withColumns({"_words": words, "_lines": lines})
     counts = {
         "n_words": F.size("_words").cast("long"),
-        "word_chars": length(SPACES).cast("long"),
-        "n_symbols": (F.col("_chars") - length(SYMBOLS)).cast("long"),
+        "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+        "n_symbols": only(SYMBOLS),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         "n_repeat_words": _repeated_words(F.col("_words")),
         "n_lines": F.size("_lines").cast("long"),
-        "n_upper": (F.col("_chars") - length("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).cast("long"),
+        "n_upper": only("A-Z"),
     }
-    return base.withColumn("_q", F.struct(*[v.alias(k) for k, v in counts.items()])).drop("_words", "_lines", "_chars")
+    return base.withColumn("_q", F.struct(*[v.alias(k) for k, v in counts.items()])).drop("_words", "_lines")
 
 
 def _failed() -> Column:
@@ -145,59 +142,60 @@ def _scaled_distance(prefix: str = "") -> Column:
 def _with_factor(estimates: DataFrame) -> DataFrame:
     """The inverse ``p`` of the Cholesky factor ``l`` of each covariance ``s``, entry by entry."""
     out = estimates
+    for j in _DIMS:
+        rest = {
+            i: F.col(f"s{i}{j}") - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
+            for i in range(j, _N)
+        }
+        top = F.sqrt(F.greatest(rest[j], F.lit(FLOOR[j] ** 2 / 4)))
+        out = out.withColumns({f"l{i}{j}": top if i == j else rest[i] / top for i in rest})
     for i in _DIMS:
-        for j in range(i + 1):
-            rest = F.col(f"s{i}{j}") - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
-            entry = F.sqrt(F.greatest(rest, F.lit(FLOOR[i] ** 2 / 4))) if i == j else rest / F.col(f"l{j}{j}")
-            out = out.withColumn(f"l{i}{j}", entry)
-    for i in _DIMS:
-        for j in range(i + 1):
-            if i == j:
-                entry = 1 / F.col(f"l{i}{i}")
-            else:
-                entry = -sum((F.col(f"l{i}{k}") * F.col(f"p{k}{j}") for k in range(j, i)), F.lit(0.0)) / F.col(f"l{i}{i}")
-            out = out.withColumn(f"p{i}{j}", entry)
+        row = {
+            j: -sum((F.col(f"l{i}{k}") * F.col(f"p{k}{j}") for k in range(j, i)), F.lit(0.0)) / F.col(f"l{i}{i}")
+            for j in range(i)
+        }
+        out = out.withColumns({f"p{i}{j}": v for j, v in row.items()} | {f"p{i}{i}": 1 / F.col(f"l{i}{i}")})
     return out.drop(*[c for c in out.columns if c[0] in "ls" and c[1:].isdigit()])
 
 
-def _first_estimate(rows: DataFrame, keys: list[str]) -> DataFrame:
+def _first_estimate(rows: DataFrame) -> DataFrame:
     """Medians, and the quartile ranges as a diagonal covariance."""
     parts = [F.percentile(F.round(f"x{i}", 2), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"m{i}") for i in _DIMS]
-    found = rows.groupBy(keys).agg(F.count("*").alias("n"), *parts).where(F.col("n") >= LEAST_ROWS)
+    found = rows.groupBy(GROUP).agg(F.count("*").alias("n"), *parts).where(F.col("n") >= LEAST_ROWS)
     columns = {f"c{i}": F.get(f"m{i}", F.lit(1)) for i in _DIMS}
     for i in _DIMS:
         scale = F.greatest((F.get(f"m{i}", F.lit(2)) - F.get(f"m{i}", F.lit(0))) / 1.349, F.lit(FLOOR[i]))
         columns |= {f"s{i}{j}": scale * scale if i == j else F.lit(0.0) for j in range(i + 1)}
     columns["factor"] = F.lit(1.0)
-    return _with_factor(found.select(*keys, *[v.alias(k) for k, v in columns.items()]))
+    return _with_factor(found.select(*GROUP, *[v.alias(k) for k, v in columns.items()]))
 
 
-def estimate(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+def estimate(rows: DataFrame) -> DataFrame:
     """Location ``c``, inverse Cholesky factor ``p`` and scale ``factor`` for each group.
 
     ``rows`` hold distinct vectors ``x0`` to ``x4``. Each step aggregates the rows twice: for
     the distance within which the wanted share lies, and for mean and covariance there.
     ``factor`` makes the median of the squared distances that of normal data where it is larger.
     """
-    now = stored(_first_estimate(rows, keys), f"{name}0")
+    now = stored(_first_estimate(rows), "estimate0")
     for step in range(STEPS + 1):
         known = broadcast_if_small(now)
-        near = rows.join(known, keys).withColumn("d", F.round(F.log1p(_scaled_distance()), 2))
+        near = rows.join(known, GROUP).withColumn("d", F.round(F.log1p(_scaled_distance()), 2))
         if step == STEPS:
-            middle = near.groupBy(keys).agg((F.expm1(F.percentile("d", 0.5)) / MEDIAN_CHI2).alias("m"))
-            now = stored(now.join(middle, keys).withColumn("factor", F.greatest("m", F.lit(1.0))).drop("m"), f"{name}_final")
+            middle = near.groupBy(GROUP).agg((F.expm1(F.percentile("d", 0.5)) / MEDIAN_CHI2).alias("m"))
+            now = stored(now.join(middle, GROUP).withColumn("factor", F.greatest("m", F.lit(1.0))).drop("m"), "estimate")
             break
-        limits = broadcast_if_small(near.groupBy(keys).agg(F.percentile("d", SHARE).alias("limit")))
-        inner = near.join(limits, keys).where(F.col("d") <= F.col("limit"))
+        limits = broadcast_if_small(near.groupBy(GROUP).agg(F.percentile("d", SHARE).alias("limit")))
+        inner = near.join(limits, GROUP).where(F.col("d") <= F.col("limit"))
         means = [F.avg(f"x{i}").alias(f"c{i}") for i in _DIMS]
         cross = [F.avg(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"r{i}{j}") for i in _DIMS for j in range(i + 1)]
-        found = inner.groupBy(keys).agg(*means, *cross)
+        found = inner.groupBy(GROUP).agg(*means, *cross)
         columns = {f"c{i}": F.col(f"c{i}") for i in _DIMS} | {"factor": F.lit(1.0)}
         for i in _DIMS:
             for j in range(i + 1):
                 s = F.col(f"r{i}{j}") - F.col(f"c{i}") * F.col(f"c{j}")
                 columns[f"s{i}{j}"] = F.greatest(s, F.lit(0.0)) + FLOOR[i] ** 2 if i == j else s
-        now = stored(_with_factor(found.select(*keys, *[v.alias(k) for k, v in columns.items()])), f"{name}{step + 1}")
+        now = stored(_with_factor(found.select(*GROUP, *[v.alias(k) for k, v in columns.items()])), f"estimate{step + 1}")
     return now
 
 
@@ -209,14 +207,17 @@ def judge(docs: DataFrame, carry: list[str]) -> DataFrame:
     only the statistics from there.
     """
     counted = stored(_with_vector(with_counts(docs)).select(*carry, "_q", "_x", "_g"), "counted")
-    rows = counted.where(~_failed()).select("_g.*", "_x.*").distinct()
-    rows = stored(rows, "vectors")
-    own = estimate(rows, ["lang", "source"], "source")
-    whole = estimate(rows, ["lang"], "lang")
-    xs = counted.withColumns({f"x{i}": F.col(f"_x.x{i}") for i in _DIMS} | {"_lang": F.col("_g.lang"), "_source": F.col("_g.source")})
-    for kind, found, keys in (("own", own, ["lang", "source"]), ("all", whole, ["lang"])):
-        renamed = found.select(*[F.col(c).alias(f"_{kind}_{c}") for c in found.columns])
-        on = [F.col(f"_{k}") == F.col(f"_{kind}_{k}") for k in keys]
+    vectors = counted.where(~_failed()).select("_g.*", "_x.*")
+    wider = vectors.withColumns({"level": F.lit(1), "source": F.lit("")})
+    rows = vectors.withColumn("level", F.lit(0)).unionByName(wider).distinct()
+    found = estimate(stored(rows, "vectors"))
+    xs = counted.withColumns({f"x{i}": F.col(f"_x.x{i}") for i in _DIMS})
+    for kind, level in (("own", 0), ("all", 1)):
+        mine = found.where(F.col("level") == level).drop("level")
+        renamed = mine.select(*[F.col(c).alias(f"_{kind}_{c}") for c in mine.columns])
+        on = F.col("_g.lang") == F.col(f"_{kind}_lang")
+        if level == 0:
+            on &= F.col("_g.source") == F.col(f"_{kind}_source")
         xs = xs.join(broadcast_if_small(renamed), on, "left")
         xs = xs.withColumn(f"_{kind}", _scaled_distance(f"_{kind}_")).drop(*renamed.columns)
     distance = F.least("_own", "_all")
