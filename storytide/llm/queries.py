@@ -11,6 +11,7 @@ from storytide.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    suffix_dedup,
     token_files,
 )
 from storytide.llm.runtime import fold, table
@@ -39,6 +40,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(docs.select("doc_id", "text", (fold() == 0).alias("held_out")), trees).drop("text")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ REGISTRY = {
     "op2_decontamination": op2_decontamination,
     "op4_quality_rules": op4_quality_rules,
     "op6_quality_classifier": op6_quality_classifier,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_files": op10_token_files,
 }
