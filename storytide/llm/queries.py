@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from storytide.llm import (
     decontaminate,
+    jaccard_join,
     language_id,
     packing,
     quality_classifier,
@@ -29,6 +30,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.report(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_quality_rules": op4_quality_rules,
     "op6_quality_classifier": op6_quality_classifier,
     "op8_suffix_dedup": op8_suffix_dedup,

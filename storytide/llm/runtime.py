@@ -47,3 +47,21 @@ def partitions(spark: SparkSession) -> int:
 def fold(doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo 5; fold 0 is held out. A null id is in fold 1."""
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5)), F.lit(1))
+
+
+def with_key(docs: DataFrame, name: str = "doc") -> DataFrame:
+    """``docs`` with a number for each document that orders them by id.
+
+    The id itself, unless an id is missing or stands for several texts: then the place among
+    the distinct (id, text hash) pairs, nulls last.
+    """
+    text_hash = F.xxhash64("text")
+    pairs = docs.groupBy("doc_id").agg(F.min(text_hash).alias("x"), F.max(text_hash).alias("y"))
+    if pairs.where("doc_id is null or x != y").isEmpty():
+        return docs.withColumn(name, F.col("doc_id").cast("long"))
+    distinct = docs.select(F.col("doc_id").alias("_id"), text_hash.alias("_hash")).distinct()
+    order = [F.col("_id").asc_nulls_last(), F.col("_hash")]
+    ordered = distinct.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
+    numbered = stored(ordered.withColumn(name, F.monotonically_increasing_id()), "doc_order")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text_hash == F.col("_hash"))
+    return docs.join(numbered, same).drop("_id", "_hash")

@@ -20,7 +20,7 @@ count, and no string crosses documents.
 
 Null texts are empty. Repeated rows (same id and text) are one document and get the same
 result each. Rows with one id and different texts are ordered by a hash of the text; a null id
-comes before all others. An empty table gives an empty result; other columns are carried
+comes after all others. An empty table gives an empty result; other columns are carried
 along. Cuts may fall inside a character: :func:`remove_repeats` drops what is left of it.
 """
 
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storytide.llm import textbytes
-from storytide.llm.runtime import partitions, ship, stored
+from storytide.llm.runtime import partitions, ship, stored, with_key
 
 LENGTH = 100
 GRAM = 32
@@ -92,16 +92,6 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return at, hashes[at], first, last, stretch
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """The bytes of numbers, all first bytes before all second ones: high zeros compress."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
-
-
-def _numbers(planes: bytes, kind) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(kind).ravel()
-
-
 def _merged(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, ...]:
     """Overlapping or touching intervals of a document as one."""
     order = np.lexsort((start, doc))
@@ -152,8 +142,8 @@ def _send(parts: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatch:
             ("a", a, np.uint64), ("c", c, np.uint64), ("doc", doc, np.int64),
             ("at", at, np.int32), ("before", before, np.uint8), ("windows", windows, np.uint8),
         ):
-            rows[name].append(_planes(values[k].astype(kind)))
-        settled = b"".join(_planes(v.astype(np.int64)) for v in done) if i == 0 else b""
+            rows[name].append(textbytes.planes(values[k].astype(kind)))
+        settled = b"".join(textbytes.planes(v.astype(np.int64)) for v in done) if i == 0 else b""
         rows["done"].append(settled)
     kinds = [pa.int32(), *[pa.binary()] * 7]
     return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds)], list(rows))
@@ -195,7 +185,7 @@ def _marks(kind, doc, start, stop, a=None, part=None) -> pa.Table:
 def _settle_bucket(rows: pa.Table) -> pa.Table:
     """Kind 0: intervals to remove. Kind 1: stretches whose text is needed."""
     kinds = {"a": np.uint64, "c": np.uint64, "doc": np.int64, "at": np.int32, "before": np.uint8, "windows": np.uint8}
-    columns = {n: np.concatenate([_numbers(x.as_py(), k) for x in rows.column(n)]) for n, k in kinds.items()}
+    columns = {n: np.concatenate([textbytes.numbers(x.as_py(), k) for x in rows.column(n)]) for n, k in kinds.items()}
     a, c, doc, at = (columns[n] for n in ("a", "c", "doc", "at"))
     start = at.astype(np.int64) - columns["before"]
     stop = start + columns["windows"] - 1 + LENGTH
@@ -203,7 +193,7 @@ def _settle_bucket(rows: pa.Table) -> pa.Table:
     for settled in rows.column("done"):
         if len(settled.as_py()):
             three = np.frombuffer(settled.as_py(), np.uint8).reshape(3, -1)
-            out.append(_marks(0, *[_numbers(x.tobytes(), np.int64) for x in three]))
+            out.append(_marks(0, *[textbytes.numbers(x.tobytes(), np.int64) for x in three]))
     order, new = _first_of(a, c, doc, at)
     lead = order[new][np.cumsum(new) - 1]
     late = order[~new & ((doc[order] != doc[lead]) | (at[order] != at[lead]))]
@@ -224,14 +214,6 @@ def _settle_bucket(rows: pa.Table) -> pa.Table:
 # ---------------------------------------------------------------- stretches
 
 
-def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    packer = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
-        texts = (x.as_buffer() for x in batch.column("text").cast(pa.large_binary()))
-        packed = pa.array([packer.compress(x) if x is not None else None for x in texts], pa.binary())
-        yield batch.set_column(batch.schema.get_field_index("text"), "text", packed)
-
-
 def _cut_out(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     """The bytes of the asked stretches, with the shard that they go to."""
     unpack = zstandard.ZstdDecompressor()
@@ -376,22 +358,6 @@ def _merge_runs(rows: pa.Table) -> pa.Table:
 # ---------------------------------------------------------------- jobs
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``doc``, a number that orders them by id.
-
-    The id itself, unless an id is missing or stands for several texts: then the place among
-    the distinct (id, text hash) pairs in their order.
-    """
-    pairs = docs.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("x"), F.max(F.xxhash64("text")).alias("y"))
-    if pairs.where("doc_id is null or x != y").isEmpty():
-        return docs.withColumn("doc", F.col("doc_id").cast("long"))
-    distinct = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash")).distinct()
-    ordered = distinct.repartitionByRange(partitions(docs.sparkSession), "_id", "_hash").sortWithinPartitions("_id", "_hash")
-    numbered = stored(ordered.withColumn("doc", F.monotonically_increasing_id()), "doc_order")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    return docs.join(numbered, same).drop("_id", "_hash")
-
-
 def repeated_spans(keyed: DataFrame) -> DataFrame:
     """``doc, start, stop``: byte intervals to remove, not yet merged between anchors."""
     spark = keyed.sparkSession
@@ -401,7 +367,7 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
     blobs = texts.mapInArrow(lambda x: _find_anchors(x, buckets), BLOB_SCHEMA)
     marks = stored(blobs.groupBy("bucket").applyInArrow(lambda t: _settle_bucket(t), MARK_SCHEMA), "anchors")
     asked = marks.where("kind = 1").groupBy("doc").agg(F.collect_list(F.struct("start", "stop", "a", "part")).alias("asked"))
-    squeezed = texts.mapInArrow(_squeezed, "doc long, text binary").dropDuplicates(["doc"])
+    squeezed = texts.mapInArrow(textbytes.squeezed, "doc long, text binary").dropDuplicates(["doc"])
     wanted = squeezed.join(asked, "doc")
     shape = "shard int, doc long, start int, a long, part int, bytes binary"
     stretches = wanted.mapInArrow(lambda x: _cut_out(x, buckets), shape)
@@ -414,10 +380,10 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
 
 def _with_spans(docs: DataFrame) -> DataFrame:
     """``docs`` with the text squeezed and ``_spans``, the intervals of each document."""
-    keyed = _keyed(docs)
+    keyed = with_key(docs)
     found = repeated_spans(keyed).groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
     schema = ", ".join(f"`{c}` {'binary' if c == 'text' else t}" for c, t in keyed.dtypes)
-    return keyed.mapInArrow(_squeezed, schema).join(found, "doc", "left").drop("doc")
+    return keyed.mapInArrow(textbytes.squeezed, schema).join(found, "doc", "left").drop("doc")
 
 
 def _kept(packed: bytes | None, spans, unpack) -> tuple[int, list[bytes], int]:
