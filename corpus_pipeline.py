@@ -1,19 +1,58 @@
-"""The corpus pipeline: stages that take a table of documents and give one back."""
+"""The corpus pipeline: from raw documents to packed training sequences.
+
+Each stage takes (spark, docs, sf_dir) and gives a table back; the next one reads what it wrote.
+All but the last keep the columns of ``documents``. There is no SQL for the whole:
+robust estimates, similarity components and packing are iterative.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from storytide.llm import decontaminate, jaccard_join, packing, quality_rules, suffix_dedup
 from storytide.llm.runtime import stored, table
 
-STAGES: list = []
+
+def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality_rules.keep_good(docs)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id."""
+    return jaccard_join.keep_first(docs)
+
+
+def remove_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings that an earlier document has, or the same one before."""
+    return suffix_dedup.remove_repeats(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def remove_benchmark_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in which training sequence."""
+    return packing.best_fit(docs)
+
+
+STAGES = [
+    ("quality_rules", keep_good_documents),
+    ("jaccard_join", keep_one_of_each_group),
+    ("suffix_dedup", remove_repeated_strings),
+    ("decontamination", remove_benchmark_documents),
+    ("packing", pack_sequences),
+]
 
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages one after another; each reads what the one before has written."""
+    """All stages one after another on ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -41,8 +41,8 @@ from storytide.llm.runtime import partitions, ship, stored, with_key
 LENGTH = 100
 GRAM = 32
 LETTER = 50
-SPLIT = 4096
-SLICE_ANCHORS = 2_000_000
+SPLIT = 512
+SLICE_ANCHORS = 1_000_000
 BUCKETS = 4  # for each shuffle partition
 
 _PLACES = LENGTH - GRAM + 1

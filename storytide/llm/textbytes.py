@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
