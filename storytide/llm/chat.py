@@ -71,7 +71,9 @@ def paths(messages: DataFrame) -> DataFrame:
         above = found.join(jumps[k], "message_id")
         above = above.select("leaf", F.col("up").alias("message_id"), (F.col("distance") + (1 << k)).alias("distance"))
         found = found.union(above)
-    return found
+    roots = ids.join(jumps[0], "message_id", "left_anti").select("message_id")
+    rooted = found.join(roots, "message_id", "left_semi").select("leaf")
+    return found.join(rooted, "leaf", "left_semi")
 
 
 def chosen_paths(messages: DataFrame, best: int | None = None) -> DataFrame:

@@ -9,6 +9,9 @@ One minus the Jaccard similarity is a metric; two texts link at a distance of ``
    has it. A text lies in the region of each pivot that may be near it, and both texts of a
    link share a region. The pivots of frequent shingles are known to every task (at most
    ``MAX_FREQUENT``), so their texts are never gathered by shingle.
+   The prefix is sent with another seventh of the set (``EXTRA``): a text that links with any
+   other shares a tenth of its shingles there, so texts that share less (a passage that many texts
+   quote) are dropped by counting, before any text is moved.
 2. *Regions.* Inside a region a text whose shingles are too rare there is dropped. The distance
    from the pivot is exact; what is within the radius is linked to it. Then the texts outside are
    pivots in turn, the smallest groups first, for the texts of other groups whose distance from
@@ -47,6 +50,7 @@ FREQUENT = 64  # texts with a shingle from which it counts as frequent
 LOCAL = 4  # of them in one slice of a task, to be noticed there
 MAX_FREQUENT = 1 << 17
 REGION = 1024
+EXTRA = 15  # hundredths of a set sent beside its prefix
 SLICE = 4_000_000  # shingles
 BUCKETS = 4  # for each shuffle partition
 
@@ -144,13 +148,18 @@ def _send_prefixes(batches: Iterator[pa.RecordBatch], hot: np.ndarray, pivots: n
         known = hot[place] == hashes if len(hot) else np.zeros(len(hashes), bool)
         order = np.argsort(owner * 2 + known, kind="stable")
         rank = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        length = np.where(sizes > 0, sizes - (NEED * sizes + OF - 1) // OF + 1, 0)
+        # two prefixes that are longer by m - 1 share m shingles
+        prefix = np.where(sizes > 0, sizes - (NEED * sizes + OF - 1) // OF + 1, 0)
+        length = prefix + np.maximum(EXTRA * sizes // 100 - 1, 0)
+        base = np.zeros(len(owner), bool)
+        base[order] = rank < prefix[owner]
         chosen = order[rank < length[owner]]
         sums = np.zeros(len(doc), np.uint64)
         some = np.flatnonzero(sizes)
         if len(some):
             sums[some] = np.add.reduceat(textbytes.mix(hashes), (np.cumsum(sizes) - sizes)[some])
-        near = chosen[known[chosen]]
+        hits = np.bincount(owner[chosen[known[chosen]]], minlength=len(doc))
+        near = chosen[known[chosen] & base[chosen]]
         pairs = np.unique(np.stack([pivots[place[near]], doc[owner[near]]]), axis=1) if len(near) else np.zeros((2, 0), np.int64)
         chosen = chosen[~known[chosen]]
         bucket = (textbytes.mix(hashes[chosen]) % np.uint64(buckets)).astype(np.int32)
@@ -162,9 +171,9 @@ def _send_prefixes(batches: Iterator[pa.RecordBatch], hot: np.ndarray, pivots: n
             k = chosen[a:b]
             rows[0].append(int(bucket[a]) if len(bucket) else 0)
             rows[1].append(textbytes.planes(hashes[k]))
-            rows[2].append(textbytes.planes(doc[owner[k]]))
+            rows[2].append(textbytes.planes(doc[owner[k]] * 2 + base[k]))
             rows[3].append(b"" if i else b"".join(textbytes.planes(np.ascontiguousarray(p)) for p in pairs))
-            rows[4].append(b"" if i else b"".join(textbytes.planes(x.astype(np.int64)) for x in (doc, sizes, sums.view(np.int64))))
+            rows[4].append(b"" if i else b"".join(textbytes.planes(x.astype(np.int64)) for x in (doc, sizes, sums.view(np.int64), hits)))
         kinds = [pa.int32(), *[pa.binary()] * 4]
         yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds)], ["bucket", "h", "doc", "near", "sizes"])
 
@@ -174,21 +183,27 @@ def _split(raw: bytes, parts: int) -> list[np.ndarray]:
 
 
 def _regions_of_bucket(rows: pa.Table) -> pa.Table:
-    """Kind 0: ``x`` text, ``y`` size of its set, ``sig`` its sum. Kind 1: pivot ``x``, text ``y``."""
+    """Kind 0: text ``x``, size ``y`` and sum ``sig`` of its set. Kind 1: pivot ``x``, text ``y``.
+    Kind 2: text ``x`` and the number ``y`` of its shingles here that another text has."""
     h = np.concatenate([textbytes.numbers(v.as_py(), np.uint64) for v in rows.column("h")])
-    doc = np.concatenate([textbytes.numbers(v.as_py(), np.int64) for v in rows.column("doc")])
-    order = np.lexsort((doc, h))
-    h, doc = h[order], doc[order]
+    code = np.concatenate([textbytes.numbers(v.as_py(), np.int64) for v in rows.column("doc")])
+    order = np.lexsort((code, h))
+    h, doc, base = h[order], code[order] >> 1, (code[order] & 1).astype(bool)
+    new = np.append(True, h[1:] != h[:-1]) if len(h) else np.zeros(0, bool)
+    many = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] > 1 if len(h) else new
+    shared, times = np.unique(doc[many], return_counts=True)
+    h, doc = h[many & base], doc[many & base]
     new = np.append(True, h[1:] != h[:-1]) if len(h) else np.zeros(0, bool)
     pivot = doc[new][np.cumsum(new) - 1]
     pairs = [np.stack([pivot[~new], doc[~new]])]
     pairs += [np.stack(_split(v.as_py(), 2)) for v in rows.column("near") if len(v.as_py())]
     x, y = np.unique(np.concatenate(pairs, axis=1), axis=1)
-    far = x != y
-    sizes = [_split(v.as_py(), 3) for v in rows.column("sizes") if len(v.as_py())]
-    doc, size, sig = (np.concatenate([s[i] for s in sizes]) if sizes else np.zeros(0, np.int64) for i in range(3))
-    kind = np.concatenate([np.zeros(len(doc), np.int32), np.ones(int(far.sum()), np.int32)])
-    columns = [kind, np.concatenate([doc, x[far]]), np.concatenate([size, y[far]]), np.concatenate([sig, np.zeros(int(far.sum()), np.int64)])]
+    x, y = x[x != y], y[x != y]
+    sizes = [_split(v.as_py(), 4) for v in rows.column("sizes") if len(v.as_py())]
+    doc, size, sig, hits = (np.concatenate([s[i] for s in sizes]) if sizes else np.zeros(0, np.int64) for i in range(4))
+    parts = [(0, doc, size, sig), (1, x, y, y), (2, shared, times, times), (2, doc[hits > 0], hits[hits > 0], hits[hits > 0])]
+    kind = np.concatenate([np.full(len(x), k, np.int32) for k, x, _, _ in parts])
+    columns = [kind, *(np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))]
     return pa.table([pa.array(c) for c in columns], names=["kind", "x", "y", "sig"])
 
 
@@ -323,14 +338,21 @@ def links(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     sizes = found.where("kind = 0").select(F.col("x").alias("doc"), F.col("y").alias("size"), "sig").distinct()
     first = sizes.where("size > 0").groupBy("size", "sig").agg(F.min("doc").alias("first"))
     same = stored(sizes.where("size > 0").join(first, ["size", "sig"]).where("doc != first").select("doc", "first"), "equal")
+    # a text must share as many shingles as the smallest text that it may link with has extra
+    shared = found.where("kind = 2").groupBy(F.col("x").alias("doc")).agg(F.sum("y").alias("shared"))
+    need = F.greatest(F.lit(1), F.floor(EXTRA * F.ceil(F.col("size") * NEED / OF) / 100))
+    able = stored(shared.join(sizes, "doc").where(F.col("shared") >= need).select("doc"), "able")
     # texts with equal sets are represented by the first of them
     pairs = found.where("kind = 1").select(F.col("x").alias("pivot"), F.col("y").alias("doc")).distinct()
-    pairs = pairs.join(same.select("doc"), "doc", "left_anti")
+    pairs = pairs.join(able, "doc", "left_semi").join(same.select("doc"), "doc", "left_anti")
     moved = same.select(F.col("doc").alias("pivot"), "first")
     pairs = pairs.join(moved, "pivot", "left").select(F.coalesce("first", "pivot").alias("pivot"), "doc")
     pairs = stored(pairs.where("pivot != doc").distinct(), "pairs")
 
-    counts = pairs.groupBy("pivot").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / REGION).cast("int"))
+    # a region needs two texts that may link; its pivot may be one of them
+    alone = able.select(F.col("doc").alias("pivot"), F.lit(1).alias("able"))
+    counts = pairs.groupBy("pivot").agg(F.count("*").alias("n")).join(alone, "pivot", "left").where("n > 1 or able = 1").drop("able")
+    counts = counts.withColumn("parts", F.ceil(F.col("n") / REGION).cast("int"))
     dealt = pairs.join(counts, "pivot").select("pivot", "doc", "parts", F.pmod(F.xxhash64("doc"), "parts").cast("int").alias("part"))
     own = counts.select("pivot", F.col("pivot").alias("doc"), "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     packed = texts.mapInArrow(textbytes.squeezed, "doc long, text binary").dropDuplicates(["doc"])

@@ -419,6 +419,8 @@ def report(docs: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated strings taken out of ``text``; null texts stay null."""
 
+    names = docs.columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
@@ -427,7 +429,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 parts = _kept(packed.as_py(), spans.values, unpack)[1]
                 whole = "".join(p.decode("utf-8", "ignore") for p in parts)
                 texts.append(None if packed.as_py() is None else whole)
-            columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in docs.columns]
-            yield pa.RecordBatch.from_arrays(columns, docs.columns)
+            columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return _with_spans(docs).mapInArrow(run, docs.schema)
