@@ -519,22 +519,20 @@ def oracle() -> dict[str, str]:
       ranked AS (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY weight DESC, topic) AS rank FROM long)
       SELECT book_id, CAST(rank AS INTEGER) AS rank, CAST(topic AS INTEGER) AS topic, round(weight + 1e-10, 6) AS weight
       FROM ranked WHERE rank <= 5"""
-    sample = f"""{words}, sample AS (SELECT book_id FROM books ORDER BY md5('42:' || book_id), book_id LIMIT 200),
-      sampled AS (SELECT split.* FROM split SEMI JOIN sample USING (book_id))"""
-    vocabulary = """vocabulary AS (SELECT w FROM (SELECT book_id, chunk_index, unnest(list_distinct(words)) AS w FROM sampled)
+    vocabulary = """vocabulary AS (SELECT w FROM (SELECT book_id, chunk_index, unnest(list_distinct(words)) AS w FROM split)
       GROUP BY w HAVING count(*) >= 2)"""
-    sql["term_counts"] = f"""WITH {sample}, {vocabulary}
-      SELECT w AS word, count(t.w) AS n FROM vocabulary LEFT JOIN (SELECT unnest(words) AS w FROM split) t USING (w)
-      GROUP BY w"""
-    known = """known AS (SELECT w FROM (SELECT unnest(words) AS w FROM sampled) GROUP BY w HAVING count(*) >= 5)"""
-    sql["word2vec_fit"] = f"WITH {sample}, {known} SELECT w AS word FROM known"
-    sql["chunk_embeddings"] = f"""WITH {sample}, {known}, l AS (SELECT list(w) AS ws FROM known)
-      SELECT book_id, chunk_index, 16 AS dimensions, NOT list_has_any(words, ws) AS is_zero FROM split, l"""
-    sql["chunk_topics"] = f"""WITH {sample}, {vocabulary}, l AS (SELECT list(w) AS ws FROM vocabulary)
-      SELECT book_id, chunk_index, 10 AS topics, CASE WHEN list_has_any(words, ws) THEN 1e0 ELSE 0e0 END AS total FROM split, l"""
-    sql["lda_fit"] = "SELECT CAST(i AS INTEGER) AS topic, 20 AS terms FROM range(10) t(i)"
-    sql["book_topics"] = f"WITH {BOOKS} SELECT book_id, 10 AS topics FROM books WHERE length(text) > 0"
-    sql["model_reuse"] = f"""WITH {BOOKS} SELECT book_id, least(length(text), 20) AS num_chunks, 16 AS dimensions,
+    counts = f"""WITH {words}, {vocabulary}
+      SELECT w AS word, count(t.w) AS n FROM vocabulary JOIN (SELECT unnest(words) AS w FROM split) t USING (w) GROUP BY w"""
+    sql["term_counts"] = sql["vocabulary_counts"] = counts
+    sql["word2vec_fit"] = f"""WITH {words}
+      SELECT w AS word FROM (SELECT unnest(words) AS w FROM split) GROUP BY w HAVING count(*) >= 5"""
+    sql["chunk_embeddings"] = f"WITH {words} SELECT book_id, chunk_index, 100 AS dimensions, true AS is_mean FROM split"
+    sql["chunk_topics"] = f"WITH {words} SELECT book_id, chunk_index, 10 AS topics, true AS is_mixture FROM split"
+    sql["lda_fit"] = f"""WITH {words}, {vocabulary} SELECT CAST(i AS INTEGER) AS topic, CAST(least(20, n) AS INTEGER) AS terms,
+      true AS are_shares, true AS is_better FROM range(10) t(i), (SELECT count(*) AS n FROM vocabulary)"""
+    sql["book_topics"] = f"WITH {BOOKS} SELECT book_id, 10 AS size, true AS is_mean FROM books WHERE length(text) > 0"
+    sql["book_embeddings"] = f"WITH {BOOKS} SELECT book_id, 100 AS size, true AS is_mean FROM books WHERE length(text) > 0"
+    sql["model_reuse"] = f"""WITH {BOOKS} SELECT book_id, least(length(text), 20) AS num_chunks, 100 AS dimensions,
       10 AS topics FROM books WHERE length(text) > 0"""
     sql["model_roundtrip"] = f"""WITH {BOOKS} SELECT book_id, true AS same_embedding, true AS same_topics
       FROM books WHERE length(text) > 0"""

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storytide.checks import data as d
+from storytide.checks import models
 from storytide.functions import scores as sc
 from storytide.functions import text as tx
 from storytide.functions.genres import genre_tags
@@ -37,6 +38,8 @@ REGISTRY: dict[str, Query] = {}
 LIKED = "7"
 TEST_BOOKS = tuple(str(i) for i in range(15))
 WANTED = {"Joy": 0.7, "sadness": 0.4, "trust": 0.0, "boredom": 0.9}
+# Books that models are fitted on before they are applied to all: the feature of
+# `training_sample`, `model_reuse` and `model_roundtrip`. Other fits see every text.
 SAMPLE_SIZE = 200
 
 
@@ -640,74 +643,73 @@ def _chunks(spark: SparkSession, sf: str) -> DataFrame:
     return chunking.create_chunks(d.books(spark, sf))
 
 
-def _sample_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    """Chunks of the training sample, stored so that iterative fits do not redo the text."""
-    books = d.books(spark, sf)
-    path = fresh_path(spark, "sample_chunks")
-    chosen = joins.restrict_to(books, joins.training_sample(books, SAMPLE_SIZE))
-    chunking.create_chunks(chosen).write.parquet(path)
-    return spark.read.parquet(path)
+@query
+def term_counts(spark, sf):
+    """Occurrences of each vocabulary term over all chunks, counted by grouping."""
+    return vec.term_counts(_chunks(spark, sf), models.full_vocabulary(spark, sf))
 
 
 @query
-def term_counts(spark, sf):
-    """Occurrences of each vocabulary term over all chunks; the vocabulary is the sample's."""
-    vocabulary = vec.fit_vocabulary(_sample_chunks(spark, sf), vocab_size=1 << 18)
-    return vec.term_counts(_chunks(spark, sf), vocabulary)
+def vocabulary_counts(spark, sf):
+    """The same from the count vectors themselves, summed over all chunks."""
+    vocabulary = models.full_vocabulary(spark, sf)
+    counted = vec.topic_features(models.chunks(spark, sf), vocabulary).select(F.col("features").cast("string").alias("f"))
+    # A sparse vector prints as (size,[places],[counts]).
+    lists = F.split(F.regexp_extract("f", r"\[(.*)\],\[(.*)\]", 1), ","), F.split(F.regexp_extract("f", r"\[(.*)\],\[(.*)\]", 2), ",")
+    pairs = counted.select(F.explode(F.arrays_zip(lists[0].alias("i"), lists[1].alias("c"))).alias("p")).where("p.i <> ''")
+    sums = pairs.groupBy(F.col("p.i").cast("int").alias("i")).agg(F.sum(F.col("p.c").cast("double")).cast("bigint").alias("n"))
+    terms = spark.createDataFrame(list(enumerate(vocabulary.vocabulary)), "i int, word string")
+    return terms.join(sums, "i").select("word", "n")
 
 
 @query
 def word2vec_fit(spark, sf):
-    model = vec.train_word2vec(_sample_chunks(spark, sf), vector_size=16, partitions=4)
-    return model.getVectors().select("word")
+    return models.fit_word2vec(spark, sf).getVectors().select("word")
 
 
 @query
 def chunk_embeddings(spark, sf):
-    model = vec.train_word2vec(_sample_chunks(spark, sf), vector_size=16, partitions=4)
-    embedded = vec.chunk_embeddings(_chunks(spark, sf), model)
-    zero = ~F.exists("embedding_vector", lambda x: x != 0)
-    return embedded.select(
-        "book_id", "chunk_index", F.size("embedding_vector").alias("dimensions"), zero.alias("is_zero")
-    )
-
-
-def _topic_models(spark: SparkSession, sf: str):
-    sample = _sample_chunks(spark, sf)
-    vocabulary = vec.fit_vocabulary(sample, vocab_size=1 << 18)
-    return vocabulary, vec.train_lda(vec.topic_features(sample, vocabulary), max_iter=5)
+    words, model = models.chunks(spark, sf), models.word2vec(spark, sf)
+    return models.embedding_facts(words, model, vec.chunk_embeddings(words, model))
 
 
 @query
 def lda_fit(spark, sf):
-    _, model = _topic_models(spark, sf)
+    """Topics of a fit, and whether it explains the texts better than one iteration does."""
+    features = models.features(spark, sf)
+    model, short = vec.train_lda(features), vec.train_lda(features, max_iter=1)
+    better = model.logLikelihood(features) > short.logLikelihood(features)
     described = model.describeTopics(20)
-    return described.select("topic", F.size("termIndices").alias("terms"))
+    weights = F.aggregate("termWeights", F.lit(0.0), lambda a, x: a + x)
+    return described.select(
+        "topic", F.size("termIndices").alias("terms"), ((weights > 0) & (weights <= 1)).alias("are_shares"), F.lit(better).alias("is_better")
+    )
 
 
-@_rounded
+@query
 def chunk_topics(spark, sf):
-    vocabulary, model = _topic_models(spark, sf)
-    mixed = vec.chunk_topics(vec.topic_features(_chunks(spark, sf), vocabulary), model)
-    total = F.aggregate("topic_distribution", F.lit(0.0), lambda a, x: a + x)
-    return mixed.select(
-        "book_id", "chunk_index", F.size("topic_distribution").alias("topics"), total.alias("total")
-    )
+    features = models.features(spark, sf)
+    return models.mixture_facts(features, vec.chunk_topics(features, models.lda(spark, sf)))
 
 
 @query
 def book_topics(spark, sf):
-    vocabulary, model = _topic_models(spark, sf)
-    mixed = vec.chunk_topics(vec.topic_features(_chunks(spark, sf), vocabulary), model)
-    return vec.book_topics(mixed).select("book_id", F.size("book_topics").alias("topics"))
+    mixed = vec.chunk_topics(models.features(spark, sf), models.lda(spark, sf))
+    return models.mean_facts(mixed, "topic_distribution", vec.book_topics(mixed), "book_topics")
+
+
+@query
+def book_embeddings(spark, sf):
+    embedded = vec.chunk_embeddings(models.chunks(spark, sf), models.word2vec(spark, sf))
+    return models.mean_facts(embedded, "embedding_vector", vec.book_embedding(embedded), "book_embedding")
 
 
 @query
 def model_reuse(spark, sf):
     """Models fitted once on the sample, applied to the whole corpus."""
     books = d.books(spark, sf)
-    models = corpus.fit_models(books, SAMPLE_SIZE, vector_size=16, lda_iterations=5, partitions=4)
-    rows = corpus.enriched_trajectories(books, d.lexicons(spark), models)
+    fitted = corpus.fit_models(books, SAMPLE_SIZE, partitions=4)
+    rows = corpus.enriched_trajectories(books, d.lexicons(spark), fitted)
     return rows.select(
         "book_id",
         "num_chunks",
@@ -720,10 +722,10 @@ def model_reuse(spark, sf):
 def model_roundtrip(spark, sf):
     """Saved and reloaded models give the vectors of the original ones."""
     books = d.books(spark, sf)
-    models = corpus.fit_models(books, SAMPLE_SIZE, vector_size=16, lda_iterations=5, partitions=4)
+    fitted = corpus.fit_models(books, SAMPLE_SIZE, partitions=4)
     path = fresh_path(spark, "models")
-    tables.save_models(models, path)
-    before = corpus.enriched_trajectories(books, d.lexicons(spark), models)
+    tables.save_models(fitted, path)
+    before = corpus.enriched_trajectories(books, d.lexicons(spark), fitted)
     after = corpus.enriched_trajectories(books, d.lexicons(spark), tables.load_models(spark, path))
 
     def near(name: str):

@@ -89,10 +89,14 @@ def fit_models(
     skip_topics: bool = False,
     partitions: int = 1,
     seed: int = vec.SEED,
+    stop_words: Sequence[str] = ENGLISH,
 ) -> dict:
-    """Fit the models once, on a shuffled sample of the books."""
+    """Fit the models once, on a shuffled sample of the books.
+
+    ``stop_words`` must be those of the lexicons that the models are used with.
+    """
     chosen = restrict_to(books, training_sample(books, sample_size, seed))
-    chunks = create_chunks(chosen, num_chunks).persist(StorageLevel.MEMORY_AND_DISK)
+    chunks = create_chunks(chosen, num_chunks, stop_words).persist(StorageLevel.MEMORY_AND_DISK)
     models: dict = {}
     try:
         if not skip_embeddings:

@@ -9,7 +9,6 @@ the plan. Only narrow scored rows are shuffled.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,9 +31,6 @@ PRESETS = {
 }
 DEFAULT_PRESET = "balanced"
 
-# Query books compared in one pass. More are handled in several passes.
-QUERIES_PER_PASS = 64
-
 
 def weight_preset(name: str | None = DEFAULT_PRESET) -> dict[str, float]:
     """Weights of a preset; an unknown name gives the balanced one."""
@@ -78,13 +74,9 @@ def pair_signals(
     """Every other book against each query book: one row per pair with its signals.
 
     ``arc='parity'`` compares arcs with their chunk positions included, ``'shape'``
-    compares the emotion shares alone. Queries that are not in the corpus give no rows.
+    compares the emotion shares alone. Queries that are not in the corpus give no rows; an id
+    that is given twice counts once. All queries are compared in one scan.
     """
-    if len(ids) > QUERIES_PER_PASS:
-        blocks = [ids[i : i + QUERIES_PER_PASS] for i in range(0, len(ids), QUERIES_PER_PASS)]
-        parts = [pair_signals(trajectories, block, arc, wanted) for block in blocks]
-        return reduce(DataFrame.unionByName, parts)
-
     corpus = _comparable(trajectories, arc)
     chosen = dedupe_books(trajectories.where(F.col("book_id").isin([str(i) for i in ids])))
     queries = _comparable(chosen, arc).agg(F.collect_list(F.struct(*_QUERY_COLUMNS))).scalar()

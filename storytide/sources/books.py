@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from storytide.functions import text as tx
 from storytide.operators.joins import join_metadata, restrict_to
 from storytide.operators.chunking import create_chunks
 from storytide.schema import BOOKS, METADATA, conform
+from storytide.functions.stopwords import ENGLISH
+from storytide.sources.tables import CSV_OPTIONS
 
 # Column names of the catalogue file, with the names used here.
 CATALOGUE_COLUMNS = {
@@ -24,8 +28,11 @@ ID_IN_PATH = "/([^/]+)$"
 
 
 def load_metadata(spark: SparkSession, path: str, language: str | None = "en") -> DataFrame:
-    """Catalogue CSV with a header, all columns strings, one language or all."""
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    """Catalogue CSV with a header, all columns strings, one language or all.
+
+    A quoted value may hold line breaks.
+    """
+    raw = spark.read.options(**CSV_OPTIONS).csv(path)
     renamed = raw.select(
         *[F.col(f"`{name}`").alias(alias) for name, alias in CATALOGUE_COLUMNS.items() if name in raw.columns]
     )
@@ -83,6 +90,7 @@ def load_and_chunk_books(
     limit: int | None = None,
     ids: DataFrame | None = None,
     id_pattern: str = ID_IN_PATH,
+    stop_words: Sequence[str] = ENGLISH,
 ) -> DataFrame:
     """Files to chunks of words, for the books of the catalogue.
 
@@ -94,7 +102,7 @@ def load_and_chunk_books(
     elif limit:
         metadata = metadata.orderBy("book_id").limit(limit)
     books = join_metadata(load_books(spark, books_path, id_pattern), metadata)
-    return create_chunks(conform(books, BOOKS), num_chunks)
+    return create_chunks(conform(books, BOOKS), num_chunks, stop_words)
 
 
 def load_text_files(spark: SparkSession, path: str) -> DataFrame:

@@ -37,11 +37,13 @@ def load_trajectories(spark: SparkSession, path: str) -> DataFrame:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether anything readable is stored at ``path``, on any file system."""
+    """Whether anything is stored at ``path``, on any file system. Other errors are raised."""
     try:
         spark.read.format("binaryFile").load(path)
         return True
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
 
 

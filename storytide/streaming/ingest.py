@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 from storytide.functions import text as tx
 from storytide.plans.corpus import Lexicons, enriched_trajectories
 from storytide.operators.joins import restrict_to
 from storytide.operators.trajectory import dedupe_books
 from storytide.schema import BOOKS
-from storytide.sources.tables import load_trajectories, save_trajectories
+from storytide.sources.tables import exists, load_trajectories, save_trajectories
 from storytide.workspace import MAX_BROADCAST_ROWS, broadcast_if_small
 
 
@@ -25,10 +24,9 @@ def without_stored(spark: SparkSession, batch: DataFrame, sink: str) -> DataFram
     The sink grows without end and the batch does not: the batch ids go to the sink's
     id column, and what they meet there comes back as a list no longer than the batch.
     """
-    try:
-        stored = load_trajectories(spark, sink)
-    except AnalysisException:
+    if not exists(spark, sink):
         return batch
+    stored = load_trajectories(spark, sink)
     present = restrict_to(stored.select("book_id"), batch, MAX_BROADCAST_ROWS).distinct()
     return batch.join(broadcast_if_small(present), "book_id", "left_anti")
 

@@ -16,17 +16,21 @@ _fallback: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or the checkpoint
+    folder of the context.
 
-    Only where the session has none (a local test run) is a temporary one made.
+    Only a local session that has neither gets a temporary one; elsewhere that is an error.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
+    if not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    app = context.applicationId
     if app not in _fallback:
         _fallback[app] = tempfile.mkdtemp(prefix="storytide-")
-        spark.sparkContext.setCheckpointDir(_fallback[app])
+        context.setCheckpointDir(_fallback[app])
     return _fallback[app]
 
 

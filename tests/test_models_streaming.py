@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import books, lexicons
+from storytide.checks import models as checks
 from storytide.operators import vectors as vec
 from storytide.operators.chunking import create_chunks
 from storytide.plans import corpus
@@ -105,3 +106,29 @@ def test_replayed_batch_adds_only_what_is_missing(spark, tmp_path):
     st.append_batch(books(spark, rows), sink, lex, num_chunks=3)
     st.append_batch(books(spark, rows), sink, lex, num_chunks=3)
     assert as_rows(tables.load_trajectories(spark, sink)) == as_rows(corpus.trajectories_of(books(spark, rows), lex, 3))
+
+
+def test_checks_of_models_fail_on_wrong_vectors(spark):
+    chunks = create_chunks(books(spark, sample(12)), 2).cache()
+    model = vec.train_word2vec(chunks, vector_size=8)
+    embedded = vec.chunk_embeddings(chunks, model)
+    wrong = embedded.withColumn("embedding_vector", F.reverse("embedding_vector"))
+    facts = lambda rows: {r.is_mean for r in checks.embedding_facts(chunks, model, rows).collect()}
+    assert facts(embedded) == {True} and False in facts(wrong)
+
+    features = vec.topic_features(chunks, vec.fit_vocabulary(chunks))
+    mixed = vec.chunk_topics(features, vec.train_lda(features, 3, 5))
+    facts = lambda rows: {r.is_mixture for r in checks.mixture_facts(features, rows).collect()}
+    assert facts(mixed) == {True}
+    assert facts(mixed.withColumn("topic_distribution", F.array(*[F.lit(1 / 3)] * 3))) == {False}
+    assert facts(mixed.withColumn("topic_distribution", F.transform("topic_distribution", lambda x: x / 2))) == {False}
+
+    means = vec.book_topics(mixed)
+    facts = lambda rows: {r.is_mean for r in checks.mean_facts(mixed, "topic_distribution", rows, "book_topics").collect()}
+    assert facts(means) == {True} and False in facts(means.withColumn("book_topics", F.reverse("book_topics")))
+
+
+def test_models_are_fitted_without_the_given_stop_words(spark):
+    frame = books(spark, sample(12))
+    models = corpus.fit_models(frame, 12, num_chunks=2, num_topics=2, lda_iterations=1, skip_embeddings=True, stop_words=["whale"])
+    assert "whale" not in models["count_vectorizer"].vocabulary and "ship" in models["count_vectorizer"].vocabulary

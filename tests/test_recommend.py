@@ -135,12 +135,12 @@ def test_many_copies_of_one_book(spark):
     assert single == [i for _, i in brute_force(rows, "2", rec.weight_preset(), 5, genres=False)]
 
 
-def test_batch_equals_single_queries_in_several_passes(spark, monkeypatch):
-    monkeypatch.setattr(rec, "QUERIES_PER_PASS", 3)
+@pytest.mark.parametrize("unknown", [1, 70])
+def test_batch_equals_single_queries_whatever_the_number_of_ids(spark, unknown):
     rows = sample()
-    ids = [str(i) for i in range(8)] + ["nobody"]
+    ids = ["0", "7", *[str(i) for i in range(8)], *[f"unknown {i}" for i in range(unknown)], "7", "nobody"]
     got = rec.recommend_batch(trajectories(spark, rows), ids, 4, metadata=metadata(spark), unique=True).collect()
-    for query in ids[:-1]:
+    for query in [str(i) for i in range(8)]:
         hits = sorted((r for r in got if r.query_id == query), key=lambda r: r["rank"])
         want = brute_force(rows, query, rec.weight_preset(), 4)
         assert [r.book_id for r in hits] == [i for _, i in want]

@@ -30,6 +30,8 @@ CATALOGUE = '''Etext Number,Title,Authors,Language,Bookshelves,Subjects,Other
 ,Nameless,Cid,en,,,x
  4,Four,,en,,,x
 5,Cinq,Eve,fr,,,x
+6,"Six
+lines",Fay,en,,,x
 '''
 
 
@@ -38,8 +40,8 @@ def test_metadata(spark, tmp_path):
     path.write_text(CATALOGUE)
     english = src.load_metadata(spark, str(path))
     got = {r.book_id: (r.title, r.author) for r in english.collect()}
-    assert got == {"1": ('A "quoted", title', "Ann"), " 4": ("Four", None)}
-    assert src.load_metadata(spark, str(path), None).count() == 4
+    assert got == {"1": ('A "quoted", title', "Ann"), " 4": ("Four", None), "6": ("Six\nlines", "Fay")}
+    assert src.load_metadata(spark, str(path), None).count() == 5
     assert src.lookup_book(english, "4 ").first().title == "Four"
     assert src.lookup_book(english, "5").count() == 0
 
@@ -65,6 +67,13 @@ def test_books_from_files(spark, tmp_path):
     assert {r.book_id for r in src.load_and_chunk_books(spark, *paths, num_chunks=1, language=None, limit=2).collect()} == {"1"}
 
 
+def test_only_a_missing_path_counts_as_absent(spark, tmp_path):
+    assert not tables.exists(spark, str(tmp_path / "nothing"))
+    assert tables.exists(spark, str(tmp_path))
+    with pytest.raises(Exception, match="nowhere"):
+        tables.exists(spark, "nowhere://host/path")
+
+
 def test_text_files(spark, tmp_path):
     (tmp_path / "my_own_story.txt").write_bytes(b"one\r\ntwo")
     row = src.load_text_files(spark, str(tmp_path)).first()

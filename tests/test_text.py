@@ -86,6 +86,13 @@ def test_decoding_drops_invalid_bytes(spark):
     assert frame.select(tx.fold_newlines(F.col("t")).alias("t")).first().t == "a\nb\nc\n"
 
 
+def test_decoding_keeps_replacement_characters_of_the_text(spark):
+    own = "a\ufffdb".encode()
+    rows = [(own,), (own + b"\xff!",), (b"\xe2\x82" + own,), (None,)]
+    got = [r.t for r in spark.createDataFrame(rows, "content binary").select(tx.decode_utf8(F.col("content")).alias("t")).collect()]
+    assert got == ["a\ufffdb", "a\ufffdb!", "a\ufffdb", None]
+
+
 def test_genre_tags(spark):
     cases = [
         (None, None, []),
