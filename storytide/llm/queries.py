@@ -85,4 +85,45 @@ REGISTRY = {
     "op10_token_files": op10_token_files,
 }
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACES = r"[\x20\x09-\x0D]+"
+
+
+def _words(separators: str) -> str:
+    return f"list_filter(string_split_regex({_LOWER}, '{separators}'), lambda x: x <> '')"
+
+
+_CLEAN = _words(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+ORACLE: dict[str, str] = {
+    "op2_decontamination": f"""WITH d AS (SELECT doc_id, {_CLEAN} AS w FROM documents),
+      b AS (SELECT item_id, {_CLEAN} AS w FROM benchmark),
+      starts AS (SELECT item_id, w, least(10, len(w)) AS k, unnest(range(len(w) - least(10, len(w)) + 1)) AS s FROM b WHERE len(w) > 0),
+      windows AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, k, array_to_string(w[s + 1:s + k], ' ') AS win FROM starts),
+      places AS (SELECT doc_id, w, k, unnest(range(len(w) - k + 1)) AS s FROM d, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k),
+      found AS (SELECT doc_id, s, p.k, item FROM places p JOIN windows x ON p.k = x.k AND array_to_string(p.w[s + 1:s + p.k], ' ') = x.win),
+      hit AS (SELECT doc_id, count(DISTINCT i) AS n FROM (SELECT doc_id, unnest(range(s, s + k)) AS i FROM found) GROUP BY doc_id),
+      names AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+      SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(names.n, 0) AS n_items,
+        sha256(coalesce(listed, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+      FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN names USING (doc_id)""",
+    "op3_jaccard_join": f"""WITH RECURSIVE d AS (SELECT doc_id, {_words(_SPACES)} AS w FROM documents),
+      starts AS (SELECT doc_id, w, unnest(range(greatest(len(w) - 5, 0) + 1)) AS s FROM d WHERE len(w) > 0),
+      sets AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[s + 1:s + 5], ' ') AS g FROM starts),
+      sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+      common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sets x JOIN sets y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+      links AS MATERIALIZED (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+      sides AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+      reach AS (SELECT DISTINCT a AS x, a AS y FROM sides UNION SELECT x, b FROM reach JOIN sides ON y = a),
+      least AS (SELECT x, min(y) AS m FROM reach GROUP BY x)
+      SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(m, doc_id) AS component_id
+      FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON x = doc_id""",
+    "op7_chat_formatting": r"""WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+      sized AS (SELECT *, length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\\\1|', 'g'))
+        + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + length('<|im_start|><|im_end|>') + 2 AS n FROM turns),
+      joined AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole,
+        coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '') AS learnt, sum(n) AS n FROM sized GROUP BY conv_id)
+      SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(learnt) AS loss_chars, sha256(learnt) AS loss_sha256,
+        CAST(n AS BIGINT) AS formatted_chars FROM joined""",
+}
