@@ -17,7 +17,7 @@ One minus the Jaccard similarity is a metric; two texts link at a distance of ``
    pivots in turn, the smallest groups first, for the texts of other groups whose distance from
    the first pivot differs by the radius at most (the triangle inequality), until one group
    is left. No pair is sent anywhere: a region gives the links that join its groups.
-3. *Large regions* (above ``REGION``) are dealt in parts: first the distances from the pivot, then
+3. *Large regions* (above ``REGION`` texts or ``REGION_SHINGLES``) are dealt in parts: first the distances from the pivot, then
    rings of that distance. A text outside the radius joins the blocks of its own ring and the
    two beside it; texts within the radius count as one group there.
 
@@ -47,11 +47,12 @@ WORDS = 5
 NEED, OF = 3, 4  # similarity of at least 3/4
 RADIUS = 1 - NEED / OF
 FREQUENT = 64  # texts with a shingle from which it counts as frequent
-LOCAL = 4  # of them in one slice of a task, to be noticed there
+LOCAL = 3  # of them in one slice of a task, to be noticed there
 MAX_FREQUENT = 1 << 17
-REGION = 1024
+REGION = 1024  # texts, and
+REGION_SHINGLES = 500_000  # shingles that a task holds of a region
 EXTRA = 15  # hundredths of a set sent beside its prefix
-SLICE = 4_000_000  # shingles
+SLICE = 1_000_000  # shingles
 BUCKETS = 4  # for each shuffle partition
 
 _HASH = np.uint64(16)  # bits of the row of a chunk; the other 48 are the shingle's
@@ -351,8 +352,9 @@ def links(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     # a region needs two texts that may link; its pivot may be one of them
     alone = able.select(F.col("doc").alias("pivot"), F.lit(1).alias("able"))
-    counts = pairs.groupBy("pivot").agg(F.count("*").alias("n")).join(alone, "pivot", "left").where("n > 1 or able = 1").drop("able")
-    counts = counts.withColumn("parts", F.ceil(F.col("n") / REGION).cast("int"))
+    volume = pairs.join(sizes.select("doc", "size"), "doc").groupBy("pivot").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"))
+    counts = volume.join(alone, "pivot", "left").where("n > 1 or able = 1")
+    counts = counts.select("pivot", F.ceil(F.greatest(F.col("n") / REGION, F.col("shingles") / REGION_SHINGLES)).cast("int").alias("parts"))
     dealt = pairs.join(counts, "pivot").select("pivot", "doc", "parts", F.pmod(F.xxhash64("doc"), "parts").cast("int").alias("part"))
     own = counts.select("pivot", F.col("pivot").alias("doc"), "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     packed = texts.mapInArrow(textbytes.squeezed, "doc long, text binary").dropDuplicates(["doc"])
@@ -365,12 +367,14 @@ def links(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     outside = rings.where(F.col("d") > RADIUS + 1e-12)
     if not outside.isEmpty():
-        blocks = rings.groupBy("pivot", "ring").agg(F.ceil(F.count("*") / REGION).cast("int").alias("blocks"))
+        tasks = F.ceil(F.greatest(F.count("*") / REGION, F.sum("size") / REGION_SHINGLES)).cast("int")
+        volume = sizes.select("doc", "size")
+        blocks = rings.join(volume, "doc").groupBy("pivot", "ring").agg(tasks.alias("blocks"))
         hosts = rings.join(blocks, ["pivot", "ring"]).withColumn("block", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
         reach = outside.withColumn("ring", F.explode(F.array(*[F.col("ring") + i for i in (-1, 0, 1)])))
         guests = reach.join(blocks, ["pivot", "ring"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         # guests come in blocks as well, so that no task holds more than two blocks
-        turns = outside.groupBy("pivot").agg(F.ceil(F.count("*") / REGION).cast("int").alias("turns"))
+        turns = outside.join(volume, "doc").groupBy("pivot").agg(tasks.alias("turns"))
         guests = guests.join(turns, "pivot").withColumn("turn", F.pmod(F.xxhash64("doc", F.lit(1)), "turns").cast("int"))
         hosts = hosts.join(turns, "pivot").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)))
         keys = ["pivot", "ring", "block", "turn", "doc", "d"]
