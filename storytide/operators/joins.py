@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storytide.workspace import MAX_BROADCAST_ROWS, broadcast_if_small
+from storytide.workspace import MAX_BROADCAST_ROWS, broadcast_if_small, within
 
 # Titles and author names are wider than ids, so fewer rows may be broadcast.
 MAX_METADATA_ROWS = MAX_BROADCAST_ROWS // 4
+# Size of a set of ids that is sent as a bitmap: 32 MB.
+FILTER_BITS = 1 << 28
 
 
 def join_metadata(books: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -23,19 +25,55 @@ def join_metadata(books: DataFrame, metadata: DataFrame) -> DataFrame:
     )
 
 
+def _bitmap(ids: DataFrame) -> DataFrame:
+    """A set of ids as ``bucket, bits``: one hash, ``FILTER_BITS`` bits in rows of 4 KB.
+
+    Its size has a fixed bound, so it may always be broadcast. An id of the set is always
+    found; one outside of it is found with a chance that grows with the set.
+    """
+    place = F.pmod(F.xxhash64("book_id"), F.lit(FILTER_BITS))
+    placed = ids.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
+    return placed.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def _with_hint(books: DataFrame, ids: DataFrame) -> DataFrame:
+    """``books`` with ``_maybe``: false only if the id is not in ``ids``. Texts stay in place."""
+    place = F.pmod(F.xxhash64("book_id"), F.lit(FILTER_BITS))
+    bit = F.bitmap_bit_position(place)
+    marked = books.withColumns({"bucket": F.bitmap_bucket_number(place), "_bit": bit})
+    joined = marked.join(F.broadcast(_bitmap(ids)), "bucket", "left")
+    byte = F.conv(F.hex(F.expr("substring(bits, int(_bit div 8) + 1, 1)")), 16, 10).cast("int")
+    hint = F.expr("shiftleft(1, int(_bit % 8))").bitwiseAND(byte) != 0
+    return joined.withColumn("_maybe", F.coalesce(hint, F.lit(False))).drop("bucket", "_bit", "bits")
+
+
 def restrict_to(books: DataFrame, ids: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Books whose id occurs in ``ids``."""
-    return books.join(broadcast_if_small(ids.select("book_id"), max_rows), "book_id", "left_semi")
+    """Books whose id occurs in ``ids``.
+
+    A list too long to be broadcast is sent as a bitmap. Books that the bitmap lets through
+    by mistake are found on the ids alone and taken out by their list.
+    """
+    ids = ids.select("book_id").where("book_id IS NOT NULL")
+    if within(ids, max_rows):
+        return books.join(F.broadcast(ids), "book_id", "left_semi")
+    passed = _with_hint(books, ids).where("_maybe").drop("_maybe")
+    wrong = passed.select("book_id").join(ids, "book_id", "left_anti").distinct()
+    return passed.join(broadcast_if_small(wrong), "book_id", "left_anti")
 
 
 def pending_books(books: DataFrame, done: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Books that have no output yet.
+    """Books that have no output yet; a book without an id has none.
 
-    Which ids are pending is settled on the id columns alone; the texts are then
-    filtered by that list, broadcast if it is short.
+    A long list of done ids is sent as a bitmap: most pending books pass it at once. Those
+    that it holds back by mistake are found on the ids alone and let through by their list.
     """
-    pending = books.select("book_id").join(done.select("book_id"), "book_id", "left_anti")
-    return restrict_to(books, pending, max_rows)
+    done = done.select("book_id").where("book_id IS NOT NULL")
+    if within(done, max_rows):
+        return books.join(F.broadcast(done), "book_id", "left_anti")
+    hinted = _with_hint(books, done)
+    held = hinted.where("_maybe").select("book_id").join(done, "book_id", "left_anti").distinct()
+    free = broadcast_if_small(held.withColumn("_free", F.lit(True)))
+    return hinted.join(free, "book_id", "left").where("NOT _maybe OR _free").drop("_maybe", "_free")
 
 
 def training_order(book_id: str = "book_id", seed: int = 42):
