@@ -12,11 +12,18 @@ from pyspark.sql import functions as F
 
 from storytide.workspace import fresh_path
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once for each application."""
+    """Send this package to the Python workers, once for each application.
+
+    Also bounds the batches that go to them by size, as a batch of long texts may be large.
+    """
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

@@ -10,6 +10,7 @@ hash of any substring comes from one running sum; they are finished by a bijecti
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -18,6 +19,19 @@ import pyarrow as pa
 import zstandard
 
 CHUNK_BYTES = 2 << 20
+
+
+def _give_memory_back() -> None:
+    """Let large arrays go back to the system when they are freed: a Python worker lives for many
+    tasks beside the executor's heap."""
+    try:
+        ctypes.CDLL(None).mallopt(-3, 1 << 22)  # M_MMAP_THRESHOLD
+    except (AttributeError, OSError):  # another C library
+        return
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
+_give_memory_back()
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
