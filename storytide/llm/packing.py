@@ -8,9 +8,12 @@ left open often, so sequences tend to be filled to the end. Large pieces go firs
 first; the small ones follow in a random order, as the rule fills best from a mixture.
 
 Pieces are dealt to groups by a hash and each group is packed in a task of its own. What a
-group leaves in sequences that are not almost full is packed again together with the
-leftovers of the other groups, in fewer groups each time, until one group is left, for which
-a few orders are tried. A group holds about ``GROUP_PIECES`` lengths, never a text.
+group leaves in sequences that are not almost full is dealt anew and packed again with the
+leftovers of the other groups, in as many groups as they need, until they fit one group, for
+which a few orders are tried. A group holds about ``GROUP_PIECES`` lengths in every round, never
+a text. If a round leaves more than ``WORTH_ANOTHER`` of what it was given (say all documents
+are longer than half a sequence), its sequences stay as they are: other deals of as many
+pieces would fill them no better.
 
 Null texts are empty documents: they have the end id only. Rows that share an id are
 documents of their own (ties are told apart by ``row``, which counts them). An empty table
@@ -36,6 +39,7 @@ SEQUENCE = 2048
 GROUP_PIECES = 16_384
 FULL_ENOUGH = 2  # tokens of gap that are not worth another round
 SMALL_SHARE = 8  # pieces of up to this part of a sequence are small
+WORTH_ANOTHER = 0.75  # share of the pieces that a round may leave for another one to follow
 ATTEMPTS = 8  # orders tried for the last group
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length int, ids_crc32 long, ordinal long"
@@ -131,7 +135,9 @@ def pack(parts: DataFrame, size: int = SEQUENCE, group_pieces: int = GROUP_PIECE
     """``parts`` (from :func:`pieces`, stored) with ``sequence_id`` and ``offset``.
 
     Each round packs every group and keeps the sequences that are full enough; the pieces
-    of the rest enter the next round, in half as many groups at most.
+    of the rest enter the next round, dealt by another hash to groups of the same size. The last
+    round is one group of at most ``group_pieces`` or ``GROUP_PIECES`` pieces, or the
+    first one that leaves too many.
     """
     key = F.xxhash64("doc_id", "piece", "ordinal")
     full = F.col("length") == size
@@ -139,22 +145,25 @@ def pack(parts: DataFrame, size: int = SEQUENCE, group_pieces: int = GROUP_PIECE
     columns = [*parts.columns, "offset", "sequence_id"]
     done = [parts.where(full).withColumns({"offset": one, "sequence_id": F.struct(F.lit(-1).alias("round"), key.alias("group"), one.alias("bin"))})]
     rest = parts.where(~full)
-    groups = max(1, -(-rest.count() // group_pieces))
+    left = rest.count()
     schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in parts.schema)}, grp long, bin long, offset long, gap long"
     number = 0
+    groups = max(1, -(-left // group_pieces))
     while True:
-        grouped = rest.withColumn("grp", F.pmod(key, F.lit(groups)))
+        deal = F.xxhash64("doc_id", "piece", "ordinal", F.lit(number))
+        grouped = rest.withColumn("grp", F.pmod(deal, F.lit(groups)))
         attempts = ATTEMPTS if groups == 1 else 1
         run = partial(_pack_group, size=size, attempts=attempts, number=number)
         packed = stored(grouped.groupBy("grp").applyInPandas(lambda f: run(f), schema), f"packed{number}")
         named = packed.withColumn("sequence_id", F.struct(F.lit(number).alias("round"), F.col("grp").alias("group"), "bin"))
-        if groups == 1:
+        rest = packed.where(F.col("gap") > FULL_ENOUGH).select(parts.columns)
+        given, left = left, 0 if groups == 1 else rest.count()
+        last = left <= max(group_pieces, GROUP_PIECES)
+        if groups == 1 or (not last and left > WORTH_ANOTHER * given):
             done.append(named.select(columns))
             break
         done.append(named.where(F.col("gap") <= FULL_ENOUGH).select(columns))
-        rest = packed.where(F.col("gap") > FULL_ENOUGH).select(parts.columns)
-        left = rest.count()
-        groups = max(1, min(groups // 2, -(-left // group_pieces)))
+        groups = 1 if last else -(-left // group_pieces)
         number += 1
     out = done[0]
     for more in done[1:]:

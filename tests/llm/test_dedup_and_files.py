@@ -207,6 +207,33 @@ def test_packing_places_every_piece(spark, monkeypatch, group):
     assert packing.best_fit(docs.limit(0)).count() == 0
 
 
+def test_packing_groups_stay_bounded(spark, monkeypatch):
+    largest = []
+    store = packing.stored
+
+    def watched(df, name):
+        out = store(df, name)
+        if name.startswith("packed"):
+            largest.append(max(r["count"] for r in out.groupBy("grp").count().collect()))
+        return out
+
+    monkeypatch.setattr(packing, "stored", watched)
+    monkeypatch.setattr(packing, "GROUP_PIECES", 50)
+    r = random.Random(6)
+    long = [r.randint(1025, 2040) for _ in range(1000)]
+    mixed = [r.choice([1500, 1500, r.randint(1, 2040)]) for _ in range(1000)]
+    for lengths in (long, mixed):
+        rows = [(i, 0, 0, n, i, i) for i, n in enumerate(lengths)]
+        parts = store(spark.createDataFrame(rows, packing.PIECE_SCHEMA), "pieces")
+        placed = packing.pack(parts, group_pieces=50).collect()
+        assert sorted(x.doc_id for x in placed) == list(range(1000))
+        filled = {}
+        for x in placed:
+            filled[x.sequence_id] = filled.get(x.sequence_id, 0) + x.length
+        assert max(filled.values()) <= packing.SEQUENCE
+    assert max(largest) <= 100
+
+
 def test_sum_of_squares_rule_like_plain():
     r = random.Random(8)
     lengths, size = [r.randint(1, 20) for _ in range(300)], 20
