@@ -124,10 +124,7 @@ def scan(docs: DataFrame, path: Column, weights: Weights | None = None) -> DataF
     rows = docs.select("doc_id", path.alias("path"), F.lower("text").alias("whole")).where(tells(F.col("whole")))
     lines = F.filter(F.split("whole", "\n"), tells)
     rows = rows.select("doc_id", "path", lines.alias("lines"), "whole")
-    # a text can only be a license file as a whole if it is not much longer than the notices
-    longest = max(len(t) for _, t in TEMPLATES)
-    short = F.when(F.length("whole") <= longest / SIMILAR**2 * 4, F.col("whole"))
-    rows = rows.select("doc_id", "path", F.array_distinct("lines").alias("lines"), F.when(F.size("lines") > 0, short).alias("whole"))
+    rows = rows.select("doc_id", "path", F.array_distinct("lines").alias("lines"), F.when(F.size("lines") > 0, F.col("whole")).alias("whole"))
     tagged = rows.select(
         F.xxhash64("doc_id", "path").alias("_doc"),
         F.explode(

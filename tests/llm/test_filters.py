@@ -126,6 +126,21 @@ def test_licenses(spark):
     assert licenses.scan(docs.limit(0), F.col("path")).count() == 0
 
 
+def test_license_files_of_any_length(spark):
+    r = random.Random(3)
+    words = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(300)]
+    long = "\n".join(" ".join(r.choice(words) for _ in range(12)) for _ in range(400))
+    rows = [("a/LICENSE", long), ("a/code", "nothing here"), ("b/LICENSE", "Released under the MIT License.\n" * 400), ("b/code", "")]
+    docs = spark.createDataFrame([(i, *x) for i, x in enumerate(rows)], "doc_id long, path string, text string")
+    own = collected(licenses.scan(docs, F.col("path"), licenses.Weights([*licenses.TEMPLATES, ("Own-1.0", long)])))
+    assert [(own[i]["license"], own[i]["found"]) for i in range(4)] == [
+        ("Own-1.0", "file"),
+        ("Own-1.0", "inherited"),
+        ("MIT", "file"),
+        ("MIT", "inherited"),
+    ]
+
+
 def test_license_similarity_like_plain(spark, documents):
     weights = licenses.Weights()
     lines = sorted({x for r in documents.collect() for x in r.text.split("\n") if len(x) < 200})[:200] + [t for _, t in licenses.TEMPLATES]
