@@ -126,6 +126,46 @@ def test_licenses(spark):
     assert licenses.scan(docs.limit(0), F.col("path")).count() == 0
 
 
+def test_license_headers_and_files_not_in_the_tables(spark):
+    full = dict(licenses.FULL)
+    code = "\nimport nothing\n" + "def apply(values): return values\n" * 60
+    gnu = """# This file is part of Foo. Foo is free software; you can redistribute it and/or
+# modify it under the terms of the GNU General Public License as published by
+# the Free Software Foundation; either version 3 of the License, or (at your
+# option) any later version.
+#
+# Foo is distributed in the hope that it will be useful, but WITHOUT ANY
+# WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR
+# A PARTICULAR PURPOSE. See the GNU General Public License for more details."""
+    changed = "".join(x for i, x in enumerate(full["GPL-2.0"].splitlines(keepends=True)) if i % 9)
+    cases = [
+        ("// SPDX-License-Identifier: MIT" + code, "MIT", "header"),
+        ("/* Copyright (c) 2020 Foo Inc. SPDX-License-Identifier:Apache-2.0 */" + code, "Apache-2.0", "header"),
+        ("# SPDX-License-Identifier: GPL-3.0-or-later" + code, "GPL-3.0", "header"),
+        ("# SPDX-License-Identifier: Nobody-1.0" + code, None, None),
+        ("Copyright 2020 Foo Inc. All rights reserved." + code, "proprietary", "header"),
+        ("Copyright 2020 Foo Inc." + code, None, None),
+        ("// Copyright 2019 A Person\n" + "\n".join("// " + x for x in full["MIT"].splitlines()[4:]) + code, "MIT", "header"),
+        ("// Copyright 2019 A Person. All rights reserved.\n" + full["BSD-3-Clause"] + code, "BSD-3-Clause", "header"),
+        (gnu + code, "GPL-3.0", "header"),
+        ("Licensed under the GNU General Public License." + code, "GPL", "header"),
+        ("Copyright (c) 2011 A Person\n" + full["MIT"], "MIT", "file"),
+        (changed, "GPL-2.0", "file"),
+        (full["Apache-2.0"], "Apache-2.0", "file"),
+        ("// SPDX-License-Identifier: MIT\nint x;", "MIT", "header"),
+    ]
+    docs = spark.createDataFrame([(i, f"d{i}/x", t) for i, (t, _, _) in enumerate(cases)], "doc_id long, path string, text string")
+    got = collected(licenses.scan(docs, F.col("path")))
+    assert [(got[i]["license"], got[i]["found"]) for i in range(len(cases))] == [(x, y) for _, x, y in cases]
+
+
+def test_license_versions_that_tie_give_the_family(spark):
+    weights = licenses.Weights([("Own-1.0", "own terms one"), ("Own-2.0", "own terms two"), ("Else-1.0", "quite another")])
+    pieces = spark.createDataFrame([(0, ["own", "terms"]), (1, ["own", "terms", "two"])], "k long, terms array<string>")
+    got = {r.k: r.license for r in licenses.similarities(pieces, ["k"], weights).collect()}
+    assert got == {0: "Own", 1: "Own-2.0"}
+
+
 def test_license_files_of_any_length(spark):
     r = random.Random(3)
     words = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(300)]
