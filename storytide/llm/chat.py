@@ -1,20 +1,21 @@
 """Chat formatting: reply trees to conversations with marked turns and a loss mask.
 
-Messages name the message they answer. Self-joins double the reach of each message's pointer until
-all end at a root; going back down the same pointers, every leaf gets its ancestors in as many
-joins. Branches of a tree are ranked by the sum of their scores, and each chosen path becomes
-one conversation in text.
+Messages name the message they answer. Self-joins double the reach of each message's pointer, and
+the sum of scores along it, until all end at a root. Leaves climb these pointers to their root, so
+that the branches of a tree are ranked by the sum of their scores before any path is listed; then
+the chosen leaves get their ancestors in as many joins, and each chosen path becomes one
+conversation in text. Every step is stored, so its plan has one join however long the paths are.
 
 A turn is ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside roles and texts every ``<``, any number of
 backslashes, ``|`` gets one more backslash, so no control string can come from a text, and taking
 it away gives the text back (:func:`read_back`). The loss mask is a list of spans of the formatted
 text, in characters: the texts of the assistant, without marks.
 
-Null roles and texts are empty. A parent that does not exist makes a root. Messages on a cycle, and
+Null roles and texts are empty, null scores 0. A parent that does not exist makes a root. Messages on a cycle, and
 those that answer them, have no root and are in no path. Repeated message ids are not allowed
 in trees; :func:`from_turns` numbers the rows of a conversation by turn, then role and text (nulls
 first), so repeated rows are turns of their own. Null conversations are one conversation. Empty
-tables give no conversations.
+tables give no conversations. Only the named columns are read; others, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storytide.llm.runtime import stored
+from storytide.llm.runtime import partitions, stored
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 ASSISTANT = "assistant"
@@ -48,44 +49,96 @@ def unescape_role(role: Column) -> Column:
     return F.replace(lines, F.lit("\\\\"), F.lit("\\"))
 
 
-def paths(messages: DataFrame) -> DataFrame:
-    """``leaf, message_id, distance``: every leaf with its ancestors, itself at distance 0.
+def _stored_ids(messages: DataFrame) -> DataFrame:
+    """The columns that the joins need, computed once; texts stay where they are."""
+    score = F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score") if "score" in messages.columns else F.lit(0.0).alias("score")
+    tree = F.col("tree_id") if "tree_id" in messages.columns else F.lit(None).cast("long").alias("tree_id")
+    return stored(messages.select("message_id", "parent_id", tree, score), "messages")
+
 
-    Only ids are joined; texts stay where they are.
+def _jumps(ids: DataFrame) -> list[DataFrame]:
+    """For 1, 2, 4, ... steps up: ``message_id``, the ancestor ``up`` and the scores met on the
+    way (``gain``: those after the message, ``up`` included). Each is stored, so a plan has one join.
     """
-    ids = messages.select("message_id", "parent_id")
-    up = ids.join(ids.select(F.col("message_id").alias("up")), F.col("parent_id") == F.col("up"))
-    jumps = [stored(up.select("message_id", "up"), "up0")]
-    limit = max(1, ids.count()).bit_length() + 1
+    above = ids.select(F.col("message_id").alias("up"), F.col("score").alias("gain"))
+    jumps = [stored(ids.join(above, F.col("parent_id") == F.col("up")).select("message_id", "up", "gain"), "up0")]
+    limit = max(1, ids.count()).bit_length()  # messages on a cycle never run out of ancestors
     while len(jumps) <= limit:
         last = jumps[-1]
-        further = last.join(last.select(F.col("message_id").alias("up"), F.col("up").alias("top")), "up")
-        step = stored(further.select("message_id", F.col("top").alias("up")), f"up{len(jumps)}")
+        more = last.select(F.col("message_id").alias("up"), F.col("up").alias("top"), F.col("gain").alias("more"))
+        further = last.join(more, "up").select("message_id", F.col("top").alias("up"), (F.col("gain") + F.col("more")).alias("gain"))
+        step = stored(further, f"up{len(jumps)}")
         if step.isEmpty():
             break
         jumps.append(step)
+    return jumps
+
+
+def _leaves(ids: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """``leaf, tree_id, path_score`` of every leaf below a root: one climb by the longest jumps first."""
     answered = ids.select(F.col("parent_id").alias("message_id")).where("message_id is not null").distinct()
-    found = ids.join(answered, "message_id", "left_anti")
-    found = found.select(F.col("message_id").alias("leaf"), "message_id", F.lit(0).cast("long").alias("distance"))
+    ends = ids.join(answered, "message_id", "left_anti")
+    at = ends.select(F.col("message_id").alias("leaf"), "tree_id", F.col("message_id").alias("at"), F.col("score").alias("path_score"))
+    at = stored(at, "leaves")
+    for k in reversed(range(len(jumps))):
+        step = jumps[k].select(F.col("message_id").alias("at"), "up", "gain")
+        gain = F.coalesce("gain", F.lit(0.0))
+        up = at.join(step, "at", "left")
+        at = stored(up.select("leaf", "tree_id", F.coalesce("up", "at").alias("at"), (F.col("path_score") + gain).alias("path_score")), f"climb{k}")
+    return at.join(jumps[0].select(F.col("message_id").alias("at")), "at", "left_anti").drop("at")
+
+
+def _ranked(leaves: DataFrame) -> DataFrame:
+    """``leaves`` with ``path_rank`` in their tree, by score and then by leaf.
+
+    Leaves are sorted over all tasks, so that a tree with very many of them is shared out; a leaf's
+    rank is its place in its part of the tree behind the leaves of the parts before.
+    """
+    order = [F.col("tree_id").asc_nulls_first(), F.col("path_score").desc(), F.col("leaf")]
+    spread = leaves.repartitionByRange(partitions(leaves.sparkSession), *order)
+    parts = stored(spread.withColumn("part", F.spark_partition_id()), "ranked_leaves")
+    sizes = parts.groupBy("tree_id", "part").agg(F.count("*").alias("size"))
+    before = Window.partitionBy("tree_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(F.col("tree_id").alias("tree"), F.col("part").alias("in_part"), F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+    inside = F.row_number().over(Window.partitionBy("tree_id", "part").orderBy(F.desc("path_score"), "leaf"))
+    placed = parts.withColumn("inside", inside)
+    same = F.col("tree_id").eqNullSafe(F.col("tree")) & (F.col("part") == F.col("in_part"))
+    return placed.join(offsets, same).select("leaf", "tree_id", "path_score", (F.col("offset") + F.col("inside")).alias("path_rank"))
+
+
+def _listed(leaves: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """``leaf, message_id, distance``: each leaf with its ancestors, itself at distance 0.
+
+    With the jumps of 2**k steps every message found so far gets the one 2**k above it; what was
+    found is stored each time, so no plan holds the ones before.
+    """
+    found = stored(leaves.select("leaf", F.col("leaf").alias("message_id"), F.lit(0).cast("long").alias("distance")), "paths")
     for k in reversed(range(len(jumps))):
         above = found.join(jumps[k], "message_id")
         above = above.select("leaf", F.col("up").alias("message_id"), (F.col("distance") + (1 << k)).alias("distance"))
-        found = found.union(above)
-    roots = ids.join(jumps[0], "message_id", "left_anti").select("message_id")
-    rooted = found.join(roots, "message_id", "left_semi").select("leaf")
-    return found.join(rooted, "leaf", "left_semi")
+        found = stored(found.union(above), f"paths{k}")
+    return found
+
+
+def paths(messages: DataFrame) -> DataFrame:
+    """``leaf, message_id, distance`` of all leaves below roots."""
+    ids = _stored_ids(messages)
+    jumps = _jumps(ids)
+    return _listed(_leaves(ids, jumps), jumps)
 
 
 def chosen_paths(messages: DataFrame, best: int | None = None) -> DataFrame:
-    """:func:`paths` with ``tree_id``, ``path_score`` and ``path_rank``, the ``best`` of each tree."""
-    scored = stored(paths(messages), "paths").join(messages.select("message_id", "score"), "message_id")
-    total = scored.groupBy("leaf").agg(F.sum(F.coalesce("score", F.lit(0.0))).alias("path_score"))
-    trees = messages.select(F.col("message_id").alias("leaf"), "tree_id")
-    order = Window.partitionBy("tree_id").orderBy(F.desc("path_score"), "leaf")
-    ranked = total.join(trees, "leaf").withColumn("path_rank", F.row_number().over(order))
+    """:func:`paths` with ``tree_id``, ``path_score`` and ``path_rank``, the ``best`` of each tree.
+
+    Scores are summed and paths ranked before any path is listed.
+    """
+    ids = _stored_ids(messages)
+    jumps = _jumps(ids)
+    ranked = _ranked(_leaves(ids, jumps))
     if best is not None:
         ranked = ranked.where(F.col("path_rank") <= best)
-    return scored.drop("score").join(ranked, "leaf")
+    ranked = stored(ranked, "ranked")
+    return _listed(ranked, jumps).join(ranked, "leaf")
 
 
 def format_paths(messages: DataFrame, best: int | None = None) -> DataFrame:
@@ -132,7 +185,8 @@ def from_turns(turns: DataFrame) -> DataFrame:
     """Conversations (``conv_id, turn, role, text``) as trees that are chains of turns."""
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     placed = turns.select("conv_id", "role", "text", F.row_number().over(order).alias("place"))
-    name = lambda place: F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("null")), place.cast("string"))
+    tree = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("null"))
+    name = lambda place: F.concat_ws(":", tree, place.cast("string"))
     return placed.select(
         F.col("conv_id").alias("tree_id"),
         name(F.col("place")).alias("message_id"),
@@ -145,7 +199,7 @@ def from_turns(turns: DataFrame) -> DataFrame:
 
 def report(turns: DataFrame) -> DataFrame:
     """One row for each conversation with digests of what :func:`read_back` gives."""
-    rows = read_back(format_paths(from_turns(turns)))
+    rows = read_back(format_paths(stored(from_turns(turns), "turns")))
     plain = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
     return rows.select(
         F.col("tree_id").alias("conv_id"),
