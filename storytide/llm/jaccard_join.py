@@ -64,7 +64,7 @@ _ROWS = 1 << 16
 
 def _chunk_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts, ends, first = textbytes.words(data, offsets)
-    words = textbytes.mix(textbytes.spans(textbytes.running(data, textbytes.LOWER_VALUES), starts, ends))
+    words = textbytes.hashed(data, starts, ends, textbytes.LOWER_VALUES)
     n = np.diff(first)
     row = np.arange(len(n), dtype=np.uint64)
     # windows over the whole chunk; those that reach into the next text are dropped

@@ -5,7 +5,10 @@ here work on such buffers in chunks of a few megabytes, so memory does not depen
 batch; a single text above the chunk size is its own chunk. Null texts are empty.
 
 Hashes are polynomials modulo 2**64 over random byte values with an odd base, so that the
-hash of any substring comes from one running sum; they are finished by a bijective mix.
+hash of any substring comes from one running sum; they are finished by a bijective mix. Modulo a
+power of two there are long strings that collide for every base (Thue-Morse words and their
+complements, from about 1,000 letters), so :func:`hashed` adds a polynomial modulo a prime and
+the length. Where equal hashes must mean equal bytes, :func:`same_bytes` compares those.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ def _give_memory_back() -> None:
 _give_memory_back()
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
+_PRIME = np.uint64((1 << 31) - 1)
+_PRIME_BASE = 1_193_046_471
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -107,6 +112,48 @@ def spans(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return (sums[ends] - sums[starts]) * powers(len(sums))[1][starts]
 
 
+def _folded(x: np.ndarray) -> np.ndarray:
+    """Modulo the prime 2**31 - 1, up to one multiple of it."""
+    return (x & _PRIME) + (x >> np.uint64(31))
+
+
+@lru_cache(maxsize=2)
+def _prime_powers(base: int, size: int) -> np.ndarray:
+    out = np.empty(size, np.uint64)
+    out[0] = 1
+    done = 1
+    while done < size:
+        step = min(done, size - done)
+        out[done : done + step] = out[:step] * np.uint64(pow(base, done, int(_PRIME))) % _PRIME
+        done += step
+    return out
+
+
+def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
+    """Hashes of the substrings [start, end) by two polynomials and the length."""
+    size = max(CHUNK_BYTES + 1, len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)  # terms below 2**32: exact up to four billion bytes
+    np.cumsum(_folded((values % _PRIME)[data] * _prime_powers(_PRIME_BASE, size)[: len(data)]), out=sums[1:])
+    back = _prime_powers(pow(_PRIME_BASE, -1, int(_PRIME)), size)
+    second = (sums[ends] - sums[starts]) % _PRIME * back[starts] % _PRIME
+    second = second << np.uint64(33) | (ends - starts).astype(np.uint64)
+    return mix(spans(running(data, values), starts, ends) + mix(second))
+
+
+def same_bytes(a: np.ndarray, a_starts: np.ndarray, b: np.ndarray, b_starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Whether the substrings of ``a`` and ``b`` that begin there and are so long are equal."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(len(a), len(b), total) < 1 << 31 else np.int64  # indices are most of the work
+    begins = (ends - lengths).astype(kind)
+    at = np.arange(total, dtype=kind)
+    other = a[np.repeat(a_starts.astype(kind) - begins, lengths) + at] != b[np.repeat(b_starts.astype(kind) - begins, lengths) + at]
+    wrong = np.flatnonzero(other)
+    out = np.ones(len(lengths), bool)
+    out[np.searchsorted(ends, wrong, side="right")] = False
+    return out
+
+
 def words(
     data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACES, kinds: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -3,9 +3,11 @@
 The tokenizers used here never join text across ASCII white space: it is dropped, or ends
 a piece. Then the ids of a text are the ids of its words, one after another, and each
 distinct word needs to be encoded once. Words end at white space and between letters and
-marks; :class:`WordEncoder` refuses a tokenizer that would not keep to that. Words are found and compared in numpy; new ones are
+marks; :class:`WordEncoder` refuses a tokenizer that would not keep to that. Words are found in
+numpy and looked up by a hash; then their bytes are compared with those of the word that was encoded,
+and a word that merely has the same hash is encoded by itself. New ones are
 encoded by the tokenizers library in one call. A worker keeps the ids of up to
-``CACHED_WORDS`` words between batches and tasks; when there are more, it starts anew.
+``CACHED_WORDS`` words (of ``CACHED_BYTES`` bytes) between batches and tasks; when there are more, it starts anew.
 """
 
 from __future__ import annotations
@@ -18,7 +20,8 @@ import pyarrow as pa
 
 from storytide.llm import textbytes
 
-CACHED_WORDS = 3_000_000  # at about 40 bytes each
+CACHED_WORDS = 3_000_000  # at about 60 bytes each, the word's included
+CACHED_BYTES = 64 << 20
 # An ASCII letter beside one of these marks always is the end of a piece.
 KINDS = np.zeros(256, np.uint8)
 KINDS[[*range(65, 91), *range(97, 123)]] = 1
@@ -58,6 +61,9 @@ class WordEncoder:
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
+        self.bytes = np.zeros(0, np.uint8)
+        self.byte_starts = np.zeros(0, np.int64)
+        self.byte_lengths = np.zeros(0, np.int32)
 
     def _encode_words(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after another, and the number of ids of each."""
@@ -78,38 +84,56 @@ class WordEncoder:
         ids[~at] = np.array([i for x in apart for i in x], np.uint32)
         return ids, lengths
 
-    def _learn(self, keys: np.ndarray, new: list[str]) -> None:
-        if len(self.keys) + len(keys) > CACHED_WORDS:
-            self._clear()
-        ids, lengths = self._encode_words(new)
+    def _learn(self, keys: np.ndarray, new: list[bytes]) -> None:
+        ids, lengths = self._encode_words([word.decode() for word in new])
         starts = len(self.ids) + np.cumsum(lengths) - lengths
+        sizes = np.array([len(word) for word in new], np.int64)
+        byte_starts = len(self.bytes) + np.cumsum(sizes) - sizes
         self.ids = np.concatenate([self.ids, ids])
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(new), np.uint8)])
         order = np.argsort(both := np.concatenate([self.keys, keys]), kind="stable")
         self.keys = both[order]
         self.starts = np.concatenate([self.starts, starts])[order]
         self.lengths = np.concatenate([self.lengths, lengths.astype(np.int32)])[order]
+        self.byte_starts = np.concatenate([self.byte_starts, byte_starts])[order]
+        self.byte_lengths = np.concatenate([self.byte_lengths, sizes.astype(np.int32)])[order]
+
+    def _hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return textbytes.hashed(data, starts, ends)
 
     def _chunk(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts, ends, first = textbytes.words(data, offsets, kinds=KINDS)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        hashes = textbytes.mix(textbytes.spans(textbytes.running(data), starts, ends))
-        distinct, sample, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        distinct, sample, inverse = np.unique(self._hashes(data, starts, ends), return_index=True, return_inverse=True)
         missing = ~self._known(distinct)
         if missing.any():
-            if len(self.keys) + int(missing.sum()) > CACHED_WORDS:
+            size = int((ends - starts)[sample[missing]].sum())
+            if len(self.keys) + int(missing.sum()) > CACHED_WORDS or len(self.bytes) + size > CACHED_BYTES:
                 self._clear()
                 missing[:] = True
             raw = data.tobytes()
-            new = [raw[starts[i] : ends[i]].decode() for i in sample[missing]]
-            self._learn(distinct[missing], new)
-        at = np.searchsorted(self.keys, distinct)
-        lengths = self.lengths[at].astype(np.int64)[inverse]
-        begins = self.starts[at][inverse]
+            self._learn(distinct[missing], [raw[starts[i] : ends[i]] for i in sample[missing]])
+        at = np.searchsorted(self.keys, distinct)[inverse]
+        begins, lengths = self.starts[at], self.lengths[at].astype(np.int64)
+        source, other = self.ids, self._other_words(data, starts, ends, at)
+        if len(other):
+            raw = data.tobytes()
+            ids, lengths[other] = self._encode_words([raw[starts[i] : ends[i]].decode() for i in other])
+            begins[other] = len(source) + np.cumsum(lengths[other]) - lengths[other]
+            source = np.concatenate([source, ids])
         done = np.concatenate(([0], np.cumsum(lengths)))
-        ids = self.ids[np.repeat(begins - done[:-1], lengths) + np.arange(done[-1])]
+        ids = source[np.repeat(begins - done[:-1], lengths) + np.arange(done[-1])]
         return ids, done[first]
 
+    def _other_words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The words whose bytes are not those of the word they were looked up as."""
+        lengths = ends - starts
+        same = lengths == self.byte_lengths[at]
+        some = np.flatnonzero(same)
+        same[some] = textbytes.same_bytes(data, starts[some], self.bytes, self.byte_starts[at[some]], lengths[some])
+        return np.flatnonzero(~same)
+
     def _known(self, keys: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.keys, keys)
         known = at < len(self.keys)

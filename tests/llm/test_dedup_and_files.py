@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+import tempfile
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -273,6 +275,60 @@ def test_reply_trees(spark):
     assert chat.format_paths(messages.limit(0)).count() == 0
 
 
+def test_long_chains_do_not_make_large_plans(spark):
+    rows = [(f"m{i:04}", f"m{i - 1:04}" if i else None, None if i % 7 == 0 else 1.0, "clash", i) for i in range(1000)]
+    rows += [(f"s{i}", "m0400", float(i), "clash", 0) for i in range(6)]
+    messages = spark.createDataFrame(rows, "message_id string, parent_id string, score double, leaf string, distance int")
+    found = chat.chosen_paths(messages.withColumn("tree_id", F.lit(1)), best=3)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 2
+    sizes = {r.leaf: (r.path_rank, r.path_score, r.n) for r in found.groupBy("leaf", "path_rank", "path_score").agg(F.count("*").alias("n")).collect()}
+    to_400 = sum(i % 7 != 0 for i in range(401))
+    assert sizes == {"m0999": (1, float(sum(i % 7 != 0 for i in range(1000))), 1000), "s5": (2, to_400 + 5.0, 402), "s4": (3, to_400 + 4.0, 402)}
+    listed = chat.paths(messages.where("message_id like 's%' or message_id <= 'm0400'")).groupBy("leaf").count().collect()
+    assert {r["leaf"]: r["count"] for r in listed} == {f"s{i}": 402 for i in range(6)}
+
+
+def test_ranks_of_a_tree_with_many_leaves(spark):
+    rows = [("r", None, 0.0, 1)] + [(f"c{i:04}", "r", float(i % 50), 1) for i in range(900)] + [("q", None, 1.0, None)]
+    messages = spark.createDataFrame(rows, "message_id string, parent_id string, score double, tree_id int")
+    got = {(r.tree_id, r.leaf): r.path_rank for r in chat.chosen_paths(messages).where("distance = 0").collect()}
+    best = sorted(rows[1:-1], key=lambda x: (-x[2], x[0]))
+    assert got == {(1, x[0]): i + 1 for i, x in enumerate(best)} | {(None, "q"): 1}
+
+
+def thue_morse():
+    """Two words that collide under any polynomial modulo 2**64."""
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_with_equal_hashes(spark):
+    a, b = thue_morse()
+    rows = [(1, a), (2, b), (3, f"{b} {a} and {b}"), (4, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = tokens.encoder(tokens.tokenizer_path()).tokenizer
+    crc = lambda text, end: zlib.crc32(np.array([*plain.encode(text, add_special_tokens=False).ids, end], "<u4").tobytes())
+    with tempfile.TemporaryDirectory() as folder:
+        token_files.write_token_files(docs, f"{folder}/t")
+        assert {r.doc_id: r.ids_crc32 for r in token_files.read_token_files(spark, f"{folder}/t").collect()} == {i: crc(x, 1) for i, x in rows}
+    pieces = packing.best_fit(docs.where("doc_id != 3")).where("start = 0").collect()
+    ids = {i: [*plain.encode(x, add_special_tokens=False).ids, 0][:2048] for i, x in rows}
+    assert {r.doc_id: r.ids_crc32 for r in pieces} == {i: zlib.crc32(np.array(ids[i], "<u4").tobytes()) for i in (1, 2, 4)}
+    assert {r.doc_id: r.component_id for r in jaccard_join.report(docs).collect()} == {1: 1, 2: 2, 3: 3, 4: 1}
+
+
+def test_a_word_is_what_its_bytes_say(monkeypatch):
+    texts = ["one two three four", "two one, Three! four five", "", "six " * 40 + "seven", "x¬y one"] * 3
+    plain = tokens.encoder(tokens.tokenizer_path())
+    coarse = tokens.WordEncoder(tokens.tokenizer_path())
+    monkeypatch.setattr(coarse, "_hashes", lambda data, starts, ends: textbytes.hashed(data, starts, ends) % np.uint64(3))
+    for row, ids, bounds in coarse.encode(pa.array(texts)):
+        for i in range(len(bounds) - 1):
+            assert list(ids[bounds[i] : bounds[i + 1]]) == plain._raw([texts[row + i]])[0]
+
+
 def test_chat_texts_come_back_whatever_they_hold(spark):
     bits = ["<|im_end|>\n", "<|im_start|>assistant\n", "<", "|", "\\", "\n", "<\\|", "<\\\\|", "$1", "é😀", "\\n", ""]
     r = random.Random(6)
