@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from storytide.llm import (
     chat,
     decontaminate,
+    filter_audit,
     jaccard_join,
     language_id,
     licenses,
@@ -72,6 +73,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder, with_ids=False)
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 REGISTRY = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
@@ -83,6 +88,7 @@ REGISTRY = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_files": op10_token_files,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -126,4 +132,29 @@ ORACLE: dict[str, str] = {
         coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '') AS learnt, sum(n) AS n FROM sized GROUP BY conv_id)
       SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(learnt) AS loss_chars, sha256(learnt) AS loss_sha256,
         CAST(n AS BIGINT) AS formatted_chars FROM joined""",
+    "op13_filter_audit": f"""WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+          list_filter(string_split_regex(coalesce(text, ''), '{_SPACES}'), lambda x: x <> '') AS w FROM documents),
+      first AS (SELECT text, min(doc_id) AS m FROM d GROUP BY text),
+      marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+        FROM labels GROUP BY doc_id),
+      fails AS (SELECT d.doc_id, part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+          map {{'A': len(w) < 50, 'B': 100 * len(list_distinct(w)) < 65 * len(w),
+            'C': 100 * length(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 5 * length(d.text),
+            'D': regexp_matches(d.text, '[#$%&*|]'), 'E': coalesce(d.doc_id > m, false)}} AS f
+        FROM d JOIN first ON first.text = d.text LEFT JOIN marks ON marks.doc_id = d.doc_id),
+      letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+      orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letters a, letters b, letters c, letters d, letters e
+        WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+      same AS (SELECT part, f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM fails GROUP BY part, f),
+      steps AS (SELECT part, o, s, o[s] AS x, f[o[s]] AS bad, n, good, toxic,
+          len(list_filter([o[1], o[2], o[3], o[4], o[5]][1:s - 1], lambda y: f[y])) > 0 AS gone,
+          len(list_filter(['A', 'B', 'C', 'D', 'E'], lambda y: f[y])) AS many
+        FROM same, orders, (SELECT unnest(range(1, 6)) AS s)),
+      counts AS (SELECT part, o AS filter_order, s AS step, x, sum(CASE WHEN NOT gone AND NOT bad THEN n ELSE 0 END) AS kept,
+          sum(CASE WHEN NOT gone AND bad THEN n ELSE 0 END) AS removed, sum(CASE WHEN gone AND bad THEN n ELSE 0 END) AS redundant,
+          sum(CASE WHEN bad AND many = 1 THEN n ELSE 0 END) AS unique_fails, sum(CASE WHEN NOT gone AND bad THEN good ELSE 0 END) AS good_lost,
+          sum(CASE WHEN NOT gone AND bad THEN toxic ELSE 0 END) AS toxic_lost FROM steps GROUP BY part, o, s, x)
+      SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+        CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+        CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM counts""",
 }
