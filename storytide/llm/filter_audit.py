@@ -16,7 +16,7 @@ id, a key that no group of copies shares.
 
 Null texts are empty, null sources the empty part. A row whose id is null is not identical to any
 smaller id, and no row is to it. Rows with one id and one text are not copies of each other. A
-document is good (toxic) if any of its labels says so; without labels it is neither. Empty
+document is good (toxic) if any of its labels says so; without labels, or without an id, it is neither. Empty
 tables give no rows. Only the named columns are read, so others may have any name.
 """
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from storytide.llm import (
     chat,
+    conversation_trie,
     decontaminate,
     filter_audit,
     jaccard_join,
@@ -15,6 +16,7 @@ from storytide.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    secret_scan,
     suffix_dedup,
     token_files,
 )
@@ -73,6 +75,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder, with_ids=False)
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.report(table(spark, sf_dir, "conversations"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -88,6 +98,8 @@ REGISTRY = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_files": op10_token_files,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -101,6 +113,28 @@ def _words(separators: str) -> str:
 
 _CLEAN = _words(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
+# Rules as DuckDB's expressions: kind, pattern, characters that the last group must have
+_SECRETS = [
+    ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6),
+    ("access", "AKIA([A-Z0-9]+)", 16),
+    ("hex", "([0-9a-f]+)", 24),
+    ("github", "(?:gh[pousr]_|github_pat_)([A-Za-z0-9_]+)", 36),
+    ("slack", "xox[abeoprs]-([0-9A-Za-z-]+)", 10),
+    ("google", "AIza([0-9A-Za-z_-]+)", 35),
+    ("stripe", "(?:sk|rk)_(?:live|test)_([0-9A-Za-z]+)", 24),
+    ("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.([A-Za-z0-9_-]+)", 10),
+    ("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY----(-)", 1),
+]
+_RULE_ROWS = ", ".join(
+    "({}, '{}', '{}', {})".format(i, name, pattern.replace("'", "''"), least) for i, (name, pattern, least) in enumerate(_SECRETS)
+)
+_MARKED = " ".join("WHEN {} THEN regexp_replace(text, '{}', chr(1) || '\\0' || chr(2), 'g')".format(i, x[1].replace("'", "''")) for i, x in enumerate(_SECRETS))
+_VALUE = " ".join("WHEN {} THEN regexp_extract(hit, '{}', 1)".format(i, x[1].replace("'", "''")) for i, x in enumerate(_SECRETS))
+
+# crc32 of the decimal digits of c, bit by bit
+_CRC32 = """xor(4294967295, list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda digit: CAST(ord(digit) AS BIGINT)),
+        lambda crc, byte: list_reduce(range(8), lambda v, bit: xor(v >> 1, 3988292384 * (v & 1)), xor(crc, byte)), 4294967295))"""
+
 ORACLE: dict[str, str] = {
     "op2_decontamination": f"""WITH d AS (SELECT doc_id, {_CLEAN} AS w FROM documents),
       b AS (SELECT item_id, {_CLEAN} AS w FROM benchmark),
@@ -132,6 +166,37 @@ ORACLE: dict[str, str] = {
         coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '') AS learnt, sum(n) AS n FROM sized GROUP BY conv_id)
       SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(learnt) AS loss_chars, sha256(learnt) AS loss_sha256,
         CAST(n AS BIGINT) AS formatted_chars FROM joined""",
+    # matches are put between marks; what stands before a mark gives the places
+    "op11_secret_scan": f"""WITH rules(i, kind, pattern, least) AS (VALUES {_RULE_ROWS}),
+      d AS (SELECT doc_id, translate(coalesce(text, ''), chr(1) || chr(2), '  ') AS text FROM documents),
+      cut AS (SELECT doc_id, i, kind, least, string_split(CASE i {_MARKED} END, chr(1)) AS parts FROM d, rules),
+      parts AS (SELECT doc_id, i, kind, least, unnest(parts) AS part, generate_subscripts(parts, 1) AS n FROM cut),
+      placed AS (SELECT *, split_part(part, chr(2), 1) AS hit,
+        sum(length(replace(part, chr(2), ''))) OVER (PARTITION BY doc_id, i ORDER BY n) - length(replace(part, chr(2), '')) AS a FROM parts),
+      spans AS (SELECT doc_id, i, kind, CAST(a AS BIGINT) AS a, CAST(a + length(hit) AS BIGINT) AS b FROM placed
+        WHERE n > 1 AND length(CASE i {_VALUE} END) >= least),
+      listed AS (SELECT doc_id, count(*) FILTER (i = 0) AS n_assign, count(*) FILTER (i = 1) AS n_access, count(*) FILTER (i = 2) AS n_hex,
+          string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, i) FILTER (i < 3) AS base,
+          string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, i) AS every FROM spans GROUP BY doc_id)
+      SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+        sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans FROM d LEFT JOIN listed USING (doc_id)""",
+    "op12_conversation_trie": f"""WITH read AS (SELECT conv_id AS c, turn, coalesce(text, '') AS x,
+          sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS s FROM conversations WHERE conv_id IS NOT NULL),
+      t AS (SELECT c, s, length(x) AS chars, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, s) AS p FROM read),
+      ids AS (SELECT c, {_CRC32} % 6 AS h FROM (SELECT DISTINCT c FROM t)),
+      own AS (SELECT ids.c, p, s, chars FROM ids JOIN t ON t.c = ids.c - ids.c % 100 AND p <= h
+        UNION ALL SELECT ids.c, p, s, chars FROM ids JOIN t ON t.c = ids.c AND p > h),
+      pre AS (SELECT c, 0 AS d, '' AS k, 0 AS chars FROM ids
+        UNION ALL SELECT c, row_number() OVER (PARTITION BY c ORDER BY p), string_agg(s, '') OVER (PARTITION BY c ORDER BY p), chars FROM own),
+      nodes AS (SELECT k, d, left(k, 64 * (d - 1)) AS up, min(c) AS conv_id, count(*) AS n, min(chars) AS chars FROM pre GROUP BY k, d),
+      kids AS (SELECT up AS k, count(*) AS m FROM nodes WHERE d > 0 GROUP BY up),
+      below AS (SELECT DISTINCT u.k AS uk, v.k AS k FROM pre u JOIN pre v ON u.c = v.c AND v.d >= u.d),
+      sums AS (SELECT uk AS k, sum((n - 1) * chars) AS saved, count(*) FILTER (m IS NULL) AS leaves
+        FROM below JOIN nodes USING (k) LEFT JOIN kids USING (k) GROUP BY uk),
+      ends AS (SELECT k, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS listed FROM (SELECT c, arg_max(k, d) AS k FROM pre GROUP BY c) GROUP BY k)
+      SELECT x.conv_id, x.d AS depth, y.conv_id AS parent_conv_id, x.n AS n_convs, coalesce(m, 0) AS n_children, leaves AS n_leaves,
+        CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(listed, '')) AS ends_sha256
+      FROM nodes x LEFT JOIN nodes y ON x.up = y.k AND x.d > 0 LEFT JOIN kids ON kids.k = x.k JOIN sums ON sums.k = x.k LEFT JOIN ends ON ends.k = x.k""",
     "op13_filter_audit": f"""WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
           list_filter(string_split_regex(coalesce(text, ''), '{_SPACES}'), lambda x: x <> '') AS w FROM documents),
       first AS (SELECT text, min(doc_id) AS m FROM d GROUP BY text),

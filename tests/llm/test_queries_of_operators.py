@@ -11,7 +11,7 @@ DIR = "/root/testdata/sf0.001"
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in queries.REGISTRY}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in queries.REGISTRY}
     assert set(queries.REGISTRY) | {"pipeline"} <= set(contract.queries())
     assert set(queries.ORACLE) <= set(contract.oracle_sql())
 
