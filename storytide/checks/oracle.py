@@ -271,6 +271,8 @@ def oracle() -> dict[str, str]:
         f"WITH {BOOKS} SELECT book_id, title, author, CAST(length(text) AS INTEGER) AS n_chars FROM books WHERE language = 'en'"
     )
     kept = f"WITH {BOOKS} SELECT book_id, title, CAST(length(text) AS INTEGER) AS n_chars FROM books WHERE book_id"
+    sql["catalogue_trajectories"] = f"""WITH {TRAJ} SELECT book_id, 'The ' || title AS title, author, num_chunks, {rs(AVERAGES)}
+      FROM plain WHERE book_id IN (SELECT book_id FROM books WHERE language = 'en')"""
     sql["semi_join_targets"] = f"{kept} IN ({LABELLED})"
     sql["resume_anti_join"] = f"{kept} NOT IN ({LABELLED})"
     sql["training_sample"] = f"""WITH {BOOKS} SELECT book_id FROM books
@@ -505,6 +507,24 @@ def oracle() -> dict[str, str]:
     sql["evaluation_report"] = f"""WITH {HITS}, stats AS ({stats}), mutual AS ({mutual}),
       tested AS (SELECT count(DISTINCT query_id) AS t FROM hits)
       SELECT CAST(t AS INTEGER) AS books_tested, CAST(15 - t AS INTEGER) AS books_skipped, reciprocity_rate, stats.* FROM tested, mutual, stats"""
+    six = "round({} + 1e-10, 6)"
+    liked_hits = ", ".join(
+        f"SELECT query_id, book_id, {blend(p)} AS sim, '{p}' AS preset FROM scored WHERE query_id = {LIKED}" for p in PRESETS
+    ).replace(", SELECT query_id", " UNION ALL SELECT query_id")
+    dist = " UNION ALL ".join(
+        [f"SELECT 'emotion_distribution', '{e}', '', {six.format(f'avg(ratio_{e})')} FROM traj" for e in EMOTIONS]
+        + [f"SELECT 'vad_distribution', '{c[4:]}', '', {six.format(f'avg({c})')} FROM traj" for c in AVG_D]
+    )
+    sql["evaluation_report_full"] = f"""WITH {HITS}, stats AS ({stats}), mutual AS ({mutual}), extremes AS ({extremes}), liked AS ({liked_hits}),
+      ranked_liked AS (SELECT *, row_number() OVER (PARTITION BY preset ORDER BY round(sim + 1e-12, 9) DESC, book_id) AS rank FROM liked)
+      SELECT 'corpus' AS part, '' AS name, '' AS what, CAST(count(*) AS DOUBLE) AS value FROM traj
+      UNION ALL SELECT 'quality', 'books_tested', '', CAST(count(DISTINCT query_id) AS DOUBLE) FROM hits
+      UNION ALL SELECT 'quality', 'books_skipped', '', CAST(16 - count(DISTINCT query_id) AS DOUBLE) FROM hits
+      UNION ALL SELECT 'quality', 'reciprocity_rate', '', reciprocity_rate FROM mutual
+      UNION ALL SELECT 'book', query_id, 'Document ' || query_id || '|' || max(book_id) FILTER (rank = 1) || '|' || string_agg(book_id, '|' ORDER BY rank) FILTER (rank <= 5),
+        {six.format("avg(similarity) FILTER (rank <= 5)")} FROM hits GROUP BY query_id
+      UNION ALL SELECT 'preset', preset, string_agg(book_id, '|' ORDER BY rank), {six.format("max(sim) FILTER (rank = 1)")} FROM ranked_liked WHERE rank <= 5 GROUP BY preset
+      UNION ALL {dist} UNION ALL SELECT 'superlative', label, title, value FROM extremes"""
     sql["corpus_counts"] = f"""WITH {TRAJ} SELECT 'books' AS what, count(*) AS n FROM traj
       UNION ALL SELECT 'chunks', count(*) FROM scores UNION ALL SELECT 'emotion_pairs', count(*) FROM emo
       UNION ALL SELECT 'vad_terms', count(*) FROM vad UNION ALL SELECT 'catalogue', count(*) FROM books

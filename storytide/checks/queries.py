@@ -129,8 +129,17 @@ def lookup_book(spark, sf):
 @query
 def books_join_metadata(spark, sf):
     english = d.metadata(spark, sf).where(F.col("language") == "en")
-    joined = joins.join_metadata(d.books(spark, sf, spread=False).select("book_id", "text"), english)
-    return joined.select("book_id", "title", "author", F.length("text").alias("n_chars"))
+    texts = d.books(spark, sf, spread=False).select("book_id", "text")
+    sized = joins.join_metadata(texts, english, lambda books: books.select("book_id", F.length("text").alias("n_chars")))
+    return sized.select("book_id", "title", "author", "n_chars")
+
+
+@_rounded
+def catalogue_trajectories(spark, sf):
+    """Books of the catalogue scored by id, with the catalogue's names."""
+    english = d.metadata(spark, sf).where(F.col("language") == "en").withColumn("title", F.concat(F.lit("The "), "title"))
+    rows = corpus.catalogue_trajectories(d.books(spark, sf), english, d.lexicons(spark))
+    return rows.select("book_id", "title", "author", "num_chunks", *AVERAGES)
 
 
 def _labelled(spark: SparkSession, sf: str) -> DataFrame:
@@ -625,6 +634,39 @@ def evaluation_report(spark, sf):
     return spark.read.schema(report.schema).json(path)
 
 
+@_rounded
+def evaluation_report_full(spark, sf):
+    """The nested report, saved and read back, as rows of its parts."""
+    names = {i: f"Document {i}" for i in TEST_BOOKS}
+    report = evaluate.full_report(
+        d.trajectories(spark, sf), [*TEST_BOOKS, "no such book"], d.metadata(spark, sf), names=names, preset_book=LIKED
+    )
+    path = fresh_path(spark, "report")
+    tables.save_report(report, path)
+    back = spark.read.schema(report.schema).json(path)
+    quality = "recommendation_quality"
+    return d.union_all(
+        [
+            back.select(F.lit("corpus").alias("part"), F.lit("").alias("name"), F.lit("").alias("what"), F.col("corpus_size").cast("double").alias("value")),
+            back.select(
+                F.lit("quality").alias("part"),
+                F.explode(F.create_map(*[x for n in ("books_tested", "books_skipped", "reciprocity_rate") for x in (F.lit(n), F.col(f"{quality}.{n}").cast("double"))])).alias("name", "value"),
+            ).select("part", "name", F.lit("").alias("what"), "value"),
+            back.select(F.explode(f"{quality}.per_book_results").alias("b")).select(
+                F.lit("book").alias("part"), "b.book_id", F.concat_ws("|", "b.book_name", "b.top_rec_id", F.array_join("b.top_5.book_id", "|")).alias("what"), "b.avg_top5_similarity",
+            ).toDF("part", "name", "what", "value"),
+            back.select(F.explode("preset_comparison").alias("name", "hits")).select(
+                F.lit("preset").alias("part"), "name", F.array_join("hits.book_id", "|").alias("what"), F.col("hits")[0]["similarity"].alias("value")
+            ),
+            *[
+                back.select(F.explode(kind).alias("name", "v")).select(F.lit(kind).alias("part"), "name", F.lit("").alias("what"), F.col("v.mean").alias("value"))
+                for kind in ("emotion_distribution", "vad_distribution")
+            ],
+            back.select(F.explode("superlatives").alias("name", "v")).select(F.lit("superlative").alias("part"), "name", F.col("v.title").alias("what"), "v.value"),
+        ]
+    )
+
+
 # ---- vectors and models ---------------------------------------------------------
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from storytide.functions import text as tx
 from storytide.functions.stopwords import ENGLISH
 from storytide.operators.chunking import chunk_text, create_chunks
-from storytide.operators.joins import restrict_to, training_sample
+from storytide.operators.joins import join_metadata, restrict_to, training_sample
 from storytide.operators.scoring import score_chunks, score_text, word_scores
 from storytide.operators.trajectory import analyze_trajectory, attach_vectors
 from storytide.operators import vectors as vec
@@ -128,6 +128,21 @@ def enriched_trajectories(
     return attach_vectors(scored, *_book_vectors(chunks, models))
 
 
+def catalogue_trajectories(
+    books: DataFrame,
+    metadata: DataFrame,
+    lexicons: Lexicons,
+    models: dict | None = None,
+    num_chunks: int = tx.DEFAULT_CHUNKS,
+) -> DataFrame:
+    """Trajectories of the books of a catalogue, with its titles and authors.
+
+    Books are scored by id alone; names are attached to the one row per book.
+    """
+    score = lambda listed: enriched_trajectories(listed, lexicons, models, num_chunks)
+    return conform(join_metadata(books, metadata, score))
+
+
 def _book_vectors(chunks: DataFrame, models: dict) -> tuple[DataFrame | None, DataFrame | None]:
     """Book embeddings and topic mixtures of the models that are given."""
     embeddings = topics = None

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from storytide.functions import scores as sc
 from storytide.functions.genres import genre_tags, jaccard
 from storytide.functions.vectors import flat_arc, norm
+from storytide.operators import ranks
 from storytide.operators.trajectory import completeness_order, dedupe_books
 from storytide.schema import AVERAGES, RATIOS, TRAJECTORY, conform
 
@@ -68,37 +69,51 @@ _QUERY_COLUMNS = (
 )
 
 
+_SIGNAL_SQL = {
+    "feature": sc.weighted_feature_similarity(),
+    "trajectory": sc.arc_similarity(),
+    "embedding": sc.embedding_similarity(),
+    "topic": sc.topic_similarity(),
+}
+
+
+def _query_books(trajectories: DataFrame, ids: Sequence[str], arc: str) -> Column:
+    """The query books as one array value; an id that is given twice counts once."""
+    chosen = dedupe_books(trajectories.where(F.col("book_id").isin([str(i) for i in ids])))
+    return _comparable(chosen, arc).agg(F.collect_list(F.struct(*_QUERY_COLUMNS))).scalar()
+
+
 def pair_signals(
     trajectories: DataFrame, ids: Sequence[str], arc: str = "parity", wanted: Sequence[str] = SIGNALS[:4]
 ) -> DataFrame:
     """Every other book against each query book: one row per pair with its signals.
 
     ``arc='parity'`` compares arcs with their chunk positions included, ``'shape'``
-    compares the emotion shares alone. Queries that are not in the corpus give no rows; an id
-    that is given twice counts once. All queries are compared in one scan.
+    compares the emotion shares alone. Queries that are not in the corpus give no rows. All
+    queries are compared in one scan.
     """
     corpus = _comparable(trajectories, arc)
-    chosen = dedupe_books(trajectories.where(F.col("book_id").isin([str(i) for i in ids])))
-    queries = _comparable(chosen, arc).agg(F.collect_list(F.struct(*_QUERY_COLUMNS))).scalar()
-
-    signals = {
-        "feature": sc.weighted_feature_similarity(),
-        "trajectory": sc.arc_similarity(),
-        "embedding": sc.embedding_similarity(),
-        "topic": sc.topic_similarity(),
-    }
-    pairs = corpus.withColumn("query", F.explode(queries)).where("query.book_id <> book_id")
+    pairs = corpus.withColumn("query", F.explode(_query_books(trajectories, ids, arc))).where("query.book_id <> book_id")
     return pairs.selectExpr(
         "query.book_id AS query_id",
         *TRAJECTORY.names,
-        *[f"{signals[s]} AS {s}_similarity" for s in wanted],
+        *[f"{_SIGNAL_SQL[s]} AS {s}_similarity" for s in wanted],
     )
 
 
-def one_row_per_pair(pairs: DataFrame) -> DataFrame:
-    """Of repeated corpus books keep the most complete row, as :func:`dedupe_books` does."""
-    window = Window.partitionBy("query_id", "book_id").orderBy(completeness_order())
-    return pairs.withColumn("place", F.row_number().over(window)).where("place = 1").drop("place")
+def compared_books(
+    trajectories: DataFrame, ids: Sequence[str], arc: str = "parity", wanted: Sequence[str] = SIGNALS[:4]
+) -> DataFrame:
+    """The corpus with ``pairs``: for each other query book its id and the signals, in one array.
+
+    A row stays one row however many queries there are.
+    """
+    rows = _comparable(trajectories, arc).withColumn("queries", _query_books(trajectories, ids, arc))
+    fields = ", ".join(["query.book_id AS query_id", *(f"{_SIGNAL_SQL[s]} AS {s}_similarity" for s in wanted)])
+    others = "filter(queries, query -> query.book_id <> book_id)"
+    return rows.selectExpr(
+        *TRAJECTORY.names, f"transform({others}, query -> struct({fields})) AS pairs"
+    )
 
 
 def metadata_tags(metadata: DataFrame) -> DataFrame:
@@ -107,22 +122,41 @@ def metadata_tags(metadata: DataFrame) -> DataFrame:
     return listed.select("book_id", genre_tags("m.bookshelves", "m.subjects").alias("tags"))
 
 
+def _tagged_queries(metadata: DataFrame, ids: Sequence[str]) -> Column:
+    """The query books that have tags, as one array value."""
+    tagged = metadata_tags(metadata.where(F.col("book_id").isin([str(i) for i in ids])))
+    return tagged.where(F.size("tags") > 0).agg(F.collect_list(F.struct("book_id", "tags"))).scalar()
+
+
 def genre_pairs(metadata: DataFrame, ids: Sequence[str]) -> DataFrame:
     """``query_id, book_id, genre_similarity`` for all other books of the catalogue.
 
     Queries without tags give no rows.
     """
-    tags = metadata_tags(metadata)
-    tagged = metadata_tags(metadata.where(F.col("book_id").isin([str(i) for i in ids])))
-    queries = tagged.where(F.size("tags") > 0).agg(F.collect_list(F.struct("book_id", "tags"))).scalar()
-    pairs = tags.withColumn("query", F.explode(queries)).where("query.book_id <> book_id")
-    return pairs.select(
+    pairs = metadata_tags(metadata).withColumn("query", F.explode(_tagged_queries(metadata, ids)))
+    return pairs.where("query.book_id <> book_id").select(
         F.col("query.book_id").alias("query_id"),
         "book_id",
         jaccard("tags", "query.tags").alias("genre_similarity"),
     )
 
 
+def genre_scores(metadata: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """``book_id, genres``: for books that share a tag with any query, the similarity by query id.
+
+    The queries' tags are an index from tag to queries. A book is looked up there by its tags, so
+    only queries that it shares one with are scored, and books without any are no rows.
+    """
+    queries = _tagged_queries(metadata, ids)
+    rows = metadata_tags(metadata).select("book_id", "tags", queries.alias("queries"))
+    entries = "flatten(transform(queries, q -> transform(q.tags, t -> struct(t AS tag, q AS query))))"
+    met = f"array_distinct(transform(filter({entries}, e -> array_contains(tags, e.tag) AND e.query.book_id <> book_id), e -> e.query))"
+    found = rows.where("arrays_overlap(tags, flatten(queries.tags))").selectExpr("book_id", "tags", f"{met} AS met")
+    union = "size(array_union(tags, q.tags))"
+    scores = f"transform(met, q -> struct(q.book_id, size(array_intersect(tags, q.tags)) / {union}))"
+    return found.where("size(met) > 0").selectExpr("book_id", f"map_from_entries({scores}) AS genres")
+
+
 def blended(weights: dict[str, float], renormalize: bool = False) -> str:
     """SQL for the weighted sum of the signals.
 
@@ -154,29 +188,49 @@ def candidates(
     arc: str = "parity",
     unique: bool = False,
     carry: Sequence[str] = (),
+    wanted: Sequence[str] = SIGNALS[:4],
 ) -> DataFrame:
-    """All pairs with all five signals; ``genre_similarity`` is null without metadata.
+    """All pairs with the wanted signals; ``genre_similarity`` is null without metadata.
 
     Pass ``unique=True`` for a corpus known to hold each book once: it saves the shuffle
     that removes repeated books.
     """
-    pairs = pair_signals(trajectories, ids, arc)
+    books = compared_books(trajectories, ids, arc, wanted)
+    columns = ["book_id", "title", "author", *AVERAGES, *carry, "pairs"]
     if not unique:
-        pairs = one_row_per_pair(pairs)
-    pairs = pairs.select(
-        "query_id", "book_id", "title", "author", *AVERAGES, *carry, *[f"{s}_similarity" for s in SIGNALS[:4]]
-    )
-    if metadata is None:
-        return pairs.withColumn("genre_similarity", F.lit(None).cast("double"))
-    # Zero overlap adds nothing, so only overlapping pairs travel to the join.
-    overlapping = genre_pairs(metadata, ids).where("genre_similarity > 0")
-    return pairs.join(overlapping, ["query_id", "book_id"], "left")
+        books = one_row_per_book(books.select(*columns, completeness_order().alias("completeness")))
+    books = books.select(columns)
+    similarity = F.lit(None).cast("double")
+    if metadata is not None:
+        books = books.join(genre_scores(metadata, ids), "book_id", "left")
+        similarity = F.try_element_at("genres", F.col("pair.query_id"))
+    long = books.withColumn("pair", F.explode("pairs"))
+    return long.select("pair.query_id", *columns[:-1], *[f"pair.{s}_similarity" for s in wanted], similarity.alias("genre_similarity"))
+
+
+def one_row_per_book(books: DataFrame) -> DataFrame:
+    """Of repeated books the most complete row, as :func:`dedupe_books` does, by ``completeness``.
+
+    Rows are compared before there are pairs of them, so as many are shuffled as there are books.
+    """
+    window = Window.partitionBy("book_id").orderBy("completeness")
+    return books.withColumn("place", F.row_number().over(window)).where("place = 1").drop("place", "completeness")
 
 
 def rank_order(score: str) -> list[Column]:
     return [F.expr(sc.settled(score)).desc(), F.col("book_id").asc()]
 
 
+def top_per(rows: DataFrame, keys: Sequence[str], score: str, top_n: int) -> DataFrame:
+    """The best ``top_n`` rows of each key with their ``rank``."""
+    return ranks.top_per(rows, keys, [F.expr(sc.settled(score)), F.col("book_id")], top_n)
+
+
+def _weighted(weights: dict[str, float]) -> list[str]:
+    """The signals with a weight: the others are never computed, so their columns are not read."""
+    return [s for s in SIGNALS[:4] if weights.get(s, 0.0) > 0]
+
+
 def _needed(with_arc: bool, renormalize: bool) -> tuple[str, ...]:
     carried = ("emotion_trajectory",) if with_arc or renormalize else ()
     return carried + (("book_embedding", "book_topics") if renormalize else ())
@@ -204,7 +258,7 @@ def recommend(
     chosen = weight_preset(preset) if preset or weights is None else weights
     genres = metadata if chosen.get("genre", 0.0) > 0 else None
     carry = _needed(with_arc, renormalize)
-    pairs = candidates(trajectories, [book_id], genres, arc, unique, carry)
+    pairs = candidates(trajectories, [book_id], genres, arc, unique, carry, _weighted(chosen))
     scored = pairs.selectExpr("*", f"{blended(chosen, renormalize)} AS similarity")
     return _result(scored.orderBy(*rank_order("similarity")).limit(top_n), (), with_arc)
 
@@ -226,21 +280,11 @@ def recommend_batch(
     chosen = weight_preset(preset) if preset or weights is None else weights
     genres = metadata if chosen.get("genre", 0.0) > 0 else None
     carry = _needed(with_arc, renormalize)
-    pairs = candidates(trajectories, ids, genres, arc, unique, carry)
+    pairs = candidates(trajectories, ids, genres, arc, unique, carry, _weighted(chosen))
     scored = pairs.selectExpr("*", f"{blended(chosen, renormalize)} AS similarity")
     return _result(top_per(scored, ["query_id"], "similarity", top_n), ("query_id", "rank"), with_arc)
 
 
-def top_per(rows: DataFrame, keys: Sequence[str], score: str, top_n: int) -> DataFrame:
-    """The best ``top_n`` rows of each key with their ``rank``.
-
-    Each task keeps its own best rows before the shuffle, so a key's task receives
-    ``top_n`` rows from each task and not the whole group.
-    """
-    window = Window.partitionBy(*keys).orderBy(*rank_order(score))
-    return rows.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= top_n)
-
-
 def preset_comparison(
     trajectories: DataFrame,
     ids: Sequence[str],

@@ -5,8 +5,10 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import book_row, lexicons, trajectories
+from storytide.operators import joins
 from storytide.operators.chunking import chunk_text
 from storytide.operators.scoring import score_text
 from storytide.plans import corpus, explore, recommend as rec
@@ -83,6 +85,56 @@ def test_ranks_are_cut_before_the_shuffle(spark, stored):
         assert re.search(r"WindowGroupLimit.*Partial", plan) and re.search(r"WindowGroupLimit.*Final", plan)
 
 
+def exchanges(plan):
+    return [line for line in plan.splitlines() if " Exchange " in line]
+
+
+def below_exchanges(frame):
+    """For each exchange the operators and columns below it, as text."""
+    lines = plan_of(frame).splitlines()
+    out = []
+    for i, line in enumerate(lines):
+        if " Exchange " not in line:
+            continue
+        depth = line.index("Exchange")
+        below = []
+        for other in lines[i + 1 :]:
+            start = re.search(r"[A-Za-z*]", other)
+            if not start or start.start() <= depth:
+                break
+            below.append(other)
+        out.append((line, "\n".join(below)))
+    return out
+
+
+def test_books_are_shuffled_once_and_pairs_are_not(spark, stored):
+    metadata = spark.createDataFrame([("1", "t", "a", "en", "x", "y")], METADATA)
+    for frame in (rec.recommend_batch(stored, ["1", "2", "3"], 5, metadata=metadata), rec.preset_comparison(stored, ["1", "2"], metadata)):
+        made = [below for _, below in below_exchanges(frame) if "Generate explode(pairs" in below]
+        assert made and all("WindowGroupLimit" in below.split("Generate explode(pairs")[0] for below in made)
+
+
+def test_long_lists_are_cut_in_the_tasks(spark, stored):
+    frame = rec.recommend_batch(stored, ["1", "2"], 5000, unique=True)
+    made = [below for _, below in below_exchanges(frame) if "Generate explode(pairs" in below]
+    assert len(made) == 1 and "MapInArrow" in made[0].split("Generate explode(pairs")[0]
+    assert frame.where("query_id = '2'").count() == 19
+
+
+@pytest.mark.parametrize("bound", [0, 1000])
+def test_a_catalogue_of_any_size_moves_no_text(spark, texts, monkeypatch, bound):
+    monkeypatch.setattr(joins, "MAX_METADATA_ROWS", bound)
+    names = spark.createDataFrame([(str(i), f"T{i}", "a") for i in range(4)], "book_id string, title string, author string")
+    frame = corpus.catalogue_trajectories(texts, names, lexicons(spark))
+    assert {r.title for r in frame.collect()} == {"T0", "T1", "T2", "T3"}
+    sized = joins.join_metadata(texts, names, lambda b: b.select("book_id", F.length("text").alias("n")))
+    for each in (frame, sized):
+        check(plan_of(each))
+        for line, below in below_exchanges(each):
+            node = below.splitlines()[0]
+            assert "text#" not in line and "text#" not in node, node
+
+
 def test_query_book_filter_reaches_the_scan(stored):
     plan = plan_of(rec.recommend(stored, "3"))
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(book_id,3\)", plan)

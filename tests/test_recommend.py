@@ -122,6 +122,18 @@ def test_own_weights_without_metadata(spark):
     assert [r.similarity for r in got] == pytest.approx([s for s, _ in want])
 
 
+def test_genre_alone(spark):
+    rows = sample()
+    got = rec.recommend_batch(trajectories(spark, rows), ["0"], 20, weights={"genre": 1.0}, metadata=metadata(spark)).collect()
+    want = brute_force(rows, "0", {"genre": 1.0}, 20)
+    assert [(r.book_id, r.similarity) for r in sorted(got, key=lambda r: r["rank"])] == [(i, s) for s, i in want]
+
+
+def test_only_books_that_share_a_tag_are_scored(spark):
+    got = {r.book_id: r.genres for r in rec.genre_scores(metadata(spark), ["0", "3", "4", "nobody"]).collect()}
+    assert got == {i: {"0": genre("0", i)} for i in ("1", "2", "99")}
+
+
 def test_many_copies_of_one_book(spark):
     rows = sample()
     bare = [dict(rows[2], title=f"copy {i}", book_embedding=None, book_topics=None, avg_joy=i / 1000) for i in range(400)]
