@@ -320,6 +320,15 @@ def oracle() -> dict[str, str]:
     points = f"WITH {TRAJ} SELECT book_id, chunk_index, {rs(NORMS)} FROM normal"
     sql["trajectory_points"] = points
     sql["trajectory_points_long"] = points
+    split_books = """split_books AS (SELECT book_id || '/whole' AS book_id, title, author, text FROM books
+      UNION ALL SELECT book_id || '/half', title, author, substring(text, 1, length(text) // 2) FROM books
+      WHERE CAST(book_id AS INTEGER) % 3 = 0 AND length(text) // 2 < length(text))"""
+    versions = ",".join(
+        [LEXICONS, BOOKS, split_books, chunk_ctes("split_books"), word_ctes_listed("chunks"), score_ctes("split"), trajectory_ctes("scores")]
+    )
+    sql["book_versions"] = f"""WITH {versions} SELECT split_part(book_id, '/', 1) AS book_id, title, num_chunks, {rs(AVERAGES)}, {rs(RATIOS)} FROM plain"""
+    sql["book_versions_by_words"] = f"""WITH {versions} SELECT split_part(book_id, '/', 1) AS book_id, max(num_chunks) AS num_chunks,
+      count(*) AS versions, true AS chosen FROM plain GROUP BY 1"""
     sql["emotion_ratios"] = f"WITH {TRAJ} SELECT book_id, {rs(RATIOS)} FROM traj"
 
     def dominant(names) -> str:
@@ -344,6 +353,24 @@ def oracle() -> dict[str, str]:
       CAST(coalesce(length(book_embedding), 0) AS INTEGER) AS dimensions FROM traj"""
     sql["adhoc_text_input"] = f"""WITH {LEXICONS}, {ADHOC}
       SELECT book_id, title, author, num_chunks, {rs(AVERAGES)}, {rs(RATIOS)} FROM q_plain"""
+    stories = f"""stories AS (SELECT 'my_story_' || item_id || '.txt' AS book_id, 'my story ' || item_id AS title, 'File Input' AS author,
+      text || chr(10) AS text FROM benchmark WHERE length(text) > 0)"""
+    own_chunks = [chunk_ctes("stories", ADAPTIVE), word_ctes_listed("chunks"), score_ctes("split"), trajectory_ctes("scores")]
+    # A chunk without a word of the vocabulary is in no topic.
+    known = """known AS (SELECT w FROM (SELECT book_id, chunk_index, unnest(list_distinct(words)) AS w FROM split) GROUP BY w HAVING count(*) >= 2),
+      in_topics AS (SELECT s.book_id, count(DISTINCT t.chunk_index) / count(DISTINCT s.chunk_index) AS share FROM split s
+        LEFT JOIN (SELECT book_id, chunk_index FROM (SELECT book_id, chunk_index, unnest(words) AS w FROM split) u JOIN known USING (w)) t
+        ON t.book_id = s.book_id AND t.chunk_index = s.chunk_index GROUP BY s.book_id)"""
+    sql["adhoc_files"] = f"""WITH {LEXICONS}, {stories}, {",".join(own_chunks)}, {known}
+      SELECT plain.book_id, title, author, num_chunks, {rs(AVERAGES)}, num_chunks AS scored_chunks, 3 AS topics, {r("share", "in_topics")}
+      FROM plain JOIN in_topics ON in_topics.book_id = plain.book_id"""
+    one_book = f"one_book AS (SELECT book_id, title, author, text || chr(10) AS text FROM books WHERE book_id = {LIKED})"
+    own = ",".join([chunk_ctes("one_book", ADAPTIVE, "q_"), word_ctes_listed("q_chunks", "q_"), score_ctes("q_split", "q_"), trajectory_ctes("q_scores", "q_")])
+    gaps = " + ".join(f"pow((b.{c} - q.{c}) * {w}e0, 2)" for c, w in WEIGHTS.items())
+    sql["adhoc_book_by_id"] = f"""WITH {TRAJ}, {one_book}, {own},
+      near AS (SELECT b.book_id, 1e0 / (1e0 + sqrt({gaps})) AS s FROM traj b, q_plain q WHERE b.book_id <> {LIKED}),
+      best AS (SELECT book_id, round(s + 1e-12, 9) AS s FROM near ORDER BY 2 DESC, 1 LIMIT 10)
+      SELECT book_id, title, author, num_chunks, {rs(AVERAGES)}, (SELECT string_agg(book_id, '|' ORDER BY s DESC, book_id) FROM best) AS hits FROM q_plain"""
     fresh = ",".join(
         [
             chunk_ctes("books", ADAPTIVE, "q_"), word_ctes_listed("q_chunks", "q_"),
@@ -543,7 +570,11 @@ def oracle() -> dict[str, str]:
       GROUP BY w HAVING count(*) >= 2)"""
     counts = f"""WITH {words}, {vocabulary}
       SELECT w AS word, count(t.w) AS n FROM vocabulary JOIN (SELECT unnest(words) AS w FROM split) t USING (w) GROUP BY w"""
-    sql["term_counts"] = sql["vocabulary_counts"] = counts
+    sql["term_counts"] = counts
+    sql["vocabulary_counts"] = f"{counts} ORDER BY n DESC, word LIMIT 5000"
+    sql["word2vec_twins"] = f"""{counts.replace("SELECT w AS word", ", counted AS (SELECT w AS word")}),
+      frequent AS (SELECT word FROM counted ORDER BY n DESC, word LIMIT 8)
+      SELECT word, word || '_twin' AS nearest FROM frequent UNION ALL SELECT word || '_twin', word FROM frequent"""
     sql["word2vec_fit"] = f"""WITH {words}
       SELECT w AS word FROM (SELECT unnest(words) AS w FROM split) GROUP BY w HAVING count(*) >= 5"""
     sql["chunk_embeddings"] = f"WITH {words} SELECT book_id, chunk_index, 100 AS dimensions, true AS is_mean FROM split"
@@ -553,7 +584,8 @@ def oracle() -> dict[str, str]:
     sql["book_topics"] = f"WITH {BOOKS} SELECT book_id, 10 AS size, true AS is_mean FROM books WHERE length(text) > 0"
     sql["book_embeddings"] = f"WITH {BOOKS} SELECT book_id, 100 AS size, true AS is_mean FROM books WHERE length(text) > 0"
     sql["model_reuse"] = f"""WITH {BOOKS} SELECT book_id, least(length(text), 20) AS num_chunks, 100 AS dimensions,
-      10 AS topics FROM books WHERE length(text) > 0"""
+      10 AS topics, true AS is_mean_of_words, true AS is_mean_of_topics FROM books WHERE length(text) > 0"""
+    sql["incremental_ingest_models"] = sql["model_reuse"]
     sql["model_roundtrip"] = f"""WITH {BOOKS} SELECT book_id, true AS same_embedding, true AS same_topics
       FROM books WHERE length(text) > 0"""
 

@@ -22,6 +22,7 @@ from storytide.schema import (
     EMOTIONS,
     RATIOS,
     TRAJECTORY,
+    VERSION,
     conform,
 )
 from storytide.sources import books as src
@@ -209,7 +210,7 @@ def csv_roundtrip(spark, sf):
     rows = conform(
         rec.recommend(d.trajectories(spark, sf), LIKED, metadata=d.metadata(spark, sf)).drop("similarity")
     )
-    path = fresh_path(spark, "export")
+    path = fresh_path(spark, tables.export_name(LIKED))
     tables.export_csv(rows, path)
     back = tables.import_csv(spark, path, TRAJECTORY)
     flat = "aggregate(flatten(emotion_trajectory), 0D, (a, x) -> a + x) AS arc_sum"
@@ -272,19 +273,19 @@ def _chunk_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def score_emotions(spark, sf):
-    return scoring.score_emotions(_chunk_scores(spark, sf))
+    return scoring.score_emotions(_chunk_scores(spark, sf)).drop(VERSION)
 
 
 @_rounded
 def score_vad(spark, sf):
-    return scoring.score_vad(_chunk_scores(spark, sf))
+    return scoring.score_vad(_chunk_scores(spark, sf)).drop(VERSION)
 
 
 @_rounded
 def score_chunks(spark, sf):
     lexicons = d.lexicons(spark)
     chunks = chunking.create_chunks(d.books(spark, sf))
-    return scoring.score_chunks(chunks, lexicons.of_words, lexicons.small)
+    return scoring.score_chunks(chunks, lexicons.of_words, lexicons.small).drop(VERSION)
 
 
 @_rounded
@@ -325,6 +326,32 @@ def analyze_trajectory(spark, sf):
     )
 
 
+def _versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Every book, a copy of every second one, and the first half of every third one as another version."""
+    books = d.books(spark, sf)
+    number = F.col("book_id").cast("int")
+    half = F.expr("substring(text, 1, int(length(text) div 2))")
+    return books.union(books.where(number % 2 == 0)).union(books.where(number % 3 == 0).withColumn("text", half))
+
+
+@_rounded
+def book_versions(spark, sf):
+    """Copies of a text are one row, other texts of the same book another."""
+    rows = corpus.trajectories_of(_versions(spark, sf), d.lexicons(spark))
+    return rows.select("book_id", "title", "num_chunks", *AVERAGES, *RATIOS)
+
+
+@_rounded
+def book_versions_by_words(spark, sf):
+    """The same from chunks of words, and the version that is chosen of each book."""
+    chunks = chunking.create_chunks(_versions(spark, sf))
+    lexicons = d.lexicons(spark)
+    rows = trajectory.analyze_trajectory(scoring.score_chunks(chunks, lexicons.of_words, lexicons.small))
+    chosen = trajectory.dedupe_books(rows).select("book_id", "num_chunks", F.lit(True).alias("chosen"))
+    counted = rows.groupBy("book_id").agg(F.count("*").alias("versions"), F.max("num_chunks").alias("num_chunks"))
+    return counted.join(chosen, ["book_id", "num_chunks"], "left")
+
+
 @_rounded
 def trajectory_points(spark, sf):
     return trajectory.explode_arcs(d.trajectories(spark, sf))
@@ -396,6 +423,37 @@ def adhoc_text_input(spark, sf):
     return rows.select("book_id", "title", "author", "num_chunks", *AVERAGES, *RATIOS)
 
 
+@_rounded
+def adhoc_files(spark, sf):
+    """Text files with topics fitted on them: one file for each benchmark item."""
+    items = d.table(spark, sf, "benchmark").where(F.length("text") > 0)
+    path = fresh_path(spark, "stories")
+    items.select(F.concat(F.lit("my_story_"), "item_id", F.lit(".txt")).alias("item"), "text").repartition(8, "item").write.partitionBy("item").text(path)
+    found = adhoc.analyze_input(spark, d.lexicons(spark), text_path=path, id_pattern="/item=([^/]+)/", num_topics=3)
+    total = F.aggregate("book_topics", F.lit(0.0), lambda a, x: a + x)
+    topics = found.topics.select("book_id", F.size("book_topics").alias("topics"), total.alias("in_topics"))
+    scored = found.chunk_scores.groupBy("book_id").agg(F.count("*").alias("scored_chunks"))
+    rows = found.trajectory.select("book_id", "title", "author", "num_chunks", *AVERAGES)
+    return rows.join(scored, "book_id").join(topics, "book_id", "left").na.fill(0, ["topics"])
+
+
+@_rounded
+def adhoc_book_by_id(spark, sf):
+    """One book of the catalogue, read from its own file, and what resembles it in the corpus."""
+    path, catalogue = fresh_path(spark, "library"), _catalogue_file(spark, sf)
+    text = d.books(spark, sf, spread=False).where(F.col("book_id") == LIKED).select("text")
+    text.coalesce(1).write.text(f"{path}/{LIKED}")
+    found = adhoc.analyze_input(
+        spark, d.lexicons(spark), book_id=f" {LIKED} ", books_path=path, metadata_path=catalogue, id_pattern="/([^/]+)/[^/]+$"
+    )
+    others = d.trajectories(spark, sf).where(F.col("book_id") != LIKED)
+    near = adhoc.recommend_for(others, found.trajectory, LIKED, weights={"feature": 1.0}, with_arc=False)
+    best = near.agg(F.sort_array(F.collect_list(F.struct(F.round(-F.col("similarity"), 9).alias("s"), "book_id"))).alias("b"))
+    return found.trajectory.select("book_id", "title", "author", "num_chunks", *AVERAGES).withColumn(
+        "hits", best.select(F.array_join("b.book_id", "|")).scalar()
+    )
+
+
 @_rounded
 def stored_or_fresh_input(spark, sf):
     """Stored trajectories of labelled books are preferred; the others are computed."""
@@ -687,14 +745,14 @@ def _chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def term_counts(spark, sf):
-    """Occurrences of each vocabulary term over all chunks, counted by grouping."""
-    return vec.term_counts(_chunks(spark, sf), models.full_vocabulary(spark, sf))
+    """Occurrences of each word that two chunks have, over all chunks."""
+    return vec.term_counts(_chunks(spark, sf))
 
 
 @query
 def vocabulary_counts(spark, sf):
-    """The same from the count vectors themselves, summed over all chunks."""
-    vocabulary = models.full_vocabulary(spark, sf)
+    """Those of the words of a model, from its count vectors, summed over all chunks."""
+    vocabulary = models.vocabulary(spark, sf)
     counted = vec.topic_features(models.chunks(spark, sf), vocabulary).select(F.col("features").cast("string").alias("f"))
     # A sparse vector prints as (size,[places],[counts]).
     lists = F.split(F.regexp_extract("f", r"\[(.*)\],\[(.*)\]", 1), ","), F.split(F.regexp_extract("f", r"\[(.*)\],\[(.*)\]", 2), ",")
@@ -709,6 +767,15 @@ def word2vec_fit(spark, sf):
     return models.fit_word2vec(spark, sf).getVectors().select("word")
 
 
+@query
+def word2vec_twins(spark, sf):
+    """Words that always stand between the same words, with the word nearest to each."""
+    rows, words = models.planted_twins(spark, sf)
+    model = vec.train_word2vec(rows.repartition(4), vector_size=50, max_iter=5)
+    pairs = models.nearest_words(model, [*words, *(f"{w}_twin" for w in words)])
+    return spark.createDataFrame(pairs, "word string, nearest string")
+
+
 @query
 def chunk_embeddings(spark, sf):
     words, model = models.chunks(spark, sf), models.word2vec(spark, sf)
@@ -752,12 +819,16 @@ def model_reuse(spark, sf):
     books = d.books(spark, sf)
     fitted = corpus.fit_models(books, SAMPLE_SIZE, partitions=4)
     rows = corpus.enriched_trajectories(books, d.lexicons(spark), fitted)
-    return rows.select(
-        "book_id",
-        "num_chunks",
-        F.size("book_embedding").alias("dimensions"),
-        F.size("book_topics").alias("topics"),
-    )
+    return _with_vector_facts(rows, models.chunks(spark, sf), fitted)
+
+
+def _with_vector_facts(rows: DataFrame, chunks: DataFrame, fitted: dict) -> DataFrame:
+    """Sizes of the vectors of each book, and whether they are the means over its chunks."""
+    embedded = vec.chunk_embeddings(chunks, fitted["word2vec"]).drop(VERSION)
+    mixed = vec.chunk_topics(vec.topic_features(chunks, fitted["count_vectorizer"]), fitted["lda"]).drop(VERSION)
+    of_words = models.mean_facts(embedded, "embedding_vector", rows, "book_embedding").toDF("book_id", "dimensions", "is_mean_of_words")
+    of_topics = models.mean_facts(mixed, "topic_distribution", rows, "book_topics").toDF("book_id", "topics", "is_mean_of_topics")
+    return rows.select("book_id", "num_chunks").join(of_words, "book_id").join(of_topics, "book_id")
 
 
 @query
@@ -792,3 +863,15 @@ def incremental_ingest(spark, sf):
     for _ in range(2):
         stream.ingest(spark, source, sink, checkpoint, d.lexicons(spark), files_per_batch=2)
     return tables.load_trajectories(spark, sink).select("book_id", "title", "author", "num_chunks", *AVERAGES, *RATIOS)
+
+
+@query
+def incremental_ingest_models(spark, sf):
+    """Micro-batches with embeddings and topics, one of them replayed; vectors are compared with a second computation."""
+    fitted = {"word2vec": models.word2vec(spark, sf), "count_vectorizer": models.vocabulary(spark, sf), "lda": models.lda(spark, sf)}
+    source, sink = fresh_path(spark, "arriving"), fresh_path(spark, "sink")
+    checkpoint = fresh_path(spark, "progress")
+    d.books(spark, sf).repartition(4, "book_id").write.parquet(source)
+    stream.ingest(spark, source, sink, checkpoint, d.lexicons(spark), fitted, files_per_batch=2)
+    stream.append_batch(spark.read.parquet(source), sink, d.lexicons(spark), fitted)
+    return _with_vector_facts(tables.load_trajectories(spark, sink), models.chunks(spark, sf), fitted)

@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storytide.workspace import fresh_path
+from storytide.workspace import kept
 
 HELD_ROWS = 1 << 16  # that a task collects before it drops what cannot be among the best
 
@@ -24,9 +24,7 @@ def values_at(rows: DataFrame, column: str, places: dict[str, tuple[int, int]],
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     split = [column, *([F.xxhash64(*ties)] if ties else [])]
     spread = rows.where(F.col(column).isNotNull()).repartitionByRange(parts, *split)
-    path = fresh_path(spark, "ranges")
-    spread.select(F.col(column).alias("value"), F.spark_partition_id().alias("part")).write.parquet(path)
-    ranges = spark.read.parquet(path)
+    ranges = kept(spread.select(F.col(column).alias("value"), F.spark_partition_id().alias("part")), "ranges")
     # One row for each range reaches the task of this window.
     every = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -44,6 +42,19 @@ def values_at(rows: DataFrame, column: str, places: dict[str, tuple[int, int]],
     return chosen.agg(*[F.max(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in places])
 
 
+def numbered(rows: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """``rows`` with their place in an order, from 0: ranges over all tasks, counted, and numbered
+    behind the ranges before. ``order`` must tell all rows apart."""
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = kept(rows.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "ordered")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    sizes = ranges.groupBy("part").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    inside = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
+    placed = ranges.withColumn("inside", inside).join(F.broadcast(sizes.drop("n")), "part")
+    return placed.withColumn(name, F.col("before") + F.col("inside")).drop("part", "inside", "before")
+
+
 def _window_limit(rows: DataFrame) -> int:
     """Up to which rank Spark cuts a ranking inside each task, before the shuffle."""
     return int(rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))

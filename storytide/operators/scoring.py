@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storytide.operators.chunking import normalise
-from storytide.schema import CHUNK_KEY, DIMENSIONS, EMOTIONS
+from storytide.schema import CHUNK_KEY, DIMENSIONS, EMOTIONS, with_version
 from storytide.workspace import MAX_BROADCAST_ROWS, within
 
 # No word can equal it: normalised text has letters, digits and spaces only.
@@ -57,9 +57,10 @@ def word_scores(emotions: DataFrame, vad: DataFrame, only: str | None = None) ->
 def _aggregate(hits: DataFrame) -> DataFrame:
     """Hits (each with the number of ``times`` it occurs) to one row per chunk.
 
-    A chunk is identified by its key. If the same book was ingested more than once its
-    copies fall together here; counts are then per copy, so a duplicate never inflates
-    a book and no group grows with the number of copies.
+    A chunk is identified by its key, the hash of its book's text included. If the same text was
+    ingested more than once its copies fall together here; counts are then per copy, so a
+    duplicate never inflates a book and no group grows with the number of copies. Different texts
+    under one id stay apart.
     """
 
     def per_copy(total: str) -> str:
@@ -71,7 +72,7 @@ def _aggregate(hits: DataFrame) -> DataFrame:
     measures = [f"{per_copy(f'sum({e} * times)')} AS {e}" for e in EMOTIONS]
     measures += [f"{mean(d)} AS avg_{d}" for d in DIMENSIONS]
     measures.append(f"{per_copy('sum(if(valence IS NULL, 0, times))')} AS vad_word_count")
-    return hits.groupBy(*CHUNK_KEY).agg(*[F.expr(m) for m in measures])
+    return hits.groupBy(*with_version(CHUNK_KEY, hits)).agg(*[F.expr(m) for m in measures])
 
 
 def _score(tokens: DataFrame, lexicon: DataFrame, small: bool | None) -> DataFrame:
@@ -82,10 +83,11 @@ def _score(tokens: DataFrame, lexicon: DataFrame, small: bool | None) -> DataFra
     # Too large to send everywhere: count repeated words first, then join on word and
     # salt so that a frequent word is spread over SALTS tasks. Marker rows carry a key of
     # their own, unmatched by design, so they do not gather in one task.
-    chunk = f"xxhash64({', '.join(CHUNK_KEY)})"
-    counted = tokens.groupBy(*CHUNK_KEY, "token").agg(F.count(F.lit(1)).alias("times"))
+    key = with_version(CHUNK_KEY, tokens)
+    chunk = f"xxhash64({', '.join(key)})"
+    counted = tokens.groupBy(*key, "token").agg(F.count(F.lit(1)).alias("times"))
     keyed = counted.selectExpr(
-        *CHUNK_KEY,
+        *key,
         "times",
         f"if(token = '{MARKER}', times, 0) AS marks",
         f"if(token = '{MARKER}', concat('{MARKER}', {chunk}), token) AS word",
@@ -110,7 +112,7 @@ def score_chunks(chunks: DataFrame, lexicon: DataFrame, small: bool | None = Non
     """
     given = f"coalesce(array_remove(words, '{MARKER}'), array())"
     marked = f"explode(concat(array('{MARKER}'), {given})) AS token"
-    return _score(chunks.selectExpr(*CHUNK_KEY, marked), lexicon, small)
+    return _score(chunks.selectExpr(*with_version(CHUNK_KEY, chunks), marked), lexicon, small)
 
 
 def score_text(chunk_texts: DataFrame, lexicon: DataFrame, small: bool | None = None) -> DataFrame:
@@ -120,12 +122,12 @@ def score_text(chunk_texts: DataFrame, lexicon: DataFrame, small: bool | None =
     which gives the same counts as taking them out of each text.
     """
     marked = f"explode(split(concat('{MARKER} ', plain), ' ')) AS token"
-    return _score(normalise(chunk_texts).selectExpr(*CHUNK_KEY, marked), lexicon, small)
+    return _score(normalise(chunk_texts).selectExpr(*with_version(CHUNK_KEY, chunk_texts), marked), lexicon, small)
 
 
 def score_emotions(chunk_scores: DataFrame) -> DataFrame:
-    return chunk_scores.select(*CHUNK_KEY, *EMOTIONS)
+    return chunk_scores.select(*with_version(CHUNK_KEY, chunk_scores), *EMOTIONS)
 
 
 def score_vad(chunk_scores: DataFrame) -> DataFrame:
-    return chunk_scores.select(*CHUNK_KEY, *[f"avg_{d}" for d in DIMENSIONS], "vad_word_count")
+    return chunk_scores.select(*with_version(CHUNK_KEY, chunk_scores), *[f"avg_{d}" for d in DIMENSIONS], "vad_word_count")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from storytide.schema import (
     AVG_DIMENSIONS,
@@ -15,9 +16,13 @@ from storytide.schema import (
     EMOTIONS,
     EVEN_SHARE,
     RATIOS,
+    TRAJECTORY,
+    VERSION,
     conform,
+    with_version,
 )
 
+TRAJECTORY_OF_VERSION = T.StructType([*TRAJECTORY, T.StructField(VERSION, T.LongType())])
 NORMS = tuple(f"{e}_norm" for e in EMOTIONS)
 
 
@@ -37,7 +42,7 @@ def normalise_chunks(chunk_scores: DataFrame) -> DataFrame:
 
 def trajectory_points(chunk_scores: DataFrame) -> DataFrame:
     """The arcs in long form: one row per book and chunk position, nothing collected."""
-    return normalise_chunks(chunk_scores).select(*CHUNK_KEY, *NORMS)
+    return normalise_chunks(chunk_scores).select(*with_version(CHUNK_KEY, chunk_scores), *NORMS)
 
 
 def explode_arcs(trajectories: DataFrame) -> DataFrame:
@@ -50,9 +55,11 @@ def explode_arcs(trajectories: DataFrame) -> DataFrame:
     )
 
 
-def analyze_trajectory(chunk_scores: DataFrame, with_arc: bool = True) -> DataFrame:
+def analyze_trajectory(chunk_scores: DataFrame, with_arc: bool = True, keep_version: bool = False) -> DataFrame:
     """One row per book: mean scores, chunk count, emotion ratios and the arc.
 
+    Versions of a book, which differ in their text, are rows of their own; :func:`dedupe_books`
+    chooses one. ``keep_version`` adds the hash of the text, for joins with vectors of the version.
     The arc holds one point per chunk position, so its length is the number of chunks a
     book is cut into. For input with unlimited positions (dialogues) leave it out and
     use :func:`trajectory_points`.
@@ -65,18 +72,25 @@ def analyze_trajectory(chunk_scores: DataFrame, with_arc: bool = True) -> DataFr
         rows = normalise_chunks(chunk_scores)
         point = f"array(double(chunk_index), {', '.join(NORMS)})"
         measures.append(F.expr(f"sort_array(collect_list({point})) AS emotion_trajectory"))
-    books = rows.groupBy(*BOOK_KEY).agg(*measures).where(F.col("num_chunks") > 0)
-    return conform(books.selectExpr("*", *shares(AVG_EMOTIONS, RATIOS)))
+    books = rows.groupBy(*with_version(BOOK_KEY, rows)).agg(*measures).where(F.col("num_chunks") > 0)
+    whole = books.selectExpr("*", *shares(AVG_EMOTIONS, RATIOS))
+    if not keep_version or VERSION not in rows.columns:
+        return conform(whole)
+    return conform(whole, TRAJECTORY_OF_VERSION)
 
 
 def attach_vectors(
     trajectories: DataFrame, embeddings: DataFrame | None = None, topics: DataFrame | None = None
 ) -> DataFrame:
-    """Left-join book embeddings and topic mixtures (``book_id`` with one array each)."""
+    """Left-join book embeddings and topic mixtures (``book_id`` with one array each).
+
+    Where both sides tell versions of a book apart, each version gets its own.
+    """
     joined = trajectories
     for column, vectors in (("book_embedding", embeddings), ("book_topics", topics)):
         if vectors is not None:
-            joined = joined.drop(column).join(vectors.select("book_id", column), "book_id", "left")
+            key = [c for c in ("book_id", VERSION) if c in joined.columns and c in vectors.columns]
+            joined = joined.drop(column).join(vectors.select(*key, column), key, "left")
     return conform(joined)
 
 

@@ -2,27 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer, Word2Vec
+from pyspark.ml.feature import CountVectorizerModel, Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storytide.workspace import MAX_BROADCAST_ROWS
+from storytide.operators import ranks
+from storytide.schema import with_version
 
 SEED = 42
+MAX_VOCABULARY = 1 << 18
+_CHUNK = ("book_id", "chunk_index")
 
 
-def vector_mean(vectors: DataFrame, key: str, column: str, result: str) -> DataFrame:
-    """Element-wise mean of an array column per key; null vectors are skipped.
+def vector_mean(vectors: DataFrame, key: str | Sequence[str], column: str, result: str) -> DataFrame:
+    """Element-wise mean of an array column per key (one column or several); null vectors are skipped.
 
     The mean is a real partial aggregate: a task sends one vector per key, however many
     rows the key has.
     """
     usable = vectors.where(F.col(column).isNotNull())
     as_vector = array_to_vector(F.col(column).cast("array<double>"))
-    return usable.groupBy(key).agg(vector_to_array(Summarizer.mean(as_vector)).alias(result))
+    return usable.groupBy(*([key] if isinstance(key, str) else key)).agg(vector_to_array(Summarizer.mean(as_vector)).alias(result))
 
 
 def train_word2vec(
@@ -47,38 +52,55 @@ def train_word2vec(
 
 def chunk_embeddings(chunks: DataFrame, model) -> DataFrame:
     """Mean word vector per chunk; words unknown to the model count as zero vectors."""
-    embedded = model.transform(chunks.select("book_id", "chunk_index", "words"))
+    embedded = model.transform(chunks.select(*with_version(_CHUNK, chunks), "words"))
     return embedded.select(
-        "book_id", "chunk_index", vector_to_array("word_vectors").alias("embedding_vector")
+        *with_version(_CHUNK, chunks), vector_to_array("word_vectors").alias("embedding_vector")
     )
 
 
 def book_embedding(embeddings: DataFrame) -> DataFrame:
-    return vector_mean(embeddings, "book_id", "embedding_vector", "book_embedding")
+    return vector_mean(embeddings, with_version(("book_id",), embeddings), "embedding_vector", "book_embedding")
+
+
+def vocabulary_table(chunks: DataFrame, min_df: float = 2.0) -> DataFrame:
+    """``word, n, chunks, place``: the words of at least ``min_df`` chunks (below 1: that share of all chunks).
+
+    ``n`` counts occurrences, ``place`` numbers words from the most frequent one, equal ones by
+    spelling. Occurrences and chunks of a word are counted in one pass, in each task first; the
+    vocabulary of a corpus of any size stays a table.
+    """
+    least = F.lit(min_df)
+    if min_df < 1:
+        least = F.lit(min_df) * chunks.agg(F.count("*").alias("n")).scalar()
+    once, seen = F.lit(1).cast("long"), F.lit(0).cast("long")
+    every = F.transform("words", lambda w: F.struct(w.alias("word"), once.alias("n"), seen.alias("chunks")))
+    each = F.transform(F.array_distinct("words"), lambda w: F.struct(w.alias("word"), seen.alias("n"), once.alias("chunks")))
+    rows = chunks.select(F.explode(F.concat(every, each)).alias("t")).select("t.*")
+    counted = rows.groupBy("word").agg(F.sum("n").alias("n"), F.sum("chunks").alias("chunks")).where(F.col("chunks") >= least)
+    return ranks.numbered(counted, [F.desc("n"), F.asc("word")], "place")
 
 
 def fit_vocabulary(chunks: DataFrame, vocab_size: int = 5000, min_df: float = 2.0):
-    """Term vocabulary; one chunk is one document."""
-    return CountVectorizer(
-        inputCol="words", outputCol="features", vocabSize=vocab_size, minDF=min_df
-    ).fit(chunks.select("words"))
+    """The ``vocab_size`` most frequent words as a model that counts them; one chunk is one document.
+
+    Only these words reach the driver, at most ``MAX_VOCABULARY``.
+    """
+    if vocab_size > MAX_VOCABULARY:
+        raise ValueError(f"a model has at most {MAX_VOCABULARY} words; count more with term_counts")
+    words = vocabulary_table(chunks, min_df).where(F.col("place") < vocab_size).orderBy("place").select("word").collect()
+    if not words:
+        raise ValueError(f"no word occurs in {min_df:g} chunks")
+    return CountVectorizerModel.from_vocabulary([row.word for row in words], inputCol="words", outputCol="features")
 
 
 def topic_features(chunks: DataFrame, vocabulary) -> DataFrame:
     """Term counts per chunk."""
-    return vocabulary.transform(chunks.select("book_id", "chunk_index", "words"))
+    return vocabulary.transform(chunks.select(*with_version(_CHUNK, chunks), "words"))
 
 
-def term_counts(chunks: DataFrame, vocabulary) -> DataFrame:
-    """``word, n``: how often each term of the vocabulary occurs in all chunks together.
-
-    Words are counted per task before the shuffle. The vocabulary is at most as long as
-    the size it was fitted with, which also bounds the broadcast.
-    """
-    terms = chunks.sparkSession.createDataFrame([(w,) for w in vocabulary.vocabulary], "word string")
-    counted = chunks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("word").alias("n"))
-    known = F.broadcast(terms) if len(vocabulary.vocabulary) <= MAX_BROADCAST_ROWS else terms
-    return terms.join(counted.join(known, "word", "left_semi"), "word", "left").na.fill(0, ["n"])
+def term_counts(chunks: DataFrame, min_df: float = 2.0) -> DataFrame:
+    """``word, n``: how often each word of the vocabulary occurs in all chunks together."""
+    return vocabulary_table(chunks, min_df).select("word", "n")
 
 
 def train_lda(features: DataFrame, num_topics: int = 10, max_iter: int = 50, seed: int = SEED):
@@ -90,11 +112,11 @@ def train_lda(features: DataFrame, num_topics: int = 10, max_iter: int = 50, see
 def chunk_topics(features: DataFrame, model) -> DataFrame:
     """Topic mixture per chunk."""
     mixed = model.transform(features)
-    return mixed.select("book_id", "chunk_index", vector_to_array("topics").alias("topic_distribution"))
+    return mixed.select(*with_version(_CHUNK, features), vector_to_array("topics").alias("topic_distribution"))
 
 
 def book_topics(topics: DataFrame) -> DataFrame:
-    return vector_mean(topics, "book_id", "topic_distribution", "book_topics")
+    return vector_mean(topics, with_version(("book_id",), topics), "topic_distribution", "book_topics")
 
 
 def topic_rank(books: DataFrame, top: int = 5) -> DataFrame:

@@ -15,7 +15,7 @@ from storytide.operators.trajectory import analyze_trajectory, union_query_row
 from storytide.plans.corpus import Lexicons, chunk_scores_of
 from storytide.plans.recommend import recommend
 from storytide.schema import BOOKS, conform
-from storytide.sources.books import load_metadata, load_text_files, lookup_book, read_book
+from storytide.sources.books import ID_IN_PATH, load_metadata, load_text_files, lookup_book, read_book
 
 
 @dataclass
@@ -67,21 +67,23 @@ def analyze_input(
     language: str | None = None,
     stored: DataFrame | None = None,
     num_topics: int | None = None,
+    id_pattern: str = ID_IN_PATH,
 ) -> Analysis:
     """Analyse text files, or one book of the catalogue.
 
     Give ``num_topics`` to fit topics on the input as well. Without any input, or for a
-    book the catalogue does not list, a ``ValueError`` is raised.
+    book the catalogue does not list, a ``ValueError`` is raised. ``id_pattern`` says where a path
+    has the id of the file, for books that are folders.
     """
     if text_path:
-        books = load_text_files(spark, text_path)
+        books = load_text_files(spark, text_path, id_pattern)
         stored = None
     elif book_id and metadata_path:
         listed = lookup_book(load_metadata(spark, metadata_path, language), book_id)
         if listed.isEmpty():
             raise ValueError(f"book {book_id} is not in the catalogue")
         named = listed.select(F.trim("book_id").alias("book_id"), "title", "author").limit(1)
-        books = conform(read_book(spark, books_path, str(book_id).strip()).join(named, "book_id"), BOOKS)
+        books = conform(read_book(spark, books_path, str(book_id).strip(), id_pattern).join(named, "book_id"), BOOKS)
     else:
         raise ValueError("give a text path, or a book id with the path of its catalogue")
     trajectory, scores = input_trajectory(books, lexicons, stored)

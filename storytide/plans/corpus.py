@@ -18,7 +18,7 @@ from storytide.operators.trajectory import analyze_trajectory, attach_vectors
 from storytide.operators import vectors as vec
 from storytide.functions.text import is_word
 from storytide.schema import BOOKS, conform
-from storytide.workspace import MAX_BROADCAST_ROWS, within
+from storytide.workspace import MAX_BROADCAST_ROWS, kept, within
 
 
 class Lexicons:
@@ -118,13 +118,17 @@ def enriched_trajectories(
     models: dict | None = None,
     num_chunks: int = tx.DEFAULT_CHUNKS,
 ) -> DataFrame:
-    """Trajectories with the vectors of whichever models are given."""
+    """Trajectories with the vectors of whichever models are given.
+
+    With models, the chunks of words are written once; scores, embeddings and topics are read from
+    there, so that texts are cut and tokenized once.
+    """
     books = conform(books, BOOKS)
     models = models or {}
     if not models:
         return trajectories_of(books, lexicons, num_chunks)
-    chunks = create_chunks(books, num_chunks, lexicons.stop_words)
-    scored = analyze_trajectory(score_chunks(chunks, lexicons.of_words, lexicons.small))
+    chunks = kept(create_chunks(books, num_chunks, lexicons.stop_words), "chunks")
+    scored = analyze_trajectory(score_chunks(chunks, lexicons.of_words, lexicons.small), keep_version=True)
     return attach_vectors(scored, *_book_vectors(chunks, models))
 
 

@@ -12,7 +12,7 @@ from storytide.operators import ranks
 from storytide.plans.explore import superlatives
 from storytide.plans.recommend import preset_comparison, recommend_batch
 from storytide.schema import DIMENSIONS, EMOTIONS
-from storytide.workspace import fresh_path
+from storytide.workspace import kept
 
 
 def _distribution(trajectories: DataFrame, columns: dict[str, str], label: str) -> DataFrame:
@@ -90,13 +90,6 @@ def reciprocity(recommendations: DataFrame) -> DataFrame:
     )
 
 
-def _kept(rows: DataFrame, name: str) -> DataFrame:
-    """Rows that several statistics read, written once."""
-    path = fresh_path(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def evaluation_report(
     trajectories: DataFrame,
     ids: Sequence[str],
@@ -105,7 +98,7 @@ def evaluation_report(
     preset: str = "balanced",
 ) -> DataFrame:
     """Quality metrics of a set of query books as one row."""
-    return _quality(_kept(recommend_batch(trajectories, ids, top_n, preset=preset, metadata=metadata), "hits"), ids)
+    return _quality(kept(recommend_batch(trajectories, ids, top_n, preset=preset, metadata=metadata), "hits"), ids)
 
 
 def _quality(hits: DataFrame, ids: Sequence[str]) -> DataFrame:
@@ -135,9 +128,9 @@ def full_report(
     spark = trajectories.sparkSession
     ids = list(dict.fromkeys(str(i) for i in ids))
     started = time.monotonic()
-    hits = _kept(recommend_batch(trajectories, ids, top_n, preset=preset, metadata=metadata), "hits")
+    hits = kept(recommend_batch(trajectories, ids, top_n, preset=preset, metadata=metadata), "hits")
     seconds = time.monotonic() - started
-    compared = _kept(preset_comparison(trajectories, [preset_book or ids[0]], metadata), "presets")
+    compared = kept(preset_comparison(trajectories, [preset_book or ids[0]], metadata), "presets")
 
     # Field names of the report.
     given = [(i, (names or {}).get(i), list((genres or {}).get(i, []))) for i in ids]

@@ -20,6 +20,13 @@ AVERAGES = AVG_EMOTIONS + AVG_DIMENSIONS
 RATIOS = tuple(f"ratio_{e}" for e in EMOTIONS)
 BOOK_KEY = ("book_id", "title", "author")
 CHUNK_KEY = (*BOOK_KEY, "chunk_index")
+# Hash of the text that a chunk was cut from: copies of a book have one, other versions another.
+VERSION = "text_hash"
+
+
+def with_version(key: tuple[str, ...], rows: DataFrame) -> tuple[str, ...]:
+    """``key``, and the version of the text where ``rows`` tell it."""
+    return (*key, VERSION) if VERSION in rows.columns else key
 
 
 def _struct(**fields: T.DataType) -> T.StructType:

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storytide.functions import text as tx
-from storytide.operators.joins import join_metadata, restrict_to
 from storytide.operators.chunking import create_chunks
+from storytide.operators.joins import restrict_to
 from storytide.schema import BOOKS, METADATA, conform
 from storytide.functions.stopwords import ENGLISH
 from storytide.sources.tables import CSV_OPTIONS
+from storytide.workspace import kept
 
 # Column names of the catalogue file, with the names used here.
 CATALOGUE_COLUMNS = {
@@ -25,6 +28,7 @@ CATALOGUE_COLUMNS = {
 }
 # Fixed value: a book's id is the name of its file.
 ID_IN_PATH = "/([^/]+)$"
+FILES_PER_SCAN = 50_000  # paths told to one scan, and rows broadcast beside it
 
 
 def load_metadata(spark: SparkSession, path: str, language: str | None = "en") -> DataFrame:
@@ -59,6 +63,49 @@ def spread_small_scan(scan: DataFrame, key: str = "book_id") -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(2 * cores, key)
 
 
+def list_books(spark: SparkSession, path: str, id_pattern: str = ID_IN_PATH) -> DataFrame:
+    """``book_id, path`` of the files in a folder; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(F.regexp_extract("path", id_pattern, 1).alias("book_id"), "path")
+
+
+def _as_glob(path: str) -> str:
+    """A path that is read as it stands, not as a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def _text(strip_markers: bool, fold_newlines: bool) -> Column:
+    """The text of a file, decoded and cleaned once."""
+    text = tx.decode_utf8(F.col("content"))
+    if fold_newlines:
+        text = tx.fold_newlines(text)
+    return tx.strip_markers(text) if strip_markers else text
+
+
+def read_listed(listed: DataFrame, strip_markers: bool = True, fold_newlines: bool = False) -> DataFrame:
+    """The columns of ``listed`` (``path`` and others) with the ``text`` of each file.
+
+    Only these files are opened. The driver is told their paths, as Spark's own listing of a folder does;
+    everything else stays in tables: files are read in blocks of about ``FILES_PER_SCAN``, and the columns of a
+    block are few enough to be broadcast to the tasks that read it, so texts stay where they are read.
+    """
+    spark = listed.sparkSession
+    listed = kept(listed, "listed")
+    blocks = -(-listed.count() // FILES_PER_SCAN)
+    number = F.pmod(F.xxhash64("path"), F.lit(max(1, blocks)))
+    text = _text(strip_markers, fold_newlines).alias("text")
+    columns = [c for c in listed.columns if c != "path"]
+    parts = []
+    for i in range(blocks):
+        mine = listed.where(number == i)
+        paths = [_as_glob(row.path) for row in mine.select("path").distinct().toLocalIterator()]
+        if paths:
+            files = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file"), "content")
+            parts.append(files.join(F.broadcast(mine), F.col("file") == F.col("path")).select(*columns, text))
+    empty = listed.select(*columns, F.lit(None).cast("string").alias("text")).limit(0)
+    return reduce(DataFrame.unionByName, parts) if parts else empty
+
+
 def load_books(
     spark: SparkSession,
     path: str,
@@ -68,17 +115,34 @@ def load_books(
 ) -> DataFrame:
     """``book_id, text`` from one file per book."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    text = tx.decode_utf8(F.col("content"))
-    if fold_newlines:
-        text = tx.fold_newlines(text)
-    if strip_markers:
-        text = tx.strip_markers(text)
+    text = _text(strip_markers, fold_newlines)
     return files.select(F.regexp_extract("path", id_pattern, 1).alias("book_id"), text.alias("text"))
 
 
-def read_book(spark: SparkSession, books_path: str, book_id: str) -> DataFrame:
+def read_book(spark: SparkSession, books_path: str, book_id: str, id_pattern: str = ID_IN_PATH) -> DataFrame:
     """``book_id, text`` of one book, line ends folded. A missing file is an error."""
-    return load_books(spark, f"{books_path.rstrip('/')}/{book_id}", fold_newlines=True)
+    return load_books(spark, f"{books_path.rstrip('/')}/{_as_glob(book_id)}", id_pattern, fold_newlines=True)
+
+
+def load_listed_books(
+    spark: SparkSession,
+    books_path: str,
+    metadata: DataFrame,
+    ids: DataFrame | None = None,
+    limit: int | None = None,
+    id_pattern: str = ID_IN_PATH,
+) -> DataFrame:
+    """The books of a catalogue with title, author and text.
+
+    The files are listed first and joined with the catalogue by the ids in their names; only
+    what is left is read. ``ids`` (a frame with ``book_id``) picks books and wins over ``limit``.
+    """
+    named = metadata.select("book_id", "title", "author")
+    if ids is not None:
+        named = restrict_to(named, ids)
+    elif limit:
+        named = named.orderBy("book_id").limit(limit)
+    return conform(read_listed(list_books(spark, books_path, id_pattern).join(named, "book_id")), BOOKS)
 
 
 def load_and_chunk_books(
@@ -92,23 +156,16 @@ def load_and_chunk_books(
     id_pattern: str = ID_IN_PATH,
     stop_words: Sequence[str] = ENGLISH,
 ) -> DataFrame:
-    """Files to chunks of words, for the books of the catalogue.
-
-    ``ids`` (a frame with ``book_id``) picks books and wins over ``limit``.
-    """
-    metadata = load_metadata(spark, metadata_path, language).select("book_id", "title", "author")
-    if ids is not None:
-        metadata = restrict_to(metadata, ids)
-    elif limit:
-        metadata = metadata.orderBy("book_id").limit(limit)
-    books = join_metadata(load_books(spark, books_path, id_pattern), metadata)
-    return create_chunks(conform(books, BOOKS), num_chunks, stop_words)
+    """Files to chunks of words, for the books of the catalogue (see :func:`load_listed_books`)."""
+    metadata = load_metadata(spark, metadata_path, language)
+    books = load_listed_books(spark, books_path, metadata, ids, limit, id_pattern)
+    return create_chunks(books, num_chunks, stop_words)
 
 
-def load_text_files(spark: SparkSession, path: str) -> DataFrame:
+def load_text_files(spark: SparkSession, path: str, id_pattern: str = ID_IN_PATH) -> DataFrame:
     """Ad-hoc text files as a corpus; the title is the file name in words."""
-    files = spark.read.format("binaryFile").load(path)
-    name = F.regexp_extract("path", ID_IN_PATH, 1)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    name = F.regexp_extract("path", id_pattern, 1)
     return files.select(
         name.alias("book_id"),
         F.replace(F.replace(name, F.lit(".txt"), F.lit("")), F.lit("_"), F.lit(" ")).alias("title"),

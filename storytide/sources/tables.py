@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import LocalLDAModel
 from pyspark.ml.feature import CountVectorizerModel, Word2VecModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -33,7 +33,36 @@ def save_trajectories(trajectories: DataFrame, path: str, mode: str = "overwrite
 
 def load_trajectories(spark: SparkSession, path: str) -> DataFrame:
     """Stored trajectories in the fixed schema; older files may lack optional columns."""
-    return spark.read.schema(TRAJECTORY).parquet(path)
+    return spark.read.schema(TRAJECTORY).parquet(path).select(TRAJECTORY.names)
+
+
+# Number of folders of a sink that grows by small batches. A batch reads those of its ids only.
+SINK_BUCKETS = 64
+BUCKET = "bucket"
+
+
+def bucket_of(book_id: str = "book_id", buckets: int = SINK_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(book_id), F.lit(buckets)).cast("int")
+
+
+def append_to_sink(trajectories: DataFrame, path: str, buckets: int = SINK_BUCKETS) -> None:
+    """Add rows to a sink, one file for each bucket they fall into.
+
+    The number of buckets is a property of a sink: it must not change while it grows.
+    """
+    rows = conform(trajectories).withColumn(BUCKET, bucket_of(buckets=buckets))
+    spread = rows.repartition(buckets, BUCKET)
+    spread.write.options(**LOOKUP_OPTIONS).mode("append").partitionBy(BUCKET).parquet(path)
+
+
+def stored_ids(spark: SparkSession, path: str, ids: DataFrame, buckets: int = SINK_BUCKETS) -> DataFrame:
+    """The ids of a sink that are among ``ids``, read from the folders of their buckets alone.
+
+    At most ``buckets`` numbers are told to the driver: the partition filter of the scan.
+    """
+    mine = sorted(row[0] for row in ids.select(bucket_of(buckets=buckets)).distinct().collect() if row[0] is not None)
+    stored = spark.read.schema(T.StructType([TRAJECTORY["book_id"], T.StructField(BUCKET, T.IntegerType())])).parquet(path)
+    return stored.where(F.col(BUCKET).isin(mine)).select("book_id")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -101,3 +130,15 @@ def load_models(spark: SparkSession, directory: str) -> dict:
         for name, reader in MODEL_READERS.items()
         if exists(spark, f"{directory}/{name}")
     }
+
+
+def export_name(name: str, text_file: str | None = None) -> str:
+    """Under which name a result for a book or a text file is saved: without path separators, and for
+    a text file its own name in words."""
+    # The id that stands for a text file, and the beginning of the name.
+    if name == "text_file" and text_file:
+        base = text_file.replace("\\", "/").rsplit("/", 1)[-1]
+        cleaned = base.replace(".txt", "").replace("_", " ")
+    else:
+        cleaned = name.replace("/", "_").replace("\\", "_")
+    return f"recommendations_for_{cleaned}"

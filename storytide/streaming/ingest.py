@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from storytide.functions import text as tx
@@ -9,8 +11,8 @@ from storytide.plans.corpus import Lexicons, enriched_trajectories
 from storytide.operators.joins import restrict_to
 from storytide.operators.trajectory import dedupe_books
 from storytide.schema import BOOKS
-from storytide.sources.tables import exists, load_trajectories, save_trajectories
-from storytide.workspace import MAX_BROADCAST_ROWS, broadcast_if_small
+from storytide.sources.tables import append_to_sink, exists, stored_ids
+from storytide.workspace import MAX_BROADCAST_ROWS, broadcast_if_small, kept
 
 
 def book_stream(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:
@@ -21,35 +23,44 @@ def book_stream(spark: SparkSession, path: str, files_per_batch: int) -> DataFra
 def without_stored(spark: SparkSession, batch: DataFrame, sink: str) -> DataFrame:
     """The rows of ``batch`` whose book the sink does not hold yet.
 
-    The sink grows without end and the batch does not: the batch ids go to the sink's
-    id column, and what they meet there comes back as a list no longer than the batch.
+    The sink grows without end and the batch does not: only the buckets of the batch's ids are
+    read, and what is found there comes back as a list no longer than the batch.
     """
     if not exists(spark, sink):
         return batch
-    stored = load_trajectories(spark, sink)
-    present = restrict_to(stored.select("book_id"), batch, MAX_BROADCAST_ROWS).distinct()
+    present = restrict_to(stored_ids(spark, sink, batch), batch, MAX_BROADCAST_ROWS).distinct()
     return batch.join(broadcast_if_small(present), "book_id", "left_anti")
 
 
+def commit_path(sink: str, progress: str, batch_id: int) -> str:
+    """The marker of a batch that is in the sink. Batches are numbered by the progress folder that a
+    stream keeps, so markers of another one do not count. Readers of the sink skip the folder."""
+    stream = hashlib.sha256(progress.encode()).hexdigest()[:16]
+    return f"{sink.rstrip('/')}/_committed/{stream}/{batch_id}"
+
+
 def append_batch(
     batch: DataFrame,
     sink: str,
     lexicons: Lexicons,
     models: dict | None = None,
     num_chunks: int = tx.DEFAULT_CHUNKS,
+    marker: str | None = None,
 ) -> None:
     """Score a micro-batch and append the books the sink lacks.
 
-    A batch replayed after a failure finds its own rows in the sink and adds only the
-    rest. The narrow trajectory rows are checked, not the texts, and they are kept for
-    the duration of the append so that the check does not score them twice.
+    With ``marker``, a batch that was appended before is not even read. One that failed after or during
+    its append finds its own rows in the sink and adds only the rest. The narrow trajectory
+    rows are checked, not the texts; they are written once so that the check does not score
+    them again, and with models the chunks of words are, so that texts are cut once.
     """
     spark = batch.sparkSession
-    scored = dedupe_books(enriched_trajectories(batch, lexicons, models, num_chunks)).persist()
-    try:
-        save_trajectories(without_stored(spark, scored, sink), sink, mode="append")
-    finally:
-        scored.unpersist()
+    if marker and exists(spark, marker):
+        return
+    scored = kept(dedupe_books(enriched_trajectories(batch, lexicons, models, num_chunks)), "batch")
+    append_to_sink(without_stored(spark, scored, sink), sink)
+    if marker:
+        spark.range(1).write.mode("overwrite").parquet(marker)
 
 
 def ingest(
@@ -70,7 +81,9 @@ def ingest(
         book_stream(spark, source, files_per_batch)
         .writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, _: append_batch(batch, sink, lexicons, models, num_chunks))
+        .foreachBatch(
+            lambda batch, number: append_batch(batch, sink, lexicons, models, num_chunks, commit_path(sink, checkpoint, number))
+        )
         .start()
     )
     query.awaitTermination()

@@ -39,6 +39,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/storytide/{uuid.uuid4().hex}/{name}"
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, whoever is lost later."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def within(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows.
 

@@ -108,6 +108,71 @@ def test_replayed_batch_adds_only_what_is_missing(spark, tmp_path):
     assert as_rows(tables.load_trajectories(spark, sink)) == as_rows(corpus.trajectories_of(books(spark, rows), lex, 3))
 
 
+def test_models_in_the_stream_and_a_replay(spark, tmp_path, monkeypatch):
+    lex, rows = lexicons(spark), sample(12)
+    models = corpus.fit_models(books(spark, rows), 12, num_chunks=3, vector_size=4, num_topics=2, lda_iterations=2)
+    source, sink, progress = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    books(spark, rows).repartition(3).write.parquet(source)
+    st.ingest(spark, source, sink, progress, lex, models, num_chunks=3, files_per_batch=1)
+    stored = {r.book_id: r for r in tables.load_trajectories(spark, sink).collect()}
+    want = {r.book_id: r for r in corpus.enriched_trajectories(books(spark, rows), lex, models, 3).collect()}
+    assert set(stored) == set(want)
+    for book_id, row in want.items():
+        assert stored[book_id].book_embedding == pytest.approx(row.book_embedding)
+        assert stored[book_id].book_topics == pytest.approx(row.book_topics)
+    # A batch whose marker is there is not read again, whatever it holds; another stream's marker does not count.
+    marker = st.commit_path(sink, progress, 0)
+    assert tables.exists(spark, marker)
+    st.append_batch(books(spark, [("new", "good storm")]), sink, lex, models, 3, marker)
+    assert tables.load_trajectories(spark, sink).count() == 12
+    st.append_batch(books(spark, [("new", "good storm")]), sink, lex, models, 3, st.commit_path(sink, "elsewhere", 0))
+    assert tables.load_trajectories(spark, sink).count() == 13
+
+
+def test_texts_are_cut_once_for_all_models(spark, tmp_path):
+    frame = books(spark, sample(6))
+    frame.write.parquet(str(tmp_path / "texts"))
+    models = corpus.fit_models(frame, 6, num_chunks=2, vector_size=4, num_topics=2, lda_iterations=1)
+    plan = corpus.enriched_trajectories(spark.read.parquet(str(tmp_path / "texts")), lexicons(spark), models, 2)._jdf.queryExecution().toString()
+    assert "/texts" not in plan and "/chunks" in plan
+
+
+def test_versions_have_vectors_of_their_own(spark):
+    one, two = "whale ship " * 30, "wedding dance letter " * 20
+    frame = books(spark, [("1", one), ("1", two), ("1", one), ("2", one)])
+    models = corpus.fit_models(books(spark, sample(30)), 30, num_chunks=2, vector_size=4, num_topics=2, lda_iterations=2)
+    rows = corpus.enriched_trajectories(frame, lexicons(spark), models, 2).collect()
+    assert sorted(r.book_id for r in rows) == ["1", "1", "2"]
+    two_of_one = [r for r in rows if r.book_id == "1"]
+    same = next(r for r in rows if r.book_id == "2")
+    assert sum(r.book_embedding == pytest.approx(same.book_embedding) for r in two_of_one) == 1
+
+
+def test_vocabulary_is_counted_and_ordered(spark):
+    chunks = spark.createDataFrame([(["b", "a", "b"],), (["a", "c"],), (["c", "b", "d", "d", "d"],), ([],)], "words array<string>").repartition(2)
+    rows = vec.vocabulary_table(chunks, 2).orderBy("place").collect()
+    assert [(r.word, r.n, r.chunks, r.place) for r in rows] == [("b", 3, 2, 0), ("a", 2, 2, 1), ("c", 2, 2, 2)]
+    assert {r.word for r in vec.vocabulary_table(chunks, 0.2).collect()} == {"a", "b", "c", "d"}
+    assert vec.fit_vocabulary(chunks, 2).vocabulary == ["b", "a"] and vec.fit_vocabulary(chunks, 9, 1.0).vocabulary == ["b", "d", "a", "c"]
+    for size, least in ((1 << 19, 2.0), (10, 9.0)):
+        with pytest.raises(ValueError):
+            vec.fit_vocabulary(chunks, size, least)
+
+
+def test_twins_are_found_by_learnt_vectors_only(spark):
+    rng = random.Random(4)
+    words = ["whale", "ship", "storm", "letter", "dance", "clue"]
+    rows = [(f"{i}", 0, [rng.choice(words) for _ in range(60)]) for i in range(60)]
+    chunks = spark.createDataFrame(rows, "book_id string, chunk_index int, words array<string>")
+    planted, chosen = checks.planted_twins_of(chunks)
+    model = vec.train_word2vec(planted.coalesce(1), vector_size=20, max_iter=5)
+    asked = [*chosen, *(f"{w}_twin" for w in chosen)]
+    want = {w: f"{w}_twin" for w in chosen} | {f"{w}_twin": w for w in chosen}
+    assert dict(checks.nearest_words(model, asked)) == want
+    alone = planted.select(F.explode("words").alias("word")).select(F.array("word").alias("words"))
+    assert dict(checks.nearest_words(vec.train_word2vec(alone.coalesce(1), vector_size=20), asked)) != want
+
+
 def test_checks_of_models_fail_on_wrong_vectors(spark):
     chunks = create_chunks(books(spark, sample(12)), 2).cache()
     model = vec.train_word2vec(chunks, vector_size=8)

@@ -1,4 +1,8 @@
+import contextlib
+import io
 import random
+import re
+from urllib.parse import unquote
 
 import pytest
 
@@ -10,6 +14,13 @@ from storytide.sources import lexicons as lex
 from storytide.sources import tables
 
 
+def plan_of(frame):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        frame.explain()
+    return out.getvalue()
+
+
 def test_emotion_lexicon(spark, tmp_path):
     path = tmp_path / "emotions.txt"
     path.write_text("good\tjoy\t1\ngood\ttrust\t1\ngood\tfear\t0\nbad\tpositive\t1\nonlyword\nx\tjoy\tnotanumber\n\ny\tjoy\t1\textra\n")
@@ -67,6 +78,48 @@ def test_books_from_files(spark, tmp_path):
     assert {r.book_id for r in src.load_and_chunk_books(spark, *paths, num_chunks=1, language=None, limit=2).collect()} == {"1"}
 
 
+@pytest.mark.parametrize("per_scan", [1, 50_000])
+def test_only_listed_files_are_read(spark, tmp_path, monkeypatch, per_scan):
+    monkeypatch.setattr(src, "FILES_PER_SCAN", per_scan)
+    folder = tmp_path / "books"
+    folder.mkdir()
+    for name in ("1", "2", "a[b]*", "x y", "é{1}"):
+        (folder / name).write_text(f"text of {name}")
+    names = [("1", "One"), ("1", "One again"), ("a[b]*", "Odd"), ("x y", "Spaced"), ("é{1}", "Braces"), ("none", "No file")]
+    metadata = spark.createDataFrame([(i, t, "A") for i, t in names], "book_id string, title string, author string")
+    got = src.load_listed_books(spark, str(folder), metadata)
+    assert sorted((r.title, r.text) for r in got.collect()) == sorted((t, f"text of {i}") for i, t in names[:-1])
+    opened = {unquote(path.rsplit("/", 1)[1]) for path in got.inputFiles() if "/books/" in path}
+    assert opened == {"1", "a[b]*", "x y", "é{1}"}
+    assert "content" not in src.list_books(spark, str(folder))._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0]
+    assert src.load_listed_books(spark, str(folder), metadata.limit(0)).count() == 0
+    few = spark.createDataFrame([("x y",)], "book_id string")
+    assert src.load_listed_books(spark, str(folder), metadata, few).inputFiles()[0].endswith("x%20y")
+
+
+def test_sink_reads_the_buckets_of_a_batch_only(spark, tmp_path):
+    rng = random.Random(2)
+    sink = str(tmp_path / "sink")
+    tables.append_to_sink(trajectories(spark, [book_row(str(i), rng) for i in range(40)]), sink, buckets=16)
+    tables.append_to_sink(trajectories(spark, [book_row(str(i), rng) for i in range(40, 50)]), sink, buckets=16)
+    assert {r.book_id for r in tables.load_trajectories(spark, sink).collect()} == {str(i) for i in range(50)}
+    assert tables.load_trajectories(spark, sink).schema == TRAJECTORY
+    asked = spark.createDataFrame([("3",), ("44",), ("new",)], "book_id string")
+    found = tables.stored_ids(spark, sink, asked, buckets=16)
+    assert {"3", "44"} <= {r.book_id for r in found.collect()} and found.count() < 50
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket", plan_of(found)) and "ReadSchema: struct<book_id:string>" in plan_of(found)
+    read = {path.split("bucket=")[1].split("/")[0] for path in found.inputFiles()}
+    assert len(read) <= 16
+
+
+@pytest.mark.parametrize(
+    ("name", "file", "want"),
+    [("7", None, "7"), ("a/b\\c", None, "a_b_c"), ("text_file", "/x/my_own story.txt", "my own story"), ("text_file", None, "text_file"), ("12", "y.txt", "12")],
+)
+def test_export_names(name, file, want):
+    assert tables.export_name(name, file) == f"recommendations_for_{want}"
+
+
 def test_only_a_missing_path_counts_as_absent(spark, tmp_path):
     assert not tables.exists(spark, str(tmp_path / "nothing"))
     assert tables.exists(spark, str(tmp_path))
