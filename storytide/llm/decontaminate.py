@@ -15,7 +15,7 @@ The sets grow with the benchmark, not with the corpus, and are broadcast only af
 Null texts and texts without words have no hits. Items without words have no window; items
 with a null id mark words but are not counted or listed. Repeated items count once, repeated
 documents each give a row. An empty benchmark finds nothing. Columns other than ``doc_id`` and
-``text`` are kept by :func:`remove` and never read.
+``text`` are kept by :func:`remove`, whatever their names, and never read.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storytide.llm.runtime import stored
+from storytide.llm.runtime import stored, whole_rows
 from storytide.workspace import broadcast_if_small
 
 WINDOW = 10
@@ -174,9 +174,10 @@ def remove(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", size:
     bad = hits(docs, benchmark, size).where(F.size("spans") > 0).select(
         F.col("doc_id").alias("_bad_id"), F.col("_text_hash").alias("_bad_hash"), F.col("spans").alias("_spans")
     )
-    same = docs["doc_id"].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs["text"], F.length(docs["text"])) == F.col("_bad_hash"))
+    rows = whole_rows(docs)
+    same = F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text", F.length("text")) == F.col("_bad_hash"))
     if mode == "documents":
-        return docs.join(bad.drop("_spans"), same, "left_anti")
-    kept = docs.join(bad, same, "left")
-    text = F.when(F.col("_spans").isNull(), docs["text"]).otherwise(_without(docs["text"], F.col("_spans")))
-    return kept.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns])
+        return rows.join(bad.drop("_spans"), same, "left_anti").select("row.*")
+    kept = rows.join(bad, same, "left")
+    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(_without(F.col("text"), F.col("_spans")))
+    return kept.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])

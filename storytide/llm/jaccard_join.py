@@ -25,8 +25,9 @@ Links become components by alternating stars. Texts with equal sets are joined b
 
 Null texts and texts without a word have no shingles, link with nothing and are components of
 their own. Repeated rows (same id and text) count as one text and each get a row; a null id
-comes last. An empty table gives an empty result. Columns other than ``doc_id`` and ``text``
-are carried by :func:`keep_first` and never read. Shingles are compared by 48-bit hashes.
+comes last; ids that are not whole numbers are numbered first. An empty table gives an empty result. Columns
+other than ``doc_id`` and ``text`` are carried by :func:`keep_first`, whatever their names, and never
+read. Shingles are compared by 48 bits of a hash of their words.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 
 from storytide.llm import textbytes
 from storytide.llm.components import components
-from storytide.llm.runtime import partitions, ship, stored, with_key
+from storytide.llm.runtime import only, partitions, ship, stored, whole_rows, with_key
 
 WORDS = 5
 NEED, OF = 3, 4  # similarity of at least 3/4
@@ -356,8 +357,12 @@ def links(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     counts = volume.join(alone, "pivot", "left").where("n > 1 or able = 1")
     counts = counts.select("pivot", F.ceil(F.greatest(F.col("n") / REGION, F.col("shingles") / REGION_SHINGLES)).cast("int").alias("parts"))
     dealt = pairs.join(counts, "pivot").select("pivot", "doc", "parts", F.pmod(F.xxhash64("doc"), "parts").cast("int").alias("part"))
+    dealt = stored(dealt, "dealt")
     own = counts.select("pivot", F.col("pivot").alias("doc"), "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    packed = texts.mapInArrow(textbytes.squeezed, "doc long, text binary").dropDuplicates(["doc"])
+    # only texts that are in a region are moved
+    asked = dealt.select("doc").union(own.select("doc")).distinct()
+    kept = only(texts, asked, "doc")
+    packed = kept.mapInArrow(textbytes.squeezed, "doc long, text binary").dropDuplicates(["doc"])
     region = dealt.union(own).join(packed, "doc")
     joined = stored(region.groupBy("pivot", "part").applyInArrow(lambda t: _join_region(t), LINK_SCHEMA), "links")
     out = same.select(F.col("doc").alias("u"), F.col("first").alias("v")).union(joined.where("kind = 0").select("u", "v"))
@@ -402,6 +407,6 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
     Of repeated rows of that document one stays.
     """
-    keyed = with_key(docs)
+    keyed = with_key(whole_rows(docs))
     labels = components(links(keyed)[1]).where("node != component").select(F.col("node").alias("doc"))
-    return keyed.join(labels, "doc", "left_anti").dropDuplicates(["doc"]).select(docs.columns)
+    return keyed.join(labels, "doc", "left_anti").dropDuplicates(["doc"]).select("row.*")

@@ -120,7 +120,10 @@ class Compressors:
 
 
 def predict(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
-    """``docs`` with ``lang_pred, score, margin, rejected``; reads nothing but ``text``."""
+    """``docs`` with ``lang_pred, score, margin, rejected``; reads nothing but ``text``.
+
+    Columns of ``docs`` with one of these names are replaced, all others are kept.
+    """
     spark = docs.sparkSession
     ship(spark)
     known = spark.sparkContext.broadcast(dictionaries)
@@ -135,4 +138,4 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
 
     judge = F.pandas_udf(run, RESULT)
     rest = [c for c in docs.columns if c not in RESULT.names]
-    return docs.select(*rest, judge("text").alias("_p")).select(*rest, "_p.*")
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), judge("text").alias("p")).select("row.*", "p.*")

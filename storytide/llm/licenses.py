@@ -206,10 +206,11 @@ def scan(docs: DataFrame, path: Column, weights: Weights | None = None) -> DataF
     telling = _words(kinds["header"].telling(SIMILAR))
     strong, weak = map(_words, kinds["file"].strong_and_weak(SIMILAR))
     clean = F.regexp_replace(F.regexp_replace(F.lower("text"), SPDX + r"[ \t]*\(?", SPDX + " "), _HOLDER, "copyright ")
-    rows = docs.select("doc_id", path.alias("path"), clean.alias("whole"))
+    own_key = F.xxhash64("doc_id", path, "text")  # rows of one id and path may differ in their text
+    rows = docs.select(own_key.alias("_doc"), clean.alias("whole"))
     rows = rows.withColumn("terms", F.array_distinct(terms_of(F.col("whole"))))
     may_be_file = F.arrays_overlap("terms", strong) | (F.size(F.array_intersect("terms", weak)) > WEAK)
-    rows = rows.select("doc_id", "path", "whole", F.arrays_overlap("terms", telling).alias("heads"), may_be_file.alias("may_be_file"))
+    rows = rows.select("_doc", "whole", F.arrays_overlap("terms", telling).alias("heads"), may_be_file.alias("may_be_file"))
     rows = rows.where("heads or may_be_file")
     rows = rows.withColumn("lines", F.when(F.col("heads"), F.split("whole", "\n")).otherwise(F.array().cast("array<string>")))
     starts = F.filter(F.transform("lines", lambda x, i: F.when(F.arrays_overlap(terms_of(x), telling), i + 1)), lambda i: i.isNotNull())
@@ -221,7 +222,7 @@ def scan(docs: DataFrame, path: Column, weights: Weights | None = None) -> DataF
     plain = F.regexp_replace("whole", SPDX + r" \S+", " ")
     none = F.array().cast("array<struct<found:string,piece:string>>")
     tagged = rows.select(
-        F.xxhash64("doc_id", "path").alias("_doc"),
+        "_doc",
         F.explode(
             F.concat(
                 F.transform(headers, lambda x: F.struct(F.lit("header").alias("found"), x.alias("piece"))),
@@ -242,7 +243,7 @@ def scan(docs: DataFrame, path: Column, weights: Weights | None = None) -> DataF
         F.min(F.when(F.col("found") == "header", order)).alias("header"),
         F.min(F.when(F.col("found") == "file", order)).alias("file"),
     )
-    named = docs.select("doc_id", path.alias("path")).withColumn("_doc", F.xxhash64("doc_id", "path"))
+    named = docs.select("doc_id", path.alias("path"), own_key.alias("_doc"))
     full = named.join(own, "_doc", "left")
 
     steps = F.split("path", "/")

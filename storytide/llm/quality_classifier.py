@@ -228,7 +228,10 @@ def train(rows: DataFrame) -> Trees:
 
 
 def score(docs: DataFrame, trees: Trees) -> DataFrame:
-    """``docs`` with ``score``, the probability of label 1, and ``predicted``."""
+    """``docs`` with ``score``, the probability of label 1, and ``predicted``.
+
+    Columns of ``docs`` with one of these names are replaced, all others are kept.
+    """
     spark = docs.sparkSession
     ship(spark)
     known = spark.sparkContext.broadcast(trees)

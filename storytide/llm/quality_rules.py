@@ -17,7 +17,7 @@ estimate of their own; without any estimate a document is kept.
 
 Null texts are empty and fail. Null languages and sources are groups of their own. Repeated
 rows are judged one by one. An empty table gives an empty result. All work is done by
-built-in expressions; other columns are carried along and not read.
+built-in expressions; other columns are carried along by :func:`keep_good`, whatever their names.
 """
 
 from __future__ import annotations
@@ -235,4 +235,5 @@ def report(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with the columns of ``docs``."""
-    return judge(docs, docs.columns).where("_verdict.kept").select(docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text", "lang", "source")
+    return judge(rows, ["row"]).where("_verdict.kept").select("row.*")

@@ -9,7 +9,9 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from storytide.operators.joins import restrict_to
 from storytide.workspace import fresh_path
 
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -21,7 +23,8 @@ _shipped: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once for each application.
 
-    Also bounds the batches that go to them by size, as a batch of long texts may be large.
+    Also bounds the batches that go to them by size for the rest of the session, as a batch of long
+    texts may be large.
     """
     spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     app = spark.sparkContext.applicationId
@@ -47,6 +50,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def only(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """The rows of ``docs`` whose ``name`` is among ``ids``; texts are not shuffled for it.
+
+    A list too long to be broadcast is sent as a bitmap, as for books.
+    """
+    found = restrict_to(docs.withColumnRenamed(name, "book_id"), ids.select(F.col(name).alias("book_id")))
+    return found.withColumnRenamed("book_id", name)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -56,15 +68,22 @@ def fold(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5)), F.lit(1))
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns as one struct), ``doc_id`` and ``text``: whatever the columns are named, they
+    cannot be taken for those that an operator adds. ``select("row.*")`` gives them back."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
+
+
 def with_key(docs: DataFrame, name: str = "doc") -> DataFrame:
-    """``docs`` with a number for each document that orders them by id.
+    """``docs`` (without other columns named like ``name``) with a number for each document that orders them by id.
 
-    The id itself, unless an id is missing or stands for several texts: then the place among
-    the distinct (id, text hash) pairs, nulls last.
+    The id itself, unless an id is missing, is not a number of 62 bits or stands for several texts: then
+    the place among the distinct (id, text hash) pairs, nulls last.
     """
+    whole = isinstance(docs.schema["doc_id"].dataType, T.IntegralType)
     text_hash = F.xxhash64("text")
     pairs = docs.groupBy("doc_id").agg(F.min(text_hash).alias("x"), F.max(text_hash).alias("y"))
-    if pairs.where("doc_id is null or x != y").isEmpty():
+    if whole and pairs.where(f"doc_id is null or x != y or abs(doc_id) >= {1 << 61}").isEmpty():
         return docs.withColumn(name, F.col("doc_id").cast("long"))
     distinct = docs.select(F.col("doc_id").alias("_id"), text_hash.alias("_hash")).distinct()
     order = [F.col("_id").asc_nulls_last(), F.col("_hash")]

@@ -21,6 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from storytide.llm import textbytes
 from storytide.llm.automaton import Compiled, Rule, compile_rules, matches
@@ -85,7 +86,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, carry: list[str] | No
                 spans[i] = [{"kind": names[rule], "start": start, "stop": stop} for start, rule, stop in found]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(spans, pa.list_(item))], ["row", "spans"])
 
-    return sent.mapInArrow(run, f"row {sent.schema['row'].dataType.simpleString()}, spans {SPANS}")
+    spans = T.StructType.fromDDL(f"spans {SPANS}")["spans"]
+    return sent.mapInArrow(run, T.StructType([sent.schema["row"], spans]))
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -96,8 +98,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index("text")
-            column = batch.column(at)
+            column = batch.column("text")
             new: dict[int, str] = {}
             for _, i, found in find(column, compiled):
                 text, done, parts = column[i].as_py(), 0, []
@@ -110,10 +111,12 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
                 mask = np.zeros(len(column), bool)
                 mask[list(new)] = True
                 column = pc.replace_with_mask(column, pa.array(mask), pa.array([new[i] for i in sorted(new)], column.type))
-                batch = batch.set_column(at, batch.schema.field(at), column)
-            yield batch
+            yield pa.RecordBatch.from_arrays([batch.column("row"), column], ["row", "text"])
 
-    return docs.mapInArrow(run, docs.schema)
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"] or [F.lit(None).cast("int").alias("none")]
+    sent = docs.select(F.struct(*rest).alias("row"), "text")
+    clean = sent.mapInArrow(run, sent.schema)
+    return clean.select(*["text" if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def _listed(spans: Column) -> Column:

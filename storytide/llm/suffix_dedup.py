@@ -12,11 +12,15 @@ count, and no string crosses documents.
    stretch needs no more work. Only where several stretches share an anchor the first of each
    is fetched from its text.
 3. *Suffix arrays.* Each shard of such stretches sorts its suffixes by Larsson-Sadakane refinement:
-   ranks of ``LETTER`` bytes, doubled until they cover ``LENGTH`` bytes. Neighbours are
-   compared byte by byte in Kasai's order, where a suffix needs one new byte if the suffix before
-   it has the same neighbour. Of equal windows all but the first are removed.
+   ranks of ``LETTER`` bytes, doubled until they cover ``LENGTH`` bytes; only groups of equal
+   suffixes are sorted again. The common prefixes of neighbours are counted in Kasai's order of
+   places, in which each byte of a run of pairs is compared once. Of windows with ``LENGTH``
+   bytes in common all but the first are removed.
 4. *Merging.* An anchor with more than ``SPLIT`` stretches is dealt to several shards; their sorted
-   windows are merged by binary search of each run in the others.
+   windows are merged by binary search of each run in those merged before.
+
+In 3 bytes are compared. Whole stretches (2) and windows of different shards (4) are equal if 128 bits
+of two different hashes are.
 
 Null texts are empty. Repeated rows (same id and text) are one document and get the same
 result each. Rows with one id and different texts are ordered by a hash of the text; a null id
@@ -34,20 +38,21 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from storytide.llm import textbytes
-from storytide.llm.runtime import partitions, ship, stored, with_key
+from storytide.llm.runtime import only, partitions, ship, stored, with_key
 
 LENGTH = 100
 GRAM = 32
-LETTER = 50
+LETTER = 8
 SPLIT = 512
 SLICE_ANCHORS = 1_000_000
 BUCKETS = 4  # for each shuffle partition
 
 _PLACES = LENGTH - GRAM + 1
 BLOB_SCHEMA = "bucket int, a binary, c binary, doc binary, at binary, before binary, windows binary, done binary"
-MARK_SCHEMA = "kind int, doc long, start int, stop int, a long, part int"
+MARK_SCHEMA = "kind int, doc long, start int, stop int, a long, part int, b long"
 
 
 # ---------------------------------------------------------------- anchors
@@ -88,7 +93,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     first = np.maximum(starts[run], at - _PLACES + 1)
     last = np.minimum(ends[run] - 1, at)
     shape = (at - first) * LENGTH + (last - first)
-    stretch = textbytes.mix(textbytes.spans(sums, first, last + LENGTH) + textbytes.mix(shape.astype(np.uint64)))
+    stretch = textbytes.mix(textbytes.hashed(data, first, last + LENGTH) + textbytes.mix(shape.astype(np.uint64)))
     return at, hashes[at], first, last, stretch
 
 
@@ -167,7 +172,7 @@ def _find_anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[p
         yield _send(parts, buckets)
 
 
-def _marks(kind, doc, start, stop, a=None, part=None) -> pa.Table:
+def _marks(kind, doc, start, stop, a=None, part=None, b=None) -> pa.Table:
     n = len(doc)
     zero = np.zeros(n, np.int64)
     return pa.table(
@@ -178,6 +183,7 @@ def _marks(kind, doc, start, stop, a=None, part=None) -> pa.Table:
             "stop": pa.array(stop.astype(np.int32)),
             "a": pa.array(zero if a is None else a.view(np.int64)),
             "part": pa.array((zero if part is None else part).astype(np.int32)),
+            "b": pa.array(zero if b is None else b.view(np.int64)),
         }
     )
 
@@ -236,54 +242,67 @@ def _cut_out(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Reco
             )
 
 
-def _ranks(keys: np.ndarray) -> np.ndarray:
-    """Equal keys get equal ranks, in the order of the keys."""
-    order = np.argsort(keys)
-    ordered = keys[order]
-    step = np.ones(len(keys), np.int64)
-    step[1:] = ordered[1:] != ordered[:-1]
-    out = np.empty(len(keys), np.int64)
-    out[order] = np.cumsum(step) - 1
-    return out
-
-
-def suffix_order(data: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix array of the windows at ``valid``: places sorted by their first ``LENGTH`` bytes,
-    and the final ranks in that order.
+def suffix_order(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks of all suffixes by their first ``LENGTH`` bytes, and by the length refined before.
 
-    The first ranks are those of ``LETTER`` bytes, compared as one letter by their hash; each
-    round doubles the length by joining the rank of a place with the one ``h`` further on.
+    The first ranks are those of ``LETTER`` bytes. Each round sorts the suffixes of every group that is
+    not settled by the rank of what follows, which doubles the length. A group's rank is the
+    place of its first suffix in the order, so the other groups keep theirs.
     """
-    sums = textbytes.running(data)
-    h = LETTER
-    places = np.unique(np.concatenate([valid + x for x in range(0, LENGTH, h)]))
-    rank = np.zeros(len(data) + 1, np.int64)
-    rank[places] = _ranks(textbytes.mix(textbytes.spans(sums, places, places + h)))
+    n = len(data)
+    padded = np.concatenate([data, np.zeros(LETTER, np.uint8)])
+    letters = np.lib.stride_tricks.sliding_window_view(padded, LETTER)[:n]
+    letters = np.ascontiguousarray(letters).view(">u8").ravel().astype(np.uint64)
+    order = np.argsort(letters, kind="stable")
+    ordered = letters[order]
+    new = np.append(True, ordered[1:] != ordered[:-1])[:n]
+    rank = np.full(n + LENGTH, -1, np.int64)  # behind the end: before all others
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    h, before = LETTER, rank
     while h < LENGTH:
-        places = np.unique(np.concatenate([valid + x for x in range(0, LENGTH, 2 * h)]))
-        rank[places] = _ranks((rank[places] << np.int64(32)) | rank[places + h])
-        h *= 2
-    return valid, rank[valid]
-
-
-def _unequal(data: np.ndarray, place: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Which windows differ from those at ``other``, in Kasai's order of places.
-
-    The window after a pair that is equal needs its last byte compared only.
+        step, before = min(h, LENGTH - h), rank.copy()
+        alone = new & np.append(new[1:], True)
+        todo = np.flatnonzero(~alone)
+        if len(todo):
+            suffix = order[todo]
+            group, follows = before[suffix], before[suffix + step]
+            again = np.lexsort((follows, group))
+            suffix, group, follows = suffix[again], group[again], follows[again]
+            order[todo] = suffix
+            changed = np.append(True, (group[1:] != group[:-1]) | (follows[1:] != follows[:-1]))
+            new[todo] = changed
+            rank[suffix] = np.maximum.accumulate(np.where(changed, todo, 0))
+        h += step
+    return rank[:n], before[:n]
+
+
+def common_prefixes(data: np.ndarray, place: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Bytes (at most ``LENGTH``) that the suffixes at ``place`` and ``other`` have in common.
+
+    In Kasai's order of places: while both sides move on by one byte, the prefix that is left gets shorter
+    by one byte, so that only the bytes of a whole run are compared, each once.
     """
-    follows = np.zeros(len(place), bool)
-    follows[1:] = (place[1:] == place[:-1] + 1) & (other[1:] == other[:-1] + 1)
-    differ = data[place + LENGTH - 1] != data[other + LENGTH - 1]
-    heads = np.flatnonzero(~follows)
-    for lo in range(0, len(heads), 1 << 16):
-        some = heads[lo : lo + (1 << 16)]
-        reach = np.arange(LENGTH)
-        differ[some] = (data[place[some, None] + reach] != data[other[some, None] + reach]).any(axis=1)
-    # a difference anywhere in a chain reaches the windows that still hold that byte
-    chain = np.cumsum(~follows) - 1
-    last_bad = np.maximum.accumulate(np.where(differ, np.arange(len(place)), -LENGTH - 1))
-    recent = np.arange(len(place)) - last_bad < LENGTH
-    return differ | (recent & (last_bad >= heads[chain]))
+    out = np.zeros(len(place), np.int64)
+    if not len(place):
+        return out
+    heads = np.flatnonzero(np.append(True, (place[1:] != place[:-1] + 1) | (other[1:] != other[:-1] + 1)))
+    sizes = np.diff(np.append(heads, len(place)))
+    first = 0
+    while first < len(heads):  # some megabytes at a time
+        total = np.cumsum(sizes[first : first + (1 << 14)] + LENGTH - 1)
+        some = heads[first : first + max(1, int(np.searchsorted(total, textbytes.CHUNK_BYTES)))]
+        width = sizes[first : first + len(some)] + LENGTH - 1
+        base = np.cumsum(width) - width
+        inner = np.arange(int(width.sum())) - np.repeat(base, width)
+        differ = data[np.repeat(place[some], width) + inner] != data[np.repeat(other[some], width) + inner]
+        at = np.arange(len(inner))
+        end = np.repeat(base + width, width)
+        until = np.minimum(np.minimum.accumulate(np.where(differ, at, len(at))[::-1])[::-1], end)
+        windows = inner < np.repeat(width - LENGTH + 1, width)
+        low = some[0]
+        out[low : low + int(windows.sum())] = np.minimum(until - at, LENGTH)[windows]
+        first += len(some)
+    return out
 
 
 def _sort_shard(rows: pa.Table) -> pa.Table:
@@ -312,46 +331,55 @@ def _repeats(parts: pa.Array, doc: np.ndarray, start: np.ndarray, part: np.ndarr
     windows = np.diff(offsets) - LENGTH + 1
     of = np.repeat(np.arange(len(windows)), windows)
     inner = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
-    valid, rank = suffix_order(data, offsets[of] + inner)
-    at = start[of] + inner
-    order, new = _first_of(rank, doc[of], at)
-    before = np.zeros(len(order), np.int64)
-    before[1:] = order[:-1]
-    neighbour = np.empty(len(order), np.int64)
-    neighbour[order] = np.where(new, order, before)
-    wrong = _unequal(data, valid, valid[neighbour]) & (neighbour != np.arange(len(order)))
-    if wrong.any():  # two strings with one hash: give each its own rank
-        mixed = np.flatnonzero(np.isin(rank, rank[wrong]))
-        own = {data[valid[i] : valid[i] + LENGTH].tobytes() for i in mixed}
-        extra = {text: len(rank) + k for k, text in enumerate(sorted(own))}
-        rank = rank.copy()
-        rank[mixed] = [extra[data[valid[i] : valid[i] + LENGTH].tobytes()] for i in mixed]
-        order, new = _first_of(rank, doc[of], at)
+    valid, at = offsets[of] + inner, start[of] + inner
+    ranks, shorter = suffix_order(data)
+    order, new = _first_of(ranks[valid], doc[of], at)
+    # neighbours in the suffix array that the last round but one did not tell apart
+    above = np.append(0, order[:-1])
+    near = np.flatnonzero(np.append(False, shorter[valid[order[1:]]] == shorter[valid[order[:-1]]]))
+    near = near[np.argsort(order[near], kind="stable")]
+    prefix = np.zeros(len(order), np.int64)
+    prefix[near] = common_prefixes(data, valid[order[near]], valid[above[near]])
+    new = prefix < LENGTH
     lead = order[new][np.cumsum(new) - 1]
     late = order[~new & ((doc[of][order] != doc[of][lead]) | (at[order] != at[lead]))]
     out = [_marks(0, *_merged(doc[of][late], at[late], at[late] + LENGTH))]
     split = order[new & (part[of][order] > 0)]
     if len(split):
-        keys = textbytes.mix(textbytes.spans(textbytes.running(data), valid[split], valid[split] + LENGTH))
-        out.append(_marks(2, doc[of][split], at[split], at[split] + LENGTH, keys, part[of][split].astype(np.int64)))
+        begin, end = valid[split], valid[split] + LENGTH
+        keys = textbytes.mix(textbytes.spans(textbytes.running(data), begin, end))
+        second = textbytes.hashed(data, begin, end)
+        out.append(_marks(2, doc[of][split], at[split], at[split] + LENGTH, keys, part[of][split].astype(np.int64), second))
     return pa.concat_tables(out)
 
 
 def _merge_runs(rows: pa.Table) -> pa.Table:
-    """Windows that are found in an earlier place in the sorted run of another shard."""
-    part, key, doc, at = (rows.column(n).to_numpy() for n in ("part", "a", "doc", "start"))
-    runs = []
-    for p in np.unique(part):
-        mine = np.flatnonzero(part == p)
-        runs.append(mine[np.lexsort((at[mine], doc[mine], key[mine]))])
+    """Windows that an earlier place of another shard has too.
+
+    Runs are merged one by one: each window is looked up by binary search among those merged so
+    far, of which the first place is kept.
+    """
+    part, a, b, doc, at = (rows.column(n).to_numpy() for n in ("part", "a", "b", "doc", "start"))
+    _, key = np.unique(np.stack([a, b], axis=1), axis=0, return_inverse=True)
+    key = key.ravel()
     late = np.zeros(len(key), bool)
-    for i, run in enumerate(runs):
-        for other in runs[:i] + runs[i + 1 :]:
-            found = np.searchsorted(key[other], key[run])
-            found[found == len(other)] = 0
-            there = other[found]
-            earlier = (doc[there] < doc[run]) | ((doc[there] == doc[run]) & (at[there] < at[run]))
-            late[run] |= (key[there] == key[run]) & earlier
+    merged = np.zeros(0, np.int64)
+    for p in np.unique(part):
+        run = np.flatnonzero(part == p)
+        run = run[np.lexsort((at[run], doc[run], key[run]))]
+        again = np.append(False, key[run[1:]] == key[run[:-1]])
+        lead = run[~again][np.cumsum(~again) - 1]
+        late[run] = again & ((doc[run] != doc[lead]) | (at[run] != at[lead]))
+        run = run[~again]
+        place = np.searchsorted(key[merged], key[run])
+        known = place < len(merged)
+        known[known] = key[merged[place[known]]] == key[run[known]]
+        old, new = merged[place[known]], run[known]
+        earlier = (doc[new] < doc[old]) | ((doc[new] == doc[old]) & (at[new] < at[old]))
+        other = (doc[new] != doc[old]) | (at[new] != at[old])
+        late[np.where(earlier, old, new)[other]] = True
+        merged[place[known]] = np.where(earlier, new, old)
+        merged = np.insert(merged, place[~known], run[~known])
     return _marks(0, *_merged(doc[late], at[late].astype(np.int64), at[late].astype(np.int64) + LENGTH))
 
 
@@ -367,7 +395,9 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
     blobs = texts.mapInArrow(lambda x: _find_anchors(x, buckets), BLOB_SCHEMA)
     marks = stored(blobs.groupBy("bucket").applyInArrow(lambda t: _settle_bucket(t), MARK_SCHEMA), "anchors")
     asked = marks.where("kind = 1").groupBy("doc").agg(F.collect_list(F.struct("start", "stop", "a", "part")).alias("asked"))
-    squeezed = texts.mapInArrow(textbytes.squeezed, "doc long, text binary").dropDuplicates(["doc"])
+    # only texts with a stretch that must be compared are moved
+    needed = only(texts, marks.where("kind = 1").select("doc").distinct(), "doc")
+    squeezed = needed.mapInArrow(textbytes.squeezed, "doc long, text binary").dropDuplicates(["doc"])
     wanted = squeezed.join(asked, "doc")
     shape = "shard int, doc long, start int, a long, part int, bytes binary"
     stretches = wanted.mapInArrow(lambda x: _cut_out(x, buckets), shape)
@@ -379,11 +409,13 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
 
 
 def _with_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` with the text squeezed and ``_spans``, the intervals of each document."""
-    keyed = with_key(docs)
-    found = repeated_spans(keyed).groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
-    schema = ", ".join(f"`{c}` {'binary' if c == 'text' else t}" for c, t in keyed.dtypes)
-    return keyed.mapInArrow(textbytes.squeezed, schema).join(found, "doc", "left").drop("doc")
+    """``row`` (the columns of ``docs`` but the text), the text squeezed, and ``spans``, the intervals of each document."""
+    columns = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    keyed = with_key(docs.select(F.struct(*columns).alias("row"), "doc_id", "text"))
+    found = repeated_spans(keyed).groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    rows = keyed.select("row", "doc", "text")
+    schema = T.StructType([rows.schema["row"], T.StructField("doc", T.LongType()), T.StructField("text", T.BinaryType())])
+    return rows.mapInArrow(textbytes.squeezed, schema).join(found, "doc", "left").drop("doc")
 
 
 def _kept(packed: bytes | None, spans, unpack) -> tuple[int, list[bytes], int]:
@@ -401,13 +433,13 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpack = zstandard.ZstdDecompressor()
     for batch in batches:
         rows = []
-        for packed, spans in zip(batch.column("text"), batch.column("_spans")):
+        for packed, spans in zip(batch.column("text"), batch.column("spans")):
             size, parts, n = _kept(packed.as_py(), spans.values, unpack)
             kept = b"".join(parts)
             rows.append((size, size - len(kept), n, hashlib.sha256(kept).hexdigest()))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
         columns = [pa.array(x, k) for x, k in zip(zip(*rows), kinds)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        yield pa.RecordBatch.from_arrays([batch.column("row").field("doc_id"), *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -419,17 +451,16 @@ def report(docs: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated strings taken out of ``text``; null texts stay null."""
 
-    names = docs.columns
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             texts = []
-            for packed, spans in zip(batch.column("text"), batch.column("_spans")):
+            for packed, spans in zip(batch.column("text"), batch.column("spans")):
                 parts = _kept(packed.as_py(), spans.values, unpack)[1]
                 whole = "".join(p.decode("utf-8", "ignore") for p in parts)
                 texts.append(None if packed.as_py() is None else whole)
-            columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
 
-    return _with_spans(docs).mapInArrow(run, docs.schema)
+    spans = _with_spans(docs)
+    cleaned = spans.mapInArrow(run, T.StructType([spans.schema["row"], T.StructField("text", T.StringType())]))
+    return cleaned.select(*["text" if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from storytide.llm import chat, jaccard_join, packing, suffix_dedup, textbytes, token_files, tokens
+from storytide.llm import chat, decontaminate, jaccard_join, packing, quality_rules, secret_scan, suffix_dedup, textbytes, token_files, tokens
 from storytide.llm.components import components
 from tests.llm import plain
 
@@ -275,6 +275,65 @@ def test_reply_trees(spark):
     assert chat.format_paths(messages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("letters", [b"a", b"ab", b"abc\x00\xff"])
+def test_suffix_order_and_common_prefixes(letters):
+    r = random.Random(len(letters))
+    unit = bytes(r.choice(letters) for _ in range(170))
+    raw = b"".join(unit[r.randint(0, 60) : r.randint(100, 170)] + bytes(r.choice(letters) for _ in range(r.randint(0, 9))) for _ in range(14))
+    data, size = np.frombuffer(raw, np.uint8), suffix_dedup.LENGTH
+    valid = np.arange(len(raw) - size + 1)
+    windows = [raw[i : i + size] for i in valid]
+    ranks, shorter = suffix_dedup.suffix_order(data)
+    assert [windows[i] for i in np.lexsort((valid, ranks[valid]))] == sorted(windows)
+    assert len(np.unique(ranks[valid])) == len(set(windows))
+    assert len(np.unique(shorter[valid])) == len({w[:64] for w in windows})
+    others = np.array([r.randrange(len(valid)) for _ in valid])
+    others[40:120] = np.arange(7, 87)
+    common = suffix_dedup.common_prefixes(data, valid, others)
+    same = lambda x, y: next((i for i in range(size) if x[i] != y[i]), size)
+    assert common.tolist() == [same(windows[i], windows[j]) for i, j in zip(valid, others)]
+    assert suffix_dedup.common_prefixes(data, valid[:0], others[:0]).tolist() == []
+
+
+def test_runs_of_several_shards_are_merged():
+    r = random.Random(8)
+    rows = [{"part": r.randint(1, 6), "a": r.randint(0, 9), "b": r.randint(0, 1), "doc": r.randint(0, 30), "start": r.randint(0, 5)} for _ in range(300)]
+    rows = [dict(x) for x in {tuple(sorted(row.items())) for row in rows}]
+    spans = suffix_dedup._merge_runs(pa.Table.from_pylist(rows)).to_pylist()
+    got = {(x["doc"], i) for x in spans for i in range(x["start"], x["stop"])}
+    first = {}
+    for row in rows:
+        place = (row["doc"], row["start"])
+        first[row["a"], row["b"]] = min(place, first.get((row["a"], row["b"]), place))
+    # the earliest place of a window may be removed only where another window covers it
+    want = {(x["doc"], i) for x in rows if (x["doc"], x["start"]) != first[x["a"], x["b"]] for i in range(x["start"], x["start"] + 100)}
+    assert got == want
+
+
+CLASHES = "doc_id long, text string, lang string, source string, n_chars int, doc string, x0 string, _q string, _spans string, spans string, row string, score string, `a b.c` string, _bad_id string"
+
+
+def test_columns_of_any_name_come_back(spark):
+    text = "".join(f"word{i} other{i * 7 % 13} " for i in range(70))
+    rows = [(i, text + ("" if i % 2 else f" tail {i}"), "en", "s", 3, *[f"{c}{i}" for c in "abcdefghi"]) for i in range(6)]
+    docs = spark.createDataFrame(rows, CLASHES)
+    items = spark.createDataFrame([(1, "no such words here at all")], "item_id long, text string")
+    for stage in (quality_rules.keep_good, jaccard_join.keep_first, suffix_dedup.remove_repeats, lambda d: decontaminate.remove(d, items), lambda d: decontaminate.remove(d, items, "spans"), secret_scan.redact):
+        left = stage(docs)
+        assert left.schema.names == docs.schema.names
+        kept = left.collect()
+        assert kept and all(tuple(r)[2:] == rows[r.doc_id][2:] for r in kept)
+
+
+def test_ids_that_are_not_small_numbers(spark):
+    same = "one two three four five six seven"
+    large = [((1 << 62) + i, same if i % 2 else f"{same} and {i}") for i in range(4)]
+    got = jaccard_join.report(spark.createDataFrame(large, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: v[1] for i, v in plain.groups(large).items()}
+    names = spark.createDataFrame([("b", same), ("a", same), ("c", "else")], "doc_id string, text string")
+    assert {r.doc_id: r.component_id for r in jaccard_join.report(names).collect()} == {"a": "a", "b": "a", "c": "c"}
+
+
 def test_long_chains_do_not_make_large_plans(spark):
     rows = [(f"m{i:04}", f"m{i - 1:04}" if i else None, None if i % 7 == 0 else 1.0, "clash", i) for i in range(1000)]
     rows += [(f"s{i}", "m0400", float(i), "clash", 0) for i in range(6)]
