@@ -271,9 +271,16 @@ def scan(docs: DataFrame, path: Column, weights: Weights | None = None) -> DataF
 
 
 def document_path() -> Column:
-    """Documents as files: one directory for each source, in it one for each language."""
+    """Documents as files of a tree: a directory for each source, in it one for each language, in it one for
+    each hundred ids, in it one for each ten. Ids that end in 00 lie in the language's directory, others
+    that end in 0 in that of their hundred, the rest at the bottom."""
     unknown = F.lit("unknown")
-    return F.concat_ws("/", F.coalesce("source", unknown), F.coalesce("lang", unknown), F.coalesce(F.col("doc_id").cast("string"), unknown))
+    number = F.col("doc_id").cast("long")
+    hundred = F.concat(F.lit("h"), F.floor(number / 100).cast("string"))
+    ten = F.concat(F.lit("t"), F.floor(number / 10).cast("string"))
+    inner = F.when(number.isNull() | (number % 100 == 0), F.lit(None)).when(number % 10 == 0, hundred).otherwise(F.concat_ws("/", hundred, ten))
+    # concat_ws leaves out a directory that is null
+    return F.concat_ws("/", F.coalesce("source", unknown), F.coalesce("lang", unknown), inner, F.coalesce(F.col("doc_id").cast("string"), unknown))
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -126,6 +126,63 @@ def test_licenses(spark):
     assert licenses.scan(docs.limit(0), F.col("path")).count() == 0
 
 
+def test_rows_of_one_id_and_path_have_licenses_of_their_own(spark):
+    rows = [(1, "a/x", "Released under the MIT License.\n" + "more words " * 90), (1, "a/x", "nothing here"), (1, "a/x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = sorted(str(r.license) for r in licenses.scan(docs, F.col("path")).collect())
+    assert got == ["MIT", "None", "None"]
+
+
+def test_documents_inherit_from_directories_above(spark):
+    gpl, plain_text = dict(licenses.FULL)["GPL-2.0"], "nothing here"
+    rows = [(100, gpl), (110, "All rights reserved."), (101, plain_text), (111, plain_text), (112, plain_text), (205, plain_text), (None, plain_text)]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: (r.license, r.path) for r in licenses.report(docs).collect()}
+    assert got[100] == ("GPL-2.0", "s/en/100") and got[110] == ("proprietary", "s/en/h1/110")
+    assert got[101] == ("proprietary", "s/en/h1/t10/101") and got[111][0] == "proprietary"
+    assert got[205] == ("GPL-2.0", "s/en/h2/t20/205") and got[None] == ("GPL-2.0", "s/en/unknown")
+
+
+def brute_force_mcd(x, floors, share, starts=60, seed=0):
+    """The smallest log-determinant that concentration from random subsets finds."""
+    r, n = np.random.default_rng(seed), len(x)
+    h, ridge, best = int(np.ceil(share * n)), np.diag(np.square(floors)), np.inf
+    for _ in range(starts):
+        some = r.choice(n, 6, replace=False)
+        for _ in range(40):
+            c, s = x[some].mean(axis=0), np.cov(x[some].T, bias=True) + ridge
+            d = np.einsum("ij,jk,ik->i", x - c, np.linalg.inv(s), x - c)
+            new = np.argsort(d, kind="stable")[:h]
+            if set(new) == set(some):
+                break
+            some = new
+        best = min(best, np.linalg.slogdet(np.cov(x[some].T, bias=True) + ridge)[1])
+    return best
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_estimate_has_the_smallest_determinant_of_many_starts(spark, seed):
+    r = np.random.default_rng(seed)
+    mix = r.normal(size=(5, 5)) * 0.3
+    bulk = r.normal(size=(240, 5)) @ mix + 1
+    odd = r.normal(size=(50, 5)) * 0.05 + np.array([4, -3, 3, 2, -4])  # a tight cluster far away
+    x = np.round(np.concatenate([bulk, odd]), 4)
+    rows = spark.createDataFrame([(0, "en", "s", *map(float, v)) for v in x], "level int, lang string, source string, x0 double, x1 double, x2 double, x3 double, x4 double")
+    found = quality_rules.estimate(rows).first()
+    p = np.array([[found[f"p{i}{j}"] if j <= i else 0.0 for j in range(5)] for i in range(5)])
+    center = np.array([found[f"c{i}"] for i in range(5)])
+    determinant = -2 * np.log(np.diag(p)).sum()
+    assert determinant <= brute_force_mcd(x, quality_rules.FLOOR, quality_rules.SHARE) + 0.05
+    distance = (((x - center) @ p.T) ** 2).sum(axis=1) / found.factor
+    assert distance[:240].max() < distance[240:].min() and distance[240:].min() > quality_rules.MAX_DISTANCE
+
+
+@pytest.mark.parametrize("axis", range(5))
+def test_each_statistic_alone_can_reject(axis):
+    ranges = (np.log(40) - np.log(5), 3.0, 1.0, np.sqrt(0.5), 1.0)  # how far each can be from clean text
+    assert (ranges[axis] / quality_rules.FLOOR[axis]) ** 2 > quality_rules.MAX_DISTANCE
+
+
 def test_license_headers_and_files_not_in_the_tables(spark):
     full = dict(licenses.FULL)
     code = "\nimport nothing\n" + "def apply(values): return values\n" * 60
