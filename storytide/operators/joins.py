@@ -47,28 +47,33 @@ def _filter_bits(ids: int) -> int:
     return min(MAX_FILTER_BITS, 1 << max(15, (BITS_PER_ID * ids - 1).bit_length()))
 
 
-def _bitmap(ids: DataFrame, bits: int) -> DataFrame:
+def _bitmap(ids: DataFrame, bits: int, column: str) -> DataFrame:
     """A set of ids as ``bucket, bits``: one hash, ``bits`` bits in rows of 4 KB.
 
     Its size has a fixed bound, so it may always be broadcast. An id of the set is always
     found; one outside of it is found with a chance that grows with the set.
     """
-    place = F.pmod(F.xxhash64("book_id"), F.lit(bits))
+    place = F.pmod(F.xxhash64(column), F.lit(bits))
     placed = ids.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
     return placed.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
-def _with_hint(books: DataFrame, ids: DataFrame, bits: int) -> DataFrame:
+def _with_hint(books: DataFrame, ids: DataFrame, bits: int, column: str = "book_id") -> DataFrame:
     """``books`` with ``_maybe``: false only if the id is not in ``ids``. Texts stay in place."""
-    place = F.pmod(F.xxhash64("book_id"), F.lit(bits))
+    place = F.pmod(F.xxhash64(column), F.lit(bits))
     bit = F.bitmap_bit_position(place)
     marked = books.withColumns({"bucket": F.bitmap_bucket_number(place), "_bit": bit})
-    joined = marked.join(F.broadcast(_bitmap(ids, bits)), "bucket", "left")
+    joined = marked.join(F.broadcast(_bitmap(ids, bits, column)), "bucket", "left")
     byte = F.conv(F.hex(F.expr("substring(bits, int(_bit div 8) + 1, 1)")), 16, 10).cast("int")
     hint = F.expr("shiftleft(1, int(_bit % 8))").bitwiseAND(byte) != 0
     return joined.withColumn("_maybe", F.coalesce(hint, F.lit(False))).drop("bucket", "_bit", "bits")
 
 
+def likely_in(rows: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """The rows whose ``column`` is among ``values``, and few others: nothing is shuffled for it."""
+    return _with_hint(rows, values, _filter_bits(values.count()), column).where("_maybe").drop("_maybe")
+
+
 def restrict_to(books: DataFrame, ids: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Books whose id occurs in ``ids``.
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storytide.operators.chunking import normalise
+from storytide.operators.joins import likely_in
 from storytide.schema import CHUNK_KEY, DIMENSIONS, EMOTIONS, with_version
 from storytide.workspace import MAX_BROADCAST_ROWS, within
 
@@ -80,9 +81,11 @@ def _score(tokens: DataFrame, lexicon: DataFrame, small: bool | None) -> DataFra
         hits = tokens.join(F.broadcast(lexicon.withColumnRenamed("word", "token")), "token")
         return _aggregate(hits.withColumn("times", F.lit(1)))
 
-    # Too large to send everywhere: count repeated words first, then join on word and
-    # salt so that a frequent word is spread over SALTS tasks. Marker rows carry a key of
+    # Too large to send everywhere, but its words fit a bitmap, which drops the tokens without a
+    # hit where they are read. The others are counted in each chunk and joined on word and
+    # salt, so that a frequent word is spread over SALTS tasks. Marker rows carry a key of
     # their own, unmatched by design, so they do not gather in one task.
+    tokens = likely_in(tokens, lexicon.select(F.col("word").alias("token")), "token")
     key = with_version(CHUNK_KEY, tokens)
     chunk = f"xxhash64({', '.join(key)})"
     counted = tokens.groupBy(*key, "token").agg(F.count(F.lit(1)).alias("times"))

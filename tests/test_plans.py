@@ -56,6 +56,14 @@ def test_scoring_broadcasts_the_lexicon_and_shuffles_scores_only(spark, texts):
     assert not [line for line in plan.splitlines() if "Exchange" in line and " text#" in line]
 
 
+def test_a_large_lexicon_drops_tokens_before_the_shuffle(spark, texts):
+    lex = lexicons(spark)
+    frame = score_text(chunk_text(texts), lex.of_text, small=False)
+    check(plan_of(frame))
+    tokens = [below for line, below in below_exchanges(frame) if "token#" in line and "hashpartitioning(book_id" in line]
+    assert tokens and all("BroadcastHashJoin [bucket" in below for below in tokens)
+
+
 def test_books_hashed_by_id_are_scored_without_another_shuffle(spark, texts):
     plan = plan_of(corpus.trajectories_of(texts.repartition(4, "book_id"), lexicons(spark)))
     assert len([line for line in plan.splitlines() if "Exchange hashpartitioning(book_id" in line]) == 1
