@@ -47,6 +47,7 @@ LENGTH = 100
 GRAM = 32
 LETTER = 8
 SPLIT = 512
+SORT_BYTES = 1 << 18  # of stretches in one suffix array
 SLICE_ANCHORS = 1_000_000
 BUCKETS = 4  # for each shuffle partition
 
@@ -253,7 +254,7 @@ def suffix_order(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     padded = np.concatenate([data, np.zeros(LETTER, np.uint8)])
     letters = np.lib.stride_tricks.sliding_window_view(padded, LETTER)[:n]
     letters = np.ascontiguousarray(letters).view(">u8").ravel().astype(np.uint64)
-    order = np.argsort(letters, kind="stable")
+    order = np.argsort(letters)
     ordered = letters[order]
     new = np.append(True, ordered[1:] != ordered[:-1])[:n]
     rank = np.full(n + LENGTH, -1, np.int64)  # behind the end: before all others
@@ -288,9 +289,9 @@ def common_prefixes(data: np.ndarray, place: np.ndarray, other: np.ndarray) -> n
     heads = np.flatnonzero(np.append(True, (place[1:] != place[:-1] + 1) | (other[1:] != other[:-1] + 1)))
     sizes = np.diff(np.append(heads, len(place)))
     first = 0
-    while first < len(heads):  # some megabytes at a time
-        total = np.cumsum(sizes[first : first + (1 << 14)] + LENGTH - 1)
-        some = heads[first : first + max(1, int(np.searchsorted(total, textbytes.CHUNK_BYTES)))]
+    while first < len(heads):  # some of the runs at a time
+        total = np.cumsum(sizes[first : first + (1 << 12)] + LENGTH - 1)
+        some = heads[first : first + max(1, int(np.searchsorted(total, SORT_BYTES // 2)))]
         width = sizes[first : first + len(some)] + LENGTH - 1
         base = np.cumsum(width) - width
         inner = np.arange(int(width.sum())) - np.repeat(base, width)
@@ -317,8 +318,8 @@ def _sort_shard(rows: pa.Table) -> pa.Table:
     total = np.concatenate(([0], np.cumsum(sizes)))
     lo = 0
     bounds = [*groups, len(order)]
-    for x, y in zip(bounds, bounds[1:]):  # whole anchors, a few megabytes at a time
-        if total[y] - total[lo] >= textbytes.CHUNK_BYTES or y == len(order):
+    for x, y in zip(bounds, bounds[1:]):  # whole anchors, as many as fit
+        if total[y] - total[lo] >= SORT_BYTES or y == len(order):
             some = order[lo:y]
             out.append(_repeats(parts.take(pa.array(some)), doc[some], start[some].astype(np.int64), part[some]))
             lo = y

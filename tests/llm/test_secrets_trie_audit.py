@@ -252,6 +252,12 @@ def test_filter_audit_like_plain(spark):
     assert sum(x.good_lost + x.toxic_lost for x in without) == 0 and len(without) == 600
 
 
+def test_filter_audit_runs_without_python(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet") for name in ("documents", "labels"))
+    plan = filter_audit.audit(docs, labels)._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
+
+
 def test_audit_of_other_filters(spark):
     rows = spark.createDataFrame([("p", True, False, True, False), ("p", True, True, False, True)], "part string, x boolean, y boolean, good boolean, toxic boolean")
     got = filter_audit.interactions(filter_audit.cells(rows, ["x", "y"]), ["x", "y"]).collect()
