@@ -9,8 +9,8 @@ first; the small ones follow in a random order, as the rule fills best from a mi
 
 Pieces are dealt to groups by a hash and each group is packed in a task of its own. What a
 group leaves in sequences that are not almost full is dealt anew and packed again with the
-leftovers of the other groups, in as many groups as they need, until they fit one group, for
-which a few orders are tried. A group holds about ``GROUP_PIECES`` lengths in every round, never
+leftovers of the other groups, in as many groups as they need, until they fit one group. Every
+group tries the same few orders, whatever the number of groups. A group holds about ``GROUP_PIECES`` lengths in every round, never
 a text. If a round leaves more than ``WORTH_ANOTHER`` of what it was given (say all documents
 are longer than half a sequence), its sequences stay as they are: other deals of as many
 pieces would fill them no better.
@@ -40,7 +40,7 @@ GROUP_PIECES = 16_384
 FULL_ENOUGH = 2  # tokens of gap that are not worth another round
 SMALL_SHARE = 8  # pieces of up to this part of a sequence are small
 WORTH_ANOTHER = 0.75  # share of the pieces that a round may leave for another one to follow
-ATTEMPTS = 8  # orders tried for the last group
+ATTEMPTS = 4  # orders tried for each group
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length int, ids_crc32 long, ordinal long"
 
@@ -113,12 +113,12 @@ def sum_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarr
     return bins, offsets
 
 
-def _pack_group(frame: pd.DataFrame, *, size: int, attempts: int, number: int) -> pd.DataFrame:
+def _pack_group(frame: pd.DataFrame, *, size: int, number: int) -> pd.DataFrame:
     frame = frame.sort_values(["doc_id", "piece", "ordinal"], ignore_index=True)
     lengths = frame["length"].to_numpy().astype(np.int64)
     large = lengths > size // SMALL_SHARE
     best = None
-    for attempt in range(attempts):
+    for attempt in range(ATTEMPTS):
         shuffled = np.random.default_rng([number, attempt]).permutation(len(lengths))
         order = shuffled[np.argsort(-np.where(large, lengths, 0)[shuffled], kind="stable")]
         bins, offsets = sum_of_squares(lengths[order], size)
@@ -152,8 +152,7 @@ def pack(parts: DataFrame, size: int = SEQUENCE, group_pieces: int = GROUP_PIECE
     while True:
         deal = F.xxhash64("doc_id", "piece", "ordinal", F.lit(number))
         grouped = rest.withColumn("grp", F.pmod(deal, F.lit(groups)))
-        attempts = ATTEMPTS if groups == 1 else 1
-        run = partial(_pack_group, size=size, attempts=attempts, number=number)
+        run = partial(_pack_group, size=size, number=number)
         packed = stored(grouped.groupBy("grp").applyInPandas(lambda f: run(f), schema), f"packed{number}")
         named = packed.withColumn("sequence_id", F.struct(F.lit(number).alias("round"), F.col("grp").alias("group"), "bin"))
         rest = packed.where(F.col("gap") > FULL_ENOUGH).select(parts.columns)
