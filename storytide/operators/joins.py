@@ -11,10 +11,10 @@ from storytide.workspace import MAX_BROADCAST_ROWS, broadcast_if_small
 
 # Titles and author names are wider than ids, so fewer rows may be broadcast.
 MAX_METADATA_ROWS = MAX_BROADCAST_ROWS // 4
-# A set of ids that is sent as a bitmap has so many bits for each id, and at most 512 MB: one
-# id in sixteen passes by mistake up to 268 million ids, more of them beyond.
+# A set of ids that is sent as a bitmap has so many bits for each id, and at most 256 MB: one
+# id in sixteen passes by mistake up to 134 million ids, more of them beyond.
 BITS_PER_ID = 16
-MAX_FILTER_BITS = 1 << 32
+MAX_FILTER_BITS = 1 << 31
 
 
 def catalogued(books: DataFrame, metadata: DataFrame) -> DataFrame:
