@@ -48,7 +48,8 @@ def bucket_of(book_id: str = "book_id", buckets: int = SINK_BUCKETS) -> Column:
 def append_to_sink(trajectories: DataFrame, path: str, buckets: int = SINK_BUCKETS) -> None:
     """Add rows to a sink, one file for each bucket they fall into.
 
-    The number of buckets is a property of a sink: it must not change while it grows.
+    The number of buckets is a property of a sink: it must not change while it grows, and a folder that
+    :func:`save_trajectories` wrote is no sink.
     """
     rows = conform(trajectories).withColumn(BUCKET, bucket_of(buckets=buckets))
     spread = rows.repartition(buckets, BUCKET)
