@@ -1,7 +1,7 @@
 """Numpy views of text columns: words and hashes without a Python object per word.
 
 A text column of an Arrow batch is one byte buffer and one array of offsets. The functions
-here work on such buffers in chunks of a few megabytes, so memory does not depend on the
+here work on such buffers in chunks of a megabyte, so memory does not depend on the
 batch; a single text above the chunk size is its own chunk. Null texts are empty.
 
 Hashes are polynomials modulo 2**64 over random byte values with an odd base, so that the
@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def _give_memory_back() -> None:
@@ -119,12 +119,12 @@ def _folded(x: np.ndarray) -> np.ndarray:
 
 @lru_cache(maxsize=2)
 def _prime_powers(base: int, size: int) -> np.ndarray:
-    out = np.empty(size, np.uint64)
+    out = np.empty(size, np.uint32)
     out[0] = 1
     done = 1
     while done < size:
         step = min(done, size - done)
-        out[done : done + step] = out[:step] * np.uint64(pow(base, done, int(_PRIME))) % _PRIME
+        out[done : done + step] = out[:step].astype(np.uint64) * np.uint64(pow(base, done, int(_PRIME))) % _PRIME
         done += step
     return out
 
@@ -133,7 +133,10 @@ def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.nd
     """Hashes of the substrings [start, end) by two polynomials and the length."""
     size = max(CHUNK_BYTES + 1, len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)  # terms below 2**32: exact up to four billion bytes
-    np.cumsum(_folded((values % _PRIME)[data] * _prime_powers(_PRIME_BASE, size)[: len(data)]), out=sums[1:])
+    terms = (values % _PRIME)[data]
+    terms *= _prime_powers(_PRIME_BASE, size)[: len(data)]
+    np.cumsum(_folded(terms), out=sums[1:])
+    del terms
     back = _prime_powers(pow(_PRIME_BASE, -1, int(_PRIME)), size)
     second = (sums[ends] - sums[starts]) % _PRIME * back[starts] % _PRIME
     second = second << np.uint64(33) | (ends - starts).astype(np.uint64)
