@@ -52,8 +52,9 @@ class Lexicons:
         return within(rows, MAX_BROADCAST_ROWS)
 
     def _kept(self, table: DataFrame) -> DataFrame:
-        # Kept tables keep their partitions: a small one needs no more than one.
-        return (table.coalesce(1) if self.small else table).persist()
+        # Kept tables keep their partitions: a small one needs no more than one. It is put together
+        # by a shuffle: a single task over all partitions holds the buffers of each until it ends.
+        return (table.repartition(1) if self.small else table).persist()
 
     def release(self) -> None:
         """Drop the kept tables from memory."""
