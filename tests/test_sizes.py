@@ -1,9 +1,15 @@
 """What must not grow with the tables: memory, reads and passes of single steps."""
 
+import math
+
 import pytest
+from pyspark.ml.linalg import Vectors
 
-from helpers import lexicons
+from helpers import books, lexicons
+from storytide.checks import models as checks
 from storytide.checks.queries import REGISTRY
+from storytide.operators import vectors as vec
+from storytide.operators.chunking import create_chunks
 
 DIR = "/root/testdata/sf0.001"
 
@@ -27,3 +33,50 @@ def test_lexicons_are_not_put_together_in_one_task(spark, no_merged_tasks):
 
 def test_one_book_is_found_by_all_tasks_of_the_scan(spark, no_merged_tasks):
     assert REGISTRY["adhoc_book_by_id"](spark, DIR).count() == 1
+
+
+def sample(spark, n=12):
+    words = ["whale", "ship", "harpoon", "storm", "wedding", "dance", "letter"]
+    texts = [(str(i), " ".join(words[(i * j + j // 3) % 7] for j in range(40))) for i in range(n)]
+    return create_chunks(books(spark, [*texts, ("bare", "of it")]), 2)
+
+
+def test_count_vectors_are_made_once_for_a_fit(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        made.add(1)
+        return row
+
+    rows = [(str(i), 0, Vectors.sparse(5, [i % 5, (i + 1) % 5] if i % 5 < 4 else [0, 4], [2.0, 1.0])) for i in range(40)]
+    schema = spark.createDataFrame(rows[:1], ["book_id", "chunk_index", "features"]).schema
+    features = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4).map(counted), schema)
+    vec.train_lda(features, 2, 6)
+    assert made.value == len(rows)
+
+
+def test_likelihood_of_all_words(spark):
+    chunks = sample(spark).cache()
+    vocabulary = vec.fit_vocabulary(chunks)
+    features = vec.topic_features(chunks, vocabulary)
+    model = vec.train_lda(features, 3, 5)
+    weights = model.topicsMatrix().toArray()
+    shares = weights / weights.sum(axis=0)
+    mixtures = {(r.book_id, r.chunk_index): r.topic_distribution for r in vec.chunk_topics(features, model).collect()}
+    want = 0.0
+    for row in chunks.collect():
+        for word in row.words:
+            if word in vocabulary.vocabulary:
+                mixture = mixtures[row.book_id, row.chunk_index]
+                want += math.log(sum(m * s for m, s in zip(mixture, shares[vocabulary.vocabulary.index(word)])))
+    assert checks.log_likelihood(chunks, vocabulary, model) == pytest.approx(want)
+    facts = checks.mixture_facts(features, vec.chunk_topics(features, model))
+    assert {r.is_mixture for r in facts.collect()} == {True}
+
+
+def test_means_are_checked_without_a_row_for_each_element(spark):
+    parts = spark.createDataFrame([("1", [1.0, 2.0]), ("1", [3.0, 6.0]), ("2", [5.0, 5.0])], "book_id string, v array<double>")
+    means = spark.createDataFrame([("1", [2.0, 4.0]), ("2", [5.0, 5.1]), ("3", [0.0, 0.0])], "book_id string, m array<double>")
+    facts = checks.mean_facts(parts, "v", means.withColumnRenamed("m", "book_v"), "book_v")
+    assert "Generate" not in facts._jdf.queryExecution().toString()
+    assert {r.book_id: (r["size"], r.is_mean) for r in facts.collect()} == {"1": (2, True), "2": (2, False), "3": (2, False)}
