@@ -7,6 +7,7 @@ from pyspark.ml.linalg import Vectors
 
 from helpers import books, lexicons
 from storytide.checks import models as checks
+from storytide.checks.oracle import oracle
 from storytide.checks.queries import REGISTRY
 from storytide.operators import vectors as vec
 from storytide.operators.chunking import create_chunks
@@ -80,3 +81,18 @@ def test_means_are_checked_without_a_row_for_each_element(spark):
     facts = checks.mean_facts(parts, "v", means.withColumnRenamed("m", "book_v"), "book_v")
     assert "Generate" not in facts._jdf.queryExecution().toString()
     assert {r.book_id: (r["size"], r.is_mean) for r in facts.collect()} == {"1": (2, True), "2": (2, False), "3": (2, False)}
+
+
+def test_words_beyond_those_of_a_model_are_counted(spark, monkeypatch):
+    """No count is lost, however many words there are, and a vocabulary above the broadcast bound gives the same."""
+    assert "LIMIT" not in oracle()["vocabulary_counts"]
+    chunks = sample(spark).cache()
+    rare = spark.createDataFrame([("x", i, [f"word{i % 6000}"]) for i in range(12_000)], "book_id string, chunk_index int, words array<string>")
+    rows = chunks.select(*rare.columns).union(rare)
+    vocabulary = vec.vocabulary_table(rows)
+    want = {r.word: r.n for r in vocabulary.collect()}
+    assert len(want) > 6000
+    for bound in (1_000_000, 10):
+        monkeypatch.setattr("storytide.workspace.broadcast_if_small.__defaults__", (bound,))
+        sums = vec.count_vectors(rows, vocabulary).groupBy("place").agg({"n": "sum"}).toDF("place", "s")
+        assert {r.word: r.s for r in vocabulary.join(sums, "place").collect()} == want
