@@ -4,6 +4,7 @@ import math
 
 import pytest
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from helpers import books, lexicons
 from storytide.checks import models as checks
@@ -96,3 +97,19 @@ def test_words_beyond_those_of_a_model_are_counted(spark, monkeypatch):
         monkeypatch.setattr("storytide.workspace.broadcast_if_small.__defaults__", (bound,))
         sums = vec.count_vectors(rows, vocabulary).groupBy("place").agg({"n": "sum"}).toDF("place", "s")
         assert {r.word: r.s for r in vocabulary.join(sums, "place").collect()} == want
+
+
+def test_embeddings_are_checked_with_the_vectors_of_their_words_only(spark, monkeypatch):
+    """Chunks of any number of groups and steps meet their vectors; the driver makes no table of them."""
+    chunks = sample(spark).cache()
+    model = vec.train_word2vec(chunks, vector_size=4, min_count=60)
+    embedded = vec.chunk_embeddings(chunks, model).cache()
+    first = embedded.orderBy("book_id", "chunk_index").first()
+    moved = F.transform("embedding_vector", lambda x, i: x + F.when((i == 3) & (F.col("book_id") == first.book_id), 1e-3).otherwise(0.0))
+    monkeypatch.delattr(type(model), "getVectors")
+    for groups, words in ((100, 100_000), (3, 7)):
+        monkeypatch.setattr(checks, "CHUNKS_PER_GROUP", groups)
+        monkeypatch.setattr(checks, "WORDS_PER_STEP", words)
+        assert {(r.dimensions, r.is_mean) for r in checks.embedding_facts(chunks, model, embedded).collect()} == {(4, True)}
+        wrong = checks.embedding_facts(chunks, model, embedded.withColumn("embedding_vector", moved)).where("not is_mean").collect()
+        assert {r.book_id for r in wrong} == {first.book_id}
