@@ -15,7 +15,7 @@ from storytide.operators.joins import restrict_to
 from storytide.schema import BOOKS, METADATA, conform
 from storytide.functions.stopwords import ENGLISH
 from storytide.sources.tables import CSV_OPTIONS
-from storytide.workspace import kept
+from storytide.workspace import kept, settings
 
 # Column names of the catalogue file, with the names used here.
 CATALOGUE_COLUMNS = {
@@ -29,6 +29,8 @@ CATALOGUE_COLUMNS = {
 # Fixed value: a book's id is the name of its file.
 ID_IN_PATH = "/([^/]+)$"
 FILES_PER_SCAN = 50_000  # paths told to one scan, and rows broadcast beside it
+FILES_PER_TASK = 256  # that are read; by itself Spark gives a task 32 small files
+LISTING_COST = 1 << 16  # bytes that a file counts for where only its path is looked at, instead of 4 MB
 
 
 def load_metadata(spark: SparkSession, path: str, language: str | None = "en") -> DataFrame:
@@ -63,9 +65,19 @@ def spread_small_scan(scan: DataFrame, key: str = "book_id") -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(2 * cores, key)
 
 
+def _tasks(spark: SparkSession) -> int:
+    return 4 * spark.sparkContext.defaultParallelism
+
+
+def _listing(spark: SparkSession) -> dict[str, object]:
+    """Settings for listings of very many small files: Spark's own cut them into 10,000 tasks, and scans into 32 files a task."""
+    return {"spark.sql.sources.parallelPartitionDiscovery.parallelism": _tasks(spark), "spark.sql.files.openCostInBytes": LISTING_COST}
+
+
 def list_books(spark: SparkSession, path: str, id_pattern: str = ID_IN_PATH) -> DataFrame:
     """``book_id, path`` of the files in a folder; no file is opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    with settings(spark, _listing(spark)):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select(F.regexp_extract("path", id_pattern, 1).alias("book_id"), "path")
 
 
@@ -90,7 +102,8 @@ def read_listed(listed: DataFrame, strip_markers: bool = True, fold_newlines: bo
     block are few enough to be broadcast to the tasks that read it, so texts stay where they are read.
     """
     spark = listed.sparkSession
-    listed = kept(listed, "listed")
+    with settings(spark, _listing(spark)):
+        listed = kept(listed, "listed")
     blocks = -(-listed.count() // FILES_PER_SCAN)
     number = F.pmod(F.xxhash64("path"), F.lit(max(1, blocks)))
     text = _text(strip_markers, fold_newlines).alias("text")
@@ -100,7 +113,10 @@ def read_listed(listed: DataFrame, strip_markers: bool = True, fold_newlines: bo
         mine = listed.where(number == i)
         paths = [_as_glob(row.path) for row in mine.select("path").distinct().toLocalIterator()]
         if paths:
-            files = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file"), "content")
+            with settings(spark, _listing(spark)):
+                files = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file"), "content")
+            # Fewer tasks than Spark's own: it counts 4 MB for a file, so a task would have 32 of them.
+            files = files.coalesce(max(_tasks(spark), len(paths) // FILES_PER_TASK))
             parts.append(files.join(F.broadcast(mine), F.col("file") == F.col("path")).select(*columns, text))
     empty = listed.select(*columns, F.lit(None).cast("string").alias("text")).limit(0)
     return reduce(DataFrame.unionByName, parts) if parts else empty

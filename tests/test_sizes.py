@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from helpers import books, lexicons
 from storytide.checks import models as checks
+from storytide.checks import queries
 from storytide.checks.oracle import oracle
 from storytide.checks.queries import REGISTRY
 from storytide.operators import vectors as vec
 from storytide.operators.chunking import create_chunks
+from storytide.sources import books as src
 
 DIR = "/root/testdata/sf0.001"
 
@@ -113,3 +115,29 @@ def test_embeddings_are_checked_with_the_vectors_of_their_words_only(spark, monk
         assert {(r.dimensions, r.is_mean) for r in checks.embedding_facts(chunks, model, embedded).collect()} == {(4, True)}
         wrong = checks.embedding_facts(chunks, model, embedded.withColumn("embedding_vector", moved)).where("not is_mean").collect()
         assert {r.book_id for r in wrong} == {first.book_id}
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(60):
+        (folder / str(i)).write_text(f"text {i}")
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.sparkContext.setJobGroup("many files", "many files")
+    metadata = spark.createDataFrame([(str(i), "T", "A") for i in range(60)], "book_id string, title string, author string")
+    rows = src.load_listed_books(spark, str(folder), metadata)
+    assert {r.text for r in rows.collect()} == {f"text {i}" for i in range(60)}
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("many files") for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(s.numTasks for s in stages if s) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
+def test_books_are_files_named_by_their_ids(spark, tmp_path):
+    path = str(tmp_path / "documents.parquet")
+    rows = [(i, None if i == 3 else f"one\r\ntwo {i}", "en", "s") for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(path)
+    folder = queries._book_files(spark, str(tmp_path))
+    found = src.load_books(spark, folder).collect()
+    assert {r.book_id: r.text for r in found} == {str(i): f"{text or ''}\n" for i, text, _, _ in rows}
