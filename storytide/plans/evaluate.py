@@ -67,7 +67,8 @@ QUANTILES = {"p25": (1, 4), "median": (1, 2), "p75": (3, 4)}
 
 
 def similarity_stats(recommendations: DataFrame) -> DataFrame:
-    """Statistics of all recommended scores."""
+    """Statistics of all recommended scores. They are stored first, so that books are compared once."""
+    recommendations = kept(recommendations.select("query_id", "book_id", "similarity"), "scores")
     score = F.col("similarity")
     places = ranks.values_at(recommendations, "similarity", QUANTILES, ties=("query_id", "book_id"))
     stats = recommendations.agg(
@@ -78,8 +79,8 @@ def similarity_stats(recommendations: DataFrame) -> DataFrame:
 
 
 def reciprocity(recommendations: DataFrame) -> DataFrame:
-    """How often the best hit of a query, if it is a query too, points back."""
-    best = recommendations.where("rank = 1").select("query_id", F.col("book_id").alias("best"))
+    """How often the best hit of a query, if it is a query too, points back. Best hits are stored and met with themselves."""
+    best = kept(recommendations.where("rank = 1").select("query_id", F.col("book_id").alias("best")), "best")
     back = best.select(F.col("query_id").alias("best"), F.col("best").alias("returns_to"))
     pairs = best.join(back, "best")
     return pairs.agg(

@@ -119,7 +119,12 @@ def compared_books(
 def metadata_tags(metadata: DataFrame) -> DataFrame:
     """``book_id, tags``: one row per book, however often the catalogue lists it."""
     listed = metadata.groupBy("book_id").agg(F.min(F.struct("bookshelves", "subjects")).alias("m"))
-    return listed.select("book_id", genre_tags("m.bookshelves", "m.subjects").alias("tags"))
+    return listed.select("book_id", _once(genre_tags("m.bookshelves", "m.subjects")).alias("tags"))
+
+
+def _once(value: Column) -> Column:
+    """``value``, computed once a row: a generator is not copied into the conditions and lambdas that use its column."""
+    return F.explode(F.array(value))
 
 
 def _tagged_queries(metadata: DataFrame, ids: Sequence[str]) -> Column:
@@ -151,7 +156,7 @@ def genre_scores(metadata: DataFrame, ids: Sequence[str]) -> DataFrame:
     rows = metadata_tags(metadata).select("book_id", "tags", queries.alias("queries"))
     entries = "flatten(transform(queries, q -> transform(q.tags, t -> struct(t AS tag, q AS query))))"
     met = f"array_distinct(transform(filter({entries}, e -> array_contains(tags, e.tag) AND e.query.book_id <> book_id), e -> e.query))"
-    found = rows.where("arrays_overlap(tags, flatten(queries.tags))").selectExpr("book_id", "tags", f"{met} AS met")
+    found = rows.where("arrays_overlap(tags, flatten(queries.tags))").select("book_id", "tags", _once(F.expr(met)).alias("met"))
     union = "size(array_union(tags, q.tags))"
     scores = f"transform(met, q -> struct(q.book_id, size(array_intersect(tags, q.tags)) / {union}))"
     return found.where("size(met) > 0").selectExpr("book_id", f"map_from_entries({scores}) AS genres")

@@ -13,6 +13,8 @@ from storytide.checks.oracle import oracle
 from storytide.checks.queries import REGISTRY
 from storytide.operators import vectors as vec
 from storytide.operators.chunking import create_chunks
+from storytide.plans import evaluate
+from storytide.plans import recommend as rec
 from storytide.sources import books as src
 
 DIR = "/root/testdata/sf0.001"
@@ -141,3 +143,22 @@ def test_books_are_files_named_by_their_ids(spark, tmp_path):
     folder = queries._book_files(spark, str(tmp_path))
     found = src.load_books(spark, folder).collect()
     assert {r.book_id: r.text for r in found} == {str(i): f"{text or ''}\n" for i, text, _, _ in rows}
+
+
+def test_genre_tags_are_computed_once_a_row(spark):
+    metadata = spark.createDataFrame([("1", "Horror; Gothic", "Horror tales"), ("2", "gothic", None), ("3", None, "Fantasy")], "book_id string, bookshelves string, subjects string")
+    scores = rec.genre_scores(metadata, ["1", "3"])
+    assert {r.book_id: dict(r.genres) for r in scores.collect()} == {"2": {"1": 0.5}}
+    plan = scores._jdf.queryExecution().optimizedPlan().toString()
+    # Once for the corpus and once for the queries, which the plan shows twice; not in each condition and lambda that reads the tags.
+    assert plan.count("browsing: fiction") == 3
+
+
+def test_compared_books_are_stored_before_they_are_read_twice(spark, tmp_path):
+    rows = [("a", 1, "b", 0.5), ("b", 1, "a", 0.25), ("a", 2, "c", 0.125), ("c", 1, "a", 1.0)]
+    spark.createDataFrame(rows, "query_id string, rank int, book_id string, similarity double").write.parquet(str(tmp_path / "compared"))
+    given = spark.read.parquet(str(tmp_path / "compared"))
+    back, stats = evaluate.reciprocity(given), evaluate.similarity_stats(given)
+    assert (back.first().pairs, stats.first().n) == (3, 4)
+    for frame in (back, stats):
+        assert "/compared" not in frame._jdf.queryExecution().toString()
