@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from storytide.functions import text as tx
 from storytide.plans.corpus import Lexicons, enriched_trajectories
-from storytide.operators.joins import restrict_to
+from storytide.operators.joins import pending_books, restrict_to
 from storytide.operators.trajectory import dedupe_books
 from storytide.schema import BOOKS
 from storytide.sources.tables import append_to_sink, exists, stored_ids
-from storytide.workspace import MAX_BROADCAST_ROWS, broadcast_if_small, kept
+from storytide.workspace import MAX_BROADCAST_ROWS, kept
 
 
 def book_stream(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:
@@ -24,12 +24,13 @@ def without_stored(spark: SparkSession, batch: DataFrame, sink: str) -> DataFram
     """The rows of ``batch`` whose book the sink does not hold yet.
 
     The sink grows without end and the batch does not: only the buckets of the batch's ids are
-    read, and what is found there comes back as a list no longer than the batch.
+    read, and what is found there comes back as a list no longer than the batch. It is stored before
+    the sink grows. Texts are not moved for it.
     """
     if not exists(spark, sink):
         return batch
     present = restrict_to(stored_ids(spark, sink, batch), batch, MAX_BROADCAST_ROWS).distinct()
-    return batch.join(broadcast_if_small(present), "book_id", "left_anti")
+    return pending_books(batch, kept(present, "present"))
 
 
 def commit_path(sink: str, progress: str, batch_id: int) -> str:
@@ -47,18 +48,19 @@ def append_batch(
     num_chunks: int = tx.DEFAULT_CHUNKS,
     marker: str | None = None,
 ) -> None:
-    """Score a micro-batch and append the books the sink lacks.
+    """Score the books of a micro-batch that the sink lacks, and append them.
 
     With ``marker``, a batch that was appended before is not even read. One that failed after or during
-    its append finds its own rows in the sink and adds only the rest. The narrow trajectory
-    rows are checked, not the texts; they are written once so that the check does not score
-    them again, and with models the chunks of words are, so that texts are cut once.
+    its append finds its own rows in the sink and adds only the rest. Ids are checked before texts are
+    scored, so that nothing is scored that the sink holds; with models the chunks of words are written,
+    so that texts are cut once.
     """
     spark = batch.sparkSession
     if marker and exists(spark, marker):
         return
-    scored = kept(dedupe_books(enriched_trajectories(batch, lexicons, models, num_chunks)), "batch")
-    append_to_sink(without_stored(spark, scored, sink), sink)
+    pending = without_stored(spark, batch, sink)
+    scored = kept(dedupe_books(enriched_trajectories(pending, lexicons, models, num_chunks)), "batch")
+    append_to_sink(scored, sink)
     if marker:
         spark.range(1).write.mode("overwrite").parquet(marker)
 

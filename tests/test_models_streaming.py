@@ -197,3 +197,18 @@ def test_models_are_fitted_without_the_given_stop_words(spark):
     frame = books(spark, sample(12))
     models = corpus.fit_models(frame, 12, num_chunks=2, num_topics=2, lda_iterations=1, skip_embeddings=True, stop_words=["whale"])
     assert "whale" not in models["count_vectorizer"].vocabulary and "ship" in models["count_vectorizer"].vocabulary
+
+
+def test_books_of_the_sink_are_not_scored_again(spark, tmp_path, monkeypatch):
+    lex, rows, sink = lexicons(spark), sample(10), str(tmp_path / "out")
+    scored, score = [], st.enriched_trajectories
+
+    def counted(batch, *args):
+        scored.append(batch.count())
+        return score(batch, *args)
+
+    monkeypatch.setattr(st, "enriched_trajectories", counted)
+    for part in (rows[:4], rows[2:], rows):
+        st.append_batch(books(spark, part), sink, lex, num_chunks=3)
+    assert scored == [4, 6, 0]
+    assert as_rows(tables.load_trajectories(spark, sink)) == as_rows(corpus.trajectories_of(books(spark, rows), lex, 3))
