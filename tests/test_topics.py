@@ -90,3 +90,9 @@ def test_topics_of_two_kinds_of_documents_are_told_apart(spark):
     rows = [r for r in vec.chunk_topics(frame, model).collect() if sum(r.topic_distribution)]
     kind = {r.topic_distribution.index(max(r.topic_distribution)) == int(r.book_id) % 2 for r in rows}
     assert len(kind) == 1 and len(rows) > 500
+
+
+def test_chunks_are_not_solved_one_by_one(spark):
+    """Neither the mixtures nor the likelihood go through Spark's function for one row."""
+    plan = queries.REGISTRY["chunk_topics"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "UDF(features" not in plan
