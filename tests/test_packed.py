@@ -1,12 +1,18 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from storytide.checks import models as checks
+from storytide.checks import queries
 from storytide.operators import packed
+from storytide.operators import vectors as vec
 from storytide.workspace import kept
 
+SF = "/root/testdata/sf0.001"
+
 
 def chunks(spark, n=300, seed=2):
     rng = random.Random(seed)
@@ -49,3 +55,37 @@ def test_what_was_shuffled_for_a_stored_table_is_dropped(spark):
     between = held()
     assert between <= before + 1  # the count's own
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_embeddings_from_a_table_are_means_over_all_words(spark):
+    given = chunks(spark)
+    known = {f"w{i}": [float(i), -float(i) / 3, 0.5] for i in range(30)}  # the others have no vector
+    table = spark.createDataFrame(list(known.items()), "word string, vector array<float>")
+    frame = vec.chunk_embeddings(given, table)
+    got = {(r.book_id, r.chunk_index): r.embedding_vector for r in frame.collect()}
+    assert len(got) == 300
+    for row in given.collect():
+        words = row.words or []
+        sums = np.sum([np.float32(known.get(w, [0, 0, 0])).astype(float) for w in words], axis=0) if words else np.zeros(3)
+        assert got[row.book_id, row.chunk_index] == pytest.approx(list(sums / max(1, len(words))), abs=1e-12)
+    facts = checks.embedding_facts(given.where("words IS NOT NULL"), table, frame)
+    assert {(r.dimensions, r.is_mean) for r in facts.collect()} == {(3, True)}
+    moved = frame.withColumn("embedding_vector", F.transform("embedding_vector", lambda x, i: x + F.when(i == 1, 2e-6).otherwise(0.0)))
+    assert {r.is_mean for r in checks.embedding_facts(given.where("words IS NOT NULL"), table, moved).collect()} == {False}
+    short = frame.withColumn("embedding_vector", F.slice("embedding_vector", 1, 2))
+    assert {(r.dimensions, r.is_mean) for r in checks.embedding_facts(given.where("words IS NOT NULL"), table, short).collect()} == {(2, False)}
+
+
+def test_no_model_of_all_words_comes_to_the_driver(spark, monkeypatch):
+    """The queries that embed all chunks keep the vectors as a table."""
+
+    def refuse(*_, **__):
+        raise AssertionError("the driver holds all vectors")
+
+    monkeypatch.setattr(vec.Word2VecModel, "load", refuse)
+    monkeypatch.setattr(vec.Word2VecModel, "getVectors", refuse)
+    checks._kept.pop((spark.sparkContext.applicationId, SF, "word2vec"), None)
+    rows = queries.REGISTRY["chunk_embeddings"](spark, SF)
+    plan = rows._jdf.queryExecution().toString()
+    assert "UDF(words" not in plan and "MapInArrow" in plan
+    assert {r.is_mean for r in rows.collect()} == {True}
