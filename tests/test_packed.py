@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from storytide.checks import models as checks
 from storytide.checks import queries
-from storytide.operators import packed
+from storytide.operators import means, packed
 from storytide.operators import vectors as vec
 from storytide.workspace import kept
 
@@ -89,3 +89,23 @@ def test_no_model_of_all_words_comes_to_the_driver(spark, monkeypatch):
     plan = rows._jdf.queryExecution().toString()
     assert "UDF(words" not in plan and "MapInArrow" in plan
     assert {r.is_mean for r in rows.collect()} == {True}
+
+
+@pytest.mark.parametrize("held", [1, 50, 1 << 22])
+def test_means_by_key_however_rows_are_held(spark, monkeypatch, held):
+    monkeypatch.setattr(means, "HELD_NUMBERS", held)
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "b", None, "hot", "hot", "hot"]), rng.randint(0, 1), [rng.random() for _ in range(3)]) for _ in range(400)]
+    frame = spark.createDataFrame(rows, "k string, v int, x array<double>").repartition(3)
+    got = {(r.k, r.v): r.m for r in vec.vector_mean(frame, ("k", "v"), "x", "m").collect()}
+    assert len(got) == len({r[:2] for r in rows})
+    for key, mean in got.items():
+        assert mean == pytest.approx(list(np.mean([r[2] for r in rows if r[:2] == key], axis=0)))
+
+
+def test_vectors_are_not_sorted_for_their_means(spark):
+    """Spark's own mean of vectors sorts all rows of a task that has more than 128 keys."""
+    frame = spark.createDataFrame([("1", 0, [1.0, 2.0])], "book_id string, chunk_index int, embedding_vector array<double>")
+    for plan in (vec.book_embedding(frame), vec.book_topics(frame.withColumnRenamed("embedding_vector", "topic_distribution"))):
+        text = plan._jdf.queryExecution().toString()
+        assert "ObjectHashAggregate" not in text and "SortAggregate" not in text and "MapInArrow" in text
