@@ -109,3 +109,10 @@ def test_vectors_are_not_sorted_for_their_means(spark):
     for plan in (vec.book_embedding(frame), vec.book_topics(frame.withColumnRenamed("embedding_vector", "topic_distribution"))):
         text = plan._jdf.queryExecution().toString()
         assert "ObjectHashAggregate" not in text and "SortAggregate" not in text and "MapInArrow" in text
+
+
+def test_the_size_of_a_vector_need_not_be_looked_up(spark, monkeypatch):
+    parts = spark.createDataFrame([("1", [1.0, 2.0]), ("1", [3.0, 6.0])], "book_id string, v array<double>")
+    means_of = vec.vector_mean(parts, "book_id", "v", "mean")
+    monkeypatch.setattr(type(parts), "first", lambda self: pytest.fail("all vectors were computed for one"))
+    assert [(r["size"], r.is_mean) for r in checks.mean_facts(parts, "v", means_of, "mean", 2).collect()] == [(2, True)]
