@@ -14,6 +14,7 @@ from storytide.operators.chunking import create_chunks
 from storytide.operators.joins import restrict_to
 from storytide.schema import BOOKS, METADATA, conform
 from storytide.functions.stopwords import ENGLISH
+from storytide.sources import files as file_tasks
 from storytide.sources.tables import CSV_OPTIONS
 from storytide.workspace import kept, settings
 
@@ -28,6 +29,8 @@ CATALOGUE_COLUMNS = {
 }
 # Fixed value: a book's id is the name of its file.
 ID_IN_PATH = "/([^/]+)$"
+FILES_TOLD = 1_000  # paths that the driver is told where tasks could read the files by themselves
+FILES_READ = 4096  # by a task that reads files by itself, about
 FILES_PER_SCAN = 50_000  # paths told to one scan, and rows broadcast beside it
 FILES_PER_TASK = 256  # that are read; by itself Spark gives a task 32 small files
 LISTING_COST = 1 << 16  # bytes that a file counts for where only its path is looked at, instead of 4 MB
@@ -75,7 +78,10 @@ def _listing(spark: SparkSession) -> dict[str, object]:
 
 
 def list_books(spark: SparkSession, path: str, id_pattern: str = ID_IN_PATH) -> DataFrame:
-    """``book_id, path`` of the files in a folder; no file is opened."""
+    """``book_id, path`` of the files in a folder; no file is opened. Tasks list it where they can (:mod:`files`)."""
+    files = file_tasks.list_files(spark, path)
+    if files is not None:
+        return files.select(F.regexp_extract("path", id_pattern, 1).alias("book_id"), "path")
     with settings(spark, _listing(spark)):
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select(F.regexp_extract("path", id_pattern, 1).alias("book_id"), "path")
@@ -97,14 +103,19 @@ def _text(strip_markers: bool, fold_newlines: bool) -> Column:
 def read_listed(listed: DataFrame, strip_markers: bool = True, fold_newlines: bool = False) -> DataFrame:
     """The columns of ``listed`` (``path`` and others) with the ``text`` of each file.
 
-    Only these files are opened. The driver is told their paths, as Spark's own listing of a folder does;
-    everything else stays in tables: files are read in blocks of about ``FILES_PER_SCAN``, and the columns of a
+    Only these files are opened. More than ``FILES_TOLD`` are read by tasks that know their paths from the table; few, or
+    files on a file system that only Spark reads, by scans whose paths the driver is told, as Spark's own listing of a
+    folder does. Everything else stays in tables: those files are read in blocks of about ``FILES_PER_SCAN``, and the columns of a
     block are few enough to be broadcast to the tasks that read it, so texts stay where they are read.
     """
     spark = listed.sparkSession
     with settings(spark, _listing(spark)):
         listed = kept(listed, "listed")
-    blocks = -(-listed.count() // FILES_PER_SCAN)
+    many = listed.count()
+    if many > FILES_TOLD and file_tasks.can_read(listed):
+        columns = [c for c in listed.columns if c != "path"]
+        return file_tasks.read_files(listed, FILES_READ).select(*columns, _text(strip_markers, fold_newlines).alias("text"))
+    blocks = -(-many // FILES_PER_SCAN)
     number = F.pmod(F.xxhash64("path"), F.lit(max(1, blocks)))
     text = _text(strip_markers, fold_newlines).alias("text")
     columns = [c for c in listed.columns if c != "path"]

@@ -200,3 +200,38 @@ def test_small_scans_are_spread(spark, tmp_path):
     assert src.spread_small_scan(wide, "id") is wide
 
 
+
+
+@pytest.mark.parametrize("held", [1, 1 << 24])
+def test_many_files_are_listed_and_read_by_tasks(spark, tmp_path, monkeypatch, held):
+    """The driver is told no path, and the same files are found as by Spark's listing."""
+    from storytide.sources import files as file_tasks
+
+    monkeypatch.setattr(src, "FILES_TOLD", 3)
+    monkeypatch.setattr(file_tasks, "HELD_BYTES", held)
+    folder = tmp_path / "my books"
+    for name in ("top", "a/1", "a/deep/x y", "a/deep/é{1}", "b/2%20", "b/empty", "b/_hidden", "b/.dot", "_no/3", "b/_k=v", "c/a[b]*"):
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_bytes(b"" if name == "b/empty" else f"text of {name}\r\n".encode())
+    every = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(folder))
+    listed = src.list_books(spark, str(folder))
+    assert sorted(r.path for r in listed.collect()) == sorted(r.path for r in every.select("path").collect())
+    names = spark.createDataFrame([(r.book_id, t, None) for r in listed.collect() for t in ("T", "U")], "book_id string, title string, author string")
+    got = src.load_listed_books(spark, str(folder), names)
+    plan = plan_of(got) + plan_of(listed)
+    assert "binaryFile" not in plan and "InMemoryFileIndex(11" not in plan and "MapInArrow" in plan
+    want = sorted((r.path.rsplit("/", 1)[1], t, r.content.decode()) for r in every.collect() for t in ("T", "U"))
+    assert sorted((r.book_id, r.title, r.text) for r in got.collect()) == want
+    (folder / "a/1").unlink()
+    with pytest.raises(Exception, match="a/1"):
+        got.collect()
+
+
+def test_folders_that_tasks_cannot_list_are_left_to_spark(spark, tmp_path):
+    for name in ("one/1", "two/2", "other/3"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("x")
+    assert {r.book_id for r in src.list_books(spark, f"{tmp_path}/[ot][nw][eo]").collect()} == {"1", "2"}
+    assert {r.book_id for r in src.list_books(spark, f"{tmp_path}/one/1").collect()} == {"1"}
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        src.list_books(spark, f"{tmp_path}/nothing")
