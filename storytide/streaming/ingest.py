@@ -33,6 +33,12 @@ def without_stored(spark: SparkSession, batch: DataFrame, sink: str) -> DataFram
     return pending_books(batch, kept(present, "present"))
 
 
+def spread(pending: DataFrame, batch: DataFrame) -> DataFrame:
+    """Books dealt by id over all cores, where the files of their batch are fewer: a batch may be a few large files."""
+    cores = batch.sparkSession.sparkContext.defaultParallelism
+    return pending if batch.rdd.getNumPartitions() >= cores else pending.repartition(2 * cores, "book_id")
+
+
 def commit_path(sink: str, progress: str, batch_id: int) -> str:
     """The marker of a batch that is in the sink. Batches are numbered by the progress folder that a
     stream keeps, so markers of another one do not count. Readers of the sink skip the folder."""
@@ -52,13 +58,13 @@ def append_batch(
 
     With ``marker``, a batch that was appended before is not even read. One that failed after or during
     its append finds its own rows in the sink and adds only the rest. Ids are checked before texts are
-    scored, so that nothing is scored that the sink holds; with models the chunks of words are written,
+    scored, so that nothing is scored that the sink holds. All cores take part, however few the files are; with models the chunks of words are written,
     so that texts are cut once.
     """
     spark = batch.sparkSession
     if marker and exists(spark, marker):
         return
-    pending = without_stored(spark, batch, sink)
+    pending = spread(without_stored(spark, batch, sink), batch)
     scored = kept(dedupe_books(enriched_trajectories(pending, lexicons, models, num_chunks)), "batch")
     append_to_sink(scored, sink)
     if marker:

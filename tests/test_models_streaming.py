@@ -212,3 +212,21 @@ def test_books_of_the_sink_are_not_scored_again(spark, tmp_path, monkeypatch):
         st.append_batch(books(spark, part), sink, lex, num_chunks=3)
     assert scored == [4, 6, 0]
     assert as_rows(tables.load_trajectories(spark, sink)) == as_rows(corpus.trajectories_of(books(spark, rows), lex, 3))
+
+
+def test_a_batch_of_few_files_is_scored_by_all_cores(spark, tmp_path, monkeypatch):
+    lex, rows, sink = lexicons(spark), sample(40), str(tmp_path / "out")
+    parts, score = [], st.enriched_trajectories
+
+    def counted(batch, *args):
+        parts.append(batch.rdd.getNumPartitions())
+        return score(batch, *args)
+
+    monkeypatch.setattr(st, "enriched_trajectories", counted)
+    source = str(tmp_path / "in")
+    books(spark, rows).coalesce(1).write.parquet(source)
+    st.ingest(spark, source, sink, str(tmp_path / "cp"), lex, num_chunks=3)
+    assert parts == [2 * spark.sparkContext.defaultParallelism]
+    st.append_batch(books(spark, rows + sample(44)[40:]).repartition(50), sink, lex, num_chunks=3)
+    assert parts[1] >= spark.sparkContext.defaultParallelism
+    assert as_rows(tables.load_trajectories(spark, sink)) == as_rows(corpus.trajectories_of(books(spark, sample(44)), lex, 3))
